@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import ARCHIVE_ROWS_PER_FILE
+from ..functions.once import once
 from ..functions.parse import event_time_strict, or_unknown
 
 ARCHIVE_KEYS = ("location", "date")
@@ -14,7 +15,7 @@ ARCHIVE_KEYS = ("location", "date")
 def archive_rows(readings: DataFrame) -> DataFrame:
     """Rows whose time has the strict format, with event time and date; others are skipped."""
     return (
-        readings.withColumn("event_time", event_time_strict("date_time"))
+        once(readings, event_time=event_time_strict("date_time"))
         .where(F.col("event_time").isNotNull())
         .withColumn("location", or_unknown("location"))
         .withColumn("date", F.to_date("event_time"))
@@ -68,15 +69,18 @@ def archive_layout(rows: DataFrame, rows_per_file: int = ARCHIVE_ROWS_PER_FILE)
 def daily_summary(rows: DataFrame) -> DataFrame:
     """Per location and date: count, temperature and wind range, rain total.
 
-    Sums and averages go over decimals, so the result does not depend on the order of rows.
+    Sums and averages go over decimals, so the result does not depend on the order of
+    rows; numbers that are no decimals (not finite) are left out of both.
     """
-    exact = {c: F.col(c).cast("decimal(18,4)") for c in ("temperature_c", "precipitation_mm")}
+    temperature, rain = (
+        F.col(c).try_cast("decimal(18,4)") for c in ("temperature_c", "precipitation_mm")
+    )
     return rows.groupBy(*ARCHIVE_KEYS).agg(
         F.count("*").alias("n_readings"),
         F.min("temperature_c").alias("min_temperature"),
         F.max("temperature_c").alias("max_temperature"),
-        (F.sum(exact["temperature_c"]).cast("double") / F.count("temperature_c")).alias("avg_temperature"),
-        F.sum(exact["precipitation_mm"]).cast("double").alias("total_precipitation"),
+        F.try_divide(F.sum(temperature).cast("double"), F.count(temperature)).alias("avg_temperature"),
+        F.sum(rain).cast("double").alias("total_precipitation"),
         F.max("wind_speed_kmh").alias("max_wind_speed"),
     )
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import STATUS_NEW
+from ..functions.once import once
 
 _ENVELOPE = (
     "error_type string, error_reason string, raw_row string, timestamp double, "
@@ -19,7 +20,8 @@ def error_rows(records: DataFrame, *keep: str) -> DataFrame:
     The raw row stays JSON text, its location becomes a column, a missing retry count is 0 and
     the state is new and unsent. ``detected_at`` is the time noted in the envelope, if any.
     """
-    parsed = records.select(*keep, F.from_json(F.col("value").cast("string"), _ENVELOPE).alias("e"))
+    envelope = F.from_json(F.col("value").cast("string"), _ENVELOPE)
+    parsed = once(records.select(*keep, "value"), e=envelope)
     raw = F.col("e.raw_row")
     return parsed.select(
         *keep,

@@ -9,7 +9,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import OUTBOX_BATCH
@@ -69,34 +70,43 @@ def new_acks(results: DataFrame, id_column: str = "id", sent_at=None) -> DataFra
     return results.where("success").select(id_column, moment.alias("sent_at"))
 
 
+def read_acks(spark: SparkSession, path: str, id_type: str, id_column: str = "id") -> DataFrame:
+    """Stored outcomes of sends; none before the first cycle."""
+    schema = f"{id_column} {id_type}, success boolean, sent_at timestamp"
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def drain_once(
     rows: DataFrame,
     acks_path: str,
-    render,
+    render: Column,
     sender: Sender,
     *,
     id_column: str = "id",
     limit: int = OUTBOX_BATCH,
     order: str = "created_at",
 ) -> int:
-    """One cycle over a stored table: pick, render, send, and append the acknowledgements.
+    """One cycle over a stored table: pick, render, send, and append the outcomes.
 
-    Returns how many rows were picked. ``rows`` is the table without later acknowledgements;
-    those are read from ``acks_path``. The picked rows (at most ``limit``) are sent exactly once
-    per cycle, because the outcome is written as it is computed and not computed again.
+    Returns how many rows were picked. ``rows`` is the table as stored; acknowledgements come
+    from ``acks_path``. The outcome is written in the job that sends, so nothing is sent a
+    second time to learn it. A task that is run again after a loss sends its rows again:
+    sending is at least once.
     """
-    spark = rows.sparkSession
     id_type = rows.schema[id_column].dataType.simpleString()
-    schema = f"{id_column} {id_type}, success boolean, sent_at timestamp"
-    spark.createDataFrame([], schema).write.mode("append").parquet(acks_path)
-    done = spark.read.schema(schema).parquet(acks_path).where("success")
+    done = read_acks(rows.sparkSession, acks_path, id_type, id_column).where("success")
     batch = unsent_batch(apply_acks(rows, done, id_column), id_column, limit, order)
-    results = send_all(batch.withColumn("text", render), sender, id_column)
-    observed = F.observation if False else None  # noqa: F841
-    from pyspark.sql import Observation
-
+    outcomes = send_all(batch.withColumn("text", render), sender, id_column)
     picked = Observation()
-    results.withColumn("sent_at", F.current_timestamp()).observe(
-        picked, F.count("*").alias("n")
-    ).write.mode("append").parquet(acks_path)
+    (
+        outcomes.withColumn("sent_at", F.current_timestamp())
+        .observe(picked, F.count("*").alias("n"))
+        .write.mode("append")
+        .parquet(acks_path)
+    )
     return picked.get["n"]

@@ -17,10 +17,11 @@ from ..constants import (
     TOPIC_READINGS,
     UNKNOWN_LOCATION,
 )
+from ..functions.once import once
 from ..functions.parse import iso_time, parse_float, retry_number
 from ..functions.sampling import sampled
 from .cooldown import cooldown
-from .routing import KEEP_NULLS, error_json
+from .routing import KEEP_NULLS, error_json, json_string
 from .rules import RETRY_PROFILE, Profile, detect_candidates
 
 FAIL_SALT = "retry-failure"
@@ -33,9 +34,8 @@ def decode_message(records: DataFrame, *keep: str) -> DataFrame:
     their defaults, null and unreadable ones become null. ``location`` is ``unknown`` only
     where the key is absent.
     """
-    rows = records.select(
-        *keep, "value", F.from_json(F.col("value").cast("string"), "map<string,string>").alias("message")
-    )
+    fields = F.from_json(F.col("value").cast("string"), "map<string,string>")
+    rows = once(records.select(*keep, "value"), message=fields)
 
     def text(name: str) -> Column:
         # non-finite numbers are copied from the message with quotes around them
@@ -48,22 +48,18 @@ def decode_message(records: DataFrame, *keep: str) -> DataFrame:
         REQUIRED_FIELDS[name]: F.when(absent(name), F.lit(default)).otherwise(parse_float(text(name)))
         for name, default in RETRY_DEFAULTS.items()
     }
-    return rows.select(
-        *keep,
-        "value",
-        "message",
-        F.when(absent("Location"), F.lit(UNKNOWN_LOCATION))
-        .otherwise(F.element_at("message", F.lit("Location")))
-        .alias("location"),
-        *[number.alias(column) for column, number in numbers.items()],
-        F.when(absent("retry"), F.lit(0)).otherwise(retry_number(text("retry"))).alias("_retry"),
-        F.element_at("message", F.lit("event_time")).alias("_event_time_text"),
-    ).withColumns(
-        {
-            "retry_count": F.coalesce("_retry", F.lit(0)) + 1,
-            "event_time": iso_time("_event_time_text"),
-        }
+    time_text = F.element_at("message", F.lit("event_time"))
+    decoded = once(
+        rows,
+        location=F.when(absent("Location"), F.lit(UNKNOWN_LOCATION)).otherwise(
+            F.element_at("message", F.lit("Location"))
+        ),
+        **numbers,
+        _retry=F.when(absent("retry"), F.lit(0)).otherwise(retry_number(text("retry"))),
+        _event_time_text=time_text,
+        event_time=iso_time(time_text),
     )
+    return decoded.withColumn("retry_count", F.coalesce("_retry", F.lit(0)) + 1)
 
 
 def failure_reason(*identity: str, fail_rate: float = RETRY_FAIL_RATE) -> Column:
@@ -119,10 +115,11 @@ def retry_dead_letters(judged: DataFrame, *keep: str) -> DataFrame:
 
     The message is carried over as it is; what is no JSON becomes a JSON text.
     """
-    raw = F.coalesce(
-        F.try_parse_json(F.col("value").cast("string")),
-        F.try_parse_json(F.to_json("message")),
-        F.col("value").cast("string").cast("variant"),
+    text = F.col("value").cast("string")
+    raw = (
+        F.when(F.try_parse_json(text).isNotNull(), text)
+        .when(F.col("message").isNotNull(), F.to_json("message"))
+        .otherwise(json_string(text))
     )
     return judged.where(F.col("failure").isNotNull()).select(
         *keep,

@@ -18,6 +18,7 @@ from ..constants import (
 )
 from ..functions.parse import iso_text, or_unknown
 from ..functions.sampling import sampled
+from ..schemas import READING_MESSAGE
 from .ranking import number_rows
 
 KEEP_NULLS = {"ignoreNullFields": "false"}
@@ -66,7 +67,10 @@ def allocate_new(
 
     The n-th location ever gets partition ``n % partitions``. Works on one row per location.
     """
-    seen = readings.groupBy("location").agg(F.min(first_seen).alias("first_seen"))
+    never = F.lit("9999-12-31").cast("timestamp")  # locations without any readable time go last
+    seen = readings.groupBy("location").agg(
+        F.coalesce(F.min(first_seen), never).alias("first_seen")
+    )
     fresh = seen.join(regions.select("location"), "location", "left_anti")
     known = regions.agg(F.count("*").alias("n")).scalar()
     numbered = number_rows(fresh, ["first_seen", "location"], "first_seen", "_n")
@@ -92,26 +96,36 @@ def reading_json(*extra: Column) -> Column:
 def error_json(
     error_type: Column,
     error_reason: Column,
-    raw_row: Column,
+    raw_json: Column,
     file_name: Column,
     retry_count: Column,
     timestamp: Column | None = None,
 ) -> Column:
-    """The error envelope. ``raw_row`` is a struct or variant column; ``timestamp`` is optional."""
-    fields = [
-        error_type.alias("error_type"),
-        error_reason.alias("error_reason"),
-        raw_row.alias("raw_row"),
-    ]
+    """The error envelope; ``timestamp`` is optional.
+
+    ``raw_json`` is JSON text and goes in unchanged: it is put between the two halves of the
+    envelope, so numbers keep their spelling and nothing is parsed again.
+    """
+    head = F.to_json(
+        F.struct(error_type.alias("error_type"), error_reason.alias("error_reason")), KEEP_NULLS
+    )
+    rest = [file_name.alias("file_name"), retry_count.alias("retry_count")]
     if timestamp is not None:
-        fields.append(timestamp.alias("timestamp"))
-    fields += [file_name.alias("file_name"), retry_count.alias("retry_count")]
-    return F.to_json(F.struct(*fields), KEEP_NULLS)
+        rest.insert(0, timestamp.alias("timestamp"))
+    tail = F.to_json(F.struct(*rest), KEEP_NULLS)
+    return F.concat(
+        F.substr(head, F.lit(1), F.length(head) - 1),
+        F.lit(',"raw_row":'),
+        F.coalesce(raw_json, F.lit("null")),
+        F.lit(","),
+        F.substr(tail, F.lit(2)),
+    )
 
 
-def raw_row_struct() -> Column:
-    fields = [F.col(column).alias(name) for name, column in REQUIRED_FIELDS.items()]
-    return F.struct(*fields, F.col("retry").alias("retry"))
+def json_string(text: Column) -> Column:
+    """Any text as a quoted JSON string."""
+    wrapped = F.to_json(F.struct(text.alias("v")), KEEP_NULLS)
+    return F.substr(wrapped, F.lit(len('{"v":') + 1), F.length(wrapped) - len('{"v":}'))
 
 
 def to_reading_records(valid: DataFrame, regions: DataFrame, *keep: str) -> DataFrame:
@@ -135,7 +149,7 @@ def to_error_records(rejected: DataFrame, timestamp: Column | None = None, *keep
         error_json(
             F.col("error_type"),
             F.col("error_reason"),
-            raw_row_struct(),
+            reading_json(),
             F.col("file_name"),
             F.lit(0),
             now,
@@ -161,11 +175,8 @@ def decode_readings(records: DataFrame, *keep: str) -> DataFrame:
 
     A malformed message gives a row of nulls, a bad field a null in that field.
     """
-    from ..schemas import READING_MESSAGE
-
-    data = records.select(
-        *keep,
-        F.from_json(F.col("value").cast("string"), READING_MESSAGE, {"mode": "PERMISSIVE"}).alias("d"),
-    )
-    columns = [F.col(f"d.{name}").alias(column) for name, column in REQUIRED_FIELDS.items()]
-    return data.select(*keep, *columns, F.col("d.retry").alias("retry"))
+    message = F.from_json(F.col("value").cast("string"), READING_MESSAGE, {"mode": "PERMISSIVE"})
+    # one parse per row, whatever filters follow (see functions.once)
+    data = records.select(*keep, F.inline(F.array(message)))
+    columns = [F.col(name).alias(column) for name, column in REQUIRED_FIELDS.items()]
+    return data.select(*keep, *columns, "retry")

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import FLOAT_FIELDS, MISSING_FIELD, REQUIRED_FIELDS, TYPE_ERROR
+from ..functions.once import once
 from ..functions.parse import parse_float
 
 
@@ -19,20 +22,47 @@ def missing_field() -> Column:
     )
 
 
-def float_error(name: str, text: Column | str) -> Column:
+def float_error(name: str, text: Column | str, number: Column | None = None) -> Column:
     """Error text where a float field holds no number, else null."""
     text = F.col(text) if isinstance(text, str) else text
+    number = parse_float(text) if number is None else number
     return F.when(
-        parse_float(text).isNull(),
+        number.isNull(),
         F.concat(
             F.lit(f"Invalid float field: {name}='"), F.coalesce(text, F.lit("None")), F.lit("'")
         ),
     )
 
 
-def type_error() -> Column:
-    """Error text of the first float field that holds no number."""
-    return F.coalesce(*[float_error(name, REQUIRED_FIELDS[name]) for name in FLOAT_FIELDS])
+def type_error(parsed: bool = False) -> Column:
+    """Error text of the first float field that holds no number.
+
+    ``parsed``: the input comes from :func:`with_numbers`.
+    """
+    return F.coalesce(
+        *[
+            float_error(name, REQUIRED_FIELDS[name], F.col(_NUMBERS[name]) if parsed else None)
+            for name in FLOAT_FIELDS
+        ]
+    )
+
+
+_NUMBERS = {name: f"_{REQUIRED_FIELDS[name]}" for name in FLOAT_FIELDS}
+
+
+def with_numbers(raw: DataFrame) -> DataFrame:
+    """Add the parsed float fields beside their texts; every text is matched once."""
+    return once(raw, **{_NUMBERS[n]: parse_float(REQUIRED_FIELDS[n]) for n in FLOAT_FIELDS})
+
+
+def _is_valid() -> Column:
+    """The verdict on parsed rows. A number field that is blank has no number either."""
+    tests = [F.coalesce(F.col(REQUIRED_FIELDS[n]) != "", F.lit(False)) for n in _TEXT_FIELDS]
+    tests += [F.col(c).isNotNull() for c in _NUMBERS.values()]
+    return reduce(lambda a, b: a & b, tests)
+
+
+_TEXT_FIELDS = [n for n in REQUIRED_FIELDS if n not in FLOAT_FIELDS]
 
 
 def with_verdict(raw: DataFrame) -> DataFrame:
@@ -41,43 +71,28 @@ def with_verdict(raw: DataFrame) -> DataFrame:
     Missing fields are looked for first, over all fields, then number formats. Dates are not
     checked here: each consumer applies its own date rule.
     """
-    checked = raw.withColumn("_missing", missing_field()).withColumn("_type", type_error())
+    missing, wrong = missing_field(), type_error(parsed=True)
     return (
-        checked.withColumn(
-            "error_type",
-            F.when(F.col("_missing").isNotNull(), F.lit(MISSING_FIELD)).when(
-                F.col("_type").isNotNull(), F.lit(TYPE_ERROR)
-            ),
-        )
-        .withColumn(
-            "error_reason",
-            F.when(
-                F.col("_missing").isNotNull(),
-                F.concat(F.lit("Missing required field: "), F.col("_missing")),
-            ).otherwise(F.col("_type")),
+        with_numbers(raw)
+        .withColumns(
+            {
+                "error_type": F.when(missing.isNotNull(), F.lit(MISSING_FIELD)).when(
+                    wrong.isNotNull(), F.lit(TYPE_ERROR)
+                ),
+                "error_reason": F.when(
+                    missing.isNotNull(), F.concat(F.lit("Missing required field: "), missing)
+                ).otherwise(wrong),
+            }
         )
-        .drop("_missing", "_type")
+        .drop(*_NUMBERS.values())
     )
 
 
-def is_valid() -> Column:
-    """The verdict as one predicate, for paths that need no error text."""
-    present = [
-        F.col(c).isNotNull() & (F.col(c) != "")
-        for name, c in REQUIRED_FIELDS.items()
-        if name not in FLOAT_FIELDS
-    ]
-    numeric = [parse_float(REQUIRED_FIELDS[name]).isNotNull() for name in FLOAT_FIELDS]
-    result = present[0]
-    for test in present[1:] + numeric:
-        result = result & test
-    return result
-
-
 def valid_readings(raw: DataFrame) -> DataFrame:
     """Valid rows with typed floats and ``retry = 0``; other columns pass through."""
-    typed = {REQUIRED_FIELDS[n]: parse_float(REQUIRED_FIELDS[n]) for n in FLOAT_FIELDS}
-    return raw.where(is_valid()).withColumns(typed).withColumn("retry", F.lit(0))
+    typed = {REQUIRED_FIELDS[name]: F.col(number) for name, number in _NUMBERS.items()}
+    valid = with_numbers(raw).where(_is_valid())
+    return valid.withColumns({**typed, "retry": F.lit(0)}).drop(*_NUMBERS.values())
 
 
 def rejected_readings(raw: DataFrame) -> DataFrame:
@@ -88,7 +103,8 @@ def rejected_readings(raw: DataFrame) -> DataFrame:
 def file_counts(raw: DataFrame, file_column: str = "file_name") -> DataFrame:
     """Valid and invalid rows per file; combined on the map side before the shuffle."""
     return (
-        raw.select(file_column, F.coalesce(is_valid(), F.lit(False)).alias("_ok"))
+        with_numbers(raw)
+        .select(file_column, _is_valid().alias("_ok"))
         .groupBy(file_column)
         .agg(
             F.count_if("_ok").alias("success_count"),

@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.once import once
+from ..functions.parse import event_time_lenient
+from ..operators.routing import to_retry_records
+from ..operators.validate import valid_readings
+
 # fixed values: the location of each user group
 _GROUP_LOCATIONS = (
     "Phoenix",
@@ -48,8 +53,33 @@ def as_raw_readings(events: DataFrame) -> DataFrame:
         .alias("humidity_pct"),
         F.get_json_object("props", "$.k").alias("precipitation_mm"),
         (event_id % 45).cast("string").alias("wind_speed_kmh"),
+        F.date_format("ts", "'weather_'yyyyMMdd'_000000.csv'").alias("file_name"),
     )
 
 
 def raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_raw_readings(table(spark, sf_dir, "events"))
+
+
+def timed_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid readings with a readable event time."""
+    valid = valid_readings(raw_readings(spark, sf_dir))
+    timed = once(valid, event_time=event_time_lenient("date_time"))
+    return timed.where(F.col("event_time").isNotNull())
+
+
+def retry_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Retry records of all timed readings, some with absent keys, nulls or bad values."""
+    records = to_retry_records(timed_readings(spark, sf_dir), "event_id")
+    value, event_id = F.col("value"), F.col("event_id")
+    temperature = r'"Temperature_C":[^,]*,'
+    changed = (
+        F.when(event_id % 101 == 0, F.regexp_replace(value, r',"event_time":"[^"]*"', ""))
+        .when(event_id % 103 == 0, F.regexp_replace(value, r'"retry":0', '"retry":"x"'))
+        .when(event_id % 107 == 0, F.regexp_replace(value, temperature, ""))
+        .when(event_id % 109 == 0, F.regexp_replace(value, temperature, '"Temperature_C":null,'))
+        .when(event_id % 113 == 0, F.regexp_replace(value, r'"retry":0', '"retry":2.0'))
+        .when(event_id % 127 == 0, F.regexp_replace(value, r'T\d\d:', "T99:"))
+        .otherwise(value)
+    )
+    return records.withColumn("value", changed)
