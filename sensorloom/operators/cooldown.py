@@ -207,9 +207,15 @@ def cooldown(
     def part_of(t: Column, size: int) -> Column:  # floor division, also before 1970
         return F.call_function("div", t - F.pmod(t, F.lit(size)), F.lit(size))
 
+    firsts = first_per_instant(candidates, keys, time, tie)
+    if seed is not None:
+        # what lies before the end of the seed's span is suppressed for sure, and the chain of
+        # the rest starts without a state
+        latest = seed.groupBy(*keys).agg(F.unix_micros(F.max(time)).alias("_seed"))
+        ready = F.col("_seed").isNull() | (micros >= F.col("_seed") + gap)
+        firsts = _null_safe_join(firsts, latest, keys).where(ready).drop("_seed")
     events = (
-        first_per_instant(candidates, keys, time, tie)
-        .withColumn("_t", micros)
+        firsts.withColumn("_t", micros)
         .withColumn("_block", part_of(F.col("_t"), width))
     )
 
@@ -232,14 +238,11 @@ def cooldown(
     )
 
     chains = _collect_parts(unit_steps, keys, "_unit")
-    if seed is None:
-        start = F.lit(NEVER).cast("bigint")
-    else:
-        latest = seed.groupBy(*keys).agg(F.unix_micros(F.max(time)).alias("_seed"))
-        chains = _null_safe_join(chains, latest, keys)
-        start = F.coalesce(F.col("_seed"), F.lit(NEVER).cast("bigint"))
     unit_states = chains.select(
-        *keys, F.inline(_state_path(F.col("_parts"), start, gap)).alias("_unit", "_last")
+        *keys,
+        F.inline(_state_path(F.col("_parts"), F.lit(NEVER).cast("bigint"), gap)).alias(
+            "_unit", "_last"
+        ),
     )
     block_states = _null_safe_join(unit_states, units, [*keys, "_unit"]).select(
         *keys, F.inline(_state_path(F.col("_parts"), F.col("_last"), gap)).alias("_block", "_last")
