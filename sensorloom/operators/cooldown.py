@@ -138,23 +138,18 @@ def _keep_in_block(gap: int, tie: str, columns: list[str]):
 
 
 # --- replay of step tables, in plain expressions ----------------------------------------------
-def _state_path(parts: Column, last: Column, gap: int) -> Column:
-    """Walk sorted parts of (_id, _steps); the state before each as array of (_id, _last)."""
-
-    def advance(acc: Column, part: Column) -> Column:
-        taken = F.get(F.filter(part["_steps"], lambda s: s["upto"] >= acc["last"] + gap), F.lit(0))
-        here = F.struct(part["_id"].alias("_id"), acc["last"].alias("_last"))
-        return F.struct(
-            F.coalesce(taken["last"], acc["last"]).alias("last"),
-            F.concat(acc["path"], F.array(here)).alias("path"),
-        )
-
-    nothing = F.array().cast("array<struct<_id:bigint,_last:bigint>>")
-    return F.aggregate(
-        parts,
-        F.struct(last.alias("last"), nothing.alias("path")),
-        advance,
-        lambda acc: acc["path"],
+def _state_path(last: str, gap: int) -> Column:
+    """Walk the sorted _parts from state ``last``; the state before each as (_id, _last)."""
+    return F.expr(
+        f"""aggregate(
+            _parts,
+            named_struct(
+                'last', {last}, 'path', cast(array() as array<struct<_id:bigint,_last:bigint>>)),
+            (acc, part) -> named_struct(
+                'last', coalesce(
+                    get(filter(part._steps, s -> s.upto >= acc.last + {gap}), 0).last, acc.last),
+                'path', concat(acc.path, array(named_struct('_id', part._id, '_last', acc.last)))),
+            acc -> acc.path)"""
     )
 
 
@@ -240,12 +235,10 @@ def cooldown(
     chains = _collect_parts(unit_steps, keys, "_unit")
     unit_states = chains.select(
         *keys,
-        F.inline(_state_path(F.col("_parts"), F.lit(NEVER).cast("bigint"), gap)).alias(
-            "_unit", "_last"
-        ),
+        F.inline(_state_path(f"bigint('{NEVER}')", gap)).alias("_unit", "_last"),
     )
     block_states = _null_safe_join(unit_states, units, [*keys, "_unit"]).select(
-        *keys, F.inline(_state_path(F.col("_parts"), F.col("_last"), gap)).alias("_block", "_last")
+        *keys, F.inline(_state_path("_last", gap)).alias("_block", "_last")
     )
 
     kept_schema = T.StructType([candidates.schema[c] for c in columns])

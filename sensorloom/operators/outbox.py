@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import OUTBOX_BATCH
+from ..session import empty_frame
 
 Sender = Callable[[str], bool]
 
@@ -78,7 +79,7 @@ def read_acks(spark: SparkSession, path: str, id_type: str, id_column: str = "id
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return empty_frame(spark, schema)
 
 
 def drain_once(

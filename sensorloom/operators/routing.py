@@ -19,6 +19,7 @@ from ..constants import (
 from ..functions.parse import iso_text, or_unknown
 from ..functions.sampling import sampled
 from ..schemas import READING_MESSAGE
+from ..session import empty_frame
 from .ranking import number_rows
 
 KEEP_NULLS = {"ignoreNullFields": "false"}
@@ -31,13 +32,14 @@ def region_map(spark: SparkSession, path: str | None = None) -> DataFrame:
 
     From a JSON object file; a missing or broken file is an empty dimension, as on first start.
     """
-    schema = "location string, partition int"
     if path is None:
-        return spark.createDataFrame(list(REGION_PARTITIONS.items()), schema)
+        # literal rows: their size is known, so the join can be planned as a broadcast
+        rows = ", ".join(f"('{name}', {number})" for name, number in REGION_PARTITIONS.items())
+        return spark.sql(f"select * from values {rows} as regions(location, partition)")
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
     if not files.exists(hadoop):
-        return spark.createDataFrame([], schema)
+        return empty_frame(spark, "location string, partition int")
     whole = spark.read.text(path, wholetext=True)
     pairs = F.from_json("value", "map<string,int>")
     return whole.select(F.explode(pairs).alias("location", "partition"))

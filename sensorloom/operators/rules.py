@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,11 +19,10 @@ class Rule:
     label: str
     unit: str
 
-    def fires(self) -> Column:
-        """Boundary inclusive; null and NaN never fire."""
-        value = F.col(self.column)
-        hit = value >= self.threshold if self.op == ">=" else value <= self.threshold
-        return F.coalesce(hit & ~F.isnan(value), F.lit(False))
+    def fires(self) -> str:
+        """Condition in SQL. Boundary inclusive; null and NaN never fire."""
+        c = f"`{self.column}`"
+        return f"coalesce({c} {self.op} double('{self.threshold}') and not isnan({c}), false)"
 
     def reason(self, value: Column | None = None) -> Column:
         value = F.col(self.column) if value is None else value
@@ -47,10 +44,10 @@ class Profile:
     def inputs(self) -> list[str]:
         return list(dict.fromkeys(rule.column for rule in self.rules))
 
-    def any_fires(self) -> Column:
-        hit = reduce(lambda a, b: a | b, [rule.fires() for rule in self.rules])
+    def any_fires(self) -> str:
+        hit = "(" + " or ".join(rule.fires() for rule in self.rules) + ")"
         if self.all_or_nothing:
-            hit = hit & reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in self.inputs()])
+            hit += "".join(f" and `{c}` is not null" for c in self.inputs())
         return hit
 
 
@@ -74,19 +71,12 @@ def detect_candidates(readings: DataFrame, profile: Profile, *keep: str) -> Data
     Narrow on purpose (only what the cooldown has to shuffle): threshold and reason follow
     from type and value, see :func:`describe_alerts`.
     """
-    fired = F.array(
-        *[
-            F.when(
-                rule.fires(),
-                F.struct(F.lit(rule.alert_type).alias("alert_type"), F.col(rule.column).alias("value")),
-            )
-            for rule in profile.rules
-        ]
+    fired = ", ".join(
+        f"if({rule.fires()}, named_struct('alert_type', '{rule.alert_type}', 'value', `{rule.column}`), null)"
+        for rule in profile.rules
     )
-    return (
-        readings.where(profile.any_fires())
-        .select(*keep, F.explode(F.array_compact(fired)).alias("_alert"))
-        .select(*keep, "_alert.alert_type", "_alert.value")
+    return readings.where(profile.any_fires()).selectExpr(
+        *keep, f"inline(array_compact(array({fired})))"
     )
 
 

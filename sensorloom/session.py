@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ROCKSDB_PROVIDER = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -35,6 +37,12 @@ def build_session(app_name: str = "sensorloom", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def empty_frame(spark: SparkSession, schema: str) -> DataFrame:
+    """A frame without rows that the optimizer knows to be empty."""
+    fields = T.StructType.fromDDL(schema).fields
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
+
+
 def work_root(spark: SparkSession) -> str:
     """The folder all executors share: what the cluster names in ``spark.checkpoint.dir``.
 

@@ -33,27 +33,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def as_raw_readings(events: DataFrame) -> DataFrame:
     """Text columns as a drop file has them, with blanks, bad numbers and bad dates mixed in."""
-    event_id, user_id = F.col("event_id"), F.col("user_id")
-    names = F.array(*[F.lit(n) for n in _GROUP_LOCATIONS])
-    amount = F.col("value").cast("decimal(10,2)") - F.lit(10).cast("decimal(10,2)")
-    return events.select(
+    names = ", ".join(f"'{name}'" for name in _GROUP_LOCATIONS)
+    return events.selectExpr(
         "event_id",
-        F.when(event_id % 211 == 0, F.lit(""))
-        .otherwise(F.get(names, (user_id % 12).cast("int")))
-        .alias("location"),
-        F.when(event_id % 97 == 0, F.lit("2024-99-99 99:99:99"))
-        .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
-        .alias("date_time"),
-        F.when(event_id % 53 == 0, F.lit(""))
-        .when(event_id % 59 == 0, F.lit("abc_xyz"))
-        .otherwise(amount.cast("string"))
-        .alias("temperature_c"),
-        F.when(event_id % 61 == 0, F.lit("abc_xyz"))
-        .otherwise((20 + user_id % 70).cast("string"))
-        .alias("humidity_pct"),
-        F.get_json_object("props", "$.k").alias("precipitation_mm"),
-        (event_id % 45).cast("string").alias("wind_speed_kmh"),
-        F.date_format("ts", "'weather_'yyyyMMdd'_000000.csv'").alias("file_name"),
+        f"if(event_id % 211 = 0, '', get(array({names}), int(user_id % 12))) as location",
+        "if(event_id % 97 = 0, '2024-99-99 99:99:99', date_format(ts, 'yyyy-MM-dd HH:mm:ss')) as date_time",
+        """case when event_id % 53 = 0 then '' when event_id % 59 = 0 then 'abc_xyz'
+           else string(cast(value as decimal(10,2)) - cast(10 as decimal(10,2))) end as temperature_c""",
+        "if(event_id % 61 = 0, 'abc_xyz', string(20 + user_id % 70)) as humidity_pct",
+        "get_json_object(props, '$.k') as precipitation_mm",
+        "string(event_id % 45) as wind_speed_kmh",
+        "date_format(ts, \"'weather_'yyyyMMdd'_000000.csv'\") as file_name",
     )
 
 

@@ -12,6 +12,7 @@ from ..constants import TOPIC_ERRORS, TOPIC_PARTITIONS, TOPIC_READINGS
 from ..functions.parse import event_time_lenient
 from ..operators.routing import allocate_new, to_error_records, to_reading_records
 from ..operators.validate import file_counts, rejected_readings, valid_readings
+from ..session import empty_frame
 
 
 PRODUCER = "ingest"
@@ -32,7 +33,7 @@ class RegionTable:
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return spark.createDataFrame([], "location string, partition int")
+            return empty_frame(spark, "location string, partition int")
         return stored.where(F.col("batch") < batch_id).select("location", "partition")
 
     def start_with(self, regions: DataFrame) -> None:
