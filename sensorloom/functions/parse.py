@@ -1,4 +1,7 @@
-"""Text to value and back. Nothing here throws on bad input: bad text becomes null."""
+"""Text to value and back. Nothing here throws on bad input: bad text becomes null.
+
+Each function takes a column name (or any SQL expression) and gives a Column.
+"""
 
 from __future__ import annotations
 
@@ -7,92 +10,89 @@ from pyspark.sql import functions as F
 
 from ..constants import UNKNOWN_LOCATION
 
-# Decimal or scientific notation, or a special name. Excludes what only some parsers take:
-# type suffixes (1.5f), hex floats and digit separators (1_000).
-_FLOAT = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity)\s*\z"
-_NAN = r"(?i)^\s*[+-]?nan\s*\z"
-_INT = r"^\s*[+-]?\d+\s*\z"
-_STRICT_TIME = r"^(?!0000)\d{4}-\d{1,2}-\d{1,2}\s+\d{1,2}:\d{1,2}:\d{1,2}\z"
-_ISO_TIME = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}(:\d{2}(\.\d{3}|\.\d{6})?)?)?)?\z"
+# Only these characters, and readable as a double: decimal or scientific notation. Leaves out
+# what a bare cast would also take, such as type suffixes (1.5f) and hex floats.
+_PLAIN = r"^\\s*[0-9.eE+-]+\\s*\\z"
+_INFINITE = "'inf', '+inf', '-inf', 'infinity', '+infinity', '-infinity'"
+_NAN = "'nan', '+nan', '-nan'"
+_INT = r"^\\s*[+-]?[0-9]+\\s*\\z"
+_STRICT_TIME = r"^(?!0000)[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}\\s+[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}\\z"
+_ISO_TIME = (
+    r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9]{2}(:[0-9]{2}(:[0-9]{2}([.]([0-9]{3}|[0-9]{6}))?)?)?)?\\z"
+)
 
 
-def _c(col: Column | str) -> Column:
-    return F.col(col) if isinstance(col, str) else col
+def float_sql(text: str) -> str:
+    return f"""case when {text} rlike '{_PLAIN}' then try_cast({text} as double)
+        when lower(trim({text})) in ({_INFINITE}) then cast(lower(trim({text})) as double)
+        when lower(trim({text})) in ({_NAN}) then double('nan') end"""
 
 
-def parse_float(col: Column | str) -> Column:
+def parse_float(text: str) -> Column:
     """Text to double, null where the text is no number; surrounding blanks are fine."""
-    text = _c(col)
-    return F.when(text.rlike(_FLOAT), F.trim(text).try_cast("double")).when(
-        text.rlike(_NAN), F.lit(float("nan"))
-    )
+    return F.expr(float_sql(text))
 
 
-def parse_int_or_zero(col: Column | str) -> Column:
+def parse_int_or_zero(text: str) -> Column:
     """Text to integer, zero where the text is no whole number."""
-    text = _c(col)
-    return F.coalesce(
-        F.when(text.rlike(_INT), F.trim(text).try_cast("bigint")), F.lit(0).cast("bigint")
-    )
+    return F.expr(f"coalesce(if({text} rlike '{_INT}', try_cast({text} as bigint), null), bigint(0))")
+
 
+def retry_sql(text: str) -> str:
+    return f"""if({text} rlike '{_INT}', try_cast({text} as int),
+        try_cast(nullif({float_sql(text)}, double('nan')) as int))"""
 
-def retry_number(text: Column | str) -> Column:
+
+def retry_number(text: str) -> Column:
     """Retry count text to integer, cutting a fraction; null where it is no finite number."""
-    text = _c(text)
-    number = parse_float(text)
-    return F.when(text.rlike(_INT), F.trim(text).try_cast("int")).otherwise(
-        F.when(~F.isnan(number), number.try_cast("int"))
-    )
+    return F.expr(retry_sql(text))
 
 
-def event_time_lenient(col: Column | str) -> Column:
+def event_time_lenient(text: str) -> Column:
     """What a cast accepts (date only, ``T``, fractions); anything else is null."""
-    return F.try_to_timestamp(_c(col))
+    return F.expr(f"try_to_timestamp({text})")
 
 
-def event_time_strict(col: Column | str) -> Column:
+def event_time_strict(text: str) -> Column:
     """Exactly ``year-month-day hour:minute:second``, where leading zeros may be missing."""
-    text = _c(col)
-    one_blank = F.regexp_replace(text, r"\s+", " ")
-    return F.when(
-        text.rlike(_STRICT_TIME), F.try_to_timestamp(one_blank, F.lit("yyyy-M-d H:m:s"))
+    return F.expr(
+        f"""if({text} rlike '{_STRICT_TIME}',
+            try_to_timestamp(regexp_replace({text}, '\\\\s+', ' '), 'yyyy-M-d H:m:s'), null)"""
     )
 
 
-def date_key(time: Column | str) -> Column:
-    return F.date_format(_c(time), "yyyy-MM-dd")
+def date_key(time: str) -> Column:
+    return F.expr(f"date_format({time}, 'yyyy-MM-dd')")
 
 
-def iso_text(time: Column | str) -> Column:
+def iso_text(time: str) -> Column:
     """ISO text of a timestamp; the six-digit fraction appears only where there is one."""
-    time = _c(time)
-    whole = F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss")
-    fraction = F.pmod(F.unix_micros(time), F.lit(1_000_000))
-    return F.when(fraction == 0, whole).otherwise(
-        F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    return F.expr(
+        f"""date_format({time}, if(pmod(unix_micros({time}), 1000000) = 0,
+            "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))"""
     )
 
 
-def iso_time(col: Column | str) -> Column:
+def iso_time(text: str) -> Column:
     """ISO text to timestamp, null for any other text."""
-    text = _c(col)
-    return F.when(text.rlike(_ISO_TIME), F.try_to_timestamp(text))
+    return F.expr(f"if({text} rlike '{_ISO_TIME}', try_to_timestamp({text}), null)")
+
+
+def float_text_sql(number: str) -> str:
+    plain = f"rtrim('0', string(try_cast(string({number}) as decimal(38,21))))"
+    size = f"abs({number})"
+    return f"""if(({size} >= 1e7 and {size} < 1e16) or ({size} >= 1e-4 and {size} < 1e-3),
+        if(endswith({plain}, '.'), concat({plain}, '0'), {plain}), string({number}))"""
 
 
-def float_text(number: Column | str) -> Column:
+def float_text(number: str) -> Column:
     """Shortest decimal text of a double, without an exponent from 0.0001 up to 1e16.
 
     Spark itself changes to an exponent outside 0.001 to 1e7.
     """
-    number = _c(number)
-    text = number.cast("string")
-    plain = F.rtrim(text.try_cast("decimal(38,21)").cast("string"), F.lit("0"))
-    padded = F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain)
-    size = F.abs(number)
-    wide = ((size >= 1e7) & (size < 1e16)) | ((size >= 1e-4) & (size < 1e-3))
-    return F.when(wide, padded).otherwise(text)
+    return F.expr(float_text_sql(number))
 
 
-def or_unknown(col: Column | str) -> Column:
+def or_unknown(text: str) -> Column:
     """The location used as a message key: null and blank both become ``unknown``."""
-    return F.coalesce(F.nullif(_c(col), F.lit("")), F.lit(UNKNOWN_LOCATION))
+    return F.expr(f"coalesce(nullif({text}, ''), '{UNKNOWN_LOCATION}')")

@@ -8,14 +8,18 @@ from pyspark.sql import functions as F
 _STEPS = 10_000
 
 
-def bucket_of(salt: str, *cols: Column | str) -> Column:
+def bucket_sql(salt: str, *cols: str) -> str:
+    digest = f"md5(concat_ws('|', '{salt}', {', '.join(cols)}))"
+    return f"pmod(bigint(conv(substring({digest}, 1, 8), 16, 10)), {_STEPS})"
+
+
+def bucket_of(salt: str, *cols: str) -> Column:
     """A number from 0 to 9999 from the first 32 bits of the MD5 of salt and columns."""
-    digest = F.md5(F.concat_ws("|", F.lit(salt), *cols))
-    return F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint"), F.lit(_STEPS))
+    return F.expr(bucket_sql(salt, *cols))
 
 
-def sampled(rate: float, salt: str, *cols: Column | str) -> Column:
+def sampled(rate: float, salt: str, *cols: str) -> Column:
     """True for a ``rate`` share of rows, chosen by their identifying columns."""
     if not 0 <= rate <= 1:
         raise ValueError("rate must lie between 0 and 1")
-    return bucket_of(salt, *cols) < round(rate * _STEPS)
+    return F.expr(f"{bucket_sql(salt, *cols)} < {round(rate * _STEPS)}")

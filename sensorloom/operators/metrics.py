@@ -6,28 +6,43 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _grown(before: str, now: str) -> str:
+    """Increase between two counter values; a falling counter was reset to zero."""
+    return f"case when {before} is null then 0 when {now} < {before} then {now} else {now} - {before} end"
+
+
 def topic_rates(samples: DataFrame, window: str = "1 minute") -> DataFrame:
     """Messages per second and topic from counter samples (ts, instance, topic, count).
 
     Per counter and window: the increase between neighbouring samples of the window, divided
-    by the time between its first and last sample. A falling counter was reset, so its new
-    value is the increase. Windows with one sample have no rate. A window function sees the
-    samples of one counter in one window only, however long the history is.
+    by the time between its first and last sample. Windows with one sample have no rate.
+
+    The increase is summed up per second first and then across the seconds of a window, so no
+    window function sees more than one second of a counter, or the seconds of one window.
     """
-    cut = samples.withColumn("_w", F.window("ts", window)["start"])
-    order = Window.partitionBy("_w", "instance", "topic").orderBy("ts", "count")
-    before = F.lag("count").over(order)
-    grown = cut.withColumn(
-        "_increase",
-        F.when(before.isNull(), 0).when(F.col("count") < before, F.col("count")).otherwise(
-            F.col("count") - before
-        ),
+    counter = ["instance", "topic", "_second"]
+    in_second = Window.partitionBy(*counter).orderBy("ts", "count")
+    across = Window.partitionBy("_w", "instance", "topic").orderBy("_second")
+    seconds = (
+        samples.withColumn("_second", F.date_trunc("second", "ts"))
+        .withColumn("_before", F.lag("count").over(in_second))
+        .withColumn("_increase", F.expr(_grown("_before", "count")))
+        .groupBy(*counter)
+        .agg(
+            F.sum("_increase").alias("_increase"),
+            F.expr("min_by(count, struct(ts, count))").alias("_opening"),
+            F.expr("max_by(count, struct(ts, count))").alias("_closing"),
+            F.min("ts").alias("_from"),
+            F.max("ts").alias("_to"),
+        )
     )
     per_counter = (
-        grown.groupBy("_w", "instance", "topic")
+        seconds.withColumn("_w", F.window("_second", window)["start"])
+        .withColumn("_before", F.lag("_closing").over(across))
+        .groupBy("_w", "instance", "topic")
         .agg(
-            F.sum("_increase").alias("increase"),
-            ((F.unix_micros(F.max("ts")) - F.unix_micros(F.min("ts"))) / 1e6).alias("_seconds"),
+            F.sum(F.col("_increase") + F.expr(_grown("_before", "_opening"))).alias("increase"),
+            ((F.unix_micros(F.max("_to")) - F.unix_micros(F.min("_from"))) / 1e6).alias("_seconds"),
         )
         .where(F.col("_seconds") > 0)
     )

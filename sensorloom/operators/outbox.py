@@ -9,12 +9,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import OUTBOX_BATCH
-from ..session import empty_frame
+from ..session import read_or_empty
 
 Sender = Callable[[str], bool]
 
@@ -74,12 +73,7 @@ def new_acks(results: DataFrame, id_column: str = "id", sent_at=None) -> DataFra
 def read_acks(spark: SparkSession, path: str, id_type: str, id_column: str = "id") -> DataFrame:
     """Stored outcomes of sends; none before the first cycle."""
     schema = f"{id_column} {id_type}, success boolean, sent_at timestamp"
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return empty_frame(spark, schema)
+    return read_or_empty(spark, path, schema)
 
 
 def drain_once(

@@ -18,7 +18,7 @@ from ..constants import (
     UNKNOWN_LOCATION,
 )
 from ..functions.once import once
-from ..functions.parse import iso_time, parse_float, retry_number
+from ..functions.parse import float_sql, iso_time, parse_float, retry_sql
 from ..functions.sampling import sampled
 from .cooldown import cooldown
 from .routing import KEEP_NULLS, error_json, json_string
@@ -27,39 +27,55 @@ from .rules import RETRY_PROFILE, Profile, detect_candidates
 FAIL_SALT = "retry-failure"
 
 
+_FIELDS = (*REQUIRED_FIELDS, "retry", "event_time")
+_MESSAGE = ", ".join(f"{name} string" for name in _FIELDS)
+_DEFAULTED = ("Location", *RETRY_DEFAULTS, "retry", "event_time")
+
+
 def decode_message(records: DataFrame, *keep: str) -> DataFrame:
     """Retry messages with any set of keys to columns.
 
-    ``message`` maps key to text and tells an absent key from a null. Absent numbers take
-    their defaults, null and unreadable ones become null. ``location`` is ``unknown`` only
-    where the key is absent.
+    Absent numbers take their defaults, null and unreadable ones become null. ``location`` is
+    ``unknown`` only where the key is absent. The message is parsed once as text fields; only
+    where a field is null, its keys are listed too, to tell an absent key from a null.
     """
-    fields = F.from_json(F.col("value").cast("string"), "map<string,string>")
-    rows = once(records.select(*keep, "value"), message=fields)
-
-    def text(name: str) -> Column:
-        # non-finite numbers are copied from the message with quotes around them
-        return F.btrim(F.element_at("message", F.lit(name)), F.lit('"'))
+    value = F.col("value").cast("string")
+    # a number that is not finite arrives as text in quotes
+    texts = [f"btrim(`{name}`, '\"') as _{name}" for name in _FIELDS]
+    parsed = records.select(*keep, "value", F.inline(F.array(F.from_json(value, _MESSAGE))))
+    some_null = " or ".join(f"`{name}` is null" for name in _DEFAULTED)
+    listed = parsed.selectExpr(
+        *keep,
+        "value",
+        *texts,
+        f"if({some_null}, named_struct('names', map_keys(from_json(string(value), 'map<string,string>'))), null)"
+        " as _keys",
+    )
+    listed = listed.select(*keep, "value", *[f"_{name}" for name in _FIELDS], F.inline(F.array("_keys")))
 
-    def absent(name: str) -> Column:
-        return ~F.map_contains_key("message", F.lit(name))
+    def absent(name: str) -> str:
+        return f"(_{name} is null and not array_contains(names, '{name}'))"
 
     numbers = {
-        REQUIRED_FIELDS[name]: F.when(absent(name), F.lit(default)).otherwise(parse_float(text(name)))
+        REQUIRED_FIELDS[name]: F.expr(
+            f"if({absent(name)}, double('{default}'), {float_sql('_' + name)})"
+        )
         for name, default in RETRY_DEFAULTS.items()
     }
-    time_text = F.element_at("message", F.lit("event_time"))
-    decoded = once(
-        rows,
-        location=F.when(absent("Location"), F.lit(UNKNOWN_LOCATION)).otherwise(
-            F.element_at("message", F.lit("Location"))
-        ),
+    return once(
+        listed,
+        location=F.expr(f"if({absent('Location')}, '{UNKNOWN_LOCATION}', _Location)"),
         **numbers,
-        _retry=F.when(absent("retry"), F.lit(0)).otherwise(retry_number(text("retry"))),
-        _event_time_text=time_text,
-        event_time=iso_time(time_text),
+        event_time=iso_time("_event_time"),
+        _number=F.expr(f"if({absent('retry')}, 0, {retry_sql('_retry')})"),
+    ).selectExpr(
+        "*",
+        "coalesce(_number, 0) + 1 as retry_count",
+        f"_Location is null and {' and '.join(f'_{n} is null' for n in _DEFAULTED[1:])} and names is null"
+        " as _broken",
+        f"coalesce({absent('event_time')}, false) as _without_time",
+        f"coalesce({absent('Temperature_C')}, false) as _without_temperature",
     )
-    return decoded.withColumn("retry_count", F.coalesce("_retry", F.lit(0)) + 1)
 
 
 def failure_reason(*identity: str, fail_rate: float = RETRY_FAIL_RATE) -> Column:
@@ -68,28 +84,24 @@ def failure_reason(*identity: str, fail_rate: float = RETRY_FAIL_RATE) -> Column
     The sampled failure comes before the event time is looked at; a message without JSON or
     with a retry count that is no number comes before both.
     """
-    time_text = F.col("_event_time_text")
     return (
-        F.when(F.col("message").isNull(), F.lit("Invalid message"))
+        F.when(F.expr("_broken"), F.lit("Invalid message"))
         .when(
-            F.col("_retry").isNull(),
-            F.concat(
-                F.lit("Invalid retry count: "),
-                F.coalesce(F.element_at("message", F.lit("retry")), F.lit("None")),
-            ),
+            F.expr("_number is null"),
+            F.expr("concat('Invalid retry count: ', coalesce(_retry, 'None'))"),
         )
         .when(sampled(fail_rate, FAIL_SALT, *identity), F.lit(CHAOS_REASON))
-        .when(~F.map_contains_key("message", F.lit("event_time")), F.lit("'event_time'"))
-        .when(time_text.isNull(), F.lit("fromisoformat: argument must be str"))
+        .when(F.expr("_without_time"), F.lit("'event_time'"))
+        .when(F.expr("_event_time is null"), F.lit("fromisoformat: argument must be str"))
         .when(
-            F.col("event_time").isNull(),
-            F.concat(F.lit("Invalid isoformat string: '"), time_text, F.lit("'")),
+            F.expr("event_time is null"),
+            F.expr("concat('Invalid isoformat string: ', chr(39), _event_time, chr(39))"),
         )
     )
 
 
 def with_failure(decoded: DataFrame, *identity: str, fail_rate: float = RETRY_FAIL_RATE) -> DataFrame:
-    return decoded.withColumn("failure", failure_reason(*identity, fail_rate=fail_rate))
+    return once(decoded, failure=failure_reason(*identity, fail_rate=fail_rate))
 
 
 def retry_candidates(judged: DataFrame, *keep: str, profile: Profile = RETRY_PROFILE) -> DataFrame:
@@ -116,11 +128,7 @@ def retry_dead_letters(judged: DataFrame, *keep: str) -> DataFrame:
     The message is carried over as it is; what is no JSON becomes a JSON text.
     """
     text = F.col("value").cast("string")
-    raw = (
-        F.when(F.try_parse_json(text).isNotNull(), text)
-        .when(F.col("message").isNotNull(), F.to_json("message"))
-        .otherwise(json_string(text))
-    )
+    raw = F.when(F.try_parse_json(text).isNotNull(), text).otherwise(json_string(text))
     return judged.where(F.col("failure").isNotNull()).select(
         *keep,
         "location",
@@ -141,14 +149,12 @@ def retry_dead_letters(judged: DataFrame, *keep: str) -> DataFrame:
 
 def retry_republish(judged: DataFrame, max_retries: int, *keep: str) -> DataFrame:
     """Optional: sound messages below ``max_retries`` go back to the readings topic."""
-    fields = [F.element_at("message", F.lit(n)) for n in ("Location", "Date_Time")]
-    humidity = parse_float(F.element_at("message", F.lit("Humidity_pct")))
     value = F.to_json(
         F.struct(
-            fields[0].alias("Location"),
-            fields[1].alias("Date_Time"),
+            F.col("_Location").alias("Location"),
+            F.col("_Date_Time").alias("Date_Time"),
             F.col("temperature_c").alias("Temperature_C"),
-            humidity.alias("Humidity_pct"),
+            parse_float("_Humidity_pct").alias("Humidity_pct"),
             F.col("precipitation_mm").alias("Precipitation_mm"),
             F.col("wind_speed_kmh").alias("Wind_Speed_kmh"),
             F.col("retry_count").alias("retry"),

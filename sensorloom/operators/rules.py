@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from ..constants import ALERT_THRESHOLDS, RETRY_THRESHOLDS
-from ..functions.parse import float_text
+from ..functions.parse import float_text_sql
 
 
 @dataclass(frozen=True)
@@ -24,13 +23,10 @@ class Rule:
         c = f"`{self.column}`"
         return f"coalesce({c} {self.op} double('{self.threshold}') and not isnan({c}), false)"
 
-    def reason(self, value: Column | None = None) -> Column:
-        value = F.col(self.column) if value is None else value
-        return F.concat(
-            F.lit(f"{self.label} "),
-            float_text(value),
-            F.lit(f"{self.unit} {self.op} {self.threshold}{self.unit}"),
-        )
+    def reason(self, value: str) -> str:
+        """Reason text in SQL."""
+        limit = f"{self.unit} {self.op} {self.threshold}{self.unit}"
+        return f"concat('{self.label} ', {float_text_sql(value)}, '{limit}')"
 
 
 @dataclass(frozen=True)
@@ -82,12 +78,13 @@ def detect_candidates(readings: DataFrame, profile: Profile, *keep: str) -> Data
 
 def describe_alerts(candidates: DataFrame, profile: Profile) -> DataFrame:
     """Add ``threshold`` and ``alert_reason`` from type and value."""
-    threshold, reason = F.lit(None).cast("double"), F.lit(None).cast("string")
-    for rule in profile.rules:
-        same = F.col("alert_type") == rule.alert_type
-        threshold = F.when(same, F.lit(rule.threshold)).otherwise(threshold)
-        reason = F.when(same, rule.reason(F.col("value"))).otherwise(reason)
-    return candidates.withColumn("threshold", threshold).withColumn("alert_reason", reason)
+    limits = " ".join(f"when '{r.alert_type}' then double('{r.threshold}')" for r in profile.rules)
+    reasons = " ".join(f"when '{r.alert_type}' then {r.reason('value')}" for r in profile.rules)
+    return candidates.selectExpr(
+        "*",
+        f"case alert_type {limits} end as threshold",
+        f"case alert_type {reasons} end as alert_reason",
+    )
 
 
 def detect_alerts(readings: DataFrame, profile: Profile, *keep: str) -> DataFrame:

@@ -2,49 +2,49 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import FLOAT_FIELDS, MISSING_FIELD, REQUIRED_FIELDS, TYPE_ERROR
 from ..functions.once import once
-from ..functions.parse import parse_float
+from ..functions.parse import float_sql, parse_float
+
+
+def _missing_sql() -> str:
+    tests = ", ".join(
+        f"if({c} is null or {c} = '', '{name}', null)" for name, c in REQUIRED_FIELDS.items()
+    )
+    return f"coalesce({tests})"
 
 
 def missing_field() -> Column:
     """Wire name of the first required field that is null or blank, in declared order."""
-    return F.coalesce(
-        *[
-            F.when(F.col(c).isNull() | (F.col(c) == ""), F.lit(name))
-            for name, c in REQUIRED_FIELDS.items()
-        ]
-    )
+    return F.expr(_missing_sql())
 
 
-def float_error(name: str, text: Column | str, number: Column | None = None) -> Column:
+def _float_error_sql(name: str, text: str, number: str) -> str:
+    message = f"concat('Invalid float field: {name}=', chr(39), coalesce({text}, 'None'), chr(39))"
+    return f"if({number} is null, {message}, null)"
+
+
+def float_error(name: str, text: str) -> Column:
     """Error text where a float field holds no number, else null."""
-    text = F.col(text) if isinstance(text, str) else text
-    number = parse_float(text) if number is None else number
-    return F.when(
-        number.isNull(),
-        F.concat(
-            F.lit(f"Invalid float field: {name}='"), F.coalesce(text, F.lit("None")), F.lit("'")
-        ),
-    )
+    return F.expr(_float_error_sql(name, text, float_sql(text)))
 
 
-def type_error(parsed: bool = False) -> Column:
-    """Error text of the first float field that holds no number.
+def _type_error_sql(parsed: bool) -> str:
+    tests = [
+        _float_error_sql(
+            name, REQUIRED_FIELDS[name], _NUMBERS[name] if parsed else float_sql(REQUIRED_FIELDS[name])
+        )
+        for name in FLOAT_FIELDS
+    ]
+    return f"coalesce({', '.join(tests)})"
 
-    ``parsed``: the input comes from :func:`with_numbers`.
-    """
-    return F.coalesce(
-        *[
-            float_error(name, REQUIRED_FIELDS[name], F.col(_NUMBERS[name]) if parsed else None)
-            for name in FLOAT_FIELDS
-        ]
-    )
+
+def type_error() -> Column:
+    """Error text of the first float field that holds no number."""
+    return F.expr(_type_error_sql(parsed=False))
 
 
 _NUMBERS = {name: f"_{REQUIRED_FIELDS[name]}" for name in FLOAT_FIELDS}
@@ -57,12 +57,9 @@ def with_numbers(raw: DataFrame) -> DataFrame:
 
 def _is_valid() -> Column:
     """The verdict on parsed rows. A number field that is blank has no number either."""
-    tests = [F.coalesce(F.col(REQUIRED_FIELDS[n]) != "", F.lit(False)) for n in _TEXT_FIELDS]
-    tests += [F.col(c).isNotNull() for c in _NUMBERS.values()]
-    return reduce(lambda a, b: a & b, tests)
-
-
-_TEXT_FIELDS = [n for n in REQUIRED_FIELDS if n not in FLOAT_FIELDS]
+    tests = [f"coalesce({REQUIRED_FIELDS[n]} <> '', false)" for n in REQUIRED_FIELDS if n not in FLOAT_FIELDS]
+    tests += [f"{number} is not null" for number in _NUMBERS.values()]
+    return F.expr(" and ".join(tests))
 
 
 def with_verdict(raw: DataFrame) -> DataFrame:
@@ -71,20 +68,13 @@ def with_verdict(raw: DataFrame) -> DataFrame:
     Missing fields are looked for first, over all fields, then number formats. Dates are not
     checked here: each consumer applies its own date rule.
     """
-    missing, wrong = missing_field(), type_error(parsed=True)
-    return (
-        with_numbers(raw)
-        .withColumns(
-            {
-                "error_type": F.when(missing.isNotNull(), F.lit(MISSING_FIELD)).when(
-                    wrong.isNotNull(), F.lit(TYPE_ERROR)
-                ),
-                "error_reason": F.when(
-                    missing.isNotNull(), F.concat(F.lit("Missing required field: "), missing)
-                ).otherwise(wrong),
-            }
-        )
-        .drop(*_NUMBERS.values())
+    missing, wrong = _missing_sql(), _type_error_sql(parsed=True)
+    columns = [f"`{c}`" for c in raw.columns]
+    return with_numbers(raw).selectExpr(
+        *columns,
+        f"""case when {missing} is not null then '{MISSING_FIELD}'
+            when {wrong} is not null then '{TYPE_ERROR}' end as error_type""",
+        f"coalesce(concat('Missing required field: ', {missing}), {wrong}) as error_reason",
     )
 
 

@@ -73,7 +73,7 @@ from ..session import prepare, work_dir
 from ..sources.drops import new_files, read_drops, write_drops
 from ..sources.events import raw_readings, retry_messages, table, timed_readings
 from ..streaming.consumers import start_table, window_counts_stream
-from ..streaming.cooldown import stream_cooldown
+from ..streaming.cooldown import start_cooldown, stream_cooldown
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -156,7 +156,7 @@ def json_decode_dynamic(spark, sf_dir):
         "temperature_c",
         "precipitation_mm",
         "wind_speed_kmh",
-        F.map_contains_key("message", F.lit("Temperature_C")).alias("has_temperature"),
+        (~F.col("_without_temperature")).alias("has_temperature"),
         "event_time",
     )
 
@@ -222,7 +222,8 @@ def event_time_strict_parse(spark, sf_dir):
 def iso_roundtrip(spark, sf_dir):
     events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     cut = F.when(F.col("event_id") % 2 == 0, F.date_trunc("second", "ts")).otherwise(F.col("ts"))
-    return events.select("event_id", iso_text(cut).alias("iso")).withColumn("event_time", iso_time("iso"))
+    texts = events.withColumn("cut", cut).select("event_id", iso_text("cut").alias("iso"))
+    return texts.withColumn("event_time", iso_time("iso"))
 
 
 @query
@@ -603,6 +604,22 @@ def stream_cooldown_alerts(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+@query
+def stream_cooldown_batches(spark, sf_dir):
+    """Two micro-batches through the batch operator, the second seeded by the first."""
+    source, out = work_dir(spark, "candidates"), work_dir(spark, "kept")
+    state, checkpoint = work_dir(spark, "state"), work_dir(spark, "checkpoint")
+    candidates = _candidates(spark, sf_dir)
+    border = F.lit("2024-01-16").cast("timestamp")
+    for part in (F.col("event_time") < border, F.col("event_time") >= border):
+        candidates.where(part).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(candidates.schema).parquet(source)
+        start_cooldown(
+            stream, out, state, checkpoint, trigger={"availableNow": True}
+        ).awaitTermination()
+    return spark.read.parquet(out).drop("batch")
+
+
 @query
 def restart_exactly_once(spark, sf_dir):
     """Three runs of one stream with stops in between, the last without new input."""

@@ -565,6 +565,7 @@ where seconds > 0 group by window_start, topic""",
 from events group by 1, 2""",
     "topic_names": _with(["samples"], "select distinct topic from samples where topic <> ''"),
     "stream_cooldown_alerts": _with(["timed"], _KEPT_ROWS, _KEPT),
+    "stream_cooldown_batches": _with(["timed"], _KEPT_ROWS, _KEPT),
     "restart_exactly_once": _with(["timed"], _KEPT_ROWS, _KEPT),
     "late_drop": _with(
         ["timed"],

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,10 +38,21 @@ def build_session(app_name: str = "sensorloom", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def empty_frame(spark: SparkSession, schema: str) -> DataFrame:
+def empty_frame(spark: SparkSession, schema: str | T.StructType) -> DataFrame:
     """A frame without rows that the optimizer knows to be empty."""
-    fields = T.StructType.fromDDL(schema).fields
-    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+
+
+def read_or_empty(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
+    """A stored table, or no rows where nothing was stored yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return empty_frame(spark, schema)
 
 
 def work_root(spark: SparkSession) -> str:

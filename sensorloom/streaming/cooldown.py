@@ -1,4 +1,9 @@
-"""The cooldown as keyed state of a stream."""
+"""The cooldown of a stream: as keyed state, or per micro-batch with the batch operator.
+
+Keyed state has the lower latency and suits limited micro-batches, because one task handles all
+alerts of a key in a micro-batch. Where a micro-batch may be of any size, such as when a stream
+catches up on its history, :func:`start_cooldown` spreads a hot key over all tasks.
+"""
 
 from __future__ import annotations
 
@@ -8,9 +13,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
-from ..operators.cooldown import NEVER, keep_from
+from ..operators.cooldown import NEVER, cooldown, keep_from
+from ..session import read_or_empty
 
 
 class CooldownProcessor(StatefulProcessor):
@@ -65,3 +71,44 @@ def stream_cooldown(
         timeMode="none",
     )
     return kept.withColumn(time, F.timestamp_micros("at_micros")).select(columns)
+
+
+def start_cooldown(
+    candidates: DataFrame,
+    path: str,
+    state_path: str,
+    checkpoint: str,
+    *,
+    keys: Sequence[str] = ("location", "alert_type"),
+    time: str = "event_time",
+    tie: str = "event_id",
+    minutes: float = 30,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Keep the alerts of each micro-batch with the batch operator.
+
+    Micro-batch n writes its alerts to ``batch=n`` and the latest kept time of every key so far
+    to ``batch=n`` of the state table, which seeds micro-batch n+1. A micro-batch that runs
+    again starts from the same seed and replaces both.
+    """
+    keys = list(keys)
+    state_fields = [candidates.schema[c] for c in [*keys, time]]
+    state_schema = T.StructType([*state_fields, T.StructField("batch", T.LongType())])
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        states = read_or_empty(spark, state_path, state_schema)
+        seed = states.where(F.col("batch") == batch_id - 1).select(*keys, time)
+        kept = cooldown(batch, keys=keys, time=time, tie=tie, minutes=minutes, seed=seed)
+        folder = f"{path}/batch={batch_id}"
+        kept.write.mode("overwrite").parquet(folder)
+        written = spark.read.schema(batch.schema).parquet(folder).select(*keys, time)
+        latest = seed.unionByName(written).groupBy(*keys).agg(F.max(time).alias(time))
+        latest.write.mode("overwrite").parquet(f"{state_path}/batch={batch_id}")
+
+    return (
+        candidates.writeStream.foreachBatch(keep)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": "1 second"}))
+        .start()
+    )

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -12,7 +11,7 @@ from ..constants import TOPIC_ERRORS, TOPIC_PARTITIONS, TOPIC_READINGS
 from ..functions.parse import event_time_lenient
 from ..operators.routing import allocate_new, to_error_records, to_reading_records
 from ..operators.validate import file_counts, rejected_readings, valid_readings
-from ..session import empty_frame
+from ..session import read_or_empty
 
 
 PRODUCER = "ingest"
@@ -28,12 +27,7 @@ class RegionTable:
 
     def before(self, spark: SparkSession, batch_id: int) -> DataFrame:
         """What was known before a batch; a replayed batch does not see its own rows."""
-        try:
-            stored = spark.read.schema(self.schema).parquet(self.path)
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return empty_frame(spark, "location string, partition int")
+        stored = read_or_empty(spark, self.path, self.schema)
         return stored.where(F.col("batch") < batch_id).select("location", "partition")
 
     def start_with(self, regions: DataFrame) -> None:

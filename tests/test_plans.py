@@ -10,7 +10,7 @@ CHAINED = {
 }
 EAGER = {  # these run jobs while they are built
     "csv_scan", "archive_roundtrip", "alerts_by_filter", "stream_cooldown_alerts",
-    "restart_exactly_once", "late_drop",
+    "restart_exactly_once", "late_drop", "stream_cooldown_batches",
 }
 
 
