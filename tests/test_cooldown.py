@@ -74,6 +74,23 @@ def test_hot_key_over_blocks_and_units(spark, monkeypatch):
         assert kept_by(spark, rows, minutes) == walk(rows, minutes)
 
 
+def test_null_is_a_key_of_its_own(spark, monkeypatch):
+    monkeypatch.setattr(cd, "SPANS_PER_BLOCK", 3)
+    monkeypatch.setattr(cd, "BLOCKS_PER_UNIT", 4)
+    rng = np.random.default_rng(11)
+    start = datetime(1969, 12, 31, 12)
+    rows = []
+    for i in range(1500):
+        location = (None, "hot", f"L{i % 17}")[i % 3]
+        moment = int(rng.integers(60_000) if location == "hot" else rng.integers(200_000))
+        rows.append((i, location, "T", start + timedelta(seconds=moment), float(i)))
+    seed = spark.createDataFrame(
+        [(None, "T", start + timedelta(seconds=30_000))], "location string, alert_type string, event_time timestamp"
+    )
+    assert kept_by(spark, rows, 13) == walk(rows, 13)
+    assert kept_by(spark, rows, 13, seed) == walk(rows, 13, {(None, "T"): start + timedelta(seconds=30_000)})
+
+
 def test_regular_spacing_never_merges_chains(spark, monkeypatch):
     monkeypatch.setattr(cd, "SPANS_PER_BLOCK", 2)
     monkeypatch.setattr(cd, "BLOCKS_PER_UNIT", 2)
