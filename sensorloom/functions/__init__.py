@@ -1,14 +1 @@
-from .parse import (  # noqa: F401
-    date_key,
-    event_time_lenient,
-    event_time_strict,
-    float_text,
-    iso_text,
-    iso_time,
-    or_unknown,
-    parse_float,
-    parse_int_or_zero,
-    retry_number,
-)
-from .sampling import bucket_of, sampled  # noqa: F401
-from .text import alert_text, error_text, retry_text  # noqa: F401
+"""Column functions: parsing, sampling, texts, and columns computed once per row."""

@@ -61,15 +61,12 @@ def event_time_strict(text: str) -> Column:
     )
 
 
-def date_key(time: str) -> Column:
-    return F.expr(f"date_format({time}, 'yyyy-MM-dd')")
-
-
 def iso_text(time: str) -> Column:
     """ISO text of a timestamp; the six-digit fraction appears only where there is one."""
     return F.expr(
-        f"""date_format({time}, if(pmod(unix_micros({time}), 1000000) = 0,
-            "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))"""
+        f"""if(pmod(unix_micros({time}), 1000000) = 0,
+            date_format({time}, "yyyy-MM-dd'T'HH:mm:ss"),
+            date_format({time}, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))"""
     )
 
 

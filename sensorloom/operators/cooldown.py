@@ -8,7 +8,7 @@ key cannot be worked off in one task either. The chain is therefore cut into tim
 1. Of the alerts of one key at one instant only the first can be kept. An aggregation over
    (key, instant), combined before its shuffle, spreads a hot key over all tasks and leaves at
    most one row per instant.
-2. Each (key, block of 64 spans) is summed up on its own as a step table: for every instant at
+2. Each (key, block of 256 spans) is summed up on its own as a step table: for every instant at
    which the key may become ready inside the block, the last alert kept in the block. Equal
    neighbours are merged.
 3. The step tables of 128 neighbouring blocks are joined to one table per unit, by
@@ -17,7 +17,7 @@ key cannot be worked off in one task either. The chain is therefore cut into tim
    every block; only these small tables are involved.
 5. Each (key, block) then keeps its alerts on its own, from its known start.
 
-A task thus sees at most the distinct instants of one key in 64 spans (115,200 at one-second
+A task thus sees at most the distinct instants of one key in 256 spans (460,800 at one-second
 times and 30 minutes), whatever the key's share of the rows.
 """
 
@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SPANS_PER_BLOCK = 64
+SPANS_PER_BLOCK = 256
 BLOCKS_PER_UNIT = 128
 NEVER = -(1 << 62)  # "no alert kept yet", far before any timestamp
 

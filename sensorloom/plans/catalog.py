@@ -85,47 +85,52 @@ def _flat(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in zoned}) if zoned else df
 
 
-def query(build: Query) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _flat(build(prepare(spark), sf_dir))
+def query(name: str) -> Callable[[Query], Query]:
+    """Register a query under a name."""
 
-    QUERIES[build.__name__] = run
-    return run
+    def register(build: Query) -> Query:
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return _flat(build(prepare(spark), sf_dir))
+
+        QUERIES[name] = run
+        return run
+
+    return register
 
 
 _READING = ("location", "date_time", "temperature_c", "humidity_pct", "precipitation_mm", "wind_speed_kmh")
 
 
 # --- scans and decoding -----------------------------------------------------------------------
-@query
-def csv_scan(spark, sf_dir):
+@query("csv_scan")
+def _csv_scan(spark, sf_dir):
     path = work_dir(spark, "drops")
     write_drops(raw_readings(spark, sf_dir), path)
     return read_drops(spark, path).select(*_READING)
 
 
-@query
-def new_files_anti(spark, sf_dir):
+@query("new_files_anti")
+def _new_files_anti(spark, sf_dir):
     raw = raw_readings(spark, sf_dir)
     day = F.substring("file_name", 15, 2).cast("int")
     listing = raw.select("file_name").distinct()
     return new_files(listing, listing.where(day % 2 == 0))
 
 
-@query
-def topic_encode(spark, sf_dir):
+@query("topic_encode")
+def _topic_encode(spark, sf_dir):
     valid = valid_readings(raw_readings(spark, sf_dir))
     return to_reading_records(valid, region_map(spark), "event_id")
 
 
-@query
-def topic_decode(spark, sf_dir):
+@query("topic_decode")
+def _topic_decode(spark, sf_dir):
     valid = valid_readings(raw_readings(spark, sf_dir))
     return decode_readings(to_reading_records(valid, region_map(spark), "event_id"), "event_id")
 
 
-@query
-def time_span_minutes(spark, sf_dir):
+@query("time_span")
+def _time_span(spark, sf_dir):
     return time_span(timed_readings(spark, sf_dir))
 
 
@@ -142,13 +147,13 @@ def _odd_messages(spark, sf_dir):
     )
 
 
-@query
-def json_decode_fixed(spark, sf_dir):
+@query("json_decode_fixed")
+def _json_decode_fixed(spark, sf_dir):
     return decode_readings(_odd_messages(spark, sf_dir), "event_id")
 
 
-@query
-def json_decode_dynamic(spark, sf_dir):
+@query("json_decode_dynamic")
+def _json_decode_dynamic(spark, sf_dir):
     decoded = decode_message(retry_messages(spark, sf_dir), "event_id")
     return decoded.select(
         "event_id",
@@ -161,21 +166,21 @@ def json_decode_dynamic(spark, sf_dir):
     )
 
 
-@query
-def json_encode(spark, sf_dir):
+@query("json_encode")
+def _json_encode(spark, sf_dir):
     raw = raw_readings(spark, sf_dir)
     nulls = {c: F.nullif(F.col(c), F.lit("")) for c in ("location", "temperature_c")}
     return raw.withColumns(nulls).withColumn("retry", F.lit(0)).select("event_id", reading_json().alias("value"))
 
 
 # --- expressions ------------------------------------------------------------------------------
-@query
-def default_location(spark, sf_dir):
+@query("default_location")
+def _default_location(spark, sf_dir):
     return raw_readings(spark, sf_dir).select("event_id", or_unknown("location").alias("location"))
 
 
-@query
-def coerce_float(spark, sf_dir):
+@query("coerce_float")
+def _coerce_float(spark, sf_dir):
     return raw_readings(spark, sf_dir).select(
         "event_id",
         parse_float("temperature_c").alias("temperature"),
@@ -185,8 +190,8 @@ def coerce_float(spark, sf_dir):
     )
 
 
-@query
-def coerce_int_default(spark, sf_dir):
+@query("coerce_int_default")
+def _coerce_int_default(spark, sf_dir):
     return raw_readings(spark, sf_dir).select(
         "event_id",
         parse_int_or_zero("wind_speed_kmh").alias("wind"),
@@ -208,65 +213,65 @@ def _time_texts(spark, sf_dir):
     )
 
 
-@query
-def event_time_lenient_parse(spark, sf_dir):
+@query("event_time_lenient")
+def _event_time_lenient(spark, sf_dir):
     return _time_texts(spark, sf_dir).select("event_id", event_time_lenient("text").alias("event_time"))
 
 
-@query
-def event_time_strict_parse(spark, sf_dir):
+@query("event_time_strict")
+def _event_time_strict(spark, sf_dir):
     return _time_texts(spark, sf_dir).select("event_id", event_time_strict("text").alias("event_time"))
 
 
-@query
-def iso_roundtrip(spark, sf_dir):
+@query("iso_roundtrip")
+def _iso_roundtrip(spark, sf_dir):
     events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     cut = F.when(F.col("event_id") % 2 == 0, F.date_trunc("second", "ts")).otherwise(F.col("ts"))
     texts = events.withColumn("cut", cut).select("event_id", iso_text("cut").alias("iso"))
     return texts.withColumn("event_time", iso_time("iso"))
 
 
-@query
-def retry_increment(spark, sf_dir):
+@query("retry_increment")
+def _retry_increment(spark, sf_dir):
     return decode_message(retry_messages(spark, sf_dir), "event_id").select("event_id", "retry_count")
 
 
 # --- validation and routing -------------------------------------------------------------------
-@query
-def validate_missing(spark, sf_dir):
+@query("validate_missing")
+def _validate_missing(spark, sf_dir):
     return raw_readings(spark, sf_dir).select("event_id", missing_field().alias("missing_field"))
 
 
-@query
-def validate_type(spark, sf_dir):
+@query("validate_type")
+def _validate_type(spark, sf_dir):
     return raw_readings(spark, sf_dir).select("event_id", type_error().alias("type_error"))
 
 
-@query
-def route_valid(spark, sf_dir):
+@query("route_valid")
+def _route_valid(spark, sf_dir):
     return valid_readings(raw_readings(spark, sf_dir)).select("event_id", *_READING, "retry")
 
 
-@query
-def route_errors(spark, sf_dir):
+@query("route_errors")
+def _route_errors(spark, sf_dir):
     return rejected_readings(raw_readings(spark, sf_dir)).select(
         "event_id", "error_type", "error_reason", or_unknown("location").alias("key"), "file_name"
     )
 
 
-@query
-def error_envelopes(spark, sf_dir):
+@query("error_envelopes")
+def _error_envelopes(spark, sf_dir):
     rejected = rejected_readings(raw_readings(spark, sf_dir))
     return to_error_records(rejected, F.col("event_id").cast("double"), "event_id")
 
 
-@query
-def counts_per_file(spark, sf_dir):
+@query("file_counts")
+def _file_counts(spark, sf_dir):
     return file_counts(raw_readings(spark, sf_dir))
 
 
-@query
-def table_contract(spark, sf_dir):
+@query("table_contract")
+def _table_contract(spark, sf_dir):
     raw = raw_readings(spark, sf_dir).select(
         "event_id",
         F.nullif("location", F.lit("")).alias("location"),
@@ -278,25 +283,25 @@ def table_contract(spark, sf_dir):
     return raw.select("event_id", violation(ALERT_CONTRACT).alias("violation"))
 
 
-@query
-def sample_retry(spark, sf_dir):
+@query("sample_retry")
+def _sample_retry(spark, sf_dir):
     return timed_readings(spark, sf_dir).where(is_diverted("event_id")).select("event_id")
 
 
-@query
-def sample_fail(spark, sf_dir):
+@query("sample_fail")
+def _sample_fail(spark, sf_dir):
     timed = timed_readings(spark, sf_dir)
     return timed.where(sampled(RETRY_FAIL_RATE, FAIL_SALT, "event_id")).select("event_id")
 
 
-@query
-def partition_of_location(spark, sf_dir):
+@query("assign_partition")
+def _assign_partition(spark, sf_dir):
     valid = valid_readings(raw_readings(spark, sf_dir))
     return assign_partition(valid, region_map(spark)).select("event_id", "location", "partition")
 
 
-@query
-def assign_new_partition(spark, sf_dir):
+@query("assign_new_partition")
+def _assign_new_partition(spark, sf_dir):
     return allocate_new(timed_readings(spark, sf_dir), region_map(spark))
 
 
@@ -311,37 +316,37 @@ def _kept(spark, sf_dir, minutes=30, seed=None):
     return cooldown(_candidates(spark, sf_dir), minutes=minutes, seed=seed)
 
 
-@query
-def detect_alerts_all(spark, sf_dir):
+@query("detect_alerts")
+def _detect_alerts(spark, sf_dir):
     valid = valid_readings(raw_readings(spark, sf_dir))
     return detect_alerts(valid, ALERT_PROFILE, "event_id", "location")
 
 
-@query
-def detect_alerts_retry(spark, sf_dir):
+@query("detect_alerts_retry")
+def _detect_alerts_retry(spark, sf_dir):
     decoded = decode_message(retry_messages(spark, sf_dir), "event_id")
     return detect_alerts(decoded, RETRY_PROFILE, "event_id", "location")
 
 
-@query
-def drop_null_time(spark, sf_dir):
+@query("drop_null_time")
+def _drop_null_time(spark, sf_dir):
     valid = valid_readings(raw_readings(spark, sf_dir))
     timed = valid.withColumn("event_time", event_time_lenient("date_time"))
     return without_time(timed).groupBy("location").agg(F.count("*").alias("n_without_time"))
 
 
-@query
-def cooldown_alerts(spark, sf_dir):
+@query("cooldown_alerts")
+def _cooldown_alerts(spark, sf_dir):
     return _kept(spark, sf_dir)
 
 
-@query
-def cooldown_six_hours(spark, sf_dir):
+@query("cooldown_six_hours")
+def _cooldown_six_hours(spark, sf_dir):
     return _kept(spark, sf_dir, minutes=360)
 
 
-@query
-def cooldown_seeded(spark, sf_dir):
+@query("cooldown_seeded")
+def _cooldown_seeded(spark, sf_dir):
     """The first days seed the cooldown of the rest."""
     alerts = _candidates(spark, sf_dir)
     border = F.lit("2024-01-11").cast("timestamp")
@@ -349,20 +354,20 @@ def cooldown_seeded(spark, sf_dir):
     return cooldown(alerts.where(F.col("event_time") >= border), minutes=90, seed=seed)
 
 
-@query
-def alerts_table(spark, sf_dir):
+@query("alerts_table")
+def _alerts_table(spark, sf_dir):
     rows = alert_rows(_kept(spark, sf_dir), ALERT_PROFILE)
     # the same batch written twice leaves one row per alert
     return distinct_alerts(rows.unionByName(rows)).drop("slack_sent_at", "raw_json")
 
 
-@query
-def alerts_of_type(spark, sf_dir):
+@query("alert_counts")
+def _alert_counts(spark, sf_dir):
     return alert_counts(_kept(spark, sf_dir))
 
 
-@query
-def alerts_by_filter(spark, sf_dir):
+@query("alerts_by_filter")
+def _alerts_by_filter(spark, sf_dir):
     path = work_dir(spark, "alerts")
     write_alerts(alert_rows(_kept(spark, sf_dir), ALERT_PROFILE), path)
     stored = spark.read.parquet(path).where(F.col("date").between("2024-01-10", "2024-01-12"))
@@ -377,8 +382,8 @@ def alerts_by_filter(spark, sf_dir):
     return found.select("alert_id", "location", "alert_type", "event_time", "value", "threshold")
 
 
-@query
-def alerts_union(spark, sf_dir):
+@query("alerts_union")
+def _alerts_union(spark, sf_dir):
     """Alerts of the readings that were not diverted, and retry alerts of those that were."""
     timed = timed_readings(spark, sf_dir)
     direct = detect_candidates(
@@ -394,15 +399,15 @@ def alerts_union(spark, sf_dir):
     return rows.drop("slack_sent_at", "raw_json")
 
 
-@query
-def render_alert(spark, sf_dir):
+@query("render_alert")
+def _render_alert(spark, sf_dir):
     alerts = with_window(describe_alerts(_kept(spark, sf_dir), ALERT_PROFILE))
     return alerts.select("event_id", "alert_type", alert_text().alias("text"))
 
 
 # --- windows, slices, archive -----------------------------------------------------------------
-@query
-def window_collect(spark, sf_dir):
+@query("window_collect")
+def _window_collect(spark, sf_dir):
     rows = timed_readings(spark, sf_dir).select("event_id", "location", "event_time", "temperature_c")
     collected = collect_windows(rows, "1 hour")
     return collected.select(
@@ -412,45 +417,45 @@ def window_collect(spark, sf_dir):
     )
 
 
-@query
-def window_rows(spark, sf_dir):
+@query("window_rows")
+def _window_rows(spark, sf_dir):
     return with_window(timed_readings(spark, sf_dir)).select(
         "event_id", "location", "window_start", "window_end"
     )
 
 
-@query
-def window_counts_batch(spark, sf_dir):
+@query("window_counts")
+def _window_counts(spark, sf_dir):
     return window_counts(timed_readings(spark, sf_dir), "60 seconds", "location")
 
 
-@query
-def time_slices(spark, sf_dir):
+@query("time_slices")
+def _time_slices(spark, sf_dir):
     sliced = with_slice(timed_readings(spark, sf_dir), 600)
     return sliced.groupBy("slice_name", "slice_start").agg(F.count("*").alias("n_rows"))
 
 
-@query
-def archive_filter(spark, sf_dir):
+@query("archive_filter")
+def _archive_filter(spark, sf_dir):
     texts = _time_texts(spark, sf_dir).withColumnRenamed("text", "date_time")
     rows = archive_rows(texts.withColumn("location", F.lit("")))
     return rows.select("event_id", "location", "event_time", "date")
 
 
-@query
-def archive_folders(spark, sf_dir):
+@query("archive_layout")
+def _archive_layout(spark, sf_dir):
     return archive_layout(archive_rows(valid_readings(raw_readings(spark, sf_dir))))
 
 
-@query
-def archive_roundtrip(spark, sf_dir):
+@query("archive_roundtrip")
+def _archive_roundtrip(spark, sf_dir):
     path = work_dir(spark, "archive")
     write_archive(archive_rows(valid_readings(raw_readings(spark, sf_dir))), path)
     return archive_layout(read_archive(spark, path))
 
 
-@query
-def daily_summary_by_location(spark, sf_dir):
+@query("daily_summary")
+def _daily_summary(spark, sf_dir):
     return daily_summary(archive_rows(valid_readings(raw_readings(spark, sf_dir))))
 
 
@@ -459,27 +464,27 @@ def _judged(spark, sf_dir):
     return with_failure(decode_message(retry_messages(spark, sf_dir), "event_id"), "event_id")
 
 
-@query
-def retry_alerts_kept(spark, sf_dir):
+@query("retry_alerts")
+def _retry_alerts(spark, sf_dir):
     kept = retry_alerts(_judged(spark, sf_dir), "event_id")
     return alert_rows(kept, RETRY_PROFILE, "event_id").drop("slack_sent_at", "raw_json")
 
 
-@query
-def render_retry(spark, sf_dir):
+@query("render_retry")
+def _render_retry(spark, sf_dir):
     kept = retry_alerts(_judged(spark, sf_dir), "event_id")
     return describe_alerts(kept, RETRY_PROFILE).select(
         "event_id", "alert_type", retry_text().alias("text")
     )
 
 
-@query
-def retry_dlq(spark, sf_dir):
+@query("retry_dlq")
+def _retry_dlq(spark, sf_dir):
     return retry_dead_letters(_judged(spark, sf_dir), "event_id")
 
 
-@query
-def retry_republished(spark, sf_dir):
+@query("retry_republish")
+def _retry_republish(spark, sf_dir):
     return retry_republish(_judged(spark, sf_dir), 3, "event_id").select(
         "event_id", "location", "retry_count", "value", "topic"
     )
@@ -494,8 +499,8 @@ def _errors(spark, sf_dir):
     return rows.withColumnRenamed("event_id", "id").withColumn("slack_sent", F.col("id") % 3 == 0)
 
 
-@query
-def dlq_load(spark, sf_dir):
+@query("dlq_load")
+def _dlq_load(spark, sf_dir):
     rejected = rejected_readings(raw_readings(spark, sf_dir))
     direct = to_error_records(rejected, F.col("event_id").cast("double"), "event_id")
     failed = retry_dead_letters(_judged(spark, sf_dir), "event_id")
@@ -504,20 +509,20 @@ def dlq_load(spark, sf_dir):
 
 
 # --- outbox -----------------------------------------------------------------------------------
-@query
-def outbox_top10(spark, sf_dir):
+@query("outbox_top10")
+def _outbox_top10(spark, sf_dir):
     return unsent_batch(_errors(spark, sf_dir)).select(
         "id", "error_type", "error_message", "location", "file_name", "raw_row", "created_at"
     )
 
 
-@query
-def render_error(spark, sf_dir):
+@query("render_error")
+def _render_error(spark, sf_dir):
     return _errors(spark, sf_dir).select("id", error_text().alias("text"))
 
 
-@query
-def outbox_ack(spark, sf_dir):
+@query("outbox_ack")
+def _outbox_ack(spark, sf_dir):
     errors = _errors(spark, sf_dir)
     acks = errors.where(F.col("id") % 5 == 0).select(
         "id", (F.col("created_at") + F.expr("interval 1 minute")).alias("sent_at")
@@ -530,8 +535,12 @@ def _accepts_type_errors(text: str) -> bool:
     return "TYPE_ERROR" in text
 
 
-@query
-def outbox_cycle(spark, sf_dir):
+def _accepts_heat(text: str) -> bool:
+    return "TEMP HIGH" in text
+
+
+@query("outbox_cycle")
+def _outbox_cycle(spark, sf_dir):
     errors = _errors(spark, sf_dir)
     batch = unsent_batch(errors).withColumn("text", error_text())
     results = send_all(batch, _accepts_type_errors)
@@ -539,6 +548,16 @@ def outbox_cycle(spark, sf_dir):
     return apply_acks(errors, acks).select("id", "slack_sent", "slack_sent_at")
 
 
+@query("alert_outbox_cycle")
+def _alert_outbox_cycle(spark, sf_dir):
+    """The same cycle over the alerts table."""
+    alerts = alert_rows(_kept(spark, sf_dir), ALERT_PROFILE)
+    batch = with_window(unsent_batch(alerts, "alert_id", order="event_time"))
+    results = send_all(batch.withColumn("text", alert_text()), _accepts_heat, "alert_id")
+    acks = new_acks(results, "alert_id", sent_at=F.lit("2024-02-01").cast("timestamp"))
+    return apply_acks(alerts, acks, "alert_id").select("alert_id", "slack_sent", "slack_sent_at")
+
+
 # --- metrics ----------------------------------------------------------------------------------
 def _topic_name():
     n = F.col("event_id") % 10
@@ -555,22 +574,22 @@ def _samples(spark, sf_dir):
     )
 
 
-@query
-def topic_tps(spark, sf_dir):
+@query("topic_tps")
+def _topic_tps(spark, sf_dir):
     rates = topic_rates(_samples(spark, sf_dir), "1 hour")
     return rates.withColumn("rate", F.round("rate", 6))
 
 
-@query
-def topic_tps_counted(spark, sf_dir):
+@query("topic_tps_counted")
+def _topic_tps_counted(spark, sf_dir):
     records = table(spark, sf_dir, "events").select(
         F.col("ts").cast("timestamp").alias("timestamp"), _topic_name().alias("topic")
     )
     return topic_throughput(records, "1 hour").withColumn("rate", F.round("rate", 6))
 
 
-@query
-def consumer_group_lag(spark, sf_dir):
+@query("consumer_lag")
+def _consumer_lag(spark, sf_dir):
     offsets = table(spark, sf_dir, "events").select(
         F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("ts"),
         F.col("event_type").alias("group"),
@@ -582,8 +601,8 @@ def consumer_group_lag(spark, sf_dir):
     return consumer_lag(offsets)
 
 
-@query
-def topic_names(spark, sf_dir):
+@query("topic_list")
+def _topic_list(spark, sf_dir):
     return topic_list(_samples(spark, sf_dir))
 
 
@@ -592,8 +611,8 @@ def _run_once(rows: DataFrame, path: str, checkpoint: str) -> None:
     start_table(rows, path, checkpoint, trigger={"availableNow": True}).awaitTermination()
 
 
-@query
-def stream_cooldown_alerts(spark, sf_dir):
+@query("stream_cooldown_alerts")
+def _stream_cooldown_alerts(spark, sf_dir):
     """The whole table as a stream; must keep what the batch operator keeps."""
     source = work_dir(spark, "candidates")
     _candidates(spark, sf_dir).write.parquet(source)
@@ -604,8 +623,8 @@ def stream_cooldown_alerts(spark, sf_dir):
     return spark.read.parquet(out)
 
 
-@query
-def stream_cooldown_batches(spark, sf_dir):
+@query("stream_cooldown_batches")
+def _stream_cooldown_batches(spark, sf_dir):
     """Two micro-batches through the batch operator, the second seeded by the first."""
     source, out = work_dir(spark, "candidates"), work_dir(spark, "kept")
     state, checkpoint = work_dir(spark, "state"), work_dir(spark, "checkpoint")
@@ -620,8 +639,8 @@ def stream_cooldown_batches(spark, sf_dir):
     return spark.read.parquet(out).drop("batch")
 
 
-@query
-def restart_exactly_once(spark, sf_dir):
+@query("restart_exactly_once")
+def _restart_exactly_once(spark, sf_dir):
     """Three runs of one stream with stops in between, the last without new input."""
     source, out = work_dir(spark, "candidates"), work_dir(spark, "kept")
     checkpoint = work_dir(spark, "checkpoint")
@@ -635,8 +654,8 @@ def restart_exactly_once(spark, sf_dir):
     return spark.read.parquet(out)
 
 
-@query
-def late_drop(spark, sf_dir):
+@query("late_drop")
+def _late_drop(spark, sf_dir):
     """Window counts over three runs; the third brings copies from the first, all too late."""
     source, out = work_dir(spark, "readings"), work_dir(spark, "counts")
     checkpoint = work_dir(spark, "checkpoint")

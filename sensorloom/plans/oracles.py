@@ -266,7 +266,7 @@ from messages left join regions using (location)""",
         """select event_id, location, date_time, temperature_c, humidity_pct, precipitation_mm,
   wind_speed_kmh, cast(0 as double) as retry from valid""",
     ),
-    "time_span_minutes": _with(
+    "time_span": _with(
         ["timed"],
         """select date_trunc('minute', min(event_time)) as start_time,
   date_trunc('minute', max(event_time)) as end_time, count(*) as n_rows from timed""",
@@ -315,13 +315,13 @@ from raw_readings""",
   case when regexp_full_match(temperature_c, '[+-]?\\d+') then cast(temperature_c as bigint) else 0 end as temperature
 from raw_readings""",
     ),
-    "event_time_lenient_parse": _with(
+    "event_time_lenient": _with(
         ["time_texts"],
         """select event_id, case when event_id % 97 <> 0 and event_id % 5 = 2
   then strptime(text, '%Y-%m-%d %H:%M:%S') else try_cast(text as timestamp) end as event_time
 from time_texts""",
     ),
-    "event_time_strict_parse": _with(
+    "event_time_strict": _with(
         ["time_texts"], f"select event_id, {_STRICT.format('text')} as event_time from time_texts"
     ),
     "iso_roundtrip": """select event_id, case when event_id % 2 = 0 or microsecond(ts) % 1000000 = 0
@@ -345,7 +345,7 @@ from time_texts""",
   || file_name || '","retry_count":0}' as value, 'error-data' as topic,
   cast(null as integer) as "partition" from rejected""",
     ),
-    "counts_per_file": _with(
+    "file_counts": _with(
         ["verdicts"],
         """select file_name, count(*) filter (missing_field is null and type_error is null) as success_count,
   count(*) filter (missing_field is not null or type_error is not null) as error_count
@@ -364,7 +364,7 @@ from raw_readings""",
         """select event_id from timed
 where cast('0x' || substr(md5('retry-failure|' || event_id), 1, 8) as bigint) % 10000 < 100""",
     ),
-    "partition_of_location": _with(
+    "assign_partition": _with(
         ["valid", "regions"],
         'select event_id, location, "partition" from valid left join regions using (location)',
     ),
@@ -375,7 +375,7 @@ where cast('0x' || substr(md5('retry-failure|' || event_id), 1, 8) as bigint) %
 from (select location, min(event_time) as first_seen from timed
       where location not in (select location from regions) group by location)""",
     ),
-    "detect_alerts_all": _with(
+    "detect_alerts": _with(
         ["valid"],
         f"select event_id, location, alert_type, value, threshold, {_REASON} as alert_reason from fired",
         [("fired", _alert_fired("valid", "event_id, location"))],
@@ -413,7 +413,7 @@ group by location, alert_type""",
         + _chain("fired_late", 90, "", "seed"),
     ),
     "alerts_table": _with(["timed"], f"select {_alert_columns('alert', '0')} from kept", _KEPT),
-    "alerts_of_type": _with(
+    "alert_counts": _with(
         ["timed"], "select alert_type, count(*) as n_alerts from kept group by alert_type", _KEPT
     ),
     "alerts_by_filter": _with(
@@ -454,7 +454,7 @@ from kept""",
         """select event_id, location, date_trunc('minute', event_time) as window_start,
   date_trunc('minute', event_time) + interval 1 minute as window_end from timed""",
     ),
-    "window_counts_batch": _with(
+    "window_counts": _with(
         ["timed"],
         """select date_trunc('minute', event_time) as window_start,
   date_trunc('minute', event_time) + interval 1 minute as window_end, location, count(*) as n_rows
@@ -472,9 +472,9 @@ group by slice_start""",
         f"""select event_id, 'unknown' as location, event_time, cast(event_time as date) as date
 from (select event_id, {_STRICT.format('text')} as event_time from time_texts) where event_time is not null""",
     ),
-    "archive_folders": _LAYOUT,
+    "archive_layout": _LAYOUT,
     "archive_roundtrip": _LAYOUT,
-    "daily_summary_by_location": _with(
+    "daily_summary": _with(
         ["timed"],
         """select location, date, count(*) as n_readings, min(temperature_c) as min_temperature,
   max(temperature_c) as max_temperature,
@@ -484,7 +484,7 @@ from (select event_id, {_STRICT.format('text')} as event_time from time_texts) w
 from archived group by location, date""",
         [("archived", _ARCHIVED)],
     ),
-    "retry_alerts_kept": _with(
+    "retry_alerts": _with(
         ["judged"], f"select event_id, {_alert_columns('retry', 'retry_count')} from kept", _RETRY_KEPT
     ),
     "render_retry": _with(
@@ -499,7 +499,7 @@ from archived group by location, date""",
         """select event_id, location, retry_count, error_reason, key, value, 'error-data' as topic,
   cast(null as integer) as "partition" from dead_letters""",
     ),
-    "retry_republished": _with(
+    "retry_republish": _with(
         ["judged"],
         """select event_id, location, retry_count, '{"Location":"' || location || '","Date_Time":"'
   || json_extract_string(value, '$.Date_Time') || '","Temperature_C":'
@@ -544,6 +544,17 @@ from errors""",
   case when id in (select id from done) then {_CYCLE_TIME} end as slack_sent_at from errors""",
         [("done", f"select id from errors where error_type = 'TYPE_ERROR' and id in ({_TENTH})")],
     ),
+    "alert_outbox_cycle": _with(
+        ["timed"],
+        f"""select alert_id, alert_id in (select alert_id from done) as slack_sent,
+  case when alert_id in (select alert_id from done) then {_CYCLE_TIME} end as slack_sent_at from alerts""",
+        _KEPT
+        + [
+            ("alerts", f"select {_alert_columns('alert', '0')} from kept"),
+            ("oldest", "select * from alerts order by event_time, alert_id limit 10"),
+            ("done", "select alert_id from oldest where alert_type = 'TEMP_HIGH'"),
+        ],
+    ),
     "topic_tps": _with(
         ["samples"],
         """select window_start, topic, cast(sum(increase) as bigint) as increase, round(sum(increase / seconds), 6) as rate
@@ -560,10 +571,10 @@ where seconds > 0 group by window_start, topic""",
         """select date_trunc('hour', ts) as window_start, topic, count(*) as n_messages,
   round(count(*) / 3600.0, 6) as rate from topics group by all""",
     ),
-    "consumer_group_lag": """select date_trunc('hour', ts) as ts, event_type as "group",
+    "consumer_lag": """select date_trunc('hour', ts) as ts, event_type as "group",
   cast(sum(case when user_id % 50 > 0 then user_id % 50 else event_id end) as bigint) as lag
 from events group by 1, 2""",
-    "topic_names": _with(["samples"], "select distinct topic from samples where topic <> ''"),
+    "topic_list": _with(["samples"], "select distinct topic from samples where topic <> ''"),
     "stream_cooldown_alerts": _with(["timed"], _KEPT_ROWS, _KEPT),
     "stream_cooldown_batches": _with(["timed"], _KEPT_ROWS, _KEPT),
     "restart_exactly_once": _with(["timed"], _KEPT_ROWS, _KEPT),

@@ -1,0 +1 @@
+"""Inputs and stored topics."""

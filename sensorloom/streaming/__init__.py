@@ -1,0 +1 @@
+"""Structured Streaming jobs made of the batch operators."""

@@ -121,3 +121,19 @@ def test_stored_topic_replaces_a_batch(spark, tmp_path):
     assert len(stored) == 6 and all(r.topic == "t" and 0 <= r.partition < 3 for r in stored)
     assert len({(r.producer, r.batch, r.offset) for r in stored}) == 6
     assert topics.read(spark, "t", from_batch=1).count() == 4
+
+
+def test_jdbc_options():
+    from sensorloom.sources.tables import JdbcTable
+
+    table = JdbcTable("jdbc:postgresql://h/db", "errors", {"user": "u"})
+    assert table.read_options() == {
+        "url": "jdbc:postgresql://h/db",
+        "dbtable": "errors",
+        "fetchsize": "10000",
+        "user": "u",
+    }
+    split = table.read_options("id", "0", "1000", 8)
+    assert (split["partitionColumn"], split["lowerBound"], split["upperBound"], split["numPartitions"]) == (
+        "id", "0", "1000", "8",
+    )
