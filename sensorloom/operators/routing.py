@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,11 +37,12 @@ def region_map(spark: SparkSession, path: str | None = None) -> DataFrame:
         # literal rows: their size is known, so the join can be planned as a broadcast
         rows = ", ".join(f"('{name}', {number})" for name, number in REGION_PARTITIONS.items())
         return spark.sql(f"select * from values {rows} as regions(location, partition)")
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(hadoop):
+    try:
+        whole = spark.read.text(path, wholetext=True)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
         return empty_frame(spark, "location string, partition int")
-    whole = spark.read.text(path, wholetext=True)
     pairs = F.from_json("value", "map<string,int>")
     return whole.select(F.explode(pairs).alias("location", "partition"))
 

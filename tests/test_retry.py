@@ -96,7 +96,7 @@ def test_dead_letter_rows(spark):
         "error_reason": "Missing required field: Humidity_pct",
         "raw_row": {"Location": "Jeju", "Humidity_pct": "", "retry": 0},
         "timestamp": 1704067200.5,
-        "file_name": "stress_error_test.csv",
+        "file_name": "sample.csv",
     }
     values = [(1, json.dumps(envelope)), (2, json.dumps({**envelope, "raw_row": None, "retry_count": 4}))]
     rows = {r.id: r for r in error_rows(spark.createDataFrame(values, "id int, value string"), "id").collect()}
