@@ -71,9 +71,10 @@ def detect_candidates(readings: DataFrame, profile: Profile, *keep: str) -> Data
         f"if({rule.fires()}, named_struct('alert_type', '{rule.alert_type}', 'value', `{rule.column}`), null)"
         for rule in profile.rules
     )
-    return readings.where(profile.any_fires()).selectExpr(
-        *keep, f"inline(array_compact(array({fired})))"
+    one_row_per_rule = readings.where(profile.any_fires()).selectExpr(
+        *keep, f"inline(array({fired}))"
     )
+    return one_row_per_rule.where("alert_type is not null")
 
 
 def describe_alerts(candidates: DataFrame, profile: Profile) -> DataFrame:
