@@ -9,15 +9,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sensorloom.llm import langid
 from sensorloom.llm.common import stored, table
 from sensorloom.llm.minhash import near_duplicates
 from sensorloom.llm.packing import pack
 
 
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops texts that the language model rejects; it learns from all labelled rows of ``docs``."""
+    model = langid.fit(docs, "doc_id", "text", "lang")
+    return langid.predict(docs, model).where("not rejected").select(*docs.columns)
+
+
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near-duplicates: the one with the least id.
 
-    Rows with the same id and text count as copies of one row; a null id is kept.
+    Rows of one id stay or go together; a null id stays.
     """
     kept = near_duplicates(docs).where("kept").select("doc_id").distinct()
     with_id = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi")
@@ -30,6 +37,7 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 STAGES = [
+    ("language", language_stage),
     ("near_duplicates", near_duplicate_stage),
     ("packing", packing_stage),
 ]

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from . import langid
+from .common import fold, table
 from .minhash import near_duplicates
 from .packing import pack
 
@@ -22,9 +23,21 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fold_of = fold("doc_id", 3)
+    model = langid.fit(docs.where(fold_of.isin(0, 2)), "doc_id", "text", "lang")
+    rows = docs.select("doc_id", (fold_of == 1).alias("held_out"), "text")
+    return langid.predict(rows, model).drop("text")
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_pack": op1_pack, "op6_minhash": op6_minhash}
+QUERIES = {
+    "op1_pack": op1_pack,
+    "op2_langid": op2_langid,
+    "op6_minhash": op6_minhash,
+}
 ORACLES: dict[str, str] = {}
