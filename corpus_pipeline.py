@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from sensorloom.llm import langid
 from sensorloom.llm.common import stored, table
+from sensorloom.llm.decontaminate import without_contaminated
 from sensorloom.llm.minhash import near_duplicates
 from sensorloom.llm.packing import pack
 
@@ -31,6 +32,11 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return with_id.unionByName(docs.where("doc_id is null"))
 
 
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold an item of ``benchmark``."""
+    return without_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs all texts into sequences of 1024 tokens; returns the pieces with their ids."""
     return pack(docs).withColumn("ids_crc32", F.crc32("ids"))
@@ -39,6 +45,7 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 STAGES = [
     ("language", language_stage),
     ("near_duplicates", near_duplicate_stage),
+    ("decontamination", decontamination_stage),
     ("packing", packing_stage),
 ]
 

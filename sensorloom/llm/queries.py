@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import langid
 from .common import fold, table
+from .decontaminate import contaminated
 from .minhash import near_duplicates
 from .packing import pack
 
@@ -31,6 +32,10 @@ def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(rows, model).drop("text")
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -38,6 +43,7 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_pack": op1_pack,
     "op2_langid": op2_langid,
+    "op3_decontaminate": op3_decontaminate,
     "op6_minhash": op6_minhash,
 }
 ORACLES: dict[str, str] = {}
