@@ -14,6 +14,7 @@ from sensorloom.llm.common import stored, table
 from sensorloom.llm.decontaminate import without_contaminated
 from sensorloom.llm.minhash import near_duplicates
 from sensorloom.llm.packing import pack
+from sensorloom.llm.pii import replace_entities
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,6 +38,12 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return without_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces personal data by surrogates; n_chars follows the new text."""
+    columns = docs.columns
+    return replace_entities(docs).withColumn("n_chars", F.length("text").cast("long")).select(*columns)
+
+
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs all texts into sequences of 1024 tokens; returns the pieces with their ids."""
     return pack(docs).withColumn("ids_crc32", F.crc32("ids"))
@@ -46,6 +53,7 @@ STAGES = [
     ("language", language_stage),
     ("near_duplicates", near_duplicate_stage),
     ("decontamination", decontamination_stage),
+    ("personal_data", personal_data_stage),
     ("packing", packing_stage),
 ]
 

@@ -345,7 +345,8 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[Broa
     blocks = math.ceil(chars / BLOCK_CHARS)
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(max(blocks, 1)))
     for n in range(blocks):
-        rows = sorted((r.item_id or 0, r.text) for r in items.where(block == n).collect() if r.text)
+        rows = [(r.item_id, r.text) for r in items.where(block == n).collect() if r.text]
+        rows.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
         yield benchmark.sparkSession.sparkContext.broadcast(build_index(rows))
 
 

@@ -10,6 +10,7 @@ from .common import fold, table
 from .decontaminate import contaminated
 from .minhash import near_duplicates
 from .packing import pack
+from .pii import replace_entities
 
 
 def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +37,10 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replace_entities(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -44,6 +49,7 @@ QUERIES = {
     "op1_pack": op1_pack,
     "op2_langid": op2_langid,
     "op3_decontaminate": op3_decontaminate,
+    "op4_pii": op4_pii,
     "op6_minhash": op6_minhash,
 }
 ORACLES: dict[str, str] = {}
