@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid
-from .common import fold, table
+from . import brown, langid
+from .common import fold, stored, table
 from .decontaminate import contaminated
 from .minhash import near_duplicates
 from .packing import pack
@@ -45,11 +45,22 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_brown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fold_of = fold("doc_id", 7)
+    training = docs.where(fold_of.isin(0, 1, 3, 4, 5, 6)).select("doc_id", "text")
+    counts = stored(brown.count_words(training), "word_counts")
+    model = brown.fit(training, counts)
+    rows = docs.select("doc_id", "text", (fold_of == 2).alias("held_out"))
+    return brown.score(rows, model, counts)
+
+
 QUERIES = {
     "op1_pack": op1_pack,
     "op2_langid": op2_langid,
     "op3_decontaminate": op3_decontaminate,
     "op4_pii": op4_pii,
     "op6_minhash": op6_minhash,
+    "op7_brown": op7_brown,
 }
 ORACLES: dict[str, str] = {}
