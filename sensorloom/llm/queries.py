@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from . import brown, langid
 from .common import fold, stored, table
 from .decontaminate import contaminated
+from .hnsw import nearest
 from .minhash import near_duplicates
 from .packing import pack
 from .pii import replace_entities
+from .unigram import token_counts
 
 
 def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,6 +43,10 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replace_entities(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op5_unigram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"))
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -55,12 +61,19 @@ def op7_brown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return brown.score(rows, model, counts)
 
 
+def op8_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return nearest(rows, rows.where(F.col("vec_id") % 20 == 0), k=20)
+
+
 QUERIES = {
     "op1_pack": op1_pack,
     "op2_langid": op2_langid,
     "op3_decontaminate": op3_decontaminate,
     "op4_pii": op4_pii,
+    "op5_unigram": op5_unigram,
     "op6_minhash": op6_minhash,
     "op7_brown": op7_brown,
+    "op8_hnsw": op8_hnsw,
 }
 ORACLES: dict[str, str] = {}
