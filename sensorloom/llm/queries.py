@@ -12,6 +12,7 @@ from .hnsw import nearest
 from .minhash import near_duplicates
 from .packing import pack
 from .pii import replace_entities
+from .suffix import without_repeats
 from .unigram import token_counts
 
 
@@ -66,6 +67,17 @@ def op8_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(rows, rows.where(F.col("vec_id") % 20 == 0), k=20)
 
 
+def op9_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda s, x: s + x["end"] - x["start"])
+    return without_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES = {
     "op1_pack": op1_pack,
     "op2_langid": op2_langid,
@@ -75,5 +87,6 @@ QUERIES = {
     "op6_minhash": op6_minhash,
     "op7_brown": op7_brown,
     "op8_hnsw": op8_hnsw,
+    "op9_suffix": op9_suffix,
 }
 ORACLES: dict[str, str] = {}
