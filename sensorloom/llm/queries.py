@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import brown, langid
+from . import brown, langid, toxicity
 from .common import fold, stored, table
 from .decontaminate import contaminated
 from .hnsw import nearest
@@ -78,6 +78,16 @@ def op9_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fold_of = fold("doc_id", 5)
+    learn = fold_of.isin(1, 2, 3, 4)
+    labels = table(spark, sf_dir, "labels").where(learn)
+    model = toxicity.fit(docs, labels, "doc_id", "text", "toxic")
+    rows = docs.select("doc_id", "text", (fold_of == 0).alias("held_out"))
+    return toxicity.score(rows, model, keep=("held_out",))
+
+
 QUERIES = {
     "op1_pack": op1_pack,
     "op2_langid": op2_langid,
@@ -88,5 +98,6 @@ QUERIES = {
     "op7_brown": op7_brown,
     "op8_hnsw": op8_hnsw,
     "op9_suffix": op9_suffix,
+    "op10_toxicity": op10_toxicity,
 }
 ORACLES: dict[str, str] = {}
