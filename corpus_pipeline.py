@@ -20,7 +20,8 @@ from sensorloom.llm.pii import replace_entities
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts that the language model rejects; it learns from all labelled rows of ``docs``."""
     model = langid.fit(docs, "doc_id", "text", "lang")
-    return langid.predict(docs, model).where("not rejected").select(*docs.columns)
+    judged = langid.predict(docs, model, results=("stage lang", "stage score", "stage rejected"))
+    return judged.where("not `stage rejected`").select(*docs.columns)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,8 +41,8 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces personal data by surrogates; n_chars follows the new text."""
-    columns = docs.columns
-    return replace_entities(docs).withColumn("n_chars", F.length("text").cast("long")).select(*columns)
+    replaced = replace_entities(docs, count_col="stage entities").drop("stage entities")
+    return replaced.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -238,8 +238,14 @@ def _refined(labelled: DataFrame, idf: np.ndarray, owners: list[str], seeds: np.
     return Model(owners, centroids.astype(np.float32), idf, floor)
 
 
-def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` with lang_pred, score (the cosine, 0 to 1) and rejected.
+def predict(
+    docs: DataFrame,
+    model: Model,
+    text_col: str = "text",
+    results: tuple[str, str, str] = ("lang_pred", "score", "rejected"),
+) -> DataFrame:
+    """The rows of ``docs`` with lang_pred, score (the cosine, 0 to 1) and rejected, or under the
+    names in ``results``.
 
     A null text, or one without a letter, is ``und`` with score 0 and rejected; so is every text
     if nothing was learned. Other texts always get a learned language; rejected tells that the
@@ -247,7 +253,6 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     results, of equal cosines the first language in the alphabet wins, columns named like the
     results are replaced, and other columns pass unchanged.
     """
-    results = ["lang_pred", "score", "rejected"]
     docs = docs.drop(*results)
     at = docs.columns.index(text_col)
     kinds = (T.StringType(), T.DoubleType(), T.BooleanType())

@@ -326,9 +326,12 @@ def attempts(mentions: DataFrame, key: bytes) -> DataFrame:
 
 
 def replace_entities(
-    docs: DataFrame, text_col: str = "text", key: bytes = DEFAULT_KEY
+    docs: DataFrame,
+    text_col: str = "text",
+    key: bytes = DEFAULT_KEY,
+    count_col: str = "n_entities",
 ) -> DataFrame:
-    """``docs`` with entities in ``text_col`` replaced, and n_entities, the number replaced.
+    """``docs`` with entities in ``text_col`` replaced, and their number in ``count_col``.
 
     Emails, phone numbers, payment cards (Luhn), IBANs (mod 97), US social security numbers, IPv4
     addresses, secrets behind words such as ``token =``, and names behind titles. One entity has
@@ -339,18 +342,18 @@ def replace_entities(
     The texts are not shuffled: the few entities that needed a second draw are joined by a hash of
     the text, and Spark broadcasts them if their stored size is small. Null texts stay null with 0
     entities, texts without entities stay as they are, equal rows are treated equally, other
-    columns pass unchanged (one named n_entities is replaced), and an empty table stays empty.
+    columns pass unchanged (one named ``count_col`` is replaced), and an empty table stays empty.
     """
-    docs = docs.drop("n_entities")
+    docs = docs.drop(count_col)
     mentions = stored(entities(docs, text_col), "entities")
     again = attempts(mentions, key).join(mentions, ["kind", "value"])
     again = again.groupBy("text_key").agg(
         F.collect_list(F.struct("kind", "value", "attempt")).alias("redrawn")
     )
     again = stored(again, "redrawn")
-    at = docs.columns.index(text_col)
-    names = [*docs.columns, "n_entities"]
-    schema = T.StructType([*docs.schema.fields, T.StructField("n_entities", T.LongType())])
+    at, width = docs.columns.index(text_col), len(docs.columns)
+    names = [*docs.columns, count_col]
+    schema = T.StructType([*docs.schema.fields, T.StructField(count_col, T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -359,15 +362,18 @@ def replace_entities(
                 counts = [0] * len(texts)
                 for n, may in enumerate(_may_hold(part.column(at))):
                     if may:
-                        redrawn = part.column(part.num_columns - 1)[n].as_py() or ()
+                        redrawn = part.column(width)[n].as_py() or ()
                         known = {(r["kind"], r["value"]): r["attempt"] for r in redrawn}
                         texts[n], counts[n] = replace(texts[n], key, known)
-                columns = part.columns[:-1]
+                columns = part.columns[:width]
                 columns[at] = pa.array(texts, part.schema.field(at).type)
                 yield pa.RecordBatch.from_arrays(
                     [*columns, pa.array(counts, pa.int64())], names=names
                 )
 
-    text_key = F.xxhash64(F.col(text_col))
-    joined = docs.join(again, text_key == again["text_key"], "left").drop("text_key")
-    return joined.mapInArrow(run, schema)
+    joined = docs.alias("docs").join(
+        again.alias("again"), F.xxhash64(docs[text_col]) == F.col("again.text_key"), "left"
+    )
+    own = [F.col(f"docs.`{c}`") for c in docs.columns]
+    rows = joined.select(*own, F.col("again.redrawn").alias(f"{count_col} redrawn"))
+    return rows.mapInArrow(run, schema)
