@@ -1,0 +1,123 @@
+import re
+
+import pytest
+
+from sensorloom.llm import pii
+from sensorloom.llm.queries import QUERIES
+
+KEY = b"test key"
+FOUND = {
+    "mail Bob.smith+x@Mail7.example.com now": ["Bob.smith+x@Mail7.example.com"],
+    "call +1 (017) 555-7713 or (017) 555-7713": ["+1 (017) 555-7713", "(017) 555-7713"],
+    "call +49 30 1234 5678": ["+49 30 1234 5678"],
+    "host 97.51.17.173, port 80": ["97.51.17.173"],
+    "card 4111 1111 1111 1111.": ["4111 1111 1111 1111"],
+    "card 4111-1111-1111-1111": ["4111-1111-1111-1111"],
+    "IBAN DE89 3704 0044 0532 0130 00": ["DE89 3704 0044 0532 0130 00"],
+    "SSN 123-45-6789": ["123-45-6789"],
+    'token = "04dbebab91ab85687d33eeaaf9ac699e"###': ["04dbebab91ab85687d33eeaaf9ac699e"],
+    "API_KEY: Abc123Def456Ghi": ["Abc123Def456Ghi"],
+    "Mr. John Smith and Frau Weber": ["John", "Smith", "Weber"],
+    "Sra María López": ["María", "López"],
+    "г-жа Анна Петрова": ["Анна", "Петрова"],
+}
+CLEAN = [
+    "4111 1111 1111 1112 fails its checksum",
+    "999.1.1.1 and 1.2.3 and 1.2.3.4.5",
+    "2024-01-02 12:30:45, 1234567, 704",
+    "DE00 3704 0044 0532 0130 00 is no IBAN",
+    "me@localhost, a @ b, tokens = few",
+    "Mr and mrs, Dr. of words",
+    "1234567890123456789012345",
+]
+
+
+@pytest.mark.parametrize("text", FOUND)
+def test_detection(text):
+    spots = {(e.start, e.end) for e in pii.detect(text)}
+    assert [text[a:b] for a, b in sorted(spots)] == FOUND[text]
+    made, count = pii.replace(text, KEY, {})
+    assert count == len(FOUND[text])
+    assert not any(f in made for f in FOUND[text])
+
+
+@pytest.mark.parametrize("text", CLEAN)
+def test_clean_texts_stay(text):
+    assert pii.replace(text, KEY, {}) == (text, 0)
+
+
+def test_surrogates_keep_type_and_format():
+    text = "Bob@Mail7.example.com +1 (017) 555-7713 97.51.17.173 4111 1111 1111 1111 SSN 123-45-6789"
+    made, _ = pii.replace(text, KEY, {})
+    shape = lambda t: re.sub(r"\d", "9", re.sub("[A-Z]", "A", re.sub("[a-z]", "a", t)))
+    assert shape(made) == shape(text)
+    assert [e.kind for e in pii.detect(made)] == [e.kind for e in pii.detect(text)]
+    iban, _ = pii.replace("DE89 3704 0044 0532 0130 00", KEY, {})
+    assert [e.kind for e in pii.detect(iban)] == ["iban"]
+    secret, _ = pii.replace('token = "04DBEBAB91AB85687D33EEAA"', KEY, {})
+    assert re.fullmatch(r'token = "[0-9A-F]{24}"', secret)
+
+
+def test_names_keep_gender_script_and_coreference():
+    made, _ = pii.replace("Frau Anna Weber came. Weber left, Anna stayed.", KEY, {})
+    given, surname = re.match(r"Frau (\w+) (\w+) came\.", made).groups()
+    assert given in pii.GIVEN["latin", "f"].split()
+    assert made == f"Frau {given} {surname} came. {surname} left, {given} stayed."
+    russian, _ = pii.replace("г-жа Анна Петрова", KEY, {})
+    given, surname = russian.split()[1:]
+    assert given in pii.GIVEN["cyrillic", "f"].split() and surname.endswith("ова")
+
+
+def test_one_entity_has_one_surrogate_in_all_spellings():
+    one, _ = pii.replace("+1 (017) 555-7713 x@a.example.com", KEY, {})
+    two, _ = pii.replace("+1 017 555 7713 X@A.EXAMPLE.COM", KEY, {})
+    digits = lambda t: re.sub(r"\D", "", t.split("@")[0])
+    assert digits(one) == digits(two)
+    assert one.split()[-1].upper() == two.split()[-1]
+    assert pii.replace("SSN 123-45-6789", b"other", {}) != pii.replace("SSN 123-45-6789", KEY, {})
+
+
+def test_collisions_are_drawn_again(documents):
+    # 10 values of a one-digit format fill it, so that nearly all first draws collide.
+    texts = [f"mail a{n}@x.example.com and {n}.{n}.{n}.{n}" for n in range(10)]
+    texts += [f"mail b@x.example.com, host {n}.1.2.3" for n in range(10)]
+    docs = documents(list(enumerate(texts)))
+    result = {r.doc_id: r for r in pii.replace_entities(docs, key=KEY).collect()}
+    made = {}
+    originals = set()
+    for n, text in enumerate(texts):
+        before, after = pii.detect(text), pii.detect(result[n].text)
+        assert [e.kind for e in before] == [e.kind for e in after]
+        originals |= {(e.kind, e.value) for e in before}
+        for a, b in zip(before, after):
+            made.setdefault((a.kind, a.value), set()).add((b.kind, b.value))
+    assert all(len(s) == 1 for s in made.values())
+    surrogates = [s for found in made.values() for s in found]
+    assert len(set(surrogates)) == len(surrogates)
+    assert not originals & set(surrogates)
+
+
+def test_query(spark, sf):
+    rows = {r.doc_id: r for r in QUERIES["op4_pii"](spark, sf).collect()}
+    docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
+    assert len(rows) == len(docs)
+    replaced = 0
+    for d in docs:
+        found = [e for e in pii.detect(d.text) if e.kind != "domain"]
+        assert rows[d.doc_id].n_entities == len(found)
+        if not found:
+            assert rows[d.doc_id].text == d.text
+        for e in found:
+            replaced += 1
+            assert d.text[e.start : e.end] not in rows[d.doc_id].text
+    assert replaced
+
+
+def test_odd_rows(odd, empty):
+    found = pii.replace_entities(odd)
+    assert found.columns[-1] == "n_entities" and found.columns[:-1] == [
+        c for c in odd.columns if c != "n_entities"
+    ]
+    got = sorted((r.doc_id or 0, r.text or "", r.n_entities, r.text_key) for r in found.collect())
+    assert got == sorted((r.doc_id or 0, r.text or "", 0, "own text_key") for r in odd.collect())
+    assert pii.replace_entities(empty).count() == 0
