@@ -247,9 +247,9 @@ def predict(
     """The rows of ``docs`` with lang_pred, score (the cosine, 0 to 1) and rejected, or under the
     names in ``results``.
 
-    A null text, or one without a letter, is ``und`` with score 0 and rejected; so is every text
-    if nothing was learned. Other texts always get a learned language; rejected tells that the
-    nearest centroid is too far away. Each row is judged by its text alone: equal texts get equal
+    A null text, or one without a letter, is ``und`` with score 0 and rejected. Other texts always
+    get a learned language; rejected tells that the nearest centroid is too far away. If nothing
+    was learned they are ``und`` too, but not rejected. Each row is judged by its text alone: equal texts get equal
     results, of equal cosines the first language in the alphabet wins, columns named like the
     results are replaced, and other columns pass unchanged.
     """
@@ -264,11 +264,10 @@ def predict(
         for batch in batches:
             for part in slices(batch, at):
                 raw, lettered = counts(part.column(at))
-                lettered &= len(model.languages) > 0
                 best = np.full(len(raw), len(model.languages))
                 score = np.zeros(len(raw))
-                rejected = np.ones(len(raw), dtype=bool)
-                if lettered.any():
+                rejected = ~lettered
+                if lettered.any() and model.languages:
                     like = vectors(raw[lettered], model.idf) @ model.centroids.T
                     best[lettered] = nearest = np.argmax(like, axis=1)
                     score[lettered] = np.clip(np.max(like, axis=1), 0, 1)

@@ -37,7 +37,7 @@ SLICE_BYTES = 2 << 20
 # Signs and the letters they stand for.
 LOOKALIKES = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b",
-    "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "<": "c", "€": "e",
+    "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e",
     "£": "l", "¥": "y", "µ": "u", "а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "х": "x",
     "у": "y", "і": "i",
 }
@@ -304,7 +304,7 @@ def _select(table: np.ndarray, rows: np.ndarray) -> np.ndarray:
     def part(seen: np.ndarray, expected: np.ndarray) -> np.ndarray:
         return seen * np.log(np.maximum(seen, 1e-9) / np.maximum(expected, 1e-9))
 
-    total, seen = rows.sum(), table.sum(axis=0)
+    total, seen = max(rows.sum(), 1.0), table.sum(axis=0)
     ratio = np.zeros(table.shape[1])
     for n in (0, 1):
         ratio += part(table[n], rows[n] * seen / total)

@@ -50,7 +50,8 @@ def test_far_texts_are_rejected_and_clean_ones_kept(documents, spark, sf):
 
 def test_odd_rows(odd, empty):
     model = langid.fit(odd, "doc_id", "text", "lang")  # no row has a language
-    assert {r.lang_pred for r in langid.predict(odd, model).collect()} == {"und"}
+    for r in langid.predict(odd, model).collect():
+        assert r.lang_pred == "und" and r.rejected == (not any(c.isalpha() for c in r.text or ""))
     labelled = odd.withColumn("lang", odd.source.isNull().cast("string"))
     model = langid.fit(labelled, "doc_id", "text", "lang")
     found = langid.predict(odd, model)
