@@ -17,6 +17,13 @@ _INFINITE = "'inf', '+inf', '-inf', 'infinity', '+infinity', '-infinity'"
 _NAN = "'nan', '+nan', '-nan'"
 _INT = r"^\\s*[+-]?[0-9]+\\s*\\z"
 _STRICT_TIME = r"^(?!0000)[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}\\s+[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}\\z"
+_ISO_DAY = r"^([0-9]{4})-?([0-9]{2})-?([0-9]{2})"
+_ISO_WEEK = r"^([0-9]{4})-?W([0-9]{2})(?:-?([1-7]))?"
+_ISO_DATE = r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{8}|[0-9]{4}-W[0-9]{2}(?:-[1-7])?|[0-9]{4}W[0-9]{2}[1-7]?)"
+_CLOCK = r"([0-9]{2})(?::?([0-9]{2})(?::?([0-9]{2})(?:[.,]([0-9]+))?)?)?"
+_ISO_CLOCK = rf"^{_ISO_DATE}([^0-9]){_CLOCK}"
+_ISO_OFFSET = rf"^{_ISO_DATE}[^0-9][0-9:.,]+?([+-]){_CLOCK}$"
+_ISO_ANY = rf"^{_ISO_DATE}(?:[^0-9]{_CLOCK}(?:Z|[+-]{_CLOCK})?)?$"
 _ISO_TIME = (
     r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9]{2}(:[0-9]{2}(:[0-9]{2}([.]([0-9]{3}|[0-9]{6}))?)?)?)?\\z"
 )
@@ -70,9 +77,42 @@ def iso_text(time: str) -> Column:
     )
 
 
+def _iso_parts(text: str) -> str:
+    """Any ISO spelling, part by part: basic or extended, week dates, offsets, long fractions."""
+
+    def part(pattern: str, group: int, whole: str = text) -> str:
+        return f"nullif(regexp_extract({whole}, '{pattern}', {group}), '')"
+
+    def number(piece: str) -> str:
+        return f"coalesce(try_cast({piece} as int), 0)"
+
+    def clock(pattern: str) -> str:
+        fraction = f"rpad(substr(coalesce({part(pattern, 5)}, ''), 1, 6), 6, '0')"
+        return f"""({number(part(pattern, 2))} * 3600 + {number(part(pattern, 3))} * 60
+            + {number(part(pattern, 4))}) * 1000000L + bigint({fraction})"""
+
+    day = f"""if({text} rlike '{_ISO_WEEK}',
+        date_add(trunc(make_date(int({part(_ISO_WEEK, 1)}), 1, 4), 'WEEK'),
+            (int({part(_ISO_WEEK, 2)}) - 1) * 7 + coalesce(int({part(_ISO_WEEK, 3)}), 1) - 1),
+        try_cast(concat_ws('-', {part(_ISO_DAY, 1)}, {part(_ISO_DAY, 2)}, {part(_ISO_DAY, 3)}) as date))"""
+    time, offset = clock(_ISO_CLOCK), clock(_ISO_OFFSET)
+    sign = f"if({part(_ISO_OFFSET, 1)} = '-', -1, 1)"
+    micros = f"unix_micros(timestamp({day})) + {time} - coalesce({sign} * ({offset}), 0)"
+    inside = f"{number(part(_ISO_CLOCK, 2))} < 24 and {number(part(_ISO_CLOCK, 3))} < 60 and {number(part(_ISO_CLOCK, 4))} < 60"
+    inside += f" and {number(part(_ISO_OFFSET, 2))} < 24"
+    return f"if({text} rlike '{_ISO_ANY}' and {inside}, timestamp_micros({micros}), null)"
+
+
 def iso_time(text: str) -> Column:
-    """ISO text to timestamp, null for any other text."""
-    return F.expr(f"if({text} rlike '{_ISO_TIME}', try_to_timestamp({text}), null)")
+    """ISO text to timestamp, null for any other text.
+
+    Takes what Python 3.12 takes: basic and extended forms, week dates, any sign between date and
+    time, fractions of any length (cut to microseconds), ``Z`` and offsets. A time with an offset
+    is turned into UTC, one without is taken as UTC.
+    """
+    return F.expr(
+        f"if({text} rlike '{_ISO_TIME}', try_to_timestamp({text}), {_iso_parts(text)})"
+    )
 
 
 def float_text_sql(number: str) -> str:

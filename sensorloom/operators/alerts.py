@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.parse import iso_text
+from ..schemas import ALERTS_TABLE
 from .rules import Profile, describe_alerts
+from .validate import ALERT_CONTRACT, check_contract, violation
 
 ALERT_KEYS = ("location", "alert_type")
 
@@ -64,12 +66,20 @@ def find_alerts(
     alert_types: list[str] | None = None,
     sent: bool | None = None,
 ) -> DataFrame:
-    """Alerts by time range, location, type and sent state; all reach the Parquet scan."""
+    """Alerts by time range, location, type and sent state; all reach the Parquet scan.
+
+    A table that is foldered by date is only read in the folders of the time range.
+    """
     found = alerts
+    foldered = "date" in alerts.columns
     if since is not None:
         found = found.where(F.col("event_time") >= since)
+        if foldered:
+            found = found.where(F.col("date") >= F.to_date(since))
     if until is not None:
         found = found.where(F.col("event_time") < until)
+        if foldered:
+            found = found.where(F.col("date") <= F.to_date(until))
     if locations is not None:
         found = found.where(F.col("location").isin(locations))
     if alert_types is not None:
@@ -79,13 +89,41 @@ def find_alerts(
     return found
 
 
-def write_alerts(alerts: DataFrame, path: str) -> None:
-    """Append to an alerts table that is foldered by date."""
+def with_raw_json(kept: DataFrame, readings: DataFrame, tie: str, raw_json: Column) -> DataFrame:
+    """Put the reading of each kept alert back beside it, as JSON.
+
+    The cooldown's shuffles stay narrow; the kept alerts, which are few, are joined to the readings
+    by the column that tells readings apart.
+    """
+    raw = readings.select(tie, raw_json.alias("raw_json"))
+    return kept.join(raw, tie, "left")
+
+
+def checked_alerts(alerts: DataFrame, created_at: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """Alerts in the columns of their table, and those that break its contract (with why)."""
+    made = F.current_timestamp() if created_at is None else created_at
+    fits, broken = check_contract(alerts.withColumn("created_at", made), ALERT_CONTRACT)
+    return fits.select(*[c for c in ALERTS_TABLE.fieldNames()]), broken
+
+
+def write_alerts(
+    alerts: DataFrame, path: str, quarantine: str | None = None, mode: str = "append"
+) -> None:
+    """Write to an alerts table that is foldered by date.
+
+    Rows that break the table's contract go to ``quarantine``; without one they are an error.
+    """
+    fits, broken = checked_alerts(alerts)
+    if quarantine is not None:
+        broken.write.mode(mode).parquet(quarantine)
+    else:
+        reason = F.concat(F.lit("an alert breaks its table's contract: "), violation(ALERT_CONTRACT))
+        fine = F.when(violation(ALERT_CONTRACT).isNotNull(), F.raise_error(reason)).otherwise(True)
+        fits = checked_alerts(alerts.where(fine))[0]
     (
-        alerts.withColumn("created_at", F.current_timestamp())
-        .withColumn("date", F.to_date("event_time"))
+        fits.withColumn("date", F.to_date("event_time"))
         .hint("rebalance", "date")
-        .write.mode("append")
+        .write.mode(mode)
         .partitionBy("date")
         .parquet(path)
     )

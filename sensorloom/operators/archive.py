@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..constants import ARCHIVE_ROWS_PER_FILE
 from ..functions.once import once
 from ..functions.parse import event_time_strict, or_unknown
 
@@ -25,21 +24,19 @@ def archive_rows(readings: DataFrame) -> DataFrame:
 def write_archive(
     rows: DataFrame,
     path: str,
-    rows_per_file: int = ARCHIVE_ROWS_PER_FILE,
+    rows_per_file: int | None = None,
     mode: str = "append",
 ) -> None:
-    """Write under ``location=/date=`` folders, with at most ``rows_per_file`` rows per file.
+    """Write under ``location=/date=`` folders, with at most ``rows_per_file`` rows per file if
+    that is given.
 
     The rebalance brings rows of one folder together so that few files are written, and splits
-    a folder that holds too much for one task.
+    a folder that holds too much for one task: files are sized by bytes.
     """
-    (
-        rows.hint("rebalance", *ARCHIVE_KEYS)
-        .write.mode(mode)
-        .option("maxRecordsPerFile", rows_per_file)
-        .partitionBy(*ARCHIVE_KEYS)
-        .parquet(path)
-    )
+    writer = rows.hint("rebalance", *ARCHIVE_KEYS).write.mode(mode).partitionBy(*ARCHIVE_KEYS)
+    if rows_per_file:
+        writer = writer.option("maxRecordsPerFile", rows_per_file)
+    writer.parquet(path)
 
 
 def read_archive(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
@@ -53,7 +50,7 @@ def read_archive(spark: SparkSession, path: str, schema: str | None = None) -> D
     )
 
 
-def archive_layout(rows: DataFrame, rows_per_file: int = ARCHIVE_ROWS_PER_FILE) -> DataFrame:
+def archive_layout(rows: DataFrame, rows_per_file: int) -> DataFrame:
     """What the archive holds per folder: rows, and the fewest files they need."""
     return (
         rows.groupBy(*ARCHIVE_KEYS)
@@ -66,29 +63,54 @@ def archive_layout(rows: DataFrame, rows_per_file: int = ARCHIVE_ROWS_PER_FILE)
     )
 
 
+def _finite(column: str) -> Column:
+    value = F.col(column)
+    return F.when(~F.isnan(value) & (F.abs(value) != F.lit(float("inf"))), value)
+
+
+def _exact(column: str) -> Column:
+    """The value as a decimal, null where the decimal is another number than the double."""
+    decimal = F.col(column).try_cast("decimal(38,12)")
+    return F.when(decimal.cast("double") == F.col(column), decimal)
+
+
+def _total(column: str) -> Column:
+    """The sum of all finite numbers of a group.
+
+    It goes over decimals where they say the numbers exactly, so that it does not depend on the
+    order of rows; a group with a number beyond that is summed as doubles.
+    """
+    exact = F.try_sum(_exact(column)).cast("double")
+    whole = F.count(_exact(column)) == F.count(_finite(column))
+    return F.when(whole & exact.isNotNull(), exact).otherwise(F.sum(_finite(column)))
+
+
 def daily_summary(rows: DataFrame) -> DataFrame:
     """Per location and date: count, temperature and wind range, rain total.
 
-    Sums and averages go over decimals, so the result does not depend on the order of
-    rows; numbers that are no decimals (not finite) are left out of both.
+    Averages and sums are over all finite numbers.
     """
-    temperature, rain = (
-        F.col(c).try_cast("decimal(18,4)") for c in ("temperature_c", "precipitation_mm")
-    )
     return rows.groupBy(*ARCHIVE_KEYS).agg(
         F.count("*").alias("n_readings"),
         F.min("temperature_c").alias("min_temperature"),
         F.max("temperature_c").alias("max_temperature"),
-        F.try_divide(F.sum(temperature).cast("double"), F.count(temperature)).alias("avg_temperature"),
-        F.sum(rain).cast("double").alias("total_precipitation"),
+        F.try_divide(_total("temperature_c"), F.count(_finite("temperature_c"))).alias(
+            "avg_temperature"
+        ),
+        _total("precipitation_mm").alias("total_precipitation"),
         F.max("wind_speed_kmh").alias("max_wind_speed"),
     )
 
 
-def refresh_daily_summary(rows: DataFrame, path: str) -> None:
-    """Write the summary of the days in ``rows``, replacing only those days."""
+def refresh_daily_summary(archive: DataFrame, days: DataFrame, path: str) -> None:
+    """Write the summaries of the given ``days`` (column ``date``), and of no other day.
+
+    They are made from the whole ``archive``, whose folders of other days are not read, so new
+    readings of a part of a day, or of some locations, leave the rest of the day in place.
+    """
+    touched = days.select("date").where("date is not null").distinct()
     (
-        daily_summary(rows)
+        daily_summary(archive.join(touched, "date", "left_semi"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("date")

@@ -15,7 +15,9 @@ def topic_rates(samples: DataFrame, window: str = "1 minute") -> DataFrame:
     """Messages per second and topic from counter samples (ts, instance, topic, count).
 
     Per counter and window: the increase between neighbouring samples of the window, divided
-    by the time between its first and last sample. Windows with one sample have no rate.
+    by the time between its first and last sample. Windows with one sample have no rate. Windows
+    are tumbling, and the increase is not extrapolated to their borders: what a dashboard that
+    does so shows is larger by the share of the window outside its first and last sample.
 
     The increase is summed up per second first and then across the seconds of a window, so no
     window function sees more than one second of a counter, or the seconds of one window.
@@ -70,12 +72,27 @@ def topic_throughput(records: DataFrame, window: str = "1 minute") -> DataFrame:
 
 
 def consumer_lag(offsets: DataFrame) -> DataFrame:
-    """Lag per snapshot and group from (ts, group, topic, partition, end_offset, committed)."""
+    """Lag per snapshot and group from (ts, group, topic, partition, end_offset, committed).
+
+    ``offsets`` has one row per snapshot, group, topic and partition; ``latest_offsets`` makes it so.
+    """
     return offsets.groupBy("ts", "group").agg(
         F.sum(F.col("end_offset") - F.coalesce("committed", F.lit(0))).alias("lag")
     )
 
 
+def latest_offsets(offsets: DataFrame, every: str = "hour") -> DataFrame:
+    """The last row of each group, topic and partition in each interval, with the interval's start
+    as its time; of rows of one time the one with the larger offsets counts."""
+    place = F.struct("ts", "end_offset", "committed")
+    last = offsets.groupBy(
+        F.date_trunc(every, "ts").alias("_start"), "group", "topic", "partition"
+    ).agg(F.max(place).alias("_last"))
+    return last.select(
+        F.col("_start").alias("ts"), "group", "topic", "partition", "_last.end_offset", "_last.committed"
+    )
+
+
 def topic_list(samples: DataFrame) -> DataFrame:
     return samples.where(F.col("topic") != "").select("topic").distinct()
 

@@ -9,11 +9,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import OUTBOX_BATCH
-from ..session import read_or_empty
+from ..session import read_or_empty, work_dir
 
 Sender = Callable[[str], bool]
 
@@ -41,8 +41,16 @@ def unsent_batch(
     return rows.where(~F.col("slack_sent")).orderBy(order, id_column).limit(limit)
 
 
-def send_all(batch: DataFrame, sender: Sender, id_column: str = "id", text: str = "text") -> DataFrame:
-    """Call ``sender`` for each row on the executors; (id, success) per row.
+def send_all(
+    batch: DataFrame,
+    sender: Sender,
+    id_column: str = "id",
+    text: str = "text",
+    keep: tuple[str, ...] = (),
+) -> DataFrame:
+    """Call ``sender`` for each row on the executors; (id, success, kept columns) per row.
+
+    The caller has to write the result, once: computing it again sends again.
 
     An exception counts as a failed send, so one bad message does not stop the others.
     """
@@ -55,53 +63,119 @@ def send_all(batch: DataFrame, sender: Sender, id_column: str = "id", text: str
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            yield pd.DataFrame(
+            sent = pd.DataFrame(
                 {id_column: frame[id_column], "success": [attempt(m) for m in frame[text]]}
             )
+            yield sent.assign(**{c: frame[c] for c in keep})
 
-    narrow = batch.select(id_column, text)
-    id_type = narrow.schema[id_column].dataType.simpleString()
-    return narrow.mapInPandas(run, f"{id_column} {id_type}, success boolean")
-
+    narrow = batch.select(id_column, text, *keep)
+    kinds = dict(narrow.dtypes)
+    kept = "".join(f", {c} {kinds[c]}" for c in keep)
+    return narrow.mapInPandas(run, f"{id_column} {kinds[id_column]}, success boolean{kept}")
 
-def new_acks(results: DataFrame, id_column: str = "id", sent_at=None) -> DataFrame:
-    """Acknowledgements for the rows that were sent."""
-    moment = F.current_timestamp() if sent_at is None else sent_at
-    return results.where("success").select(id_column, moment.alias("sent_at"))
 
+class Outbox:
+    """A stored table of rows to send, and what became of them.
 
-def read_acks(spark: SparkSession, path: str, id_type: str, id_column: str = "id") -> DataFrame:
-    """Stored outcomes of sends; none before the first cycle."""
-    schema = f"{id_column} {id_type}, success boolean, sent_at timestamp"
-    return read_or_empty(spark, path, schema)
-
-
-def drain_once(
-    rows: DataFrame,
-    acks_path: str,
-    render: Column,
-    sender: Sender,
-    *,
-    id_column: str = "id",
-    limit: int = OUTBOX_BATCH,
-    order: str = "created_at",
-) -> int:
-    """One cycle over a stored table: pick, render, send, and append the outcomes.
-
-    Returns how many rows were picked. ``rows`` is the table as stored; acknowledgements come
-    from ``acks_path``. The outcome is written in the job that sends, so nothing is sent a
-    second time to learn it. A task that is run again after a loss sends its rows again:
-    sending is at least once.
+    Rows lie under ``rows/date=``, foldered by the day of ``order``; acknowledgements under
+    ``acks/date=`` by the day of their row. The low-water mark is the oldest day with a row that
+    is not sent: a cycle reads no folder before it, so its cost follows the backlog and not the
+    age of the table.
     """
-    id_type = rows.schema[id_column].dataType.simpleString()
-    done = read_acks(rows.sparkSession, acks_path, id_type, id_column).where("success")
-    batch = unsent_batch(apply_acks(rows, done, id_column), id_column, limit, order)
-    outcomes = send_all(batch.withColumn("text", render), sender, id_column)
-    picked = Observation()
-    (
-        outcomes.withColumn("sent_at", F.current_timestamp())
-        .observe(picked, F.count("*").alias("n"))
-        .write.mode("append")
-        .parquet(acks_path)
-    )
-    return picked.get["n"]
+
+    def __init__(self, path: str, id_column: str = "id", order: str = "created_at"):
+        self.path = path
+        self.id_column = id_column
+        self.order = order
+
+    def add(self, rows: DataFrame, mode: str = "append") -> None:
+        """Rows of days before the low-water mark move the mark back."""
+        placed = rows.withColumn("date", F.to_date(self.order))
+        placed.hint("rebalance", "date").write.mode(mode).partitionBy("date").parquet(
+            f"{self.path}/rows"
+        )
+        spark = rows.sparkSession
+        mark, oldest = self.low_water(spark), placed.agg(F.min("date")).first()[0]
+        if mark is not None and oldest is not None and oldest < mark:
+            self._set_mark(spark, oldest)
+
+    def _stored_rows(self, spark: SparkSession) -> DataFrame:
+        return spark.read.parquet(f"{self.path}/rows")
+
+    def _acks(self, spark: SparkSession, id_type: str) -> DataFrame:
+        schema = f"{self.id_column} {id_type}, success boolean, sent_at timestamp, date date"
+        return read_or_empty(spark, f"{self.path}/acks", schema)
+
+    def low_water(self, spark: SparkSession):
+        schema = "mark date, cycle long"
+        marks = read_or_empty(spark, f"{self.path}/low_water", schema)
+        return marks.agg(F.max_by("mark", "cycle")).first()[0]
+
+    def _set_mark(self, spark: SparkSession, mark) -> None:
+        path = f"{self.path}/low_water"
+        cycle = read_or_empty(spark, path, "mark date, cycle long").agg(F.max("cycle")).first()[0]
+        row = spark.createDataFrame([(mark, (cycle or 0) + 1)], "mark date, cycle long")
+        row.coalesce(1).write.mode("append").parquet(path)
+
+    def state(self, spark: SparkSession, since=None) -> DataFrame:
+        """All rows, or those from a day on, with their send state."""
+        rows = self._stored_rows(spark)
+        acks = self._acks(spark, rows.schema[self.id_column].dataType.simpleString())
+        if since is not None:
+            rows, acks = (f.where(F.col("date") >= F.lit(since)) for f in (rows, acks))
+        done = acks.where("success").select(self.id_column, "sent_at")
+        return apply_acks(rows, done, self.id_column)
+
+    def drain_once(
+        self,
+        spark: SparkSession,
+        render: Column,
+        sender: Sender,
+        limit: int = OUTBOX_BATCH,
+        sent_at: Column | None = None,
+    ) -> int:
+        """One cycle: pick the oldest unsent rows, render, send, and append the outcomes.
+
+        Returns how many rows were picked. The pick is stored before anything is sent, and the
+        outcomes are written in the job that sends, so no plan is computed twice with the sender in
+        it. A task that is run again after a loss sends its rows again: sending is at least once.
+        """
+        since = self.low_water(spark)
+        batch = unsent_batch(self.state(spark, since), self.id_column, limit, self.order)
+        path = work_dir(spark, "outbox")
+        batch.select(self.id_column, "date", render.alias("text")).write.parquet(path)
+        picked = spark.read.parquet(path)
+        count, oldest = picked.agg(F.count("*"), F.min("date")).first()
+        if not count:
+            return 0
+        moment = F.current_timestamp() if sent_at is None else sent_at
+        outcomes = send_all(picked, sender, self.id_column, keep=("date",))
+        (
+            outcomes.withColumn("sent_at", moment)
+            .write.mode("append")
+            .partitionBy("date")
+            .parquet(f"{self.path}/acks")
+        )
+        if since is None or oldest > since:
+            self._set_mark(spark, oldest)
+        return count
+
+    def compact(self, spark: SparkSession) -> None:
+        """Rewrite the acknowledgements from the low-water mark on as few files: one row for each
+        sent row. Run it between cycles."""
+        id_type = self._stored_rows(spark).schema[self.id_column].dataType.simpleString()
+        since = self.low_water(spark)
+        acks = self._acks(spark, id_type).where("success")
+        if since is not None:
+            acks = acks.where(F.col("date") >= F.lit(since))
+        path = work_dir(spark, "acks")
+        first = acks.groupBy(self.id_column, "date").agg(F.min("sent_at").alias("sent_at"))
+        first.withColumn("success", F.lit(True)).hint("rebalance", "date").write.parquet(path)
+        (
+            spark.read.parquet(path)
+            .select(self.id_column, "success", "sent_at", "date")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("date")
+            .parquet(f"{self.path}/acks")
+        )

@@ -10,7 +10,6 @@ from ..constants import (
     COOLDOWN_MINUTES,
     REQUIRED_FIELDS,
     RETRY_DEFAULTS,
-    RETRY_FAIL_RATE,
     RETRY_FAILED,
     RETRY_FAILED_FILE,
     TOPIC_ERRORS,
@@ -78,7 +77,7 @@ def decode_message(records: DataFrame, *keep: str) -> DataFrame:
     )
 
 
-def failure_reason(*identity: str, fail_rate: float = RETRY_FAIL_RATE) -> Column:
+def failure_reason(*identity: str, fail_rate: float = 0.0) -> Column:
     """Why a decoded message cannot be processed, null where it can.
 
     The sampled failure comes before the event time is looked at; a message without JSON or
@@ -100,7 +99,8 @@ def failure_reason(*identity: str, fail_rate: float = RETRY_FAIL_RATE) -> Column
     )
 
 
-def with_failure(decoded: DataFrame, *identity: str, fail_rate: float = RETRY_FAIL_RATE) -> DataFrame:
+def with_failure(decoded: DataFrame, *identity: str, fail_rate: float = 0.0) -> DataFrame:
+    """Add the reason of failure; failures are simulated only where the caller names a rate."""
     return once(decoded, failure=failure_reason(*identity, fail_rate=fail_rate))
 
 

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import (
-    DIVERT_RATE,
     REGION_PARTITIONS,
     REQUIRED_FIELDS,
     TOPIC_ERRORS,
@@ -85,7 +84,7 @@ def allocate_new(
 
 
 # --- sampled diversion ------------------------------------------------------------------------
-def is_diverted(*identity: str, rate: float = DIVERT_RATE) -> Column:
+def is_diverted(*identity: str, rate: float) -> Column:
     """Whether a reading goes to the retry topic instead of being checked for alerts."""
     return sampled(rate, DIVERT_SALT, *identity)
 

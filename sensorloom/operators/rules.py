@@ -77,6 +77,22 @@ def detect_candidates(readings: DataFrame, profile: Profile, *keep: str) -> Data
     return one_row_per_rule.where("alert_type is not null")
 
 
+def detect_either(
+    readings: DataFrame, flag: str, then: Profile, otherwise: Profile, *keep: str
+) -> DataFrame:
+    """``detect_candidates`` by one profile where ``flag`` is true and by another elsewhere, in one
+    look at each reading."""
+    fired = ", ".join(
+        f"if({side} and {rule.fires()}, "
+        f"named_struct('alert_type', '{rule.alert_type}', 'value', `{rule.column}`), null)"
+        for profile, side in ((then, f"`{flag}`"), (otherwise, f"not `{flag}`"))
+        for rule in profile.rules
+    )
+    hit = f"if(`{flag}`, {then.any_fires()}, {otherwise.any_fires()})"
+    one_row_per_rule = readings.where(hit).selectExpr(*keep, f"inline(array({fired}))")
+    return one_row_per_rule.where("alert_type is not null")
+
+
 def describe_alerts(candidates: DataFrame, profile: Profile) -> DataFrame:
     """Add ``threshold`` and ``alert_reason`` from type and value."""
     limits = " ".join(f"when '{r.alert_type}' then double('{r.threshold}')" for r in profile.rules)

@@ -68,16 +68,42 @@ def with_verdict(raw: DataFrame) -> DataFrame:
     Missing fields are looked for first, over all fields, then number formats. Dates are not
     checked here: each consumer applies its own date rule.
     """
+    return judged_readings(raw).drop(*_NUMBERS.values())
+
+
+def judged_readings(raw: DataFrame) -> DataFrame:
+    """Rows with their parsed numbers, ``error_type`` and ``error_reason``: what a caller keeps
+    who needs valid and invalid rows, so that every text is matched once."""
     missing, wrong = _missing_sql(), _type_error_sql(parsed=True)
-    columns = [f"`{c}`" for c in raw.columns]
     return with_numbers(raw).selectExpr(
-        *columns,
+        "*",
         f"""case when {missing} is not null then '{MISSING_FIELD}'
             when {wrong} is not null then '{TYPE_ERROR}' end as error_type""",
         f"coalesce(concat('Missing required field: ', {missing}), {wrong}) as error_reason",
     )
 
 
+def valid_of(judged: DataFrame) -> DataFrame:
+    """The rows of ``valid_readings``."""
+    typed = {REQUIRED_FIELDS[name]: F.col(number) for name, number in _NUMBERS.items()}
+    valid = judged.where("error_type is null").withColumns({**typed, "retry": F.lit(0)})
+    return valid.drop("error_type", "error_reason", *_NUMBERS.values())
+
+
+def rejected_of(judged: DataFrame) -> DataFrame:
+    """The rows of ``rejected_readings``."""
+    rejected = judged.where("error_type is not null").withColumn("retry", F.lit(0))
+    return rejected.drop(*_NUMBERS.values())
+
+
+def counts_of(judged: DataFrame, file_column: str = "file_name") -> DataFrame:
+    """The rows of ``file_counts``."""
+    return judged.groupBy(file_column).agg(
+        F.count_if(F.col("error_type").isNull()).alias("success_count"),
+        F.count_if(F.col("error_type").isNotNull()).alias("error_count"),
+    )
+
+
 def valid_readings(raw: DataFrame) -> DataFrame:
     """Valid rows with typed floats and ``retry = 0``; other columns pass through."""
     typed = {REQUIRED_FIELDS[name]: F.col(number) for name, number in _NUMBERS.items()}

@@ -43,20 +43,33 @@ def window_counts(readings: DataFrame, width: str = WINDOW, *by: str) -> DataFra
 
 
 def collect_windows(
-    readings: DataFrame, width: str = WINDOW, by: str = "location", chunks: int = 16, chunk_by: str = "event_id"
+    readings: DataFrame,
+    width: str = WINDOW,
+    by: str = "location",
+    rows_per_array: int = 100_000,
+    part_by: str = "event_id",
 ) -> DataFrame:
-    """Rows of each window and location as arrays, each window in up to ``chunks`` arrays.
+    """Rows of each window and location as an array.
 
-    A location with a large share of the rows would make one array too big for a task, so
-    rows are spread over chunks by ``chunk_by``. All rows are kept.
+    A window of a location with more than about ``rows_per_array`` rows, which would be too much
+    for one task, comes in as many arrays (``part`` 0, 1, ...) as its measured size asks for. All
+    rows are kept.
     """
     rows = F.struct(*[F.col(c) for c in readings.columns])
+    timed = readings.where(F.col("event_time").isNotNull()).select(
+        F.window("event_time", width).alias("window"), F.col(by), rows.alias("_row")
+    )
+    sizes = timed.groupBy("window", by).agg(
+        F.ceil(F.count("*") / rows_per_array).alias("_parts")
+    )
+    large = sizes.where(F.col("_parts") > 1).withColumnRenamed(by, "_by")
+    same = F.col("rows.window").eqNullSafe(F.col("large.window")) & F.col(f"rows.{by}").eqNullSafe(
+        F.col("large._by")
+    )
+    placed = timed.alias("rows").join(large.alias("large"), same, "left")
+    part = F.pmod(F.xxhash64(F.col(f"rows._row.{part_by}")), F.coalesce("large._parts", F.lit(1)))
     return (
-        readings.where(F.col("event_time").isNotNull())
-        .groupBy(
-            F.window("event_time", width),
-            by,
-            F.pmod(F.xxhash64(chunk_by), F.lit(chunks)).cast("int").alias("chunk"),
-        )
-        .agg(F.collect_list(rows).alias("rows"))
+        placed.select("rows.window", f"rows.{by}", part.cast("int").alias("part"), "rows._row")
+        .groupBy("window", by, "part")
+        .agg(F.collect_list("_row").alias("rows"))
     )

@@ -19,7 +19,15 @@ from ..functions.parse import (
 )
 from ..functions.sampling import sampled
 from ..functions.text import alert_text, error_text, retry_text
-from ..operators.alerts import alert_counts, alert_rows, distinct_alerts, find_alerts, write_alerts
+from ..functions.once import once
+from ..operators.alerts import (
+    alert_counts,
+    alert_rows,
+    distinct_alerts,
+    find_alerts,
+    with_raw_json,
+    write_alerts,
+)
 from ..operators.archive import (
     archive_layout,
     archive_rows,
@@ -28,9 +36,9 @@ from ..operators.archive import (
     write_archive,
 )
 from ..operators.cooldown import cooldown, latest_alerts
-from ..operators.deadletter import error_rows
-from ..operators.metrics import consumer_lag, topic_list, topic_rates, topic_throughput
-from ..operators.outbox import apply_acks, new_acks, send_all, unsent_batch
+from ..operators.deadletter import error_rows, record_id
+from ..operators.metrics import consumer_lag, latest_offsets, topic_list, topic_rates, topic_throughput
+from ..operators.outbox import Outbox, apply_acks, unsent_batch
 from ..operators.retry import (
     FAIL_SALT,
     decode_message,
@@ -55,6 +63,7 @@ from ..operators.rules import (
     describe_alerts,
     detect_alerts,
     detect_candidates,
+    detect_either,
 )
 from ..operators.slices import time_span, with_slice
 from ..operators.validate import (
@@ -68,11 +77,26 @@ from ..operators.validate import (
     violation,
 )
 from ..operators.windows import collect_windows, window_counts, with_window, without_time
-from ..constants import RETRY_FAIL_RATE
+from ..constants import (
+    ARCHIVE_ROWS_PER_FILE,
+    DIVERT_RATE,
+    REQUIRED_FIELDS,
+    RETRY_FAIL_RATE,
+    TOPIC_READINGS,
+)
 from ..session import prepare, work_dir
 from ..sources.drops import new_files, read_drops, write_drops
 from ..sources.events import raw_readings, retry_messages, table, timed_readings
-from ..streaming.consumers import start_table, window_counts_stream
+from ..sources.topics import StoredTopics, position_of
+from ..streaming.consumers import (
+    AlertState,
+    read_window_counts,
+    start_alerts,
+    start_archive,
+    start_table,
+    start_window_counts,
+    window_counts_stream,
+)
 from ..streaming.cooldown import start_cooldown, stream_cooldown
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,6 +133,28 @@ def _csv_scan(spark, sf_dir):
     return read_drops(spark, path).select(*_READING)
 
 
+@query("csv_scan_headers")
+def _csv_scan_headers(spark, sf_dir):
+    """Files with columns in another order, one more or one missing, and with quotes in a cell."""
+    raw = raw_readings(spark, sf_dir).select("event_id", *_READING)
+    names = {c: n for n, c in REQUIRED_FIELDS.items()}
+    orders = [
+        _READING,
+        _READING[::-1],
+        ("event_id", *_READING[3:], *_READING[:3]),
+        tuple(c for c in _READING if c != "humidity_pct"),
+    ]
+    folder = work_dir(spark, "drops")
+    for n, columns in enumerate(orders):
+        rows = raw.where(F.col("event_id") % 4 == n)
+        quoted = F.when(F.col("event_id") % 20 == 0, F.concat(F.lit('"The" '), "location", F.lit(", x")))
+        rows = rows.withColumn("location", F.coalesce(quoted, "location"))
+        wire = rows.select(*[F.col(c).alias(names.get(c, c)) for c in columns])
+        writer = wire.write.mode("append").option("header", "true").option("emptyValue", '""')
+        writer.option("escape", '"').csv(folder)
+    return read_drops(spark, folder).select(*_READING)
+
+
 @query("new_files_anti")
 def _new_files_anti(spark, sf_dir):
     raw = raw_readings(spark, sf_dir)
@@ -117,16 +163,23 @@ def _new_files_anti(spark, sf_dir):
     return new_files(listing, listing.where(day % 2 == 0))
 
 
+def _reading_records(spark, sf_dir):
+    """Readings as records; locations that are new get their partition in first-seen order."""
+    valid = valid_readings(raw_readings(spark, sf_dir))
+    valid = valid.withColumn("event_time", event_time_lenient("date_time"))
+    known = region_map(spark)
+    regions = known.unionByName(allocate_new(valid, known))
+    return to_reading_records(valid, regions, "event_id")
+
+
 @query("topic_encode")
 def _topic_encode(spark, sf_dir):
-    valid = valid_readings(raw_readings(spark, sf_dir))
-    return to_reading_records(valid, region_map(spark), "event_id")
+    return _reading_records(spark, sf_dir)
 
 
 @query("topic_decode")
 def _topic_decode(spark, sf_dir):
-    valid = valid_readings(raw_readings(spark, sf_dir))
-    return decode_readings(to_reading_records(valid, region_map(spark), "event_id"), "event_id")
+    return decode_readings(_reading_records(spark, sf_dir), "event_id")
 
 
 @query("time_span")
@@ -231,6 +284,23 @@ def _iso_roundtrip(spark, sf_dir):
     return texts.withColumn("event_time", iso_time("iso"))
 
 
+@query("iso_spellings")
+def _iso_spellings(spark, sf_dir):
+    """One moment in the spellings that ISO texts come in."""
+    ts, event_id = F.col("ts").cast("timestamp"), F.col("event_id")
+    later = ts + F.expr("interval 9 hours")
+    text = (
+        F.when(event_id % 6 == 0, F.concat(F.date_format(later, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+09:00")))
+        .when(event_id % 6 == 1, F.concat(F.date_format(ts, "yyyyMMdd'T'HHmmss"), F.lit("Z")))
+        .when(event_id % 6 == 2, F.concat(F.date_format(ts, "yyyy-MM-dd HH:mm:ss"), F.lit(".0")))
+        .when(event_id % 6 == 3, F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), F.lit(",000000999")))
+        .when(event_id % 6 == 4, F.date_format(ts, "yyyyMMdd"))
+        .otherwise(F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), F.lit(" ")))
+    )
+    texts = table(spark, sf_dir, "events").select("event_id", text.alias("text"))
+    return texts.select("event_id", iso_time("text").alias("event_time"))
+
+
 @query("retry_increment")
 def _retry_increment(spark, sf_dir):
     return decode_message(retry_messages(spark, sf_dir), "event_id").select("event_id", "retry_count")
@@ -285,7 +355,7 @@ def _table_contract(spark, sf_dir):
 
 @query("sample_retry")
 def _sample_retry(spark, sf_dir):
-    return timed_readings(spark, sf_dir).where(is_diverted("event_id")).select("event_id")
+    return timed_readings(spark, sf_dir).where(is_diverted("event_id", rate=DIVERT_RATE)).select("event_id")
 
 
 @query("sample_fail")
@@ -354,11 +424,22 @@ def _cooldown_seeded(spark, sf_dir):
     return cooldown(alerts.where(F.col("event_time") >= border), minutes=90, seed=seed)
 
 
+def _raw_json():
+    return reading_json(iso_text("event_time").alias("event_time"))
+
+
+def _alert_rows(spark, sf_dir):
+    """Rows of the alerts table, with the reading behind each."""
+    readings = timed_readings(spark, sf_dir)
+    kept = with_raw_json(_kept(spark, sf_dir), readings, "event_id", _raw_json())
+    return alert_rows(kept, ALERT_PROFILE)
+
+
 @query("alerts_table")
 def _alerts_table(spark, sf_dir):
-    rows = alert_rows(_kept(spark, sf_dir), ALERT_PROFILE)
+    rows = _alert_rows(spark, sf_dir)
     # the same batch written twice leaves one row per alert
-    return distinct_alerts(rows.unionByName(rows)).drop("slack_sent_at", "raw_json")
+    return distinct_alerts(rows.unionByName(rows)).drop("slack_sent_at")
 
 
 @query("alert_counts")
@@ -369,10 +450,9 @@ def _alert_counts(spark, sf_dir):
 @query("alerts_by_filter")
 def _alerts_by_filter(spark, sf_dir):
     path = work_dir(spark, "alerts")
-    write_alerts(alert_rows(_kept(spark, sf_dir), ALERT_PROFILE), path)
-    stored = spark.read.parquet(path).where(F.col("date").between("2024-01-10", "2024-01-12"))
+    write_alerts(_alert_rows(spark, sf_dir), path)
     found = find_alerts(
-        stored,
+        spark.read.parquet(path),
         since=F.lit("2024-01-10 06:00:00").cast("timestamp"),
         until=F.lit("2024-01-12 18:00:00").cast("timestamp"),
         locations=["Dallas", "Chicago"],
@@ -385,18 +465,18 @@ def _alerts_by_filter(spark, sf_dir):
 @query("alerts_union")
 def _alerts_union(spark, sf_dir):
     """Alerts of the readings that were not diverted, and retry alerts of those that were."""
-    timed = timed_readings(spark, sf_dir)
-    direct = detect_candidates(
-        timed.where(~is_diverted("event_id")), ALERT_PROFILE, "event_id", "location", "event_time"
+    diverted = is_diverted("event_id", rate=DIVERT_RATE)
+    timed = once(timed_readings(spark, sf_dir), diverted=diverted)
+    keep = ("event_id", "location", "event_time", "diverted")
+    found = detect_either(timed, "diverted", RETRY_PROFILE, ALERT_PROFILE, *keep)
+    # One chain for both: the profile is a part of the key.
+    kept = cooldown(found, keys=("diverted", "location", "alert_type"))
+    counted = kept.withColumn("retry_count", F.col("diverted").cast("int"))
+    return (
+        alert_rows(counted.where("not diverted"), ALERT_PROFILE)
+        .unionByName(alert_rows(counted.where("diverted"), RETRY_PROFILE))
+        .drop("slack_sent_at", "raw_json")
     )
-    diverted = timed.where(is_diverted("event_id"))
-    late = detect_candidates(
-        diverted, RETRY_PROFILE, "event_id", "location", "event_time", "retry"
-    ).withColumn("retry_count", F.col("retry") + 1).drop("retry")
-    rows = alert_rows(cooldown(direct), ALERT_PROFILE).unionByName(
-        alert_rows(cooldown(late), RETRY_PROFILE)
-    )
-    return rows.drop("slack_sent_at", "raw_json")
 
 
 @query("render_alert")
@@ -413,7 +493,14 @@ def _window_collect(spark, sf_dir):
     return collected.select(
         F.col("window.start").alias("window_start"),
         F.col("window.end").alias("window_end"),
-        F.inline("rows"),
+        "location",
+        "part",
+        F.size("rows").cast("long").alias("n_rows"),
+        F.array_min("rows.event_time").alias("first_time"),
+        F.array_max("rows.event_time").alias("last_time"),
+        F.array_min("rows.event_id").alias("least_id"),
+        F.aggregate("rows.event_id", F.lit(0).cast("long"), lambda s, x: s + x).alias("sum_ids"),
+        F.array_max("rows.temperature_c").alias("max_temperature"),
     )
 
 
@@ -444,14 +531,15 @@ def _archive_filter(spark, sf_dir):
 
 @query("archive_layout")
 def _archive_layout(spark, sf_dir):
-    return archive_layout(archive_rows(valid_readings(raw_readings(spark, sf_dir))))
+    rows = archive_rows(valid_readings(raw_readings(spark, sf_dir)))
+    return archive_layout(rows, ARCHIVE_ROWS_PER_FILE)
 
 
 @query("archive_roundtrip")
 def _archive_roundtrip(spark, sf_dir):
     path = work_dir(spark, "archive")
     write_archive(archive_rows(valid_readings(raw_readings(spark, sf_dir))), path)
-    return archive_layout(read_archive(spark, path))
+    return archive_layout(read_archive(spark, path), ARCHIVE_ROWS_PER_FILE)
 
 
 @query("daily_summary")
@@ -459,15 +547,36 @@ def _daily_summary(spark, sf_dir):
     return daily_summary(archive_rows(valid_readings(raw_readings(spark, sf_dir))))
 
 
+@query("daily_summary_wide")
+def _daily_summary_wide(spark, sf_dir):
+    """The same over numbers far apart: up to 1e15, and with six decimals."""
+    rows = archive_rows(valid_readings(raw_readings(spark, sf_dir)))
+    event_id = F.col("event_id")
+    return daily_summary(
+        rows.withColumns(
+            {
+                "temperature_c": F.when(event_id % 3 == 0, F.col("temperature_c").cast("int") + 0.000125)
+                .when(event_id % 7 == 0, F.lit(float("nan")))
+                .otherwise(F.col("temperature_c")),
+                "precipitation_mm": F.when(event_id % 11 == 0, F.lit(1e15)).otherwise(
+                    F.col("precipitation_mm")
+                ),
+            }
+        )
+    )
+
+
 # --- retry and dead letters -------------------------------------------------------------------
 def _judged(spark, sf_dir):
-    return with_failure(decode_message(retry_messages(spark, sf_dir), "event_id"), "event_id")
+    decoded = decode_message(retry_messages(spark, sf_dir), "event_id")
+    return with_failure(decoded, "event_id", fail_rate=RETRY_FAIL_RATE)
 
 
 @query("retry_alerts")
 def _retry_alerts(spark, sf_dir):
-    kept = retry_alerts(_judged(spark, sf_dir), "event_id")
-    return alert_rows(kept, RETRY_PROFILE, "event_id").drop("slack_sent_at", "raw_json")
+    judged = _judged(spark, sf_dir)
+    kept = with_raw_json(retry_alerts(judged, "event_id"), judged, "event_id", F.col("value"))
+    return alert_rows(kept, RETRY_PROFILE, "event_id").drop("slack_sent_at")
 
 
 @query("render_retry")
@@ -504,8 +613,23 @@ def _dlq_load(spark, sf_dir):
     rejected = rejected_readings(raw_readings(spark, sf_dir))
     direct = to_error_records(rejected, F.col("event_id").cast("double"), "event_id")
     failed = retry_dead_letters(_judged(spark, sf_dir), "event_id")
-    records = direct.select("event_id", "value").unionByName(failed.select("event_id", "value"))
-    return error_rows(records, "event_id").drop("slack_sent_at")
+    records = direct.select("event_id", "key", "value").unionByName(
+        failed.select("event_id", "key", "value")
+    )
+    # The columns of Spark's Kafka source, where key and value are bytes.
+    received = records.select(
+        "event_id",
+        F.encode("key", "UTF-8").alias("key"),
+        F.encode("value", "UTF-8").alias("value"),
+        F.lit("error-data").alias("topic"),
+        (F.col("event_id") % 3).cast("int").alias("partition"),
+        F.col("event_id").alias("offset"),
+        F.timestamp_seconds("event_id").alias("timestamp"),
+        F.lit(0).alias("timestampType"),
+    )
+    rows = error_rows(received, "event_id", *position_of(received))
+    named = rows.withColumn("id", record_id(*position_of(received)))
+    return named.drop(*position_of(received), "slack_sent_at")
 
 
 # --- outbox -----------------------------------------------------------------------------------
@@ -539,23 +663,29 @@ def _accepts_heat(text: str) -> bool:
     return "TEMP HIGH" in text
 
 
+def _drained(spark, rows, render, sender, id_column, order):
+    """The send state after two cycles over a stored table, with the log compacted in between."""
+    box = Outbox(work_dir(spark, "outbox_table"), id_column, order)
+    box.add(rows)
+    moment = F.lit("2024-02-01").cast("timestamp")
+    box.drain_once(spark, render, sender, sent_at=moment)
+    box.compact(spark)
+    box.drain_once(spark, render, sender, sent_at=moment)
+    return box.state(spark).select(id_column, "slack_sent", "slack_sent_at")
+
+
 @query("outbox_cycle")
 def _outbox_cycle(spark, sf_dir):
-    errors = _errors(spark, sf_dir)
-    batch = unsent_batch(errors).withColumn("text", error_text())
-    results = send_all(batch, _accepts_type_errors)
-    acks = new_acks(results, sent_at=F.lit("2024-02-01").cast("timestamp"))
-    return apply_acks(errors, acks).select("id", "slack_sent", "slack_sent_at")
+    return _drained(
+        spark, _errors(spark, sf_dir), error_text(), _accepts_type_errors, "id", "created_at"
+    )
 
 
 @query("alert_outbox_cycle")
 def _alert_outbox_cycle(spark, sf_dir):
-    """The same cycle over the alerts table."""
-    alerts = alert_rows(_kept(spark, sf_dir), ALERT_PROFILE)
-    batch = with_window(unsent_batch(alerts, "alert_id", order="event_time"))
-    results = send_all(batch.withColumn("text", alert_text()), _accepts_heat, "alert_id")
-    acks = new_acks(results, "alert_id", sent_at=F.lit("2024-02-01").cast("timestamp"))
-    return apply_acks(alerts, acks, "alert_id").select("alert_id", "slack_sent", "slack_sent_at")
+    """The same cycles over the alerts table."""
+    alerts = with_window(alert_rows(_kept(spark, sf_dir), ALERT_PROFILE))
+    return _drained(spark, alerts, alert_text(), _accepts_heat, "alert_id", "event_time")
 
 
 # --- metrics ----------------------------------------------------------------------------------
@@ -591,14 +721,14 @@ def _topic_tps_counted(spark, sf_dir):
 @query("consumer_lag")
 def _consumer_lag(spark, sf_dir):
     offsets = table(spark, sf_dir, "events").select(
-        F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("ts"),
+        F.col("ts").cast("timestamp").alias("ts"),
         F.col("event_type").alias("group"),
         _topic_name().alias("topic"),
         (F.col("user_id") % 10).alias("partition"),
         F.col("event_id").alias("end_offset"),
         F.when(F.col("user_id") % 50 > 0, F.col("event_id") - F.col("user_id") % 50).alias("committed"),
     )
-    return consumer_lag(offsets)
+    return consumer_lag(latest_offsets(offsets, "hour"))
 
 
 @query("topic_list")
@@ -643,15 +773,63 @@ def _stream_cooldown_batches(spark, sf_dir):
 def _restart_exactly_once(spark, sf_dir):
     """Three runs of one stream with stops in between, the last without new input."""
     source, out = work_dir(spark, "candidates"), work_dir(spark, "kept")
-    checkpoint = work_dir(spark, "checkpoint")
+    state, checkpoint = work_dir(spark, "state"), work_dir(spark, "checkpoint")
     candidates = _candidates(spark, sf_dir)
     border = F.lit("2024-01-16").cast("timestamp")
     for part in (F.col("event_time") < border, F.col("event_time") >= border, None):
         if part is not None:
             candidates.where(part).write.mode("append").parquet(source)
         stream = spark.readStream.schema(candidates.schema).parquet(source)
-        _run_once(stream_cooldown(stream), out, checkpoint)
-    return spark.read.parquet(out)
+        start_cooldown(
+            stream, out, state, checkpoint, trigger={"availableNow": True}
+        ).awaitTermination()
+    return spark.read.parquet(out).drop("batch")
+
+
+@query("replay_exactly_once")
+def _replay_exactly_once(spark, sf_dir):
+    """A producer writes its batch twice; archive and alerts hold every reading once."""
+    root = work_dir(spark, "replay")
+    topics, state = StoredTopics(f"{root}/topics"), AlertState(f"{root}/state")
+    records = _reading_records(spark, sf_dir)
+    now = {"availableNow": True}
+    for _ in range(2):
+        topics.write(records, TOPIC_READINGS, 0, "ingest")
+        readings = decode_readings(topics.stream(spark, TOPIC_READINGS))
+        start_archive(readings, f"{root}/archive", f"{root}/cp_archive", trigger=now).awaitTermination()
+        start_alerts(
+            topics.stream(spark, TOPIC_READINGS), f"{root}/alerts", state, f"{root}/cp_alerts",
+            rate=0.0, trigger=now,
+        ).awaitTermination()
+    archived = read_archive(spark, f"{root}/archive").groupBy("location").agg(
+        F.count("*").alias("n_archived")
+    )
+    alerts = spark.read.parquet(f"{root}/alerts").groupBy("location").agg(
+        F.count("*").alias("n_alerts"), F.countDistinct("alert_id").alias("n_ids"),
+        F.count("raw_json").alias("n_raw"), F.count("created_at").alias("n_created"),
+    )
+    return archived.join(alerts, "location", "left")
+
+
+@query("late_alerts")
+def _late_alerts(spark, sf_dir):
+    """Alerts of two runs; the second brings one location's first days, all too late."""
+    root = work_dir(spark, "late")
+    topics, state = StoredTopics(f"{root}/topics"), AlertState(f"{root}/state")
+    valid = valid_readings(raw_readings(spark, sf_dir)).withColumn(
+        "event_time", event_time_lenient("date_time")
+    )
+    held_back, day = F.col("location") == "Busan", F.dayofmonth("event_time")
+    parts = ((day <= 20) & ~held_back, (day > 20) | ((day <= 10) & held_back))
+    for n, part in enumerate(parts):
+        topics.write(to_reading_records(valid.where(part), region_map(spark)), TOPIC_READINGS, n, "ingest")
+        start_alerts(
+            topics.stream(spark, TOPIC_READINGS), f"{root}/alerts", state, f"{root}/checkpoint",
+            rate=0.0, trigger={"availableNow": True},
+        ).awaitTermination()
+    late = state.progress(spark).agg(F.sum("n_late").alias("n_late"))
+    alerts = spark.read.parquet(f"{root}/alerts")
+    return alerts.select("alert_id", "location", "alert_type", "event_time").join(late)
 
 
 @query("late_drop")
@@ -670,5 +848,8 @@ def _late_drop(spark, sf_dir):
     for part in parts:
         part.write.mode("append").parquet(source)
         stream = spark.readStream.schema(timed.schema).parquet(source)
-        _run_once(window_counts_stream(stream, "1 hour"), out, checkpoint)
-    return spark.read.parquet(out)
+        counts = window_counts_stream(stream, "1 hour")
+        start_window_counts(
+            counts, out, checkpoint, trigger={"availableNow": True}
+        ).awaitTermination()
+    return read_window_counts(spark, out)

@@ -87,7 +87,7 @@ from retry_messages""",
     "judged": """
 select *, coalesce(retry, 0) + 1 as retry_count, case
   when retry is null then 'Invalid retry count: ' || json_extract_string(value, '$.retry')
-  when cast('0x' || substr(md5('retry-failure|' || event_id), 1, 8) as bigint) % 10000 < 100
+  when cast('0x' || substr(md5('retry-failure|' || event_id), 1, 8) as bigint) < ceil(0.01 * 4294967296)
     then 'Intentional Chaos Error (Simulated Failure)'
   when not list_contains(json_keys(value), 'event_time') then '''event_time'''
   when event_time is null then 'Invalid isoformat string: ''' || time_text || '''' end as failure
@@ -149,7 +149,7 @@ def _with(needs: list[str], body: str, extra: list[tuple[str, str]] = ()) -> str
     return f"with {tables}\n{body.strip()}"
 
 
-_DIVERTED = "cast('0x' || substr(md5('divert|' || event_id), 1, 8) as bigint) % 10000 < 2000"
+_DIVERTED = "cast('0x' || substr(md5('divert|' || event_id), 1, 8) as bigint) < ceil(0.2 * 4294967296)"
 
 
 def _fired(source: str, keep: str, hi: int, lo: int, rain: int, wind: int, where: str = "true") -> str:
@@ -224,6 +224,11 @@ _REASON = """case alert_type
   when 'WIND_STRONG' then 'Wind ' || value || ' km/h >= ' || threshold || ' km/h' end"""
 
 
+_RAWS = """select event_id,
+  body || ',"event_time":"' || strftime(event_time, '%Y-%m-%dT%H:%M:%S') || '"}' as raw
+from messages where event_time is not null"""
+
+
 def _alert_columns(profile: str, retry_count: str) -> str:
     return f"""md5('{profile}|' || location || '|' || alert_type || '|'
     || strftime(event_time, '%Y-%m-%dT%H:%M:%S')) as alert_id,
@@ -250,6 +255,12 @@ ORACLES = {
         ["raw_readings"],
         """select location, date_time, temperature_c, humidity_pct, precipitation_mm, wind_speed_kmh
 from raw_readings""",
+    ),
+    "csv_scan_headers": _with(
+        ["raw_readings"],
+        """select case when event_id % 20 = 0 then '"The" ' || location || ', x' else location end as location,
+  date_time, temperature_c, case when event_id % 4 <> 3 then humidity_pct end as humidity_pct,
+  precipitation_mm, wind_speed_kmh from raw_readings""",
     ),
     "new_files_anti": _with(
         ["raw_readings"],
@@ -259,7 +270,16 @@ where cast(substr(file_name, 15, 2) as integer) % 2 <> 0""",
     "topic_encode": _with(
         ["messages", "regions"],
         """select event_id, location as key, body || '}' as value, 'weather-data' as topic, "partition"
-from messages left join regions using (location)""",
+from messages join (select * from regions union all select * from fresh) using (location)""",
+        [
+            (
+                "fresh",
+                """select location, cast(((select count(*) from regions)
+    + row_number() over (order by first_seen, location) - 1) % 10 as integer) as "partition"
+from (select location, coalesce(min(event_time), timestamp '9999-12-31') as first_seen from messages
+      where location not in (select location from regions) group by location)""",
+            )
+        ],
     ),
     "topic_decode": _with(
         ["valid"],
@@ -327,6 +347,8 @@ from time_texts""",
     "iso_roundtrip": """select event_id, case when event_id % 2 = 0 or microsecond(ts) % 1000000 = 0
     then strftime(ts, '%Y-%m-%dT%H:%M:%S') else strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') end as iso,
   case when event_id % 2 = 0 then date_trunc('second', ts) else ts end as event_time from events""",
+    "iso_spellings": """select event_id, case event_id % 6 when 4 then date_trunc('day', ts) when 5 then null
+    else date_trunc('second', ts) end as event_time from events""",
     "retry_increment": _with(["judged"], "select event_id, retry_count from judged"),
     "validate_missing": _with(["verdicts"], "select event_id, missing_field from verdicts"),
     "validate_type": _with(["verdicts"], "select event_id, type_error from verdicts"),
@@ -362,7 +384,7 @@ from raw_readings""",
     "sample_fail": _with(
         ["timed"],
         """select event_id from timed
-where cast('0x' || substr(md5('retry-failure|' || event_id), 1, 8) as bigint) % 10000 < 100""",
+where cast('0x' || substr(md5('retry-failure|' || event_id), 1, 8) as bigint) < ceil(0.01 * 4294967296)""",
     ),
     "assign_partition": _with(
         ["valid", "regions"],
@@ -412,7 +434,11 @@ group by location, alert_type""",
         ]
         + _chain("fired_late", 90, "", "seed"),
     ),
-    "alerts_table": _with(["timed"], f"select {_alert_columns('alert', '0')} from kept", _KEPT),
+    "alerts_table": _with(
+        ["retry_messages"],
+        f"select {_alert_columns('alert', '0')}, raw as raw_json from kept join raws using (event_id)",
+        [("timed", _CTES["timed"]), *_KEPT, ("raws", _RAWS)],
+    ),
     "alert_counts": _with(
         ["timed"], "select alert_type, count(*) as n_alerts from kept group by alert_type", _KEPT
     ),
@@ -446,8 +472,11 @@ from kept""",
     "window_collect": _with(
         ["timed"],
         """select date_trunc('hour', event_time) as window_start,
-  date_trunc('hour', event_time) + interval 1 hour as window_end, event_id, location, event_time,
-  temperature_c from timed""",
+  date_trunc('hour', event_time) + interval 1 hour as window_end, location, cast(0 as integer) as part,
+  count(*) as n_rows, min(event_time) as first_time, max(event_time) as last_time,
+  min(event_id) as least_id, cast(sum(event_id) as bigint) as sum_ids,
+  max(temperature_c) as max_temperature
+from timed group by 1, 2, 3""",
     ),
     "window_rows": _with(
         ["timed"],
@@ -484,8 +513,29 @@ from (select event_id, {_STRICT.format('text')} as event_time from time_texts) w
 from archived group by location, date""",
         [("archived", _ARCHIVED)],
     ),
+    "daily_summary_wide": _with(
+        ["timed"],
+        """select location, date, count(*) as n_readings, min(t) as min_temperature, max(t) as max_temperature,
+  cast(sum(cast(f as decimal(38,12))) as double) / nullif(count(f), 0) as avg_temperature,
+  cast(sum(cast(r as decimal(38,12))) as double) as total_precipitation,
+  max(wind_speed_kmh) as max_wind_speed
+from (select *, case when isnan(t) then null else t end as f from changed) group by location, date""",
+        [
+            ("archived", _ARCHIVED),
+            (
+                "changed",
+                """select *, case when event_id % 3 = 0 then trunc(temperature_c) + 0.000125
+    when event_id % 7 = 0 then cast('nan' as double) else temperature_c end as t,
+  case when event_id % 11 = 0 then 1e15 else precipitation_mm end as r from archived""",
+            ),
+        ],
+    ),
     "retry_alerts": _with(
-        ["judged"], f"select event_id, {_alert_columns('retry', 'retry_count')} from kept", _RETRY_KEPT
+        ["judged"],
+        f"""select event_id, {_alert_columns('retry', 'retry_count')}, value as raw_json
+from (select k.* exclude (value), k.value, m.value as message from kept k
+      join retry_messages m using (event_id))""".replace("value as raw_json", "message as raw_json"),
+        _RETRY_KEPT,
     ),
     "render_retry": _with(
         ["judged"],
@@ -513,10 +563,12 @@ from judged where failure is null and retry_count < 3""",
         ["rejected", "dead_letters"],
         """select event_id, error_type, error_reason as error_message, raw_row, location, file_name,
   0 as retry_count, 'NEW' as processing_status, false as slack_sent,
-  timestamp '1970-01-01' + event_id * interval 1 second as detected_at from rejected
+  timestamp '1970-01-01' + event_id * interval 1 second as detected_at,
+  md5('error-data|' || event_id % 3 || '|' || event_id) as id from rejected
 union all
 select event_id, 'CONSUMER3_RETRY_FAIL', error_reason, json_extract(value, '$.raw_row')::varchar, location,
-  'processed_by_consumer3', retry_count, 'NEW', false, cast(null as timestamp) from dead_letters""",
+  'processed_by_consumer3', retry_count, 'NEW', false, cast(null as timestamp),
+  md5('error-data|' || event_id % 3 || '|' || event_id) from dead_letters""",
     ),
     "outbox_top10": _with(
         ["errors"],
@@ -542,7 +594,16 @@ from errors""",
         ["errors"],
         f"""select id, slack_sent or id in (select id from done) as slack_sent,
   case when id in (select id from done) then {_CYCLE_TIME} end as slack_sent_at from errors""",
-        [("done", f"select id from errors where error_type = 'TYPE_ERROR' and id in ({_TENTH})")],
+        [
+            ("one", f"select id from errors where error_type = 'TYPE_ERROR' and id in ({_TENTH})"),
+            (
+                "two",
+                f"""select id from errors where error_type = 'TYPE_ERROR' and id in (
+  select id from errors where not slack_sent and id not in (select id from one)
+  order by created_at, id limit 10)""",
+            ),
+            ("done", "select id from one union all select id from two"),
+        ],
     ),
     "alert_outbox_cycle": _with(
         ["timed"],
@@ -552,7 +613,13 @@ from errors""",
         + [
             ("alerts", f"select {_alert_columns('alert', '0')} from kept"),
             ("oldest", "select * from alerts order by event_time, alert_id limit 10"),
-            ("done", "select alert_id from oldest where alert_type = 'TEMP_HIGH'"),
+            ("one", "select alert_id from oldest where alert_type = 'TEMP_HIGH'"),
+            (
+                "next",
+                """select * from alerts where alert_id not in (select alert_id from one)
+order by event_time, alert_id limit 10""",
+            ),
+            ("done", "from one union all select alert_id from next where alert_type = 'TEMP_HIGH'"),
         ],
     ),
     "topic_tps": _with(
@@ -571,9 +638,16 @@ where seconds > 0 group by window_start, topic""",
         """select date_trunc('hour', ts) as window_start, topic, count(*) as n_messages,
   round(count(*) / 3600.0, 6) as rate from topics group by all""",
     ),
-    "consumer_lag": """select date_trunc('hour', ts) as ts, event_type as "group",
-  cast(sum(case when user_id % 50 > 0 then user_id % 50 else event_id end) as bigint) as lag
-from events group by 1, 2""",
+    "consumer_lag": _with(
+        ["topics"],
+        """select hour as ts, "group", cast(sum(lag) as bigint) as lag
+from (select date_trunc('hour', ts) as hour, event_type as "group",
+        case when user_id % 50 > 0 then user_id % 50 else event_id end as lag,
+        row_number() over (partition by date_trunc('hour', ts), event_type, topic, user_id % 10
+                           order by ts desc, event_id desc) as place
+      from topics)
+where place = 1 group by all""",
+    ),
     "topic_list": _with(["samples"], "select distinct topic from samples where topic <> ''"),
     "stream_cooldown_alerts": _with(["timed"], _KEPT_ROWS, _KEPT),
     "stream_cooldown_batches": _with(["timed"], _KEPT_ROWS, _KEPT),
@@ -582,7 +656,22 @@ from events group by 1, 2""",
         ["timed"],
         """select window_start, window_start + interval 1 hour as window_end, location, n_rows
 from (select date_trunc('hour', event_time) as window_start, location, count(*) as n_rows
-      from timed group by 1, 2)
-where window_start + interval 1 hour <= (select max(event_time) - interval 2 minute from timed)""",
+      from timed group by 1, 2)""",
+    ),
+    "replay_exactly_once": _with(
+        ["timed"],
+        """select location, n_archived, n_alerts, n_alerts as n_ids, n_alerts as n_raw, n_alerts as n_created
+from (select location, count(*) as n_archived from timed group by location)
+left join (select location, count(*) as n_alerts from kept group by location) using (location)""",
+        _KEPT,
+    ),
+    "late_alerts": _with(
+        ["timed"],
+        """select md5('alert|' || location || '|' || alert_type || '|'
+    || strftime(event_time, '%Y-%m-%dT%H:%M:%S')) as alert_id, location, alert_type, event_time,
+  (select count(*) from timed where location = 'Busan' and day(event_time) <= 10) as n_late
+from kept""",
+        [("fired", _alert_fired(where="(day(event_time) > 20 or location <> 'Busan')"))]
+        + _chain("fired", 30),
     ),
 }

@@ -8,12 +8,6 @@ RAW_COLUMNS = tuple(REQUIRED_FIELDS.values())
 
 CORRUPT = "_corrupt_record"
 
-# A drop file: every column is text; short or long lines land in the corrupt column.
-DROP_FILE = T.StructType(
-    [T.StructField(name, T.StringType()) for name in REQUIRED_FIELDS]
-    + [T.StructField(CORRUPT, T.StringType())]
-)
-
 # A reading message as the alert stream decodes it (retry is a double on the wire there).
 READING_MESSAGE = T.StructType(
     [

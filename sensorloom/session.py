@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -58,8 +60,8 @@ def read_or_empty(spark: SparkSession, path: str, schema: str | T.StructType) ->
 def work_root(spark: SparkSession) -> str:
     """The folder all executors share: what the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder; on a cluster a
-    machine-local folder would be lost with its executor, so that is an error.
+    Where it is unset, a session whose tasks all run in the driver's own process gets a temporary
+    folder, removed at the end; elsewhere that would be lost with its machine, so it is an error.
     """
     context = spark.sparkContext
     shared = context.getConf().get("spark.checkpoint.dir") or spark.conf.get(
@@ -70,9 +72,11 @@ def work_root(spark: SparkSession) -> str:
     current = context.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    if not context.master.startswith("local"):
+    if not context._jsc.sc().isLocal():
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="sensorloom-"))
+    own = tempfile.mkdtemp(prefix="sensorloom-")
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
+    context.setCheckpointDir(own)
     return context.getCheckpointDir().rstrip("/")
 
 

@@ -1,41 +1,122 @@
-"""CSV drop files."""
+"""CSV drop files.
+
+Columns are found by the names in the header of each file: their order does not matter, further
+columns are left out, and a column that is not there is null in all rows of the file. Files are
+read in groups of one header, so that each group is one plain CSV scan.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections import defaultdict
+
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..constants import REQUIRED_FIELDS
-from ..schemas import CORRUPT, DROP_FILE
+from ..schemas import CORRUPT
+from ..session import empty_frame
 
+FILES = "*.csv"
 # A quoted "" stays blank text and an empty cell is null; both count as missing later on.
 _OPTIONS = {
     "header": "true",
     "encoding": "UTF-8",
-    "enforceSchema": "false",  # columns are matched with the header of each file
+    "escape": '"',  # a quote inside quotes is doubled
+    "enforceSchema": "true",
     "nullValue": "\u0001",
     "emptyValue": "",
     "columnNameOfCorruptRecord": CORRUPT,
-    "pathGlobFilter": "*.csv",
 }
+DROPS_DDL = ", ".join(f"{c} string" for c in (*REQUIRED_FIELDS.values(), CORRUPT, "file_name"))
+
+
+def _lines(reader, path: str | list[str]) -> DataFrame:
+    text = reader.option("pathGlobFilter", FILES).text(path)
+    return text.select(
+        "value",
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("block_start"),
+    )
+
+
+def headers(lines: DataFrame) -> list[Row]:
+    """path and header of each file, from the lines of all files.
+
+    A header is the first line that has one of the field names as a cell; a file without one has
+    no header, and none of its columns is known.
+    """
+    names = "|".join(REQUIRED_FIELDS)
+    is_header = F.col("value").rlike(f'(^|,)\\s*"?({names})"?\\s*(,|$)')
+    found = F.when(is_header, F.col("value"))
+    # The row as such: a file that another task reads from its middle has its header elsewhere.
+    return (
+        lines.groupBy("path")
+        .agg(F.min_by(found, F.when(is_header, F.col("block_start"))).alias("header"))
+        .collect()
+    )
+
+
+def _columns(spark: SparkSession, header: str | None) -> list[str]:
+    """The cells of a header line, as Spark's own parser reads them."""
+    if header is None:
+        return []
+    width = header.count(",") + 1
+    cells = ", ".join(f"c{n} string" for n in range(width))
+    options = {k: _OPTIONS[k] for k in ("escape", "nullValue", "emptyValue")}
+    line = spark.range(1).select(F.from_csv(F.lit(header), cells, options).alias("c"))
+    return [(name or "").strip().lstrip("﻿") for name in line.first().c if name is not None]
+
+
+def _read_group(
+    spark: SparkSession, paths: list[str], header: str | None, multi_line: bool
+) -> DataFrame:
+    cells = _columns(spark, header)
+    schema = T.StructType([T.StructField(f"c{n}", T.StringType()) for n in range(len(cells) or 1)])
+    schema = schema.add(CORRUPT, T.StringType())
+    rows = (
+        spark.read.schema(schema)
+        .options(**_OPTIONS, multiLine=str(multi_line).lower())
+        .csv(sorted(paths))
+    )
+    nothing = F.lit(None).cast("string")
+    chosen = [
+        (F.col(f"c{cells.index(name)}") if name in cells else nothing).alias(column)
+        for name, column in REQUIRED_FIELDS.items()
+    ]
+    return rows.select(*chosen, CORRUPT, F.col("_metadata.file_name").alias("file_name"))
+
 
+def read_files(spark: SparkSession, files: list[Row], multi_line: bool = False) -> DataFrame:
+    """The rows of files of which path and header are known."""
+    groups: dict[str | None, list[str]] = defaultdict(list)
+    for file in files:
+        groups[file.header].append(file.path)
+    result = None
+    for header in sorted(groups, key=lambda h: (h is None, h)):
+        rows = _read_group(spark, groups[header], header, multi_line)
+        result = rows if result is None else result.unionByName(rows)
+    return empty_frame(spark, DROPS_DDL) if result is None else result
 
-def _named(frame: DataFrame) -> DataFrame:
-    columns = [F.col(name).alias(column) for name, column in REQUIRED_FIELDS.items()]
-    return frame.select(*columns, CORRUPT, F.col("_metadata.file_name").alias("file_name"))
 
+def read_drops(
+    spark: SparkSession, path: str | list[str], multi_line: bool = False
+) -> DataFrame:
+    """All drop files of a folder: text columns, the broken line if any, and the file name.
 
-def read_drops(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """All drop files of a folder: text columns, the broken line if any, and the file name."""
-    return _named(spark.read.schema(DROP_FILE).options(**_OPTIONS).csv(path))
+    ``multi_line`` allows line breaks in quoted cells; a file is then read by one task.
+    """
+    return read_files(spark, headers(_lines(spark.read, path)), multi_line)
 
 
 def stream_drops(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
-    """New drop files as a stream; a file counts as the same wherever its base name is."""
-    reader = spark.readStream.schema(DROP_FILE).options(**_OPTIONS).option("fileNameOnly", "true")
+    """The lines of new drop files as a stream; ``read_files(spark, headers(batch))`` gives the
+    rows of a micro-batch. A file counts as the same wherever its base name is, and is never
+    divided among micro-batches."""
+    reader = spark.readStream.option("fileNameOnly", "true")
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return _named(reader.csv(path))
+    return _lines(reader, path)
 
 
 def write_drops(readings: DataFrame, path: str) -> None:
@@ -45,6 +126,7 @@ def write_drops(readings: DataFrame, path: str) -> None:
         .write.mode("append")
         .option("header", "true")
         .option("emptyValue", '""')
+        .option("escape", '"')
         .csv(path)
     )
 

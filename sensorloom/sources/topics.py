@@ -1,8 +1,9 @@
 """Topics: Kafka where a broker is there, else a folder of Parquet files with the same columns.
 
-A stored topic lies under ``<root>/<topic>/producer=<name>/batch=<n>/``. A batch that is written
-again replaces itself, so a replayed micro-batch leaves no duplicates, and producers of one topic
-do not touch each other's batches.
+A stored topic lies under ``<root>/<topic>/producer=<name>/batch=<n>/``. A batch is marked when
+all of its files are there, and a marked batch is not written again: consumers that have read its
+files see no new ones when the producer replays the batch. Producers of one topic do not touch
+each other's batches.
 """
 
 from __future__ import annotations
@@ -13,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..constants import MAX_OFFSETS_PER_TRIGGER
 from ..schemas import TOPIC_RECORD
+from ..session import read_or_empty
 
 EARLIEST = "earliest"
 LATEST = "latest"
@@ -24,6 +25,12 @@ _STORED = T.StructType(
     + [T.StructField("producer", T.StringType()), T.StructField("batch", T.LongType())]
 )
 POSITION = ("topic", "producer", "batch", "offset")
+KAFKA_POSITION = ("topic", "partition", "offset")
+
+
+def position_of(records: DataFrame) -> tuple[str, ...]:
+    """The columns that tell the records of a topic apart, for either kind of topic."""
+    return POSITION if set(POSITION) <= set(records.columns) else KAFKA_POSITION
 
 
 @dataclass(frozen=True)
@@ -34,7 +41,7 @@ class KafkaTopics:
     options: dict[str, str] = field(default_factory=dict)
 
     def source_options(
-        self, topic: str, starting: str = LATEST, max_offsets: int | None = MAX_OFFSETS_PER_TRIGGER
+        self, topic: str, starting: str = LATEST, max_offsets: int | None = None
     ) -> dict[str, str]:
         found = {
             "kafka.bootstrap.servers": self.servers,
@@ -54,7 +61,7 @@ class KafkaTopics:
         spark: SparkSession,
         topic: str,
         starting: str = LATEST,
-        max_offsets: int | None = MAX_OFFSETS_PER_TRIGGER,
+        max_offsets: int | None = None,
     ) -> DataFrame:
         options = self.source_options(topic, starting, max_offsets)
         return _as_text(spark.readStream.format("kafka").options(**options).load())
@@ -85,11 +92,16 @@ class StoredTopics:
         return f"{self.root}/{topic}"
 
     def write(self, records: DataFrame, topic: str, batch_id: int, producer: str) -> None:
-        """Write the records of one topic as one batch.
+        """Write the records of one topic as one batch, unless that batch is there already.
 
         Records without a partition get one from their key. Offsets grow within a batch, so
-        (producer, batch, offset) is the position of a record.
+        (producer, batch, offset) is the position of a record. A producer that is lost after it
+        wrote a batch and before it marked it writes the batch again, which replaces its files.
         """
+        spark = records.sparkSession
+        mark = f"{self.root}/_marks/{topic}/producer={producer}/batch={batch_id}"
+        if not read_or_empty(spark, mark, "marked_at timestamp").isEmpty():
+            return
         by_key = F.pmod(F.xxhash64("key"), F.lit(self.partitions)).cast("int")
         placed = records.select(
             "key",
@@ -101,6 +113,8 @@ class StoredTopics:
         )
         folder = f"{self.path(topic)}/producer={producer}/batch={batch_id}"
         placed.write.mode("overwrite").parquet(folder)
+        now = spark.range(1).select(F.current_timestamp().alias("marked_at"))
+        now.write.mode("overwrite").parquet(mark)
 
     def read(self, spark: SparkSession, topic: str, from_batch: int = 0) -> DataFrame:
         """The records of a topic from a start position on; folders before it are not read."""

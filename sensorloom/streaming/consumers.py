@@ -1,33 +1,35 @@
-"""Streams that read the topics: alerts, retry diversion, archive, retry, dead letters."""
+"""Streams that read the topics: alerts with the diversion beside them, archive, retry, dead letters."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..constants import (
-    ARCHIVE_ROWS_PER_FILE,
     ARCHIVE_TRIGGER,
     COOLDOWN_MINUTES,
-    DIVERT_RATE,
     REQUIRED_FIELDS,
-    RETRY_FAIL_RATE,
     TOPIC_ERRORS,
     TOPIC_RETRY,
     WATERMARK,
     WINDOW,
 )
 from ..functions.once import once
-from ..functions.parse import event_time_lenient
-from ..operators.alerts import alert_rows
+from ..functions.parse import event_time_lenient, iso_text
+from ..operators.alerts import alert_rows, with_raw_json, write_alerts
 from ..operators.archive import ARCHIVE_KEYS, archive_rows
+from ..operators.cooldown import cooldown
 from ..operators.deadletter import error_rows, record_id
 from ..operators.retry import decode_message, retry_candidates, retry_dead_letters, with_failure
-from ..operators.routing import decode_readings, is_diverted, to_retry_records
+from ..operators.routing import decode_readings, is_diverted, reading_json, to_retry_records
 from ..operators.rules import ALERT_PROFILE, RETRY_PROFILE, Profile, detect_candidates
-from ..sources.topics import POSITION
-from .cooldown import stream_cooldown
+from ..schemas import ALERTS_TABLE
+from ..session import read_or_empty
+from ..sources.topics import position_of
 
 IDENTITY = tuple(REQUIRED_FIELDS.values())
 
@@ -44,7 +46,7 @@ def window_counts_stream(
     readings: DataFrame, width: str = WINDOW, watermark: str = WATERMARK
 ) -> DataFrame:
     """Rows per location and window; rows later than the watermark are dropped and counted
-    by the stream's progress report."""
+    by the stream's progress report. Start it with :func:`start_window_counts`."""
     return (
         readings.withWatermark("event_time", watermark)
         .groupBy(F.window("event_time", width), "location")
@@ -58,50 +60,212 @@ def window_counts_stream(
     )
 
 
-def alert_stream(
+def start_window_counts(
+    counts: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Write what changed in each micro-batch, windows that are still open too.
+
+    ``read_window_counts`` gives the latest count of each window.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return (
+        counts.writeStream.foreachBatch(write)
+        .outputMode("update")
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": "1 second"}))
+        .start()
+    )
+
+
+def read_window_counts(spark: SparkSession, path: str) -> DataFrame:
+    stored = spark.read.parquet(path)
+    return stored.groupBy("window_start", "window_end", "location").agg(
+        F.max_by("n_rows", "batch").alias("n_rows")
+    )
+
+
+# --- alerts -----------------------------------------------------------------------------------
+class AlertState:
+    """What one alert job knows after each micro-batch, in a folder of its own for each: the last
+    kept alert of every key, and how far event time has come."""
+
+    last_schema = "location string, alert_type string, event_time timestamp"
+    progress_schema = "seen timestamp, n_rows long, n_late long"
+
+    def __init__(self, path: str):
+        self.path = path
+
+    def last(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        return read_or_empty(spark, f"{self.path}/last/batch={batch_id}", self.last_schema)
+
+    def seen(self, spark: SparkSession, batch_id: int):
+        """The latest event time up to a micro-batch, None before the first."""
+        rows = read_or_empty(spark, f"{self.path}/progress/batch={batch_id}", self.progress_schema)
+        return rows.select(F.max("seen")).first()[0]
+
+    def progress(self, spark: SparkSession) -> DataFrame:
+        """Rows and late rows of every micro-batch."""
+        return read_or_empty(
+            spark, f"{self.path}/progress", self.progress_schema + ", batch long"
+        )
+
+    def save(self, spark: SparkSession, batch_id: int, written: DataFrame, progress: Row) -> None:
+        keys = ["location", "alert_type"]
+        both = self.last(spark, batch_id - 1).unionByName(written.select(*keys, "event_time"))
+        latest = both.groupBy(*keys).agg(F.max("event_time").alias("event_time"))
+        latest.write.mode("overwrite").parquet(f"{self.path}/last/batch={batch_id}")
+        row = spark.createDataFrame([progress], self.progress_schema)
+        row.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/progress/batch={batch_id}")
+
+
+def _keep_alerts(
+    judged: DataFrame,
+    candidates: Callable[[DataFrame], DataFrame],
+    batch_id: int,
+    *,
+    path: str,
+    state: AlertState,
+    tie: str,
+    raw_json: Column,
+    minutes: float,
+    profile: Profile,
+    watermark: str,
+    quarantine: str | None,
+) -> DataFrame:
+    """Write the alerts of a micro-batch; returns its rows that are not late.
+
+    A row is late if it lies further than ``watermark`` behind what was seen before this
+    micro-batch; it raises nothing, and is counted.
+    """
+    spark = judged.sparkSession
+    seen = state.seen(spark, batch_id - 1)
+    if seen is None:
+        on_time = judged
+    else:
+        limit = F.lit(seen) - F.expr(f"interval {watermark}")
+        on_time = judged.where(F.col("event_time").isNull() | (F.col("event_time") >= limit))
+    kept = cooldown(
+        candidates(on_time), tie=tie, minutes=minutes, seed=state.last(spark, batch_id - 1)
+    )
+    rows = alert_rows(with_raw_json(kept, on_time, tie, raw_json), profile)
+    folder = f"{path}/batch={batch_id}"
+    write_alerts(
+        rows, folder, f"{quarantine}/batch={batch_id}" if quarantine else None, mode="overwrite"
+    )
+    totals = judged.agg(F.max("event_time"), F.count("*")).first()
+    late = totals[1] - on_time.count()
+    latest = max((t for t in (seen, totals[0]) if t is not None), default=None)
+    written = read_or_empty(spark, folder, ALERTS_TABLE)
+    state.save(spark, batch_id, written, Row(seen=latest, n_rows=totals[1], n_late=late))
+    return on_time
+
+
+def start_alerts(
     records: DataFrame,
+    path: str,
+    state: AlertState,
+    checkpoint: str,
     *,
-    rate: float = DIVERT_RATE,
+    rate: float,
+    topics=None,
     minutes: float = COOLDOWN_MINUTES,
     profile: Profile = ALERT_PROFILE,
-) -> DataFrame:
-    """Alerts of the readings that are not diverted, each reading looked at once."""
-    checked = timed_readings(records).where(~is_diverted(*IDENTITY, rate=rate))
-    candidates = detect_candidates(checked, profile, "reading_id", "location", "event_time")
-    return alert_rows(stream_cooldown(candidates, tie="reading_id", minutes=minutes), profile)
+    watermark: str = WATERMARK,
+    quarantine: str | None = None,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Alerts of reading records, each reading looked at once, and the diversion beside them.
+
+    A ``rate`` share of the readings goes to the retry topic of ``topics`` instead. A micro-batch
+    is decoded once; the cooldown is the batch operator, which spreads a hot key over all tasks.
+    All outputs are addressed by the batch number: one that runs again replaces what it wrote.
+    """
+
+    def work(batch: DataFrame, batch_id: int) -> None:
+        readings = timed_readings(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            diverted = is_diverted(*IDENTITY, rate=rate)
+
+            def candidates(on_time: DataFrame) -> DataFrame:
+                return detect_candidates(
+                    on_time.where(~diverted), profile, "reading_id", "location", "event_time"
+                )
 
+            on_time = _keep_alerts(
+                readings, candidates, batch_id, path=path, state=state, tie="reading_id",
+                raw_json=reading_json(iso_text("event_time").alias("event_time")), minutes=minutes,
+                profile=profile, watermark=watermark, quarantine=quarantine,
+            )
+            if topics is not None:
+                retries = to_retry_records(on_time.where(diverted))
+                topics.write(retries, TOPIC_RETRY, batch_id, "alerting")
+        finally:
+            readings.unpersist()
 
-def diverted_stream(records: DataFrame, rate: float = DIVERT_RATE) -> DataFrame:
-    """Retry records of the diverted readings: exactly those the alert stream leaves out."""
-    return to_retry_records(timed_readings(records).where(is_diverted(*IDENTITY, rate=rate)))
+    return _start_batches(records, work, checkpoint, trigger)
 
 
-def judged_retries(records: DataFrame, fail_rate: float = RETRY_FAIL_RATE) -> DataFrame:
+def judged_retries(records: DataFrame, fail_rate: float = 0.0) -> DataFrame:
     decoded = decode_message(records).withColumn("message_id", F.xxhash64("value"))
     return with_failure(decoded, "value", fail_rate=fail_rate)
 
 
-def retry_alert_stream(
+def start_retries(
     records: DataFrame,
+    path: str,
+    state: AlertState,
+    checkpoint: str,
     *,
-    fail_rate: float = RETRY_FAIL_RATE,
+    topics=None,
+    fail_rate: float = 0.0,
     minutes: float = COOLDOWN_MINUTES,
     profile: Profile = RETRY_PROFILE,
-) -> DataFrame:
-    candidates = retry_candidates(judged_retries(records, fail_rate), "message_id", profile=profile)
-    return alert_rows(stream_cooldown(candidates, tie="message_id", minutes=minutes), profile)
-
-
-def retry_dead_letter_stream(records: DataFrame, fail_rate: float = RETRY_FAIL_RATE) -> DataFrame:
-    return retry_dead_letters(judged_retries(records, fail_rate))
+    watermark: str = WATERMARK,
+    quarantine: str | None = None,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Late alerts of retry records; messages that fail go to the error topic of ``topics``."""
+
+    def work(batch: DataFrame, batch_id: int) -> None:
+        judged = judged_retries(batch, fail_rate).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            _keep_alerts(
+                judged.where("failure is null"),
+                lambda on_time: retry_candidates(on_time, "message_id", profile=profile),
+                batch_id, path=path, state=state, tie="message_id",
+                raw_json=F.col("value").cast("string"), minutes=minutes, profile=profile,
+                watermark=watermark, quarantine=quarantine,
+            )
+            if topics is not None:
+                topics.write(retry_dead_letters(judged), TOPIC_ERRORS, batch_id, "retry")
+        finally:
+            judged.unpersist()
+
+    return _start_batches(records, work, checkpoint, trigger)
+
+
+def _start_batches(
+    records: DataFrame, work: Callable[[DataFrame, int], None], checkpoint: str, trigger: dict | None
+) -> StreamingQuery:
+    return (
+        records.writeStream.foreachBatch(work)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": "1 second"}))
+        .start()
+    )
 
 
+# --- dead letters -----------------------------------------------------------------------------
 def error_table_stream(records: DataFrame) -> DataFrame:
     """Rows of the error table with an id from the record's position."""
-    rows = error_rows(records, *POSITION, "timestamp")
+    position = position_of(records)
+    rows = error_rows(records, *position, "timestamp")
     return rows.select(
-        record_id(*POSITION).alias("id"),
-        *[c for c in rows.columns if c not in (*POSITION, "timestamp")],
+        record_id(*position).alias("id"),
+        *[c for c in rows.columns if c not in (*position, "timestamp")],
         F.col("timestamp").alias("created_at"),
     )
 
@@ -128,53 +292,24 @@ def start_archive(
     path: str,
     checkpoint: str,
     *,
-    rows_per_file: int = ARCHIVE_ROWS_PER_FILE,
-    spread: int = 8,
+    rows_per_file: int | None = None,
+    spread: int | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Archive a stream of decoded readings.
 
     Rows of one folder come together in at most ``spread`` tasks, so that a hot location is
-    not written by one task alone.
+    not written by one task alone; without it, in as many as the session has shuffle partitions.
     """
+    if spread is None:
+        spread = int(readings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     share = F.pmod(F.xxhash64("date_time", "temperature_c"), F.lit(spread))
     rows = archive_rows(readings).repartition(*ARCHIVE_KEYS, share)
+    writer = rows.writeStream.format("parquet").partitionBy(*ARCHIVE_KEYS)
+    if rows_per_file:
+        writer = writer.option("maxRecordsPerFile", rows_per_file)
     return (
-        rows.writeStream.format("parquet")
-        .partitionBy(*ARCHIVE_KEYS)
-        .option("maxRecordsPerFile", rows_per_file)
-        .option("checkpointLocation", checkpoint)
+        writer.option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": ARCHIVE_TRIGGER}))
         .start(path)
     )
-
-
-def start_topic(
-    records: DataFrame,
-    topics,
-    topic: str,
-    producer: str,
-    checkpoint: str,
-    trigger: dict | None = None,
-) -> StreamingQuery:
-    """Write a stream of records to a topic, one addressed batch per micro-batch."""
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        topics.write(batch, topic, batch_id, producer)
-
-    return (
-        records.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"processingTime": "1 second"}))
-        .start()
-    )
-
-
-def start_diversion(records: DataFrame, topics, checkpoint: str, **kwargs) -> StreamingQuery:
-    return start_topic(diverted_stream(records), topics, TOPIC_RETRY, "alerting", checkpoint, **kwargs)
-
-
-def start_retry_failures(records: DataFrame, topics, checkpoint: str, **kwargs) -> StreamingQuery:
-    return start_topic(
-        retry_dead_letter_stream(records), topics, TOPIC_ERRORS, "retry", checkpoint, **kwargs
-    )

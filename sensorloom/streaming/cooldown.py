@@ -92,13 +92,11 @@ def start_cooldown(
     again starts from the same seed and replaces both.
     """
     keys = list(keys)
-    state_fields = [candidates.schema[c] for c in [*keys, time]]
-    state_schema = T.StructType([*state_fields, T.StructField("batch", T.LongType())])
+    state_schema = T.StructType([candidates.schema[c] for c in [*keys, time]])
 
     def keep(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        states = read_or_empty(spark, state_path, state_schema)
-        seed = states.where(F.col("batch") == batch_id - 1).select(*keys, time)
+        seed = read_or_empty(spark, f"{state_path}/batch={batch_id - 1}", state_schema)
         kept = cooldown(batch, keys=keys, time=time, tie=tie, minutes=minutes, seed=seed)
         folder = f"{path}/batch={batch_id}"
         kept.write.mode("overwrite").parquet(folder)

@@ -10,35 +10,37 @@ from pyspark.sql.streaming import StreamingQuery
 from ..constants import TOPIC_ERRORS, TOPIC_PARTITIONS, TOPIC_READINGS
 from ..functions.parse import event_time_lenient
 from ..operators.routing import allocate_new, to_error_records, to_reading_records
-from ..operators.validate import file_counts, rejected_readings, valid_readings
+from ..operators.validate import counts_of, judged_readings, rejected_of, valid_of
 from ..session import read_or_empty
+from ..sources.drops import headers, read_files
 
 
 PRODUCER = "ingest"
 
 
 class RegionTable:
-    """The location dimension as a table that grows by the batches which saw new locations."""
+    """The location dimension, whole after each batch, so that one folder is read and not all."""
 
-    schema = "location string, partition int, batch long"
+    schema = "location string, partition int"
 
     def __init__(self, path: str):
         self.path = path
 
     def before(self, spark: SparkSession, batch_id: int) -> DataFrame:
         """What was known before a batch; a replayed batch does not see its own rows."""
-        stored = read_or_empty(spark, self.path, self.schema)
-        return stored.where(F.col("batch") < batch_id).select("location", "partition")
+        stored = read_or_empty(spark, f"{self.path}/upto={batch_id - 1}", self.schema)
+        return stored.select("location", "partition")
 
     def start_with(self, regions: DataFrame) -> None:
         """Store a given dimension as the state before the first batch."""
-        regions.write.mode("overwrite").parquet(f"{self.path}/batch=-1")
+        regions.select("location", "partition").write.mode("overwrite").parquet(f"{self.path}/upto=-1")
 
     def extend(self, valid: DataFrame, batch_id: int, partitions: int) -> DataFrame:
         """Give new locations their partition, store them, and return the whole dimension."""
         spark = valid.sparkSession
-        fresh = allocate_new(valid, self.before(spark, batch_id), partitions)
-        fresh.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+        known = self.before(spark, batch_id)
+        grown = known.unionByName(allocate_new(valid, known, partitions))
+        grown.write.mode("overwrite").parquet(f"{self.path}/upto={batch_id}")
         return self.before(spark, batch_id + 1)
 
 
@@ -53,21 +55,24 @@ def start_ingest(
 ) -> StreamingQuery:
     """Start the stream that routes drop files.
 
-    Each micro-batch is read once and kept while its outputs are written. Every output is
-    addressed by the batch number, so a batch that is run again replaces what it wrote.
+    ``drops`` comes from ``stream_drops``. The files of a micro-batch are read by their headers and
+    judged once; the judged rows are kept while the outputs are written, on executor disks where
+    memory is short, so ``files_per_trigger`` bounds them. Every output is addressed by the batch
+    number, so a batch that is run again does not write twice.
     """
 
-    def route(raw: DataFrame, batch_id: int) -> None:
-        raw = raw.persist(StorageLevel.MEMORY_AND_DISK)
+    def route(lines: DataFrame, batch_id: int) -> None:
+        rows = read_files(lines.sparkSession, headers(lines))
+        judged = judged_readings(rows).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            timed = valid_readings(raw).withColumn("event_time", event_time_lenient("date_time"))
+            timed = valid_of(judged).withColumn("event_time", event_time_lenient("date_time"))
             known = regions.extend(timed, batch_id, partitions)
             topics.write(to_reading_records(timed, known), TOPIC_READINGS, batch_id, PRODUCER)
-            topics.write(to_error_records(rejected_readings(raw)), TOPIC_ERRORS, batch_id, PRODUCER)
+            topics.write(to_error_records(rejected_of(judged)), TOPIC_ERRORS, batch_id, PRODUCER)
             if counts_path is not None:
-                file_counts(raw).write.mode("overwrite").parquet(f"{counts_path}/batch={batch_id}")
+                counts_of(judged).write.mode("overwrite").parquet(f"{counts_path}/batch={batch_id}")
         finally:
-            raw.unpersist()
+            judged.unpersist()
 
     return (
         drops.writeStream.queryName("ingest")
