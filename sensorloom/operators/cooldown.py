@@ -8,22 +8,24 @@ key cannot be worked off in one task either. The chain is therefore cut into tim
 1. Of the alerts of one key at one instant only the first can be kept. An aggregation over
    (key, instant), combined before its shuffle, spreads a hot key over all tasks and leaves at
    most one row per instant.
-2. Each (key, block of 256 spans) is summed up on its own as a step table: for every instant at
+2. Each (key, block of some spans) is summed up on its own as a step table: for every instant at
    which the key may become ready inside the block, the last alert kept in the block. Equal
    neighbours are merged.
-3. The step tables of 128 neighbouring blocks are joined to one table per unit, by
-   feeding the outcome of one block into the next.
-4. Units are replayed per key, then blocks per unit, which gives the state at the start of
-   every block; only these small tables are involved.
+3. The step tables of neighbouring blocks are joined to one table per unit, by feeding the outcome
+   of one block into the next; units are joined to larger units until few are left per key.
+4. The largest units are replayed per key, then each unit's parts, down to the blocks, which gives
+   the state at the start of every block; only step tables are involved.
 5. Each (key, block) then keeps its alerts on its own, from its known start.
 
-A task thus sees at most the distinct instants of one key in 256 spans (460,800 at one-second
-times and 30 minutes), whatever the key's share of the rows.
+How many spans make a block and how many parts a unit follows from the resolution of the times, so
+that no task holds more than a fixed number of instants or steps, whatever the key's share of the
+rows. Step tables travel in rows of bounded size.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -33,11 +35,36 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SPANS_PER_BLOCK = 256
-BLOCKS_PER_UNIT = 128
+PARTS_PER_UNIT = 128
+# Instants that a block may hold, and steps that a unit may, at the stated resolution.
+BLOCK_INSTANTS = 1 << 19
+UNIT_STEPS = 1 << 23
+STEPS_PER_ROW = 1 << 16
+# The time that units are laid out for: longer tables only make the last replay longer.
+HORIZON_MICROS = 20 * 366 * 86_400_000_000
 NEVER = -(1 << 62)  # "no alert kept yet", far before any timestamp
 
-STEPS = "array<struct<upto:bigint,last:bigint>>"
-_STEP = pa.struct([("upto", pa.int64()), ("last", pa.int64())])
+_STEP_FIELDS = "_id bigint, _row int, _upto array<bigint>, _last array<bigint>"
+
+
+@dataclass(frozen=True)
+class Layout:
+    """Microseconds of a block, parts of a unit, and how often units are joined to larger ones."""
+
+    width: int
+    arity: int
+    levels: int
+
+    @staticmethod
+    def of(gap: int, resolution: int) -> Layout:
+        """At seconds and 30 minutes: blocks of 256 spans, and one level of units of 128 blocks."""
+        instants = max(1, -(-gap // resolution))  # that a span may hold
+        spans = min(max(BLOCK_INSTANTS // instants, 1), SPANS_PER_BLOCK)
+        arity = min(max(UNIT_STEPS // instants, 2), PARTS_PER_UNIT)
+        blocks, levels = -(-HORIZON_MICROS // (gap * spans)), 1
+        while blocks > arity ** (levels + 1):
+            levels += 1
+        return Layout(gap * spans, arity, levels)
 
 
 # --- helpers on sorted instants (microseconds) ------------------------------------------------
@@ -90,73 +117,103 @@ def join_steps(
 
 
 # --- Arrow group functions --------------------------------------------------------------------
-def _one_row(key: tuple, schema: pa.Schema, upto: np.ndarray, last: np.ndarray) -> pa.Table:
-    pairs = pa.StructArray.from_arrays([pa.array(upto), pa.array(last)], fields=list(_STEP))
-    steps = pa.ListArray.from_arrays(pa.array([0, len(pairs)], pa.int32()), pairs)
-    arrays = [pa.array([k.as_py()], f.type) for k, f in zip(key, schema)] + [steps]
-    return pa.Table.from_arrays(arrays, schema=schema)
-
-
-def _unpack(steps: pa.ListScalar) -> tuple[np.ndarray, np.ndarray]:
-    pairs = steps.values
-    return pairs.field("upto").to_numpy(), pairs.field("last").to_numpy()
+def _step_rows(key: list, schema: pa.Schema, id_: int, upto: np.ndarray, last: np.ndarray) -> pa.Table:
+    """One step table as rows of at most ``STEPS_PER_ROW`` steps."""
+    starts = range(0, len(upto), STEPS_PER_ROW)
+    columns = [pa.array([k] * len(starts), f.type) for k, f in zip(key, schema)]
+    columns.append(pa.array([id_] * len(starts), pa.int64()))
+    columns.append(pa.array(range(len(starts)), pa.int32()))
+    for steps in (upto, last):
+        rows = [steps[n : n + STEPS_PER_ROW] for n in starts]
+        columns.append(pa.array(rows, pa.list_(pa.int64())))
+    return pa.Table.from_arrays(columns, schema=schema)
+
+
+def _step_tables(group: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """The step tables of a group in the order of their ids."""
+    group = group.sort_by([("_id", "ascending"), ("_row", "ascending")])
+    ids = group.column("_id").to_numpy()
+    starts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]])) if len(ids) else []
+    for start, stop in zip(starts, [*starts[1:], len(ids)]):
+        part = group.slice(start, stop - start)
+        steps = [np.concatenate([r.values.to_numpy() for r in part.column(c)]) for c in ("_upto", "_last")]
+        yield int(ids[start]), *steps
 
 
 def _arrow_schema(fields: list[T.StructField]) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 
     plain = to_arrow_schema(T.StructType(fields))
-    return plain.append(pa.field("_steps", pa.list_(_STEP)))
+    for name, kind in (("_id", pa.int64()), ("_row", pa.int32())):
+        plain = plain.append(pa.field(name, kind))
+    for name in ("_upto", "_last"):
+        plain = plain.append(pa.field(name, pa.list_(pa.int64())))
+    return plain
 
 
 def _steps_of_block(schema: pa.Schema, width: int, gap: int):
     def run(key: tuple, group: pa.Table) -> pa.Table:
+        *own, block = (k.as_py() for k in key)
         times = np.sort(group.column("_t").to_numpy())
-        return _one_row(key, schema, *block_steps(times, key[-1].as_py() * width, gap))
+        return _step_rows(own, schema, block, *block_steps(times, block * width, gap))
 
     return run
 
 
 def _steps_of_unit(schema: pa.Schema, width: int, gap: int):
+    """``width`` is that of the parts."""
+
     def run(key: tuple, group: pa.Table) -> pa.Table:
-        blocks = group.column("_parts").combine_chunks().values
-        first = blocks.field("_id")[0].as_py() * width
-        tables = [_unpack(steps) for steps in blocks.field("_steps")]
-        return _one_row(key, schema, *join_steps(tables, first, gap))
+        *own, unit = (k.as_py() for k in key)
+        parts = list(_step_tables(group))
+        tables = [steps for _, *steps in parts]
+        return _step_rows(own, schema, unit, *join_steps(tables, parts[0][0] * width, gap))
 
     return run
 
 
-def _keep_in_block(gap: int, tie: str, columns: list[str]):
-    def run(events: pa.Table, state: pa.Table) -> pa.Table:
-        events = events.sort_by("_t")
-        last = state.column("_last")[0].as_py() if state.num_rows else NEVER
-        kept = keep_from(events.column("_t").to_numpy(), last, gap)
-        return events.take(pa.array(kept, pa.int64())).select(columns)
+def _replay(group: pa.Table, last: int, gap: int) -> tuple[list[int], list[int]]:
+    """The state before each part of a unit that starts with the state ``last``."""
+    ids, states = [], []
+    for id_, upto, kept in _step_tables(group):
+        ids.append(id_)
+        states.append(last)
+        step = int(np.searchsorted(upto, last + gap))
+        if step < len(upto):
+            last = int(kept[step])
+    return ids, states
+
+
+def _state_rows(key: list, schema: pa.Schema, ids: list[int], states: list[int]) -> pa.Table:
+    columns = [pa.array([k] * len(ids), f.type) for k, f in zip(key, schema)]
+    columns += [pa.array(ids, pa.int64()), pa.array(states, pa.int64())]
+    names = [f.name for f in schema][: len(key)] + ["_id", "_state"]
+    return pa.Table.from_arrays(columns, names=names)
+
+
+def _first_states(schema: pa.Schema, gap: int):
+    def run(key: tuple, group: pa.Table) -> pa.Table:
+        return _state_rows([k.as_py() for k in key], schema, *_replay(group, NEVER, gap))
 
     return run
 
 
-# --- replay of step tables, in plain expressions ----------------------------------------------
-def _state_path(last: str, gap: int) -> Column:
-    """Walk the sorted _parts from state ``last``; the state before each as (_id, _last)."""
-    return F.expr(
-        f"""aggregate(
-            _parts,
-            named_struct(
-                'last', {last}, 'path', cast(array() as array<struct<_id:bigint,_last:bigint>>)),
-            (acc, part) -> named_struct(
-                'last', coalesce(
-                    get(filter(part._steps, s -> s.upto >= acc.last + {gap}), 0).last, acc.last),
-                'path', concat(acc.path, array(named_struct('_id', part._id, '_last', acc.last)))),
-            acc -> acc.path)"""
-    )
+def _part_states(schema: pa.Schema, gap: int):
+    def run(key: tuple, parts: pa.Table, state: pa.Table) -> pa.Table:
+        start = state.column("_state")[0].as_py()
+        return _state_rows([k.as_py() for k in key[:-1]], schema, *_replay(parts, start, gap))
 
+    return run
+
+
+def _keep_in_block(gap: int, columns: list[str]):
+    def run(events: pa.Table, state: pa.Table) -> pa.Table:
+        events = events.sort_by("_t")
+        last = state.column("_state")[0].as_py() if state.num_rows else NEVER
+        kept = keep_from(events.column("_t").to_numpy(), last, gap)
+        return events.take(pa.array(kept, pa.int64())).select(columns)
 
-def _collect_parts(steps: DataFrame, group: list[str], part: str) -> DataFrame:
-    """The step tables of a group as one array sorted by time; both counts are bounded."""
-    parts = F.collect_list(F.struct(F.col(part).alias("_id"), "_steps"))
-    return steps.groupBy(*group).agg(F.sort_array(parts).alias("_parts"))
+    return run
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
@@ -183,6 +240,7 @@ def cooldown(
     tie: str = "event_id",
     minutes: float = 30,
     seed: DataFrame | None = None,
+    resolution: float = 1.0,
 ) -> DataFrame:
     """The kept alerts, with all their columns.
 
@@ -190,12 +248,15 @@ def cooldown(
     at one instant. ``seed`` holds (keys, ``time``) of alerts kept earlier, of which the latest
     per key counts; an alert earlier than one span after it is suppressed, also when it is
     older (late). Keep the columns few and numeric: they go through the shuffle.
+
+    ``resolution`` is the usual distance of distinct times in seconds; tasks are laid out for it.
+    Times that are closer give the same alerts, with larger tasks.
     """
     keys = list(keys)
     gap = round(minutes * 60_000_000)
     if gap <= 0:
         raise ValueError("the cooldown must be longer than zero")
-    width = gap * SPANS_PER_BLOCK
+    layout = Layout.of(gap, max(1, round(resolution * 1_000_000)))
     columns = candidates.columns
     micros = F.unix_micros(F.col(time))
 
@@ -209,43 +270,40 @@ def cooldown(
         latest = seed.groupBy(*keys).agg(F.unix_micros(F.max(time)).alias("_seed"))
         ready = F.col("_seed").isNull() | (micros >= F.col("_seed") + gap)
         firsts = _null_safe_join(firsts, latest, keys).where(ready).drop("_seed")
-    events = (
-        firsts.withColumn("_t", micros)
-        .withColumn("_block", part_of(F.col("_t"), width))
+    events = firsts.withColumn("_t", micros).withColumn(
+        "_block", part_of(F.col("_t"), layout.width)
     )
 
     key_fields = [candidates.schema[k] for k in keys]
-    block_fields = key_fields + [T.StructField("_block", T.LongType())]
-    unit_fields = key_fields + [T.StructField("_unit", T.LongType())]
-
-    block_steps_df = events.groupBy(*keys, "_block").applyInArrow(
-        _steps_of_block(_arrow_schema(block_fields), width, gap),
-        T.StructType(block_fields).simpleString()[len("struct<") : -1] + f",_steps:{STEPS}",
-    )
-    units = _collect_parts(
-        block_steps_df.withColumn("_unit", part_of(F.col("_block"), BLOCKS_PER_UNIT)),
-        [*keys, "_unit"],
-        "_block",
-    )
-    unit_steps = units.groupBy(*keys, "_unit").applyInArrow(
-        _steps_of_unit(_arrow_schema(unit_fields), width, gap),
-        T.StructType(unit_fields).simpleString()[len("struct<") : -1] + f",_steps:{STEPS}",
-    )
-
-    chains = _collect_parts(unit_steps, keys, "_unit")
-    unit_states = chains.select(
-        *keys,
-        F.inline(_state_path(f"bigint('{NEVER}')", gap)).alias("_unit", "_last"),
-    )
-    block_states = _null_safe_join(unit_states, units, [*keys, "_unit"]).select(
-        *keys, F.inline(_state_path("_last", gap)).alias("_block", "_last")
-    )
+    key_ddl = T.StructType(key_fields).simpleString()[len("struct<") : -1]
+    schema = _arrow_schema(key_fields)
+    step_ddl, state_ddl = f"{key_ddl},{_STEP_FIELDS}", f"{key_ddl},_id bigint,_state bigint"
+
+    width = layout.width
+    tables = [
+        events.groupBy(*keys, "_block").applyInArrow(_steps_of_block(schema, width, gap), step_ddl)
+    ]
+    unit = part_of(F.col("_id"), layout.arity)
+    for _ in range(layout.levels):
+        parts = tables[-1].withColumn("_unit", unit)
+        joined = parts.groupBy(*keys, "_unit").applyInArrow(
+            _steps_of_unit(schema, width, gap), step_ddl
+        )
+        tables.append(joined)
+        width *= layout.arity
+
+    states = tables.pop().groupBy(*keys).applyInArrow(_first_states(schema, gap), state_ddl)
+    while tables:
+        parts = tables.pop().withColumn("_unit", unit).groupBy(*keys, "_unit")
+        states = parts.cogroup(states.groupBy(*keys, "_id")).applyInArrow(
+            _part_states(schema, gap), state_ddl
+        )
 
     kept_schema = T.StructType([candidates.schema[c] for c in columns])
     return (
         events.groupBy(*keys, "_block")
-        .cogroup(block_states.groupBy(*keys, "_block"))
-        .applyInArrow(_keep_in_block(gap, tie, columns), kept_schema)
+        .cogroup(states.groupBy(*keys, "_id"))
+        .applyInArrow(_keep_in_block(gap, columns), kept_schema)
     )
 
 

@@ -415,6 +415,25 @@ def _cooldown_six_hours(spark, sf_dir):
     return _kept(spark, sf_dir, minutes=360)
 
 
+@query("cooldown_dense")
+def _cooldown_dense(spark, sf_dir):
+    """One key with an alert in every millisecond, over several units of blocks."""
+    copies = 64
+    rows = table(spark, sf_dir, "events").select(
+        F.lit("Dallas").alias("location"),
+        F.lit("TEMP_HIGH").alias("alert_type"),
+        F.col("event_id"),
+        F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("n"),
+    )
+    alerts = rows.select(
+        "location",
+        "alert_type",
+        (F.col("event_id") * copies + F.col("n")).alias("event_id"),
+        F.timestamp_millis(1704067200000 + F.col("event_id") * copies + F.col("n")).alias("event_time"),
+    )
+    return cooldown(alerts, minutes=7 / 60_000, resolution=0.001)
+
+
 @query("cooldown_seeded")
 def _cooldown_seeded(spark, sf_dir):
     """The first days seed the cooldown of the rest."""

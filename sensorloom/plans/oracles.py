@@ -416,6 +416,10 @@ group by location""",
     "cooldown_six_hours": _with(
         ["timed"], _KEPT_ROWS, [("fired", _alert_fired())] + _chain("fired", 360)
     ),
+    "cooldown_dense": """select 'Dallas' as location, 'TEMP_HIGH' as alert_type, t as event_id,
+  make_timestamp((1704067200000 + t) * 1000) as event_time
+from (select event_id * 64 + n as t, min(event_id * 64) over () as first
+      from events, (select unnest(range(64)) as n)) where (t - first) % 7 = 0""",
     "cooldown_seeded": _with(
         ["timed"],
         _KEPT_ROWS,

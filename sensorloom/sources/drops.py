@@ -84,7 +84,9 @@ def _read_group(
         (F.col(f"c{cells.index(name)}") if name in cells else nothing).alias(column)
         for name, column in REQUIRED_FIELDS.items()
     ]
-    return rows.select(*chosen, CORRUPT, F.col("_metadata.file_name").alias("file_name"))
+    # Without a known column there is nothing that a broken line could hide.
+    corrupt = F.col(CORRUPT) if any(n in cells for n in REQUIRED_FIELDS) else nothing.alias(CORRUPT)
+    return rows.select(*chosen, corrupt, F.col("_metadata.file_name").alias("file_name"))
 
 
 def read_files(spark: SparkSession, files: list[Row], multi_line: bool = False) -> DataFrame:

@@ -3,6 +3,7 @@ import os
 from datetime import date, datetime
 
 import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 from sensorloom.operators.alerts import find_alerts, write_alerts
@@ -15,6 +16,7 @@ from sensorloom.operators.archive import (
 )
 from sensorloom.operators.slices import in_range, time_span, with_slice, write_slices
 from sensorloom.operators.windows import collect_windows, window_counts
+from sensorloom.schemas import ALERTS_TABLE
 from sensorloom.sources.events import raw_readings, timed_readings
 from sensorloom.operators.validate import valid_readings
 
@@ -67,11 +69,28 @@ def test_summary_replaces_only_its_days(spark, tmp_path):
             "location string, date date, temperature_c double, precipitation_mm double, wind_speed_kmh double",
         )
 
-    refresh_daily_summary(rows(1, [1, 3]), path)
-    refresh_daily_summary(rows(2, [5]), path)
-    refresh_daily_summary(rows(1, [1, 3, 8]), path)
-    found = {r.date.day: (r.n_readings, r.avg_temperature) for r in spark.read.parquet(path).collect()}
-    assert found == {1: (3, 4.0), 2: (1, 5.0)}
+    first, second = rows(1, [1, 3]), rows(2, [5])
+    refresh_daily_summary(first.unionByName(second), first.unionByName(second), path)
+    # A part of a day comes later: the whole day is summed again, and only that day.
+    later = rows(1, [8]).withColumn("location", F.lit("B"))
+    archive = first.unionByName(later).unionByName(rows(2, [70]))
+    refresh_daily_summary(archive, later, path)
+    found = {(r.location, r.date.day): r.avg_temperature for r in spark.read.parquet(path).collect()}
+    assert found == {("A", 1): 2.0, ("B", 1): 8.0, ("A", 2): 5.0}
+
+
+def test_summary_keeps_every_finite_number(spark):
+    def summary(*numbers):
+        rows = [("A", date(2024, 1, 1), t, t, 2.0) for t in numbers]
+        return daily_summary(spark.createDataFrame(
+            rows, "location string, date date, temperature_c double, precipitation_mm double, wind_speed_kmh double"
+        )).first()
+
+    assert summary(1.0, 1e15).total_precipitation == 1e15 + 1
+    assert summary(20.00004, 20.00004).avg_temperature == 20.00004
+    assert summary(1e300, 1.0).total_precipitation == 1e300
+    assert summary(1e-300, float("inf")).total_precipitation == 1e-300
+    assert summary(float("nan")).avg_temperature is None
 
 
 def test_summary_survives_numbers_that_are_not_finite(spark):
@@ -92,9 +111,13 @@ def test_alert_table_pruning(spark, tmp_path):
         F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 3600).alias("event_time"),
         (F.col("id") % 2 == 0).alias("slack_sent"),
     )
+    rest = {"alert_reason": "string", "value": "double", "threshold": "double", "raw_json": "string",
+            "slack_sent_at": "timestamp", "retry_count": "int"}
+    alerts = alerts.withColumns({c: F.lit(None).cast(kind) for c, kind in rest.items()})
     write_alerts(alerts, path)
     since = F.lit(datetime(2024, 1, 2))
-    stored = spark.read.parquet(path).where(F.col("date") >= date(2024, 1, 2))
+    stored = spark.read.parquet(path)
+    assert set(stored.columns) == {*ALERTS_TABLE.fieldNames(), "date"}
     found = find_alerts(stored, since=since, locations=["A"], alert_types=["T"], sent=False)
     text = plan(found)
     pushed = text.split("PushedFilters:")[1].split("]")[0]
@@ -103,6 +126,19 @@ def test_alert_table_pruning(spark, tmp_path):
     assert found.count() == 38
 
 
+def test_alerts_that_break_the_contract(spark, tmp_path):
+    row = ("1", None, "T", "why", datetime(2024, 1, 1), 1.0, 1.0, False, None, 0, "{}")
+    schema = ("alert_id string, location string, alert_type string, alert_reason string, event_time timestamp, "
+              "value double, threshold double, slack_sent boolean, slack_sent_at timestamp, retry_count int, raw_json string")
+    alerts = spark.createDataFrame([row, ("2", "A", *row[2:])], schema)
+    path, bad = str(tmp_path / "alerts"), str(tmp_path / "bad")
+    with pytest.raises(Exception, match="location is null"):
+        write_alerts(alerts, path)
+    write_alerts(alerts, path, quarantine=bad, mode="overwrite")
+    assert [r.alert_id for r in spark.read.parquet(path).collect()] == ["2"]
+    assert [(r.alert_id, r.violation) for r in spark.read.parquet(bad).collect()] == [("1", "location is null")]
+
+
 def test_slices(spark, sf, tmp_path):
     timed = timed_readings(spark, sf)
     path = str(tmp_path / "slices")
@@ -120,7 +156,10 @@ def test_slices(spark, sf, tmp_path):
 
 def test_collected_windows_keep_every_row(spark, sf):
     timed = timed_readings(spark, sf).select("event_id", "location", "event_time")
-    collected = collect_windows(timed, "1 day", chunks=3)
+    whole = collect_windows(timed, "1 day")
+    assert whole.groupBy("window", "location").count().where("count > 1").isEmpty()
+    collected = collect_windows(timed, "1 day", rows_per_array=2)
+    assert collected.agg(F.max("part")).first()[0] > 0
     counts = {
         (r.window.start, r.location): r.n
         for r in collected.groupBy("window", "location").agg(F.sum(F.size("rows")).alias("n")).collect()

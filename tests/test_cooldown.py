@@ -62,7 +62,8 @@ def test_ties_keep_the_first(spark):
 def test_hot_key_over_blocks_and_units(spark, monkeypatch):
     """A third of all alerts on one key, an alert every few seconds, many blocks and units."""
     monkeypatch.setattr(cd, "SPANS_PER_BLOCK", 4)
-    monkeypatch.setattr(cd, "BLOCKS_PER_UNIT", 3)
+    monkeypatch.setattr(cd, "PARTS_PER_UNIT", 3)
+    monkeypatch.setattr(cd, "HORIZON_MICROS", 20 * 86_400_000_000)
     rng = np.random.default_rng(7)
     start = datetime(1969, 12, 30)  # crosses zero
     rows = []
@@ -76,7 +77,8 @@ def test_hot_key_over_blocks_and_units(spark, monkeypatch):
 
 def test_null_is_a_key_of_its_own(spark, monkeypatch):
     monkeypatch.setattr(cd, "SPANS_PER_BLOCK", 3)
-    monkeypatch.setattr(cd, "BLOCKS_PER_UNIT", 4)
+    monkeypatch.setattr(cd, "PARTS_PER_UNIT", 4)
+    monkeypatch.setattr(cd, "HORIZON_MICROS", 20 * 86_400_000_000)
     rng = np.random.default_rng(11)
     start = datetime(1969, 12, 31, 12)
     rows = []
@@ -93,7 +95,8 @@ def test_null_is_a_key_of_its_own(spark, monkeypatch):
 
 def test_regular_spacing_never_merges_chains(spark, monkeypatch):
     monkeypatch.setattr(cd, "SPANS_PER_BLOCK", 2)
-    monkeypatch.setattr(cd, "BLOCKS_PER_UNIT", 2)
+    monkeypatch.setattr(cd, "PARTS_PER_UNIT", 2)
+    monkeypatch.setattr(cd, "HORIZON_MICROS", 20 * 86_400_000_000)
     rows = [(i, "A", "T", at(0) + timedelta(seconds=i), 0.0) for i in range(3000)]
     assert kept_by(spark, rows, 1) == walk(rows, 1)
 
@@ -151,3 +154,25 @@ def test_blocks_agree_with_walk(times, gap, spans, before):
     for t in set(times.tolist()) - set(chosen.tolist()):
         earlier = [c for c in [last, *chosen.tolist()] if c <= t]
         assert earlier and t - max(earlier) < gap
+
+
+def test_layout_bounds_what_a_task_holds():
+    for minutes, resolution in ((30, 1.0), (360, 1.0), (30, 0.001), (0.0001, 0.001), (30, 1e-6)):
+        gap, unit = round(minutes * 60_000_000), round(resolution * 1_000_000)
+        layout = cd.Layout.of(gap, unit)
+        per_span = -(-gap // unit)
+        assert layout.width % gap == 0
+        assert layout.width // unit <= max(cd.BLOCK_INSTANTS, per_span)
+        assert layout.arity * per_span <= max(cd.UNIT_STEPS, 2 * per_span)
+        assert layout.width * layout.arity ** (layout.levels + 1) >= cd.HORIZON_MICROS
+    assert cd.Layout.of(30 * 60_000_000, 1_000_000) == cd.Layout(256 * 30 * 60_000_000, 128, 1)
+
+
+def test_step_tables_travel_in_bounded_rows(monkeypatch):
+    monkeypatch.setattr(cd, "STEPS_PER_ROW", 7)
+    schema = cd._arrow_schema([])
+    upto, last = np.arange(30), np.arange(30) * 2
+    rows = cd._step_rows([], schema, 5, upto, last)
+    assert rows.num_rows == 5 and max(len(r) for r in rows.column("_upto").to_pylist()) == 7
+    [(id_, one, two)] = list(cd._step_tables(rows))
+    assert id_ == 5 and np.array_equal(one, upto) and np.array_equal(two, last)

@@ -1,10 +1,10 @@
 import os
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
 from sensorloom.functions.text import alert_text, error_text, retry_text
-from sensorloom.operators.outbox import apply_acks, drain_once, read_acks
+from sensorloom.operators.outbox import Outbox, apply_acks
 
 T0 = datetime(2024, 1, 1)
 
@@ -36,19 +36,42 @@ def test_cycles(spark, tmp_path):
     def sent():
         return sorted(int(n.split("-")[0][1:]) for n in os.listdir(log))
 
-    rows, acks = errors(spark, 12), str(tmp_path / "acks")
+    box = Outbox(str(tmp_path / "box"))
+    box.add(errors(spark, 12))
     message = F.col("error_message")
-    assert drain_once(rows, acks, message, sender) == 10
+    assert box.drain_once(spark, message, sender) == 10
     assert sent() == [1, 2, 4, 5, 6, 7, 8, 9, 10]
     os.rename(down, tmp_path / "up")
-    assert drain_once(rows, acks, message, sender) == 3
+    box.compact(spark)
+    assert box.drain_once(spark, message, sender) == 3
     assert sent() == list(range(1, 13))
-    assert drain_once(rows, acks, message, sender) == 0
-    done = read_acks(spark, acks, "bigint").where("success")
-    state = apply_acks(rows, done).collect()
+    assert box.drain_once(spark, message, sender) == 0
+    box.compact(spark)
+    state = box.state(spark).collect()
     assert len(state) == 12 and all(r.slack_sent and r.slack_sent_at for r in state)
 
 
+def test_a_cycle_reads_no_folder_before_the_backlog(spark, tmp_path):
+    box = Outbox(str(tmp_path / "box"))
+    days = errors(spark, 30).withColumn(
+        "created_at", F.col("created_at") + F.make_dt_interval(F.floor(F.col("id") / 10).cast("int"))
+    )
+    box.add(days)
+    assert box.low_water(spark) is None
+    for _ in range(2):
+        assert box.drain_once(spark, F.col("error_message"), lambda text: True) == 10
+    assert box.low_water(spark) == T0.date() + timedelta(days=1)
+    text = box.state(spark, box.low_water(spark))._jdf.queryExecution().executedPlan().toString()
+    filters = text.split("PartitionFilters:")[1].split("]")[0]
+    assert "date" in filters and "2024-01-02" in filters
+    # A row of an older day moves the mark back, so it is not passed over.
+    box.add(errors(spark, 1).withColumn("id", F.lit(99).cast("bigint")))
+    assert box.low_water(spark) == T0.date()
+    while box.drain_once(spark, F.col("error_message"), lambda text: True):
+        pass
+    assert box.state(spark).where("not slack_sent").count() == 0
+
+
 def test_first_acknowledgement_counts(spark):
     acks = spark.createDataFrame(
         [(1, T0.replace(hour=5)), (1, T0.replace(hour=4))], "id bigint, sent_at timestamp"

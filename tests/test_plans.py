@@ -5,12 +5,13 @@ import pytest
 from sensorloom.plans.catalog import QUERIES
 
 CHAINED = {
-    "cooldown_alerts", "cooldown_six_hours", "cooldown_seeded", "alerts_table", "alert_counts",
+    "cooldown_alerts", "cooldown_six_hours", "cooldown_dense", "cooldown_seeded", "alerts_table", "alert_counts",
     "alerts_union", "render_alert", "retry_alerts", "render_retry",
 }
 EAGER = {  # these run jobs while they are built
-    "csv_scan", "archive_roundtrip", "alerts_by_filter", "stream_cooldown_alerts",
-    "restart_exactly_once", "late_drop", "stream_cooldown_batches",
+    "csv_scan", "csv_scan_headers", "archive_roundtrip", "alerts_by_filter", "outbox_cycle",
+    "alert_outbox_cycle", "stream_cooldown_alerts", "restart_exactly_once", "late_drop",
+    "stream_cooldown_batches", "replay_exactly_once", "late_alerts",
 }
 
 
@@ -23,7 +24,7 @@ def test_no_row_python_and_no_products(spark, sf, name):
     text = plan(QUERIES[name](spark, sf))
     for banned in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert banned not in text
-    if name not in CHAINED and name not in ("outbox_cycle", "alert_outbox_cycle"):
+    if name not in CHAINED:
         assert "Arrow" not in text and "InPandas" not in text
 
 

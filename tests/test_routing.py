@@ -93,6 +93,47 @@ def test_drop_files(spark, tmp_path):
     assert full.file_name == "a.csv"
 
 
+def test_columns_are_found_by_the_header(spark, tmp_path):
+    files = {
+        "order.csv": "Date_Time,Location,Wind_Speed_kmh,Temperature_C,Humidity_pct,Precipitation_mm\n"
+        '2024-01-01 00:00:00,"Da ""x"" llas",1,2,3,4\n',
+        "more.csv": "Station,Location,Date_Time,Temperature_C,Humidity_pct,Precipitation_mm,Wind_Speed_kmh,Note\n"
+        'S1,Houston,2024-01-01 00:00:00,2,3,4,1,"a, b"\n',
+        "less.csv": "Location,Date_Time,Temperature_C,Precipitation_mm,Wind_Speed_kmh\nPhoenix,2024-01-01 00:00:00,2,4,1\n",
+        "none.csv": "a,b\n1,2\n",
+        "head.csv": "Location,Date_Time,Temperature_C,Humidity_pct,Precipitation_mm,Wind_Speed_kmh\n",
+        "empty.csv": "",
+    }
+    for name, text in files.items():
+        (tmp_path / name).write_text(text, encoding="utf-8")
+    rows = {r.file_name: r for r in read_drops(spark, str(tmp_path)).collect()}
+    numbers = {n: (r.temperature_c, r.humidity_pct, r.precipitation_mm, r.wind_speed_kmh) for n, r in rows.items()}
+    assert numbers == {
+        "order.csv": ("2", "3", "4", "1"),
+        "more.csv": ("2", "3", "4", "1"),
+        "less.csv": ("2", None, "4", "1"),
+        "none.csv": (None, None, None, None),
+    }
+    assert rows["order.csv"].location == 'Da "x" llas' and rows["none.csv"].location is None
+
+
+def test_line_breaks_in_cells(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(
+        "Location,Date_Time,Temperature_C,Humidity_pct,Precipitation_mm,Wind_Speed_kmh\n"
+        '"two\nlines",2024-01-01 00:00:00,1,2,3,4\n',
+        encoding="utf-8",
+    )
+    rows = read_drops(spark, str(tmp_path), multi_line=True).collect()
+    assert [r.location for r in rows] == ["two\nlines"]
+
+
+def test_a_small_rate_is_not_none(spark):
+    rows = spark.range(1, 200_000).withColumn("hit", sampled(1e-4, "s", "id"))
+    assert 5 <= rows.where("hit").count() <= 45
+    text = rows.select(sampled(1e-12, "s", "id"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "< 1)" in text
+
+
 def test_new_files(spark):
     listing = spark.createDataFrame([("a",), ("b",)], "file_name string")
     done = spark.createDataFrame([("a",), ("z",)], "file_name string")
@@ -106,9 +147,9 @@ def test_kafka_options():
         "subscribe": "weather-data",
         "startingOffsets": "latest",
         "kafka.request.timeout.ms": "60000",
-        "maxOffsetsPerTrigger": "2000",
     }
-    assert "maxOffsetsPerTrigger" not in topics.source_options("error-data", "earliest", None)
+    limited = topics.source_options("error-data", "earliest", 2000)
+    assert limited["maxOffsetsPerTrigger"] == "2000" and limited["startingOffsets"] == "earliest"
 
 
 def test_stored_topic_replaces_a_batch(spark, tmp_path):

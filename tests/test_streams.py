@@ -23,6 +23,7 @@ from sensorloom.streaming import consumers as c
 from sensorloom.streaming.ingest import RegionTable, start_ingest
 
 NOW = {"availableNow": True}
+RATE = 0.2
 
 
 def finish(query):
@@ -70,14 +71,14 @@ def test_drop_files_to_tables(spark, parts, tmp_path):
         def records(topic, **kwargs):
             return topics.stream(spark, topic, **kwargs)
 
-        finish(c.start_diversion(records(TOPIC_READINGS), topics, f"{root}/cp/divert", trigger=NOW))
-        finish(c.start_table(c.alert_stream(records(TOPIC_READINGS)), f"{root}/alerts", f"{root}/cp/alerts",
-                             date_of="event_time", trigger=NOW))
+        finish(c.start_alerts(records(TOPIC_READINGS), f"{root}/alerts", c.AlertState(f"{root}/state"),
+                              f"{root}/cp/alerts", rate=RATE, topics=topics,
+                              quarantine=f"{root}/bad_alerts", trigger=NOW))
         finish(c.start_archive(c.decode_readings(records(TOPIC_READINGS)), f"{root}/archive",
                                f"{root}/cp/archive", trigger=NOW))
-        finish(c.start_table(c.retry_alert_stream(records(TOPIC_RETRY)), f"{root}/retry_alerts",
-                             f"{root}/cp/retry", trigger=NOW))
-        finish(c.start_retry_failures(records(TOPIC_RETRY), topics, f"{root}/cp/fail", trigger=NOW))
+        finish(c.start_retries(records(TOPIC_RETRY), f"{root}/retry_alerts",
+                               c.AlertState(f"{root}/retry_state"), f"{root}/cp/retry", topics=topics,
+                               fail_rate=0.01, trigger=NOW))
         finish(c.start_table(c.error_table_stream(records(TOPIC_ERRORS)), f"{root}/errors",
                              f"{root}/cp/errors", trigger=NOW))
 
@@ -110,13 +111,13 @@ def test_drop_files_to_tables(spark, parts, tmp_path):
     assert sorted(p[1] for p in placed - known) == [0, 1]
 
     timed = valid.where("event_time is not null")
-    diverted = timed.where(is_diverted(*c.IDENTITY))
+    diverted = timed.where(is_diverted(*c.IDENTITY, rate=RATE))
     retries = topics.read(spark, TOPIC_RETRY)
     assert retries.count() == diverted.count() > 0
     assert all(set(json.loads(r.value)) >= {"event_time", "Temperature_C"} for r in retries.collect())
 
     # stream = batch
-    checked = timed.where(~is_diverted(*c.IDENTITY)).withColumn("reading_id", F.xxhash64(*c.IDENTITY))
+    checked = timed.where(~is_diverted(*c.IDENTITY, rate=RATE)).withColumn("reading_id", F.xxhash64(*c.IDENTITY))
     found = detect_candidates(checked, ALERT_PROFILE, "reading_id", "location", "event_time")
     expected = alert_rows(cooldown(found, tie="reading_id"), ALERT_PROFILE)
     alerts = spark.read.parquet(f"{root}/alerts")
@@ -143,7 +144,7 @@ def test_replayed_batch_leaves_no_duplicates(spark, parts, tmp_path):
         finish(start_ingest(stream_drops(spark, f"{root}/drops"), topics, regions, f"{root}/{checkpoint}", trigger=NOW))
     valid = valid_readings(spark.createDataFrame(parts[0]))
     assert topics.read(spark, TOPIC_READINGS).count() == valid.count()
-    numbers = [r.partition for r in spark.read.parquet(f"{root}/regions").collect()]
+    numbers = [r.partition for r in regions.before(spark, 1).collect()]
     assert sorted(numbers) == sorted(n % 10 for n in range(len(numbers)))
 
 
@@ -164,11 +165,11 @@ def test_late_rows(spark, parts, tmp_path, file_number, dropped):
             if f.stat().st_mtime > time.time() - 500:
                 os.utime(f, (time.time() - 1000 + 10 * i,) * 2)
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(source))
+    out = str(tmp_path / "out")
     query = finish(
-        c.start_table(c.window_counts_stream(stream), str(tmp_path / "out"), str(tmp_path / "cp"), trigger=NOW)
+        c.start_window_counts(c.window_counts_stream(stream), out, str(tmp_path / "cp"), trigger=NOW)
     )
     lost = sum(s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"])
     assert lost == dropped
-    total = spark.read.parquet(str(tmp_path / "out")).agg(F.sum("n_rows")).first()[0]
-    still_open = 1
-    assert total == sum(map(len, timed)) - dropped - still_open
+    total = c.read_window_counts(spark, out).agg(F.sum("n_rows")).first()[0]
+    assert total == sum(map(len, timed)) - dropped
