@@ -24,7 +24,7 @@ def powers(length: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2**64, at least ``length`` of each."""
     have = _powers.get(0)
     if have is None or len(have[0]) < length:
-        size = max(length, 1 << 20)
+        size = max(length, 1 << 18)
         up = np.full(size, BASE)
         down = np.full(size, INVERSE)
         up[0] = down[0] = 1

@@ -32,7 +32,7 @@ SELECTED = 2048
 BEGINNINGS = (4, 5, 6, 8)
 # Signs of a disguised word at most; longer runs are codes or links and stay as they are.
 LONGEST = 40
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 
 # Signs and the letters they stand for.
 LOOKALIKES = {
@@ -180,7 +180,7 @@ def _restorer(model: Broadcast) -> Restorer:
 
 
 def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Text number and feature of each word and word beginning."""
+    """Text number and feature, once for each word and word beginning of a text."""
     data, borders = text_bytes(texts)
     inside = _WORD_BYTE[data]
     edge = np.zeros(len(data) + 1, dtype=bool)
@@ -188,16 +188,16 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     starts = np.flatnonzero(inside & ~(np.concatenate([[False], inside])[:-1] & ~edge[:-1]))
     ends = np.flatnonzero(inside & ~(np.concatenate([inside, [False]])[1:] & ~edge[1:])) + 1
     running = prefix(data)
-    text = np.searchsorted(borders, starts, side="right") - 1
+    text = (np.searchsorted(borders, starts, side="right") - 1).astype(np.int64)
     shift = np.uint64(64 - FEATURE_BITS)
-    found = [mix64(spans(running, starts, ends)) >> shift]
-    owners = [text]
+    found = [text << FEATURE_BITS | (mix64(spans(running, starts, ends)) >> shift).view(np.int64)]
     for size in BEGINNINGS:
         long = ends - starts > size
         begin = mix64(spans(running, starts[long], starts[long] + size) + np.uint64(size))
-        found.append(begin >> shift)
-        owners.append(text[long])
-    return np.concatenate(owners), np.concatenate(found).astype(np.int64)
+        found.append(text[long] << FEATURE_BITS | (begin >> shift).view(np.int64))
+    # Sorted one by one: each is already nearly in the order of texts.
+    pairs = np.unique(np.concatenate([np.unique(f) for f in found]))
+    return pairs >> FEATURE_BITS, pairs & ((1 << FEATURE_BITS) - 1)
 
 
 @dataclass
@@ -269,12 +269,7 @@ def _labelled(
         for part in slices(batch.take(pa.array(here)), limit=SLICE_BYTES) if len(here) else ():
             own = part.column(0).to_numpy(zero_copy_only=False)
             row, feature = features(restorer.texts(part.column(1)))
-            pairs = np.unique(row << FEATURE_BITS | feature)
-            yield (
-                labels[np.searchsorted(ids, own)],
-                pairs >> FEATURE_BITS,
-                pairs & ((1 << FEATURE_BITS) - 1),
-            )
+            yield labels[np.searchsorted(ids, own)], row, feature
 
 
 def _class_counts(picked: Broadcast, trigrams: Broadcast):
@@ -379,10 +374,7 @@ def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ()) -> DataFram
                 row, feature = features(restorer.texts(part.column(1)))
                 at = own.weight_at[feature]
                 row, at = row[at >= 0], at[at >= 0]
-                pairs = np.unique(row * SELECTED + at)
-                value = np.bincount(
-                    pairs // SELECTED, own.weights[pairs % SELECTED], minlength=part.num_rows
-                )
+                value = np.bincount(row, own.weights[at], minlength=part.num_rows)
                 result = 1 / (1 + np.exp(-np.clip(own.intercept + value, -500, 500)))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), *part.columns[2:], pa.array(result),
