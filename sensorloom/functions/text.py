@@ -64,25 +64,56 @@ def retry_text(
     )
 
 
-def pretty_json(raw_row: Column | str) -> Column:
-    """A JSON object re-indented by two blanks; text that is no object stays as it is."""
-    text = F.col(raw_row) if isinstance(raw_row, str) else raw_row
-    fields = F.from_json(text, "map<string,string>")
-    kinds = F.from_json(text, "map<string,variant>")
+# Nesting that pretty_json indents; deeper values stay on one line.
+_PRETTY_DEPTH = 4
+
+
+def _quoted(text: Column) -> Column:
+    """Text as a JSON string."""
+    wrapped = F.to_json(F.array(text))
+    return F.substr(wrapped, F.lit(2), F.length(wrapped) - 2)
+
+
+def _indented(text: Column, depth: int) -> Column:
+    """JSON text with its members on lines of their own; scalars as they are."""
+    start, end = "\n" + "  " * (depth + 1), "\n" + "  " * depth
 
-    def value_text(key: Column) -> Column:
-        # A value that is text in the source is quoted again, everything else is copied.
-        kind = F.element_at(kinds, key)
+    def member(kind: Column, raw: Column) -> Column:
+        # A value that is text in the source is quoted again; null has no text.
         is_text = F.schema_of_variant(kind) == "STRING"
-        return F.when(is_text, F.to_json(kind)).otherwise(
-            F.coalesce(F.element_at(fields, key), F.lit("null"))
+        plain = F.coalesce(raw, F.lit("null"))
+        if depth + 1 < _PRETTY_DEPTH:
+            plain = F.when(raw.rlike(r"^\s*[\[{]"), _indented(raw, depth + 1)).otherwise(plain)
+        return F.when(is_text, F.to_json(kind)).otherwise(plain)
+
+    def joined(lines: Column, opening: str, closing: str) -> Column:
+        return F.concat(
+            F.lit(opening + start), F.array_join(lines, "," + start), F.lit(end + closing)
         )
 
-    lines = F.transform(
-        F.map_keys(fields), lambda key: F.concat(F.lit('  "'), key, F.lit('": '), value_text(key))
+    fields, kinds = F.from_json(text, "map<string,string>"), F.from_json(text, "map<string,variant>")
+    members = F.transform(
+        F.map_keys(fields),
+        lambda key: F.concat(
+            _quoted(key),
+            F.lit(": "),
+            member(F.element_at(kinds, key), F.element_at(fields, key)),
+        ),
+    )
+    items, item_kinds = F.from_json(text, "array<string>"), F.from_json(text, "array<variant>")
+    elements = F.transform(items, lambda raw, n: member(F.get(item_kinds, n), raw))
+    is_object, is_array = text.rlike(r"^\s*\{"), text.rlike(r"^\s*\[")
+    return (
+        F.when(is_object & (F.size(fields) > 0), joined(members, "{", "}"))
+        .when(is_array & (F.size(items) > 0), joined(elements, "[", "]"))
+        .otherwise(text)
     )
-    body = F.concat(F.lit("{\n"), F.array_join(lines, ",\n"), F.lit("\n}"))
-    return F.when(F.size(fields) > 0, body).otherwise(text)
+
+
+def pretty_json(raw_row: Column | str) -> Column:
+    """A JSON object or array re-indented by two blanks; any other text stays as it is."""
+    text = F.col(raw_row) if isinstance(raw_row, str) else raw_row
+    return F.coalesce(_indented(text, 0), text)
 
 
 def error_text(

@@ -65,7 +65,7 @@ from ..operators.rules import (
     detect_candidates,
     detect_either,
 )
-from ..operators.slices import time_span, with_slice
+from ..operators.slices import in_range, time_span, with_slice
 from ..operators.validate import (
     ALERT_CONTRACT,
     file_counts,
@@ -182,6 +182,22 @@ def _topic_decode(spark, sf_dir):
     return decode_readings(_reading_records(spark, sf_dir), "event_id")
 
 
+@query("topic_read_from")
+def _topic_read_from(spark, sf_dir):
+    """A stored topic in three batches, read from the second on."""
+    topics = StoredTopics(work_dir(spark, "topics"))
+    records = _reading_records(spark, sf_dir)
+    for batch in range(3):
+        topics.write(records.where(F.col("event_id") % 3 == batch), TOPIC_READINGS, batch, "ingest")
+    return decode_readings(topics.read(spark, TOPIC_READINGS, from_batch=1))
+
+
+@query("range_filter")
+def _range_filter(spark, sf_dir):
+    start, end = (F.lit(t).cast("timestamp") for t in ("2024-01-05 12:00:00", "2024-01-08"))
+    return in_range(timed_readings(spark, sf_dir), start, end).select("event_id", "event_time")
+
+
 @query("time_span")
 def _time_span(spark, sf_dir):
     return time_span(timed_readings(spark, sf_dir))

@@ -285,6 +285,16 @@ from (select location, coalesce(min(event_time), timestamp '9999-12-31') as firs
         ["valid"],
         """select event_id, location, date_time, temperature_c, humidity_pct, precipitation_mm,
   wind_speed_kmh, cast(0 as double) as retry from valid""",
+    ),
+    "topic_read_from": _with(
+        ["valid"],
+        """select location, date_time, temperature_c, humidity_pct, precipitation_mm, wind_speed_kmh,
+  cast(0 as double) as retry from valid where event_id % 3 >= 1""",
+    ),
+    "range_filter": _with(
+        ["timed"],
+        """select event_id, event_time from timed
+where event_time >= timestamp '2024-01-05 12:00:00' and event_time < timestamp '2024-01-08'""",
     ),
     "time_span": _with(
         ["timed"],

@@ -143,7 +143,12 @@ def test_slices(spark, sf, tmp_path):
     timed = timed_readings(spark, sf)
     path = str(tmp_path / "slices")
     sliced = with_slice(timed, 86_400)
-    write_slices(sliced.select("location", "date_time", "slice_start", "slice_name"), path)
+    shuffled = sliced.orderBy(F.rand(1))
+    columns = ("location", "date_time", "slice_start", "slice_name")
+    write_slices(shuffled.select(*columns), path, time="date_time")
+    for file in glob.glob(f"{path}/slice_name=*/*.csv"):
+        times = [line.split(",")[1] for line in open(file, encoding="utf-8").read().splitlines()[1:]]
+        assert times == sorted(times) and times
     names = {os.path.basename(p).split("=")[1] for p in glob.glob(f"{path}/slice_name=*")}
     assert names == {r[0] for r in sliced.select("slice_name").distinct().collect()}
     assert spark.read.option("header", True).csv(path).count() == timed.count()

@@ -1,9 +1,10 @@
+import json
 import os
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from sensorloom.functions.text import alert_text, error_text, retry_text
+from sensorloom.functions.text import alert_text, error_text, pretty_json, retry_text
 from sensorloom.operators.outbox import Outbox, apply_acks
 
 T0 = datetime(2024, 1, 1)
@@ -105,3 +106,15 @@ def test_alert_texts(spark):
         "Window: 2024-01-01 00:00:00 ~ 2024-01-01 00:01:00"
     )
     assert retry == "♻️ *Retry Alert (2)*\nLocation: Dallas\nwhy\nTime: 2024-01-01 00:00:00"
+
+
+def test_pretty_json_like_python(spark):
+    texts = [
+        '{"a": 1, "b": {"c": [1, 2.5, "x", null, true, {}], "d": {}}, "e": [], "q\\"k": "l\\nm", "ü": "제주"}',
+        '[1, {"a": [[1], []]}]', "{}", "[]", '"text"', "12", '{"n": null, "t": "{}", "u": "[1]"}',
+    ]
+    rows = spark.createDataFrame([(t,) for t in texts], "raw string")
+    shown = [r[0] for r in rows.select(pretty_json("raw")).collect()]
+    assert shown == [json.dumps(json.loads(t), indent=2, ensure_ascii=False) for t in texts]
+    other = spark.createDataFrame([("no json",), ("{broken",), (None,)], "raw string")
+    assert [r[0] for r in other.select(pretty_json("raw")).collect()] == ["no json", "{broken", None]
