@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import OUTBOX_BATCH
-from ..session import read_or_empty, work_dir
+from ..session import read_or_empty
 
 Sender = Callable[[str], bool]
 
@@ -142,8 +142,9 @@ class Outbox:
         """
         since = self.low_water(spark)
         batch = unsent_batch(self.state(spark, since), self.id_column, limit, self.order)
-        path = work_dir(spark, "outbox")
-        batch.select(self.id_column, "date", render.alias("text")).write.parquet(path)
+        path = f"{self.path}/picked"
+        texts = batch.select(self.id_column, "date", render.alias("text"))
+        texts.write.mode("overwrite").parquet(path)
         picked = spark.read.parquet(path)
         count, oldest = picked.agg(F.count("*"), F.min("date")).first()
         if not count:
@@ -168,9 +169,10 @@ class Outbox:
         acks = self._acks(spark, id_type).where("success")
         if since is not None:
             acks = acks.where(F.col("date") >= F.lit(since))
-        path = work_dir(spark, "acks")
+        path = f"{self.path}/compacted"
         first = acks.groupBy(self.id_column, "date").agg(F.min("sent_at").alias("sent_at"))
-        first.withColumn("success", F.lit(True)).hint("rebalance", "date").write.parquet(path)
+        first = first.withColumn("success", F.lit(True)).hint("rebalance", "date")
+        first.write.mode("overwrite").parquet(path)
         (
             spark.read.parquet(path)
             .select(self.id_column, "success", "sent_at", "date")
