@@ -28,8 +28,12 @@ def fold(id_col: str, folds: int) -> Column:
 def stored(frame: DataFrame, name: str) -> DataFrame:
     """Write a frame below the shared work folder and read it back: what follows depends on files
     that every executor can read again, not on the lineage before them."""
-    path = work_dir(frame.sparkSession, name)
-    frame.write.parquet(path)
+    return stored_at(frame, work_dir(frame.sparkSession, name))
+
+
+def stored_at(frame: DataFrame, path: str) -> DataFrame:
+    """The same in a folder of the caller's, of which the content is replaced."""
+    frame.write.mode("overwrite").parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
@@ -62,6 +66,12 @@ def _split(text: str) -> list[str]:
     return text.split(" ")
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """The different values, ascending."""
+    values = np.sort(values)
+    return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit moves about half of the output bits."""
     x = x.astype(np.uint64, copy=True)

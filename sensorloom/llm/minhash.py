@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64, slices, stored
+from .common import distinct, mix64, slices, stored
 from .components import components
 from .hashing import text_bytes, word_hashes
 
@@ -48,7 +48,7 @@ def shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
     windows = mix64(windows)
     for start, stop in zip(first[:-1].tolist(), first[1:].tolist()):
         if stop - start >= SHINGLE:
-            yield np.unique(windows[start : stop - SHINGLE + 1])
+            yield distinct(windows[start : stop - SHINGLE + 1])
         elif stop > start:
             whole = hashes[start:stop] * _WORD_WEIGHTS[: stop - start]
             yield mix64(np.array([np.sum(whole, dtype=np.uint64) + np.uint64(stop - start)]))

@@ -21,7 +21,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64, slices
+from .common import distinct, mix64, slices
 from .hashing import prefix, spans, text_bytes
 
 # Bound on the labelled rows of each class that the classifier is fitted on.
@@ -59,12 +59,13 @@ _LETTER = r"[^\W\d_]"
 DISGUISED = re.compile(
     rf"(?<!\S)(?:[a-z{_SIGNS}] ){{2,}}[a-z{_SIGNS}](?!\S)"
     rf"|(?<!\S)(?=\S{{3,{LONGEST}}}(?!\S))\S*?"
-    rf"(?:{_LETTER}[{_SIGNS}{_APART}]+{_LETTER}|(?<!\S)[{_SIGNS}]+{_LETTER}|{_LETTER}[{_SIGNS}]{{1,2}}(?!\S)"
+    rf"(?:{_LETTER}[{_SIGNS}{_APART}]+{_LETTER}|(?<!\S)[{_SIGNS}]+{_LETTER}|{_LETTER}[0-9@$+€£¥]{{1,2}}(?!\S)"
     rf"|({_LETTER})\1\1|[a-z][{_CYRILLIC}]|[{_CYRILLIC}][a-z])\S*"
 )
 _SET_APART = re.compile(rf"[a-z{_SIGNS}](?:[ {_APART}]+[a-z{_SIGNS}]){{2,}}")
 _MAY_BE_DISGUISED = (
-    rf"[{_SIGNS}{_APART}][a-z]|[a-z][{_SIGNS}]|[a-z] [a-z{_SIGNS}] [a-z{_SIGNS}]|[a-z][{_CYRILLIC}]|"
+    rf"[{_SIGNS}{_APART}][a-z]|[a-z][0-9@$+€£¥]|(^|\s)[a-z{_SIGNS}] [a-z{_SIGNS}] [a-z{_SIGNS}](\s|$)|"
+    rf"[a-z][{_CYRILLIC}]|"
     + "|".join(c * 3 for c in "abcdefghijklmnopqrstuvwxyz")
 )
 
@@ -195,8 +196,7 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         long = ends - starts > size
         begin = mix64(spans(running, starts[long], starts[long] + size) + np.uint64(size))
         found.append(text[long] << FEATURE_BITS | (begin >> shift).view(np.int64))
-    # Sorted one by one: each is already nearly in the order of texts.
-    pairs = np.unique(np.concatenate([np.unique(f) for f in found]))
+    pairs = distinct(np.concatenate(found))
     return pairs >> FEATURE_BITS, pairs & ((1 << FEATURE_BITS) - 1)
 
 
