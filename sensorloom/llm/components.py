@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from sensorloom.session import work_dir
+
+from .common import stored_at
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -13,15 +15,18 @@ def components(links: DataFrame) -> DataFrame:
 
     Each round hangs every node's larger neighbours, then its smaller ones, below the least id it
     sees; the graph becomes a forest of stars in about log(n) rounds. A node's neighbours are only
-    aggregated, never collected, and each round is a stored table.
+    aggregated, never collected. Each round is a stored table, and takes the place of the one
+    before the last.
     """
+    folder = work_dir(links.sparkSession, "stars")
     pairs = links.where("a != b").select(
         F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
     ).distinct()
-    pairs = stored(pairs, "stars")
-    state = _state(pairs)
+    pairs = stored_at(pairs, f"{folder}/0")
+    state, turn = _state(pairs), 0
     while state[0]:
-        pairs = stored(_small_star(_large_star(pairs)), "stars")
+        turn = 1 - turn
+        pairs = stored_at(_small_star(_large_star(pairs)), f"{folder}/{turn}")
         before, state = state, _state(pairs)
         if state == before:
             break

@@ -52,7 +52,11 @@ _NAME = r"[^\W\d_a-zа-яà-öø-ÿ][^\W\d_]+(?:['’-][^\W\d_]+)?"
 _TITLE = "|".join(re.escape(t) for t in sorted(TITLES, key=len, reverse=True))
 PATTERNS = {
     "secret": r"(?i:\b(?:token|secret|passwd|password|api[_-]?key|access[_-]?key|private[_-]?key)"
-    r"\b[\"']?\s*[:=]\s*[\"']?)(?P<secret>[A-Za-z0-9_+/=.-]{12,})",
+    r"\b[\"']?\s*[:=]\s*[\"']?)(?P<secret>[A-Za-z0-9_+/=.-]{6,})",
+    # Keys that are known by how they begin; the beginning is kept.
+    "key": r"(?<!\w)(?:(?:AKIA|ASIA)(?P<key1>[0-9A-Z]{16})|gh[opsu]_(?P<key2>[A-Za-z0-9]{36,})"
+    r"|sk-(?P<key3>[A-Za-z0-9_-]{20,})|xox[abprs]-(?P<key4>[A-Za-z0-9-]{10,})"
+    r"|eyJ(?P<key5>[\w-]{10,}\.[\w-]{10,}\.[\w-]{10,}))(?!\w)",
     "email": r"(?P<email>(?<![\w.+-])[\w][\w.+-]*@(?:[\w-]+\.)+[^\W\d_]{2,})",
     "iban": r"(?P<iban>(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w))",
     "ip": r"(?P<ip>(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w]|\.\d))",
@@ -64,7 +68,7 @@ PATTERNS = {
 }
 _ALL = re.compile("|".join(PATTERNS.values()))
 # Every pattern needs one of these; texts without any are passed on untouched.
-_MAY_HOLD = r"[0-9@=:]|" + "|".join(t + r"\b" for t in TITLES)
+_MAY_HOLD = r"[0-9@=:]|sk-|gh[opsu]_|xox|eyJ|" + "|".join(t + r"\b" for t in TITLES)
 
 
 class Entity(NamedTuple):
@@ -116,7 +120,11 @@ def _match(m: re.Match) -> list[Entity]:
     if kind == "ip":
         return [Entity(kind, text, *span)] if all(int(p) < 256 for p in text.split(".")) else []
     if kind == "secret":
-        return [Entity(kind, text, *span)]
+        # A short value is a secret only if it looks like one.
+        mixed = re.search(r"\d", text) and re.search(r"[A-Za-z]", text)
+        return [Entity(kind, text, *span)] if len(text) >= 12 or mixed else []
+    if kind.startswith("key"):
+        return [Entity("secret", text, *span)]
     compact = re.sub(r"[^0-9A-Z]", "", text)
     if kind == "card" and (_luhn(compact) or len(set(compact)) < 2):
         return []
@@ -334,7 +342,8 @@ def replace_entities(
     """``docs`` with entities in ``text_col`` replaced, and their number in ``count_col``.
 
     Emails, phone numbers, payment cards (Luhn), IBANs (mod 97), US social security numbers, IPv4
-    addresses, secrets behind words such as ``token =``, and names behind titles. One entity has
+    addresses, secrets behind words such as ``token =`` or with a known beginning, and names behind
+    titles. One entity has
     one surrogate in all documents and spellings, distinct entities have distinct ones, and no
     surrogate is an entity of the corpus. Punctuation, letter case, checksums, script and gender
     are kept.

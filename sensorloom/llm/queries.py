@@ -10,6 +10,7 @@ from .common import fold, stored, table
 from .decontaminate import contaminated
 from .hnsw import nearest
 from .minhash import near_duplicates
+from .oracles import ORACLES as ORACLES
 from .packing import pack
 from .pii import replace_entities
 from .suffix import without_repeats
@@ -100,4 +101,3 @@ QUERIES = {
     "op9_suffix": op9_suffix,
     "op10_toxicity": op10_toxicity,
 }
-ORACLES: dict[str, str] = {}
