@@ -6,15 +6,16 @@ import time
 from datetime import datetime
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sensorloom.constants import TOPIC_ERRORS, TOPIC_READINGS, TOPIC_RETRY
 from sensorloom.operators.alerts import alert_rows
 from sensorloom.operators.archive import archive_rows
 from sensorloom.operators.cooldown import cooldown
-from sensorloom.operators.routing import is_diverted, region_map
+from sensorloom.operators.routing import is_diverted, region_map, to_error_records
 from sensorloom.operators.rules import ALERT_PROFILE, detect_candidates
-from sensorloom.operators.validate import valid_readings
+from sensorloom.operators.validate import rejected_readings, valid_readings
 from sensorloom.schemas import RAW_COLUMNS
 from sensorloom.sources.drops import stream_drops
 from sensorloom.sources.events import raw_readings
@@ -173,3 +174,20 @@ def test_late_rows(spark, parts, tmp_path, file_number, dropped):
     assert lost == dropped
     total = c.read_window_counts(spark, out).agg(F.sum("n_rows")).first()[0]
     assert total == sum(map(len, timed)) - dropped
+
+
+def test_dead_letters_of_a_kafka_topic(spark, parts):
+    """The error table on records with the columns of Spark's Kafka source."""
+    errors = to_error_records(rejected_readings(spark.createDataFrame(parts[0])))
+    received = errors.select(
+        F.encode("key", "UTF-8").alias("key"),
+        F.encode("value", "UTF-8").alias("value"),
+        "topic",
+        F.lit(3).alias("partition"),
+        F.row_number().over(Window.orderBy("value")).cast("long").alias("offset"),
+        F.current_timestamp().alias("timestamp"),
+        F.lit(0).alias("timestampType"),
+    )
+    rows = c.error_table_stream(received).collect()
+    assert len({r.id for r in rows}) == len(rows) == errors.count() > 0
+    assert {"error_type", "raw_row", "created_at", "slack_sent"} <= set(rows[0].asDict())
