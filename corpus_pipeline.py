@@ -25,11 +25,12 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near-duplicates: the one with the least id.
+    """Keeps one document of each group of near-duplicates, the one with the least id. They share
+    80 percent or more of their five-word shingles.
 
     Rows of one id stay or go together; a null id stays.
     """
-    kept = near_duplicates(docs).where("kept").select("doc_id").distinct()
+    kept = near_duplicates(docs, threshold=80).where("kept").select("doc_id").distinct()
     with_id = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi")
     return with_id.unionByName(docs.where("doc_id is null"))
 

@@ -22,7 +22,9 @@ from .hashing import text_bytes, word_hashes
 
 SHINGLE = 5
 THRESHOLD = 85  # percent
-# A pair at similarity 0.85 shares no band with probability (1 - 0.85**5)**25 = 4e-7.
+# A pair at similarity s shares no band with probability (1 - s**5)**25: 4e-7 at 0.85, 5e-5 at 0.8,
+# which is the least that bands of this size are made for.
+LEAST_THRESHOLD = 80
 ROWS_PER_BAND = 5
 BANDS = 25
 BINS = ROWS_PER_BAND * BANDS
@@ -198,8 +200,8 @@ def near_duplicates(
 ) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
-    Documents link at a Jaccard similarity of ``threshold`` percent or more of their sets of
-    five-word shingles; component_id is the least id that links lead to, and the document with
+    Documents link at a Jaccard similarity of ``threshold`` percent (80 to 100) or more of their
+    sets of five-word shingles; component_id is the least id that links lead to, and the document with
     that id is kept.
 
     Documents with equal sets are one node from the start (partial aggregation, so thousands of
@@ -213,6 +215,8 @@ def near_duplicates(
     component and is kept; equal rows link; other columns are ignored; an empty table gives no
     rows.
     """
+    if not LEAST_THRESHOLD <= threshold <= 100:
+        raise ValueError(f"the threshold must lie between {LEAST_THRESHOLD} and 100 percent")
     docs = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")
     )
