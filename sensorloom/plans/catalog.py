@@ -862,9 +862,9 @@ def _late_alerts(spark, sf_dir):
             topics.stream(spark, TOPIC_READINGS), f"{root}/alerts", state, f"{root}/checkpoint",
             rate=0.0, trigger={"availableNow": True},
         ).awaitTermination()
-    late = state.progress(spark).agg(F.sum("n_late").alias("n_late"))
+    late = state.progress(spark).agg(F.sum("n_late").alias("n_late")).scalar()
     alerts = spark.read.parquet(f"{root}/alerts")
-    return alerts.select("alert_id", "location", "alert_type", "event_time").join(late)
+    return alerts.select("alert_id", "location", "alert_type", "event_time", late.alias("n_late"))
 
 
 @query("late_drop")
