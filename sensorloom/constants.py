@@ -30,7 +30,6 @@ WATERMARK = "2 minutes"
 COOLDOWN_MINUTES = 30
 DIVERT_RATE = 0.2
 RETRY_FAIL_RATE = 0.01
-MAX_OFFSETS_PER_TRIGGER = 2000
 ARCHIVE_ROWS_PER_FILE = 2000
 ARCHIVE_TRIGGER = "60 seconds"
 OUTBOX_BATCH = 10

@@ -95,16 +95,3 @@ def latest_offsets(offsets: DataFrame, every: str = "hour") -> DataFrame:
 
 def topic_list(samples: DataFrame) -> DataFrame:
     return samples.where(F.col("topic") != "").select("topic").distinct()
-
-
-def progress_rows(progress: dict) -> list[tuple]:
-    """(batch, source, input rows, rows per second) of one streaming progress report."""
-    return [
-        (
-            progress["batchId"],
-            source["description"],
-            source["numInputRows"],
-            source.get("inputRowsPerSecond"),
-        )
-        for source in progress["sources"]
-    ]

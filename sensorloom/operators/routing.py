@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,10 +44,6 @@ def region_map(spark: SparkSession, path: str | None = None) -> DataFrame:
     return whole.select(F.explode(pairs).alias("location", "partition"))
 
 
-def region_map_json(pairs: dict[str, int]) -> str:
-    return json.dumps(pairs, indent=2)
-
-
 def assign_partition(readings: DataFrame, regions: DataFrame) -> DataFrame:
     """Add ``partition``, null for locations the dimension does not know.
 

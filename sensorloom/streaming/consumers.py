@@ -27,7 +27,8 @@ from ..operators.deadletter import error_rows, record_id
 from ..operators.retry import decode_message, retry_candidates, retry_dead_letters, with_failure
 from ..operators.routing import decode_readings, is_diverted, reading_json, to_retry_records
 from ..operators.rules import ALERT_PROFILE, RETRY_PROFILE, Profile, detect_candidates
-from ..schemas import ALERTS_TABLE
+from ..operators.validate import ERROR_CONTRACT, check_contract
+from ..schemas import ALERTS_TABLE, ERRORS_TABLE
 from ..session import read_or_empty
 from ..sources.topics import position_of
 
@@ -270,6 +271,22 @@ def error_table_stream(records: DataFrame) -> DataFrame:
     )
 
 
+def start_errors(
+    records: DataFrame, path: str, quarantine: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """The error table of a topic, and apart from it the rows that break the table's contract;
+    both are addressed by the batch number."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        fits, broken = check_contract(error_table_stream(batch), ERROR_CONTRACT)
+        fits.select(*ERRORS_TABLE.fieldNames()).write.mode("overwrite").parquet(
+            f"{path}/batch={batch_id}"
+        )
+        broken.write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
+
+    return _start_batches(records, write, checkpoint, trigger)
+
+
 # --- sinks ------------------------------------------------------------------------------------
 def start_table(
     rows: DataFrame,

@@ -1,6 +1,6 @@
 from datetime import datetime, timedelta
 
-from sensorloom.operators.metrics import consumer_lag, progress_rows, topic_list, topic_rates, topic_throughput
+from sensorloom.operators.metrics import consumer_lag, latest_offsets, topic_list, topic_rates, topic_throughput
 
 T0 = datetime(2024, 1, 1)
 
@@ -28,6 +28,10 @@ def test_throughput_lag_and_topics(spark):
     assert {r.group: r.lag for r in consumer_lag(offsets).collect()} == {"g": 8, "h": 0}
 
 
-def test_progress_report():
-    report = {"batchId": 3, "sources": [{"description": "files", "numInputRows": 5, "inputRowsPerSecond": 2.5}]}
-    assert progress_rows(report) == [(3, "files", 5, 2.5)]
+def test_the_last_offsets_of_an_interval_count(spark):
+    rows = [(T0, 0, 10, 7), (T0.replace(minute=30), 0, 20, 19), (T0.replace(minute=5), 1, 5, None)]
+    offsets = spark.createDataFrame(
+        [(t, "g", "t", p, end, done) for t, p, end, done in rows],
+        "ts timestamp, group string, topic string, partition int, end_offset bigint, committed bigint",
+    )
+    assert [(r.ts, r.lag) for r in consumer_lag(latest_offsets(offsets)).collect()] == [(T0, 6)]

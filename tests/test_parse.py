@@ -12,7 +12,7 @@ from sensorloom.functions.parse import (
     iso_time,
     parse_float,
     parse_int_or_zero,
-    retry_number,
+    retry_sql,
 )
 
 
@@ -36,7 +36,7 @@ def test_integers(spark):
 
 def test_retry_numbers(spark):
     texts = ["2", "2.0", "2.9", "x", "nan", None]
-    assert evaluate(spark, "string", texts, retry_number("x")) == [2, 2, 2, None, None, None]
+    assert evaluate(spark, "string", texts, F.expr(retry_sql("x"))) == [2, 2, 2, None, None, None]
 
 
 @pytest.mark.parametrize(

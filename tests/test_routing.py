@@ -11,7 +11,6 @@ from sensorloom.operators.routing import (
     error_json,
     json_string,
     region_map,
-    region_map_json,
 )
 from sensorloom.sources.drops import new_files, read_drops
 from sensorloom.sources.topics import KafkaTopics, StoredTopics
@@ -29,7 +28,7 @@ def test_new_locations_in_first_seen_order(spark):
 
 def test_region_map_files(spark, tmp_path):
     good, bad = tmp_path / "good.json", tmp_path / "bad.json"
-    good.write_text(region_map_json({"Paris": 0, "Los Angeles": 1}))
+    good.write_text('{"Paris": 0, "Los Angeles": 1}')
     bad.write_text("{not json")
     found = {(r.location, r.partition) for r in region_map(spark, str(good)).collect()}
     assert found == {("Paris", 0), ("Los Angeles", 1)}

@@ -16,7 +16,7 @@ from sensorloom.operators.cooldown import cooldown
 from sensorloom.operators.routing import is_diverted, region_map, to_error_records
 from sensorloom.operators.rules import ALERT_PROFILE, detect_candidates
 from sensorloom.operators.validate import rejected_readings, valid_readings
-from sensorloom.schemas import RAW_COLUMNS
+from sensorloom.schemas import ERRORS_TABLE, RAW_COLUMNS
 from sensorloom.sources.drops import stream_drops
 from sensorloom.sources.events import raw_readings
 from sensorloom.sources.topics import StoredTopics
@@ -80,8 +80,8 @@ def test_drop_files_to_tables(spark, parts, tmp_path):
         finish(c.start_retries(records(TOPIC_RETRY), f"{root}/retry_alerts",
                                c.AlertState(f"{root}/retry_state"), f"{root}/cp/retry", topics=topics,
                                fail_rate=0.01, trigger=NOW))
-        finish(c.start_table(c.error_table_stream(records(TOPIC_ERRORS)), f"{root}/errors",
-                             f"{root}/cp/errors", trigger=NOW))
+        finish(c.start_errors(records(TOPIC_ERRORS), f"{root}/errors", f"{root}/bad_errors",
+                              f"{root}/cp/errors", trigger=NOW))
 
     # two parts, stop, the other two, and a last run with nothing new
     for i, part in enumerate(parts[:2]):
@@ -132,6 +132,8 @@ def test_drop_files_to_tables(spark, parts, tmp_path):
     errors = spark.read.parquet(f"{root}/errors")
     failed = topics.read(spark, TOPIC_ERRORS).where("producer = 'retry'").count()
     assert errors.count() == len(rows) - valid.count() + failed
+    assert set(errors.columns) == {*ERRORS_TABLE.fieldNames(), "batch"}
+    assert spark.read.parquet(f"{root}/bad_errors").isEmpty()
     assert errors.select("id").distinct().count() == errors.count()
     assert spark.read.parquet(f"{root}/retry_alerts").count() > 0
 
