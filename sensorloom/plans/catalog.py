@@ -67,14 +67,12 @@ from ..operators.rules import (
 )
 from ..operators.slices import in_range, time_span, with_slice
 from ..operators.validate import (
-    ALERT_CONTRACT,
     file_counts,
     float_error,
     missing_field,
     rejected_readings,
     type_error,
     valid_readings,
-    violation,
 )
 from ..operators.windows import collect_windows, window_counts, with_window, without_time
 from ..constants import (
@@ -358,15 +356,28 @@ def _file_counts(spark, sf_dir):
 
 @query("table_contract")
 def _table_contract(spark, sf_dir):
-    raw = raw_readings(spark, sf_dir).select(
-        "event_id",
+    """Rows through the sink of the alerts table: what it took, and what went to quarantine."""
+    rows = raw_readings(spark, sf_dir).select(
+        F.col("event_id").cast("string").alias("alert_id"),
         F.nullif("location", F.lit("")).alias("location"),
         F.when(F.col("event_id") % 31 == 0, F.repeat(F.lit("x"), F.lit(60)))
         .otherwise(F.lit("TEMP_HIGH"))
         .alias("alert_type"),
         event_time_lenient("date_time").alias("event_time"),
-    )
-    return raw.select("event_id", violation(ALERT_CONTRACT).alias("violation"))
+        F.lit(False).alias("slack_sent"),
+        *[
+            F.lit(None).cast(kind).alias(name)
+            for name, kind in (
+                ("alert_reason", "string"), ("value", "double"), ("threshold", "double"),
+                ("slack_sent_at", "timestamp"), ("retry_count", "int"), ("raw_json", "string"),
+            )
+        ],
+    )
+    path, quarantine = work_dir(spark, "alerts"), work_dir(spark, "quarantine")
+    write_alerts(rows, path, quarantine)
+    event_id = F.col("alert_id").cast("long").alias("event_id")
+    taken = spark.read.parquet(path).select(event_id, F.lit(None).cast("string").alias("violation"))
+    return taken.unionByName(spark.read.parquet(quarantine).select(event_id, "violation"))
 
 
 @query("sample_retry")

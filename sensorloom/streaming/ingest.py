@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..constants import TOPIC_ERRORS, TOPIC_PARTITIONS, TOPIC_READINGS

@@ -9,7 +9,7 @@ CHAINED = {
     "alerts_union", "render_alert", "retry_alerts", "render_retry",
 }
 EAGER = {  # these run jobs while they are built
-    "csv_scan", "csv_scan_headers", "archive_roundtrip", "alerts_by_filter", "outbox_cycle", "topic_read_from",
+    "csv_scan", "csv_scan_headers", "archive_roundtrip", "alerts_by_filter", "outbox_cycle", "topic_read_from", "table_contract",
     "alert_outbox_cycle", "stream_cooldown_alerts", "restart_exactly_once", "late_drop",
     "stream_cooldown_batches", "replay_exactly_once", "late_alerts",
 }
