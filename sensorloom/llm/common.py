@@ -74,10 +74,12 @@ def distinct(values: np.ndarray) -> np.ndarray:
 
 def mix64(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit moves about half of the output bits."""
-    x = x.astype(np.uint64, copy=True)
-    x ^= x >> np.uint64(30)
-    x *= np.uint64(0xBF58476D1CE4E5B9)
-    x ^= x >> np.uint64(27)
+    shifted = x >> np.uint64(30)
+    shifted ^= x
+    shifted *= np.uint64(0xBF58476D1CE4E5B9)
+    x = shifted >> np.uint64(27)
+    x ^= shifted
     x *= np.uint64(0x94D049BB133111EB)
-    x ^= x >> np.uint64(31)
+    np.right_shift(x, np.uint64(31), out=shifted)
+    x ^= shifted
     return x

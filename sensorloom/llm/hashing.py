@@ -47,7 +47,17 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def prefix(data: np.ndarray, values: np.ndarray = BYTE_VALUES) -> np.ndarray:
     """Running polynomial hash; ``spans`` takes the hash of any span from it."""
     out = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(values[data] * powers(len(data))[0][: len(data)], out=out[1:], dtype=np.uint64)
+    rest = out[1:]  # all in this one array: texts are long, and tasks are many
+    np.take(values, data, out=rest, mode="clip")
+    rest *= powers(len(data))[0][: len(data)]
+    np.cumsum(rest, out=rest)
+    return out
+
+
+def rolling(running: np.ndarray, width: int) -> np.ndarray:
+    """``spans`` of every ``width`` bytes."""
+    out = running[width:] - running[:-width]
+    out *= powers(len(out))[1][: len(out)]
     return out
 
 

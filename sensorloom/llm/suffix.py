@@ -22,20 +22,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import mix64, slices, stored
-from .hashing import prefix, spans, text_bytes
+from .hashing import prefix, rolling, spans, text_bytes
 
 LENGTH = 100
 ANCHOR = 50
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 # Suffix arrays are built over so many bytes at a time; a group of stretches is never cut.
-BLOCK_BYTES = 1 << 16
+BLOCK_BYTES = 1 << 14
 # Stretches of larger groups are cut into their windows before they are brought together.
 SPLIT_STRETCHES = 8192
 
 _STRETCHES_DDL = "anchor long, stretch long, id long, place long"
 _JUDGED_DDL = "id long, start long, end long, anchor_at int, stretches long"
 _SPANS_DDL = "id long, start long, end long"
-_BYTES_DDL = "key long, id long, start long, bytes binary"
+_BYTES_DDL = "key long, id long, start long, end long, bytes binary"
 
 
 def suffix_order(text: bytes | list[int]) -> list[int]:
@@ -123,8 +123,7 @@ def stretches(data: np.ndarray, borders: np.ndarray) -> dict[str, np.ndarray]:
             ("anchor", "stretch"), empty.astype(np.uint64)
         )
     running = prefix(data)
-    starts = np.arange(len(data) - ANCHOR + 1)
-    hashes = mix64(spans(running, starts, starts + ANCHOR))
+    hashes = mix64(rolling(running, ANCHOR))
     width = LENGTH - ANCHOR + 1
     least, covered = hashes, 1
     while covered * 2 <= width:
@@ -265,39 +264,53 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes of stretches of (id, text, stretches) rows, under a hash of their anchor. Of very
-    large groups the windows go on their own, under a hash of the whole window."""
+    """The bytes of stretches of (id, text, stretches) rows, under a hash of their anchor.
+
+    Of very large groups the windows go on their own, under a hash of the whole window, and of
+    equal ones in a slice only the earliest; the others are spans that repeat, without bytes.
+    """
     for batch in batches:
-        for part in slices(batch, limit=SLICE_BYTES):
-            rows: list[tuple[int, int, bytes]] = []
+        for part in slices(batch):
+            rows: list[tuple[int, int, int, bytes | None]] = []
             keyed: list[bytes] = []
+            windows: dict[bytes, tuple[int, int]] = {}
             for doc, text, wanted in zip(*(part.column(n).to_pylist() for n in range(3))):
                 data = text.encode()
                 for s in wanted:
                     start, end, at = s["start"], s["end"], s["start"] + s["anchor_at"]
                     if s["stretches"] <= SPLIT_STRETCHES:
-                        rows.append((doc, start, data[start:end]))
+                        rows.append((doc, start, end, data[start:end]))
                         keyed.append(data[at : at + ANCHOR])
-                    else:
-                        for p in range(start, end - LENGTH + 1):
-                            rows.append((doc, p, data[p : p + LENGTH]))
-                            keyed.append(data[p : p + LENGTH])
+                        continue
+                    for p in range(start, end - LENGTH + 1):
+                        window = data[p : p + LENGTH]
+                        first = windows.setdefault(window, (doc, p))
+                        if first != (doc, p):
+                            windows[window], (other, q) = min(first, (doc, p)), max(first, (doc, p))
+                            rows.append((other, q, q + LENGTH, None))
+                            keyed.append(b"%d" % other)
+            for window, (doc, p) in windows.items():
+                rows.append((doc, p, p + LENGTH, window))
+                keyed.append(window)
             if rows:
                 joined, borders = text_bytes(pa.array(keyed, pa.binary()))
                 keys = mix64(spans(prefix(joined), borders[:-1], borders[1:]))
-                ids, starts, parts = zip(*rows)
+                *numbers, parts = zip(*rows)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.view(np.int64)), *map(pa.array, (ids, starts)),
-                     pa.array(parts, pa.binary())],
-                    names=["key", "id", "start", "bytes"],
-                )
+                    [*map(pa.array, (keys.view(np.int64), *numbers)), pa.array(parts, pa.binary())],
+                    names=["key", "id", "start", "end", "bytes"],
+                )
 
 
 def _sort_suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spans that repeat, of rows (key, id, start, bytes) sorted by key."""
+    """Spans that repeat, of rows (key, id, start, end, bytes) sorted by key."""
     for batch in _whole_groups(batches):
+        known = batch.filter(batch.column(4).is_null())
+        if known.num_rows:
+            yield _batch(_SPANS_DDL, *merged(*(known.column(n).to_numpy() for n in (1, 2, 3))))
+        batch = batch.filter(batch.column(4).is_valid())
         keys, ids, starts = (batch.column(n).to_numpy() for n in range(3))
-        parts = batch.column(3).to_pylist()
+        parts = batch.column(4).to_pylist()
         size, begin = 0, 0
         for n in range(len(parts)):
             size += len(parts[n]) + 1
@@ -310,6 +323,22 @@ def _sort_suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def repeats(ids: np.ndarray, starts: np.ndarray, parts: list[bytes]) -> tuple[np.ndarray, ...]:
     """Spans of the windows in ``parts`` that are equal to an earlier one, as (id, start, end)."""
+    order = np.lexsort((starts, ids))
+    earliest: dict[bytes, int] = {}
+    for n in order.tolist():
+        earliest.setdefault(parts[n], n)
+    one = np.array(sorted(earliest.values()), dtype=np.int64)
+    lengths = np.array([len(p) for p in parts], dtype=np.int64)
+    equal = np.setdiff1d(np.arange(len(parts)), one)
+    found = _window_repeats(ids[one], starts[one], [parts[n] for n in one.tolist()])
+    whole = (ids[equal], starts[equal], starts[equal] + lengths[equal])
+    return merged(*(np.concatenate(pair) for pair in zip(found, whole)))
+
+
+def _window_repeats(
+    ids: np.ndarray, starts: np.ndarray, parts: list[bytes]
+) -> tuple[np.ndarray, ...]:
+    """``repeats`` of parts that differ, by their suffix array."""
     lengths = np.array([len(p) for p in parts])
     if len(parts) < 2:
         empty = np.zeros(0, dtype=np.int64)
