@@ -225,8 +225,9 @@ def _refined(labelled: DataFrame, idf: np.ndarray, owners: list[str], seeds: np.
     totals = labelled.mapInArrow(run, "centroid int, dim int, total long")
     totals = totals.groupBy("centroid", "dim").agg(F.sum("total").alias("total"))
     sums = np.zeros((len(owners), DIMENSIONS + _SIMILARITY_BINS))
-    for row in totals.collect():
-        sums[row.centroid, row.dim] = row.total / (1 << 20)
+    cells = totals.toArrow()
+    place = cells["centroid"].to_numpy(), cells["dim"].to_numpy()
+    sums[place] = cells["total"].to_numpy() / (1 << 20)
     norms = np.linalg.norm(sums[:, :DIMENSIONS], axis=1, keepdims=True)
     centroids = np.where(norms > 0, sums[:, :DIMENSIONS] / np.maximum(norms, 1e-12), seeds)
     floor = np.zeros(len(owners))
