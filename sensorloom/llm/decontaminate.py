@@ -35,7 +35,7 @@ MAX_REPETITIONS = 256
 # Items are used in blocks of about so many characters; each block is one pass over the documents.
 BLOCK_CHARS = 8_000_000
 # Text that a task searches at a time.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 _TABLE_BITS = 20
 _WORD_BYTE = np.zeros(256, dtype=bool)
@@ -251,44 +251,79 @@ def _likely_windows(
             yield length, starts
 
 
-def search(words: np.ndarray, borders: np.ndarray, index: Index) -> list[tuple]:
-    """(text number, item, start word in the text, words, distance) of every match.
+class Search:
+    """Finds the items of an index in texts that are added in parts.
 
-    Of overlapping windows of one text that match one item, the nearest counts, then the first.
+    Likely windows are held back until there are many of one length, since a walk takes as many
+    steps for one window as for thousands.
     """
-    if not index.items or len(words) < MIN_WORDS:
-        return []
-    found: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
-    for length, starts in _likely_windows(words, borders, index):
-        for begin in range(0, len(starts), 4096):
-            part = starts[begin : begin + 4096]
-            windows = words[part[:, None] + np.arange(length)]
-            keys = walk_keys(windows, index.repetitions)
-            at = np.minimum(np.searchsorted(index.keys, keys), len(index.keys) - 1)
-            row, repetition = np.nonzero(index.keys[at] == keys)
-            pairs = {
-                (r, number)
-                for r, k in zip(row.tolist(), at[row, repetition].tolist())
-                for number in index.key_items[k]
-            }
-            if not pairs:
-                continue
-            windows_of, numbers = map(list, zip(*sorted(pairs)))
-            items = np.array([index.items[n][1] for n in numbers], dtype=np.uint64)
-            distances = edit_distances(items, windows[windows_of])
-            for n in np.flatnonzero(distances <= allowed(length)).tolist():
-                start = int(part[windows_of[n]])
-                text = int(np.searchsorted(borders, start, side="right")) - 1
-                found[text, numbers[n]].append((int(distances[n]), start))
-    matches = []
-    for (text, number), windows in found.items():
-        item, own = index.items[number]
-        taken: list[int] = []
-        for distance, start in sorted(windows):
-            if all(abs(start - t) >= len(own) for t in taken):
-                taken.append(start)
-                matches.append((text, item, start - int(borders[text]), len(own), distance))
-    return sorted(matches)
+
+    HELD = 8192
+
+    def __init__(self, index: Index):
+        self.index = index
+        self.texts = 0
+        self.held: dict[int, list[tuple[np.ndarray, ...]]] = defaultdict(list)
+        self.found: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
+
+    def add(self, words: np.ndarray, borders: np.ndarray) -> None:
+        """The next texts, as ``word_ids`` gives them."""
+        if self.index.items and len(words) >= MIN_WORDS:
+            for length, starts in _likely_windows(words, borders, self.index):
+                text = np.searchsorted(borders, starts, side="right") - 1
+                for begin in range(0, len(starts), self.HELD):
+                    own = slice(begin, begin + self.HELD)
+                    windows = words[starts[own, None] + np.arange(length)]
+                    place = starts[own] - borders[text[own]]
+                    self.held[length].append((text[own] + self.texts, place, windows))
+                    if sum(len(h[0]) for h in self.held[length]) >= self.HELD:
+                        self._walk(length)
+        self.texts += len(borders) - 1
+
+    def _walk(self, length: int) -> None:
+        texts, places, windows = map(np.concatenate, zip(*self.held.pop(length)))
+        index = self.index
+        keys = walk_keys(windows, index.repetitions)
+        at = np.minimum(np.searchsorted(index.keys, keys), len(index.keys) - 1)
+        row, repetition = np.nonzero(index.keys[at] == keys)
+        pairs = {
+            (r, number)
+            for r, k in zip(row.tolist(), at[row, repetition].tolist())
+            for number in index.key_items[k]
+        }
+        if not pairs:
+            return
+        rows, numbers = map(list, zip(*sorted(pairs)))
+        items = np.array([index.items[n][1] for n in numbers], dtype=np.uint64)
+        distances = edit_distances(items, windows[rows])
+        for n in np.flatnonzero(distances <= allowed(length)).tolist():
+            text, place = int(texts[rows[n]]), int(places[rows[n]])
+            self.found[text, numbers[n]].append((int(distances[n]), place))
+
+    def matches(self) -> list[tuple]:
+        """(text number, item, start word in the text, words, distance) of every match so far.
+
+        Of overlapping windows of one text that match one item, the nearest counts, then the first.
+        """
+        for length in list(self.held):
+            self._walk(length)
+        matches = []
+        for (text, number), windows in self.found.items():
+            item, own = self.index.items[number]
+            taken: list[int] = []
+            for distance, start in sorted(windows):
+                if all(abs(start - t) >= len(own) for t in taken):
+                    taken.append(start)
+                    matches.append((text, item, start, len(own), distance))
+        return sorted(matches, key=lambda m: (m[0], m[1] is None, m[1] or 0, *m[2:]))
+
+
+def search(texts: pa.RecordBatch, column: int, index: Index) -> list[tuple]:
+    """The matches of a batch; the text number is that of its row."""
+    found = Search(index)
+    for part in slices(texts, column, SLICE_BYTES):
+        found.add(*word_ids(part.column(column)))
+    return found.matches()
 
 
 def contaminated(
@@ -353,15 +388,14 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[Broa
 def _matches(docs: DataFrame, index: Broadcast) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, limit=SLICE_BYTES):
-                ids = part.column(0).to_pylist()
-                found = search(*word_ids(part.column(1)), index.value)
-                if found:
-                    columns = zip(*((ids[m[0]], *m[1:]) for m in found))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, pa.int64()) for c in columns],
-                        names=["doc_id", "item_id", "word_start", "n_words", "distance"],
-                    )
+            ids = batch.column(0).to_pylist()
+            found = search(batch, 1, index.value)
+            if found:
+                columns = zip(*((ids[m[0]], *m[1:]) for m in found))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, pa.int64()) for c in columns],
+                    names=["doc_id", "item_id", "word_start", "n_words", "distance"],
+                )
 
     return docs.mapInArrow(run, MATCHES_DDL)
 
@@ -371,9 +405,8 @@ def _without_matches(docs: DataFrame, text_col: str, index: Broadcast) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, at, SLICE_BYTES):
-                clean = np.ones(part.num_rows, dtype=bool)
-                clean[[m[0] for m in search(*word_ids(part.column(at)), index.value)]] = False
-                yield part.filter(pa.array(clean))
+            clean = np.ones(batch.num_rows, dtype=bool)
+            clean[[m[0] for m in search(batch, at, index.value)]] = False
+            yield batch.filter(pa.array(clean))
 
     return docs.mapInArrow(run, docs.schema)

@@ -78,8 +78,8 @@ def test_planted_items_are_found_like_by_brute_force(spark, sf):
     texts += [d[:600] for d in documents]
     index = D.build_index(items)
     assert 1 <= index.repetitions <= D.MAX_REPETITIONS
-    words, borders = D.word_ids(pa.array(texts))
-    found = {(m[0], m[1]) for m in D.search(words, borders, index)}
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    found = {(m[0], m[1]) for m in D.search(batch, 0, index)}
     expected = brute_force(texts, items)
     assert found <= expected
     assert len(found) >= 0.97 * len(expected)

@@ -38,8 +38,8 @@ def test_each_stage_takes_effect(spark, sf):
     assert set(kept["near_duplicates"]) == {d for d in texts if least[d] == d}
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
     index = decontaminate.build_index(items)
-    texts = list(kept["decontamination"].values())
-    assert not decontaminate.search(*decontaminate.word_ids(pa.array(texts)), index)
+    left = pa.RecordBatch.from_arrays([pa.array(list(kept["decontamination"].values()))], ["text"])
+    assert not decontaminate.search(left, 0, index)
     before, after = kept["decontamination"], kept["personal_data"]
     for doc, text in before.items():
         found = pii.detect(text)
