@@ -310,11 +310,14 @@ class Search:
         matches = []
         for (text, number), windows in self.found.items():
             item, own = self.index.items[number]
-            taken: list[int] = []
+            length = len(own)
+            taken: dict[int, int] = {}  # by start // length, of which each holds one at most
             for distance, start in sorted(windows):
-                if all(abs(start - t) >= len(own) for t in taken):
-                    taken.append(start)
-                    matches.append((text, item, start, len(own), distance))
+                block = start // length
+                near = (taken.get(b) for b in (block - 1, block, block + 1))
+                if all(t is None or abs(start - t) >= length for t in near):
+                    taken[block] = start
+                    matches.append((text, item, start, length, distance))
         return sorted(matches, key=lambda m: (m[0], m[1] is None, m[1] or 0, *m[2:]))
 
 

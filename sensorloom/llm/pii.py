@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
@@ -143,10 +144,11 @@ def detect(text: str) -> list[Entity]:
         at = m.end() if own else max(m.start() + 1, _past_digits(text, m))
     names = {e.value[2:]: e for e in found if e.kind in ("given", "surname")}
     if names:
-        taken = [(e.start, e.end) for e in found]
+        taken = sorted((e.start, e.end) for e in found)
         spots = re.compile(r"(?<!\w)(?:" + "|".join(map(re.escape, names)) + r")(?!\w)")
         for m in spots.finditer(text):
-            if not any(a < m.end() and m.start() < b for a, b in taken):
+            before = bisect_left(taken, (m.end(), 0)) - 1  # spans do not overlap
+            if before < 0 or taken[before][1] <= m.start():
                 found.append(names[m[0]]._replace(start=m.start(), end=m.end()))
     return sorted(found, key=lambda e: (e.start, e.kind))
 

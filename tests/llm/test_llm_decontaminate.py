@@ -26,12 +26,13 @@ def brute_force(texts, items):
         own = item_words[item_borders[n] : item_borders[n + 1]].tolist()
         if len(own) < D.MIN_WORDS:
             continue
+        known = set(own)
         for text in range(len(texts)):
             whole = words[borders[text] : borders[text + 1]].tolist()
             for start in range(len(whole) - len(own) + 1):
                 window = whole[start : start + len(own)]
                 # Cheap bound first: words that are not in the item are edits.
-                if sum(w not in own for w in window) <= D.allowed(len(own)):
+                if sum(w not in known for w in window) <= D.allowed(len(own)):
                     if levenshtein(own, window) <= D.allowed(len(own)):
                         found.add((text, item))
                         break
