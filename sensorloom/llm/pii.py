@@ -51,6 +51,8 @@ SYLLABLES = {
 
 _NAME = r"[^\W\d_a-zа-яà-öø-ÿ][^\W\d_]+(?:['’-][^\W\d_]+)?"
 _TITLE = "|".join(re.escape(t) for t in sorted(TITLES, key=len, reverse=True))
+_WORD = rf"(?!(?:{_TITLE})(?!\w)){_NAME}"
+_INITIAL = r"[^\W\d_a-zа-яà-öø-ÿ](?:\.[ -]?| )"
 PATTERNS = {
     "secret": r"(?i:\b(?:token|secret|passwd|password|api[_-]?key|access[_-]?key|private[_-]?key)"
     r"\b[\"']?\s*[:=]\s*[\"']?)(?P<secret>[A-Za-z0-9_+/=.-]{6,})",
@@ -61,15 +63,27 @@ PATTERNS = {
     "email": r"(?P<email>(?<![\w.+-])[\w][\w.+-]*@(?:[\w-]+\.)+[^\W\d_]{2,})",
     "iban": r"(?P<iban>(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w))",
     "ip": r"(?P<ip>(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w]|\.\d))",
-    "card": r"(?P<card>(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-]))",
+    "card": r"(?P<card>(?<![\w-])\d(?:[ -]?\d){12,18}(?!\w|-[^\W\d]))",
     "ssn": r"(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))",
-    "phone": r"(?P<phone>(?<![\w.])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}"
+    # Numbers of country 1 have ten digits more; those of other countries may have any number.
+    "phone": r"(?P<phone>(?<![\w.])(?:\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}(?!\w)"
+    r"|\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}"
     r"|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[ .-]\d{3}[ .-]\d{4})(?![\w]))",
-    "name": rf"(?<!\w)(?P<title>{_TITLE})\.? (?P<first>{_NAME})(?: (?P<second>{_NAME}))?",
+    "name": rf"(?<!\w)(?P<title>(?:{_TITLE})(?:(?:\. ?| )(?:{_TITLE})(?!\w))*)\.? "
+    rf"(?P<names>(?:{_INITIAL})*{_WORD}(?: (?:{_INITIAL})*{_WORD}){{0,5}})",
 }
 _ALL = re.compile("|".join(PATTERNS.values()))
+# What may start where a longer run of digits fails its checksum.
+_UNCHECKED = re.compile(PATTERNS["ssn"] + "|" + PATTERNS["phone"])
+_TITLES = re.compile(_TITLE)
+_NAME_PARTS = re.compile(rf"(?P<initial>{_INITIAL})|{_NAME}")
+_DIGIT_GROUPS = re.compile(r"\d+(?:[ -]\d+)*")
+_CARD_LAYOUT = re.compile(r"\d+|\d{4}([ -])\d{4}\1\d{4}\1\d{1,4}(?:\1\d{3})?|\d{4}([ -])\d{6}\2\d{4,5}")
 # Every pattern needs one of these; texts without any are passed on untouched.
-_MAY_HOLD = r"[0-9@=:]|sk-|gh[opsu]_|xox|eyJ|" + "|".join(t + r"\b" for t in TITLES)
+# They are searched for by RE2, whose \b knows ASCII letters only.
+_MAY_HOLD = r"[0-9@=:]|sk-|gh[opsu]_|xox|eyJ|" + "|".join(
+    t + r"\b" * t[-1].isascii() for t in TITLES
+)
 
 
 class Entity(NamedTuple):
@@ -96,22 +110,26 @@ def _script(word: str) -> str:
     return "cyrillic" if "\u0400" <= word[:1] <= "\u04ff" else "latin"
 
 
-def _gender(first: str, title: str) -> str:
+def _gender(first: str, title: str | None) -> str:
     for (_, gender), names in GIVEN.items():
         if first in names.split():
             return gender
-    return TITLES[title]
+    return TITLES[title] if title else "n"
 
 
 def _match(m: re.Match) -> list[Entity]:
-    kind = m.lastgroup
-    if kind in ("first", "second", "title"):
-        first, second = m["first"], m["second"]
-        surname, group = (second, "second") if second else (first, "first")
-        gender = _gender(first if second else "", m["title"])
-        found = [Entity("surname", f"{gender}|{surname}", m.start(group), m.end(group))]
-        if second:
-            found.append(Entity("given", f"{gender}|{first}", m.start("first"), m.end("first")))
+    kind, text = m.lastgroup, m.string
+    if kind in ("names", "title"):
+        parts = list(_NAME_PARTS.finditer(text, *m.span("names")))
+        words = [part for part in parts if not part["initial"]]
+        title = next((t for t in _TITLES.findall(m["title"]) if TITLES[t] != "n"), None)
+        gender = _gender(words[0][0] if len(words) > 1 else "", title)
+        found = [Entity("surname", f"{gender}|{words[-1][0]}", *words[-1].span())]
+        for part in words[:-1]:
+            found.append(Entity("given", f"{gender}|{part[0]}", *part.span()))
+        for part in parts:
+            if part["initial"]:
+                found.append(Entity("initial", part[0][0], part.start(), part.start() + 1))
         return found
     text = m[kind]
     span = m.span(kind)
@@ -127,13 +145,63 @@ def _match(m: re.Match) -> list[Entity]:
     if kind.startswith("key"):
         return [Entity("secret", text, *span)]
     compact = re.sub(r"[^0-9A-Z]", "", text)
-    if kind == "card" and (_luhn(compact) or len(set(compact)) < 2):
-        return []
+    if kind == "card" and not _card_ok(compact):
+        return _unchecked(m) or _card_within(m)
     if kind == "iban" and not _iban_ok(compact):
-        return []
+        return _iban_within(m)
     return [Entity(kind, compact, *span)]
 
 
+def _card_ok(digits: str) -> bool:
+    return not _luhn(digits) and len(set(digits)) > 1
+
+
+def _unchecked(m: re.Match) -> list[Entity]:
+    """The number without a checksum that starts where a match failed its own."""
+    shorter = _UNCHECKED.match(m.string, m.start())
+    return _match(shorter) if shorter else []
+
+
+def _card_within(m: re.Match) -> list[Entity]:
+    """The card that starts where a longer run of digits failed, and ends with a group of them.
+
+    Of overlapping cards in the run one that is laid out like a card counts, then the longest; if
+    that starts later, nothing does here.
+    """
+    # As far as cards reach that overlap with one that starts here.
+    run = _DIGIT_GROUPS.match(m.string, m.start(), m.end() + 40)
+    groups = [g.span() for g in re.finditer(r"\d+", run[0])]
+    found = []
+    for first, (start, _) in enumerate(groups):
+        digits = 0
+        for last in range(first, len(groups)):
+            digits += groups[last][1] - groups[last][0]
+            if digits > 19:
+                break
+            end = groups[last][1]
+            shown = run[0][start:end]
+            after = m.string[run.start() + end : run.start() + end + 2]
+            if digits >= 13 and not re.match(r"\w|-[^\W\d]", after):
+                if _card_ok(re.sub(r"\D", "", shown)):
+                    found.append((bool(_CARD_LAYOUT.fullmatch(shown)), digits, -start, end))
+    # Only what overlaps a card that starts here can be in its way.
+    own = max((f for f in found if f[2] == 0), default=None)
+    if own is None or any(f[:2] > own[:2] and -f[2] < own[3] for f in found):
+        return []
+    value = re.sub(r"\D", "", run[0][: own[3]])
+    return [Entity("card", value, m.start(), m.start() + own[3])]
+
+
+def _iban_within(m: re.Match) -> list[Entity]:
+    """The longest IBAN that starts where a longer match failed, and ends before a blank of it."""
+    shown = m["iban"]
+    for end in sorted((g.start() for g in re.finditer(" ", shown)), reverse=True):
+        compact = shown[:end].replace(" ", "")
+        if len(compact) >= 15 and _iban_ok(compact):
+            return [Entity("iban", compact, m.start(), m.start() + end)]
+    return []
+
+
 def detect(text: str) -> list[Entity]:
     """Entities by place. Names found behind a title count wherever else they stand in the text."""
     found = []
@@ -141,7 +209,7 @@ def detect(text: str) -> list[Entity]:
     while m := _ALL.search(text, at):
         own = _match(m)
         found += own
-        at = m.end() if own else max(m.start() + 1, _past_digits(text, m))
+        at = max(e.end for e in own) if own else max(m.start() + 1, _past_digits(text, m))
     names = {e.value[2:]: e for e in found if e.kind in ("given", "surname")}
     if names:
         taken = sorted((e.start, e.end) for e in found)
@@ -224,6 +292,8 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
             digits = "0123456789ABCDEF" if value.isupper() else "0123456789abcdef"
             return "".join(digits[draw.below(16)] for _ in value)
         return draw.like(value)
+    if kind == "initial" and _script(value) == "cyrillic":
+        return "АБВГДЕЖЗИКЛМНОПРСТУФХЭЮЯ"[draw.below(24)]
     if kind in ("given", "surname"):
         gender, _, name = value.partition("|")
         script = _script(name)
@@ -288,7 +358,9 @@ def entities(docs: DataFrame, text_col: str = "text") -> DataFrame:
                     if may:
                         key = part.column(0)[n].as_py()
                         text = part.column(1)[n].as_py()
-                        found.update((key, e.kind, e.value) for e in detect(text))
+                        found.update(
+                            (key, e.kind, e.value) for e in detect(text) if e.kind != "initial"
+                        )
             if found:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c) for c in zip(*found)], names=["text_key", "kind", "value"]
@@ -347,7 +419,8 @@ def replace_entities(
     addresses, secrets behind words such as ``token =`` or with a known beginning, and names behind
     titles. One entity has
     one surrogate in all documents and spellings, distinct entities have distinct ones, and no
-    surrogate is an entity of the corpus. Punctuation, letter case, checksums, script and gender
+    surrogate is an entity of the corpus; only initials, of which there are too few, are just
+    drawn. Punctuation, letter case, checksums, script and gender
     are kept.
 
     The texts are not shuffled: the few entities that needed a second draw are joined by a hash of

@@ -51,6 +51,36 @@ def test_clean_texts_stay(text):
     assert pii.replace(text, KEY, {}) == (text, 0)
 
 
+FOLLOWED = {
+    "card 4111111111111111 123": ["4111111111111111"],
+    "card 4111111111111111 12/27": ["4111111111111111"],
+    "card 4111 1111 1111 1111 123": ["4111 1111 1111 1111"],
+    "card 4111-1111-1111-1111-123456": ["4111-1111-1111-1111"],
+    "12 4111 1111 1111 1111": ["4111 1111 1111 1111"],
+    "706-555-3138 20241": ["706-555-3138"],
+    "123-45-6789 20241": ["123-45-6789"],
+    "706-555-3138 4111 1111 1111 1111 123": ["706-555-3138", "4111 1111 1111 1111"],
+    "+1 (706) 555-3138 2024": ["+1 (706) 555-3138"],
+    "BE68 5390 0754 7034 EUR": ["BE68 5390 0754 7034"],
+    "Dr Anna Maria Schmidt": ["Anna", "Maria", "Schmidt"],
+    "Dr. J. R. Smith, Mr John F Kennedy": ["J", "R", "Smith", "John", "F", "Kennedy"],
+    "Herr Dr. Müller and Dr Weber": ["Müller", "Weber"],
+    "Prof. Dr. Schmidt, a Dr of law; Prof.Dr. Weber": ["Schmidt", "Weber"],
+}
+
+
+@pytest.mark.parametrize("text", FOLLOWED)
+def test_entities_followed_by_more(text):
+    spots = {(e.start, e.end) for e in pii.detect(text)}
+    assert [text[a:b] for a, b in sorted(spots)] == FOLLOWED[text]
+
+
+def test_titles_in_other_letters_pass_the_prefilter(documents):
+    texts = ["г-н Иван Петров", "господин Петров", "госпожа Анна Петрова", "г-жа Петрова"]
+    rows = pii.replace_entities(documents(list(enumerate(texts))), key=KEY).collect()
+    assert all(r.n_entities and "Петров" not in r.text for r in rows)
+
+
 def test_surrogates_keep_type_and_format():
     text = "Bob@Mail7.example.com +1 (017) 555-7713 97.51.17.173 4111 1111 1111 1111 SSN 123-45-6789"
     made, _ = pii.replace(text, KEY, {})
