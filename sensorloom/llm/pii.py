@@ -86,6 +86,10 @@ _MAY_HOLD = r"[0-9@=:]|sk-|gh[opsu]_|xox|eyJ|" + "|".join(
 )
 
 
+# Values of these begin with a gender and a bar.
+_NAME_KINDS = ("given", "surname")
+
+
 class Entity(NamedTuple):
     kind: str
     value: str  # canonical: equal for all spellings of one entity
@@ -374,14 +378,19 @@ def attempts(mentions: DataFrame, key: bytes) -> DataFrame:
     """kind, value and attempt of every entity whose first surrogate was not free.
 
     A surrogate is free if it is no entity of the corpus itself and no other entity keeps it: of
-    those that draw it, the one with the fewest attempts and then the least value does.
+    those that draw it, the one with the fewest attempts and then the least value does. Names are
+    judged as they are written, given names and surnames together: the gender that goes before
+    them is only for the draw.
     """
     spark = mentions.sparkSession
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = zip(*(batch.column(c).to_pylist() for c in range(3)))
-            made = [surrogate(key, kind, value, attempt) for kind, value, attempt in rows]
+            made = [
+                surrogate(key, kind, value, attempt)[2 * (kind in _NAME_KINDS) :]
+                for kind, value, attempt in rows
+            ]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(made, pa.string())],
                 names=["kind", "value", "attempt", "made"],
@@ -391,10 +400,14 @@ def attempts(mentions: DataFrame, key: bytes) -> DataFrame:
     all_values = mentions.select("kind", "value").distinct()
     drawn = all_values.withColumn("attempt", F.lit(0)).mapInArrow(draw, schema)
     drawn = stored(drawn, "surrogates")
-    originals = drawn.select("kind", F.col("value").alias("made"), F.lit(True).alias("original"))
-    order = Window.partitionBy("kind", "made").orderBy("attempt", "value")
+    is_name = F.col("kind").isin(*_NAME_KINDS)
+    group = F.when(is_name, "name").otherwise(F.col("kind")).alias("group")
+    written = F.when(is_name, F.substring("value", 3, 1 << 30)).otherwise(F.col("value"))
+    originals = drawn.select(group, written.alias("made")).distinct()
+    originals = originals.withColumn("original", F.lit(True))
+    order = Window.partitionBy("group", "made").orderBy("attempt", "value", "kind")
     while True:
-        judged = drawn.join(originals, ["kind", "made"], "left").withColumn(
+        judged = drawn.select("*", group).join(originals, ["group", "made"], "left").withColumn(
             "free", F.col("original").isNull() & (F.row_number().over(order) == 1)
         )
         judged = stored(judged.select("kind", "value", "attempt", "made", "free"), "judged")

@@ -132,6 +132,20 @@ def test_collisions_are_drawn_again(documents):
     assert not originals & set(surrogates)
 
 
+def test_names_are_distinct_as_they_are_written(spark):
+    given = [f"{g}|Name{n}" for g in "mfn" for n in range(30)]
+    surnames = [f"{g}|Sur{n}" for g in "mfn" for n in range(300)]
+    # Real names that are first surrogates of others, under another gender and as another kind.
+    drawn = pii.surrogate(KEY, "surname", "m|Sur1", 0)[2:]
+    surnames += [f"f|{drawn}", "n|Anna"]
+    values = [("given", v) for v in given] + [("surname", v) for v in surnames]
+    mentions = spark.createDataFrame(values, "kind string, value string")
+    again = {(r.kind, r.value): r.attempt for r in pii.attempts(mentions, KEY).collect()}
+    made = [pii.surrogate(KEY, k, v, again.get((k, v), 0))[2:] for k, v in values]
+    assert len(set(made)) == len(values)
+    assert not set(made) & {v[2:] for _, v in values}
+
+
 def test_query(spark, sf):
     rows = {r.doc_id: r for r in QUERIES["op4_pii"](spark, sf).collect()}
     docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
