@@ -26,11 +26,18 @@ SEED_ROWS = 1000
 # Bound on the learned languages, and so on the model that goes to every task.
 MAX_LANGUAGES = 512
 UNDETERMINED = "und"
-# A text is rejected below this share of the similarity that all but a thousandth of the training
-# texts of the language reach.
-REJECT_SHARE = 0.5
-REJECT_QUANTILE = 0.001
+# A text is rejected below this share of the median similarity of training texts of its length.
+# Similarities of short texts spread more.
+REJECT_SHARE = 0.3
+SHORT_SHARE, SHORT_CLASSES = 0.25, 8
+# Rows of one length that tell a median; with fewer, the lengths around it are added.
+MEDIAN_ROWS = 20
+# N-grams of a text that is as near to its centroid as 45 degrees, about.
+_HALF_WAY = 400
+# Classes of length are powers of two of the number of n-grams; the last has no upper end.
+LENGTH_CLASSES = 16
 _SIMILARITY_BINS = 200
+_CELLS = LENGTH_CLASSES * _SIMILARITY_BINS
 
 _LETTERS = np.zeros(256, dtype=bool)
 _LETTERS[65:91] = _LETTERS[97:123] = True
@@ -48,7 +55,7 @@ class Model:
     languages: list[str]  # of each centroid
     centroids: np.ndarray
     idf: np.ndarray
-    floor: np.ndarray  # least similarity that is not rejected, of each centroid
+    floor: np.ndarray  # least similarity that is not rejected, of each centroid and length class
 
 
 def _codes(folded: np.ndarray) -> list[np.ndarray]:
@@ -91,6 +98,11 @@ def vectors(raw: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return weighted / np.maximum(np.linalg.norm(weighted, axis=1, keepdims=True), 1e-12)
 
 
+def length_classes(raw: np.ndarray) -> np.ndarray:
+    grams = np.maximum(raw.sum(axis=1, dtype=np.float64), 1)
+    return np.minimum(np.log2(grams), LENGTH_CLASSES - 1).astype(np.int64)
+
+
 def _seeds(points: np.ndarray) -> np.ndarray:
     """Spherical k-means from a seeded start; fewer centroids where points coincide."""
     random = np.random.default_rng(0)
@@ -126,7 +138,7 @@ def fit(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> Model:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     if not rows:
         empty = np.zeros((0, DIMENSIONS), dtype=np.float32)
-        return Model([], empty, np.ones(DIMENSIONS, dtype=np.float32), np.zeros(0))
+        return Model([], empty, np.ones(DIMENSIONS, dtype=np.float32), np.zeros((0, LENGTH_CLASSES)))
     frequencies = np.zeros(DIMENSIONS + 1)
     found = labelled.select("id", "text").mapInArrow(_frequencies, "dim int, n long")
     for row in found.groupBy("dim").agg(F.sum("n").alias("n")).collect():
@@ -141,7 +153,7 @@ def fit(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> Model:
     sample = labelled.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < share)
     seeds = _centroid_rows(sample, idf)
     if not seeds:
-        return Model([], np.zeros((0, DIMENSIONS), dtype=np.float32), idf, np.zeros(0))
+        return Model([], np.zeros((0, DIMENSIONS), dtype=np.float32), idf, np.zeros((0, LENGTH_CLASSES)))
     return _refined(labelled, idf, [s[0] for s in seeds], np.array([s[1] for s in seeds]))
 
 
@@ -194,7 +206,7 @@ def _refined(labelled: DataFrame, idf: np.ndarray, owners: list[str], seeds: np.
     names = np.array(owners, dtype=object)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((len(owners), DIMENSIONS + _SIMILARITY_BINS))
+        sums = np.zeros((len(owners), DIMENSIONS + _CELLS))
         for batch in batches:
             for part in slices(batch):
                 raw, lettered = counts(part.column(1))
@@ -204,12 +216,13 @@ def _refined(labelled: DataFrame, idf: np.ndarray, owners: list[str], seeds: np.
                 like[own[:, None] != names[None, :]] = -1
                 best, top = np.argmax(like, axis=1), np.max(like, axis=1)
                 top[~lettered] = -1
+                length = length_classes(raw)
                 for c in range(len(owners)):
                     mine = (best == c) & (top >= 0)
                     sums[c, :DIMENSIONS] += points[mine].sum(axis=0)
                     bins = np.minimum(top[mine] * _SIMILARITY_BINS, _SIMILARITY_BINS - 1)
                     sums[c, DIMENSIONS:] += np.bincount(
-                        bins.astype(np.int64), minlength=_SIMILARITY_BINS
+                        length[mine] * _SIMILARITY_BINS + bins.astype(np.int64), minlength=_CELLS
                     )
         at, dim = np.nonzero(sums)
         yield pa.RecordBatch.from_arrays(
@@ -224,21 +237,46 @@ def _refined(labelled: DataFrame, idf: np.ndarray, owners: list[str], seeds: np.
     # Sums of whole numbers do not depend on the order of tasks.
     totals = labelled.mapInArrow(run, "centroid int, dim int, total long")
     totals = totals.groupBy("centroid", "dim").agg(F.sum("total").alias("total"))
-    sums = np.zeros((len(owners), DIMENSIONS + _SIMILARITY_BINS))
+    sums = np.zeros((len(owners), DIMENSIONS + _CELLS))
     cells = totals.toArrow()
     place = cells["centroid"].to_numpy(), cells["dim"].to_numpy()
     sums[place] = cells["total"].to_numpy() / (1 << 20)
     norms = np.linalg.norm(sums[:, :DIMENSIONS], axis=1, keepdims=True)
     centroids = np.where(norms > 0, sums[:, :DIMENSIONS] / np.maximum(norms, 1e-12), seeds)
-    floor = np.zeros(len(owners))
-    for lang in set(owners):
-        mine = names == lang
-        seen = np.cumsum(sums[mine, DIMENSIONS:].sum(axis=0))
-        bin_ = int(np.searchsorted(seen, REJECT_QUANTILE * seen[-1])) if seen[-1] else 0
-        floor[mine] = REJECT_SHARE * bin_ / _SIMILARITY_BINS
+    seen = sums[:, DIMENSIONS:].reshape(len(owners), LENGTH_CLASSES, _SIMILARITY_BINS)
+    floor = np.array([
+        _floors(own, seen[names == name].sum(axis=0)) for own, name in zip(seen, names)
+    ])
     return Model(owners, centroids.astype(np.float32), idf, floor)
 
 
+def _floors(own: np.ndarray, language: np.ndarray) -> np.ndarray:
+    """The floor of each length class of a centroid, from the similarities of its texts of that
+    length; where they are few from those of the language, then from lengths around it.
+
+    Half of the rows would have to be junk to move a median, and texts of other lengths do not.
+    A median over several lengths is brought to the own one as similarities grow with length.
+    """
+    grams = 1.5 * 2.0 ** np.arange(LENGTH_CLASSES)
+    usual = np.sqrt(grams / (grams + _HALF_WAY))
+    out = np.zeros(LENGTH_CLASSES)
+    for length in range(LENGTH_CLASSES):
+        pool = np.zeros_like(own)
+        pool[length] = own[length]
+        for more in range(LENGTH_CLASSES):
+            if pool.sum() >= MEDIAN_ROWS:
+                break
+            near = slice(max(0, length - more), length + more + 1)
+            pool[near] = language[near]
+        seen = np.cumsum(pool.sum(axis=0))
+        median = int(np.searchsorted(seen, seen[-1] / 2)) / _SIMILARITY_BINS
+        rows = pool.sum(axis=1)
+        scale = usual[length] / np.average(usual, weights=rows) if rows.sum() else 0
+        share = SHORT_SHARE if length < SHORT_CLASSES else REJECT_SHARE
+        out[length] = share * median * scale
+    return out
+
+
 def predict(
     docs: DataFrame,
     model: Model,
@@ -272,7 +310,9 @@ def predict(
                     like = vectors(raw[lettered], model.idf) @ model.centroids.T
                     best[lettered] = nearest = np.argmax(like, axis=1)
                     score[lettered] = np.clip(np.max(like, axis=1), 0, 1)
-                    rejected[lettered] = score[lettered] < model.floor[nearest]
+                    rejected[lettered] = (
+                        score[lettered] < model.floor[nearest, length_classes(raw[lettered])]
+                    )
                 added = [pa.array(names[best], pa.string()), pa.array(score), pa.array(rejected)]
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, *added], names=columns

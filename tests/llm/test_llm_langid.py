@@ -48,6 +48,35 @@ def test_far_texts_are_rejected_and_clean_ones_kept(documents, spark, sf):
     assert all(r.rejected for r in langid.predict(far, model).collect())
 
 
+ITALIAN = (
+    "Nel mezzo del cammin di nostra vita mi ritrovai per una selva oscura che la diritta via era "
+    "smarrita. Ahi quanto a dir qual era è cosa dura esta selva selvaggia e aspra e forte. "
+)
+DUTCH = (
+    "De kat zit op de mat en kijkt naar buiten, waar het regent en de mensen met hun paraplu's "
+    "over straat lopen om op tijd bij het station te komen. Wij gaan morgen naar het strand. "
+)
+
+
+def test_long_texts_of_unlearned_kinds_go_and_short_clean_ones_stay(documents, spark, sf):
+    random = np.random.default_rng(0)
+    drawn = lambda signs, n: "".join(random.choice(list(signs), n))
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    far = [ITALIAN * 10, DUTCH * 10, drawn(letters, 2000), drawn("0123456789abcdef", 2000)]
+    far.append(" ".join(drawn(letters, n) for n in random.integers(2, 9, 400)))
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    # A source of very short rows says nothing on long ones.
+    short = docs.selectExpr("doc_id", "substring(text, 1, 4) as text", "lang")
+    for training in (docs, docs.select("doc_id", "text", "lang").union(short)):
+        model = langid.fit(training, "doc_id", "text", "lang")
+        rows = langid.predict(documents(list(enumerate(far))), model).collect()
+        assert all(r.rejected for r in rows)
+        # Beginnings of learned texts, as long as a line.
+        lines = docs.selectExpr("substring(text, 1, 60) as text").where("length(text) = 60")
+        rows = langid.predict(lines, model).collect()
+        assert np.mean([r.rejected for r in rows]) < 0.01
+
+
 def test_odd_rows(odd, empty):
     model = langid.fit(odd, "doc_id", "text", "lang")  # no row has a language
     for r in langid.predict(odd, model).collect():
