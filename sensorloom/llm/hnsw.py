@@ -6,7 +6,8 @@ descends greedily to the lowest level and searches there with a beam; the best o
 merged. Many queries walk one graph at the same time, a step at a time, as array operations.
 
 Inner products are made a distance by one more component: with it all vectors have the same norm,
-so that the nearest are those with the largest inner product, whatever their own norms are.
+so that the nearest are those with the largest inner product, whatever their own norms are. The
+vectors of a shard are of similar norms, so that this component does not hide how they differ.
 """
 
 from __future__ import annotations
@@ -19,12 +20,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sensorloom.functions.once import once
+
 from .common import stored
 
 SHARD_ROWS = 8192
 LINKS = 16  # per node and level; twice as many on the lowest level
 CANDIDATES = 64  # nearest nodes that the links of a node are chosen from
 BEAM = 128
+# Powers of two that the norms of one shard span; the first band begins at a quarter.
+BAND_DOUBLINGS, BAND_START = 4, -2
 EXPANDED = 4  # nodes of a beam that are expanded at a time
 QUERY_BLOCK = 1024
 
@@ -36,7 +41,7 @@ SHARDS_DDL = (
 
 @dataclass
 class Graph:
-    vectors: np.ndarray  # with the additional component, float32
+    vectors: np.ndarray  # to build with the additional component in double precision, to search float32
     levels: list[np.ndarray]  # nodes of each level, lowest first
     links: list[np.ndarray]  # of each of these nodes: numbers of nodes, or -1
 
@@ -49,7 +54,7 @@ def _chosen(sims: np.ndarray, near: np.ndarray, vectors: np.ndarray, most: int)
     between = np.einsum("bid,bjd->bij", points, points, optimize=True)
     valid = near >= 0
     kept = np.zeros((count, width), dtype=bool)
-    closest = np.full((count, width), -np.inf, dtype=np.float32)
+    closest = np.full((count, width), -np.inf)
     number = np.zeros(count, dtype=np.int64)
     for n in range(width):
         take = valid[:, n] & (closest[:, n] < sims[:, n]) & (number < most)
@@ -93,7 +98,7 @@ def _level_links(vectors: np.ndarray, nodes: np.ndarray, most: int) -> np.ndarra
     place = np.arange(len(source)) - np.searchsorted(source, source)
     within = place < 2 * CANDIDATES
     near = np.full((count, 2 * CANDIDATES), -1, dtype=np.int64)
-    like = np.full(near.shape, -np.inf, dtype=np.float32)
+    like = np.full(near.shape, -np.inf)
     near[source[within], place[within]] = target[within]
     like[source[within], place[within]] = sims[within]
     for start in range(0, count, 256):
@@ -203,17 +208,26 @@ def build_index(rows: DataFrame, most: int) -> DataFrame:
     first = Window.partitionBy("vector").orderBy("vec_id")
     nodes = rows.withColumn("place", F.row_number().over(first)).where(F.col("place") <= most)
     nodes = nodes.groupBy("vector").agg(F.sort_array(F.collect_list("vec_id")).alias("members"))
-    nodes = stored(nodes, "vectors")
-    length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x))
-    total, longest = nodes.agg(F.count("*"), F.max(length)).first()
-    shards = max(1, -(-total // SHARD_ROWS))
+    # Components are divided by the largest, so that squares neither overflow nor vanish.
+    nodes = once(nodes, largest=F.greatest(F.array_max("vector"), -F.array_min("vector")))
+    share = lambda x: x / F.col("largest")
+    squares = F.aggregate("vector", F.lit(0.0), lambda s, x: s + share(x) * share(x))
+    doublings = F.log2("largest") + F.log2(squares) / 2
+    band = F.floor((doublings - BAND_START) / BAND_DOUBLINGS)
+    nodes = stored(nodes.select("vector", "members", band.alias("band")), "vectors")
+    bands, shards = [], 0
+    for row in nodes.groupBy("band").count().orderBy("band").collect():
+        parts = -(-row["count"] // SHARD_ROWS)
+        bands.append((row.band, shards, parts))
+        shards += parts
+    bands = rows.sparkSession.createDataFrame(bands, "band long, first_shard int, parts int")
 
     def run(group: pa.Table) -> pa.Table:
         group = group.sort_by("id")
         ids = group["id"].to_numpy()
         members = group["members"].to_pylist()
         vectors = np.array(group["vector"].to_pylist(), dtype=np.float64)
-        graph = build(with_norm(vectors, longest))
+        graph = build(with_norm(vectors, norms(vectors).max()))
         return pa.table(
             {
                 "shard": pa.array([group["shard"][0].as_py()], pa.int32()),
@@ -228,8 +242,9 @@ def build_index(rows: DataFrame, most: int) -> DataFrame:
         )
 
     least = F.element_at("members", 1)
-    dealt = nodes.select(
-        F.pmod(F.xxhash64(least), F.lit(shards)).cast("int").alias("shard"),
+    part = F.pmod(F.xxhash64(least), F.col("parts"))
+    dealt = nodes.join(bands, "band").select(
+        (F.col("first_shard") + part).cast("int").alias("shard"),
         least.alias("id"),
         "members",
         "vector",
@@ -237,10 +252,17 @@ def build_index(rows: DataFrame, most: int) -> DataFrame:
     return dealt.groupBy("shard").applyInArrow(run, SHARDS_DDL)
 
 
+def norms(vectors: np.ndarray) -> np.ndarray:
+    """The norms of vectors that are not zero, also where squares overflow or vanish."""
+    largest = np.abs(vectors).max(axis=1)
+    return largest * np.linalg.norm(vectors / largest[:, None], axis=1)
+
+
 def with_norm(vectors: np.ndarray, longest: float) -> np.ndarray:
-    """The vectors with a component that brings all to the norm ``longest``."""
-    rest = np.clip(longest**2 - np.einsum("nd,nd->n", vectors, vectors), 0, None)
-    return np.concatenate([vectors, np.sqrt(rest)[:, None]], axis=1).astype(np.float32)
+    """The vectors over ``longest``, with a component that brings all to the norm 1."""
+    own = vectors / longest
+    rest = np.clip(1 - np.einsum("nd,nd->n", own, own), 0, None)
+    return np.concatenate([own, np.sqrt(rest)[:, None]], axis=1)
 
 
 def nearest(
@@ -308,9 +330,11 @@ def _search_shard(row: dict, k: int, beam: int) -> pa.RecordBatch:
         np.frombuffer(n, dtype=np.int32).reshape(len(nodes), -1)
         for n, nodes in zip(row["links"], levels)
     ]
-    # The walk compares inner products with queries, to which the added component is zero.
-    graph = Graph(vectors.astype(np.float32), levels, links)
-    found = search(graph, queries.astype(np.float32), max(beam, 2 * k))
+    # The walk compares inner products with queries, to which the added component is zero. Their
+    # order stays where queries and the shard as a whole are scaled to what float32 can hold.
+    graph = Graph((vectors / norms(vectors).max()).astype(np.float32), levels, links)
+    directions = (queries / norms(queries)[:, None]).astype(np.float32)
+    found = search(graph, directions, max(beam, 2 * k))
     query, slot = np.nonzero(found >= 0)
     node = found[query, slot]
     scores = np.einsum("nd,nd->n", queries[query], vectors[node])

@@ -62,6 +62,21 @@ def test_recall_over_several_shards(spark, monkeypatch):
     assert recall(found, exact(rows, rows[::15], 10)) >= 0.95
 
 
+@pytest.mark.parametrize("longest", [1e4, 1e20, 1e160])
+def test_recall_beside_an_outlier(spark, longest):
+    random = np.random.default_rng(2)
+    vectors = random.normal(size=(3000, 32))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    vectors[7] *= longest
+    vectors[45] /= longest
+    rows = [(n, v.tolist()) for n, v in enumerate(vectors)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = H.nearest(frame, frame.where("vec_id % 30 in (0, 7, 15)"), 10).collect()
+    check_order(found, 10)
+    asked = [r for r in rows if r[0] % 30 in (0, 7, 15)]
+    assert recall(found, exact(rows, asked, 10)) >= 0.95
+
+
 def test_graph_links_and_search():
     random = np.random.default_rng(1)
     vectors = random.normal(size=(3000, 16))
