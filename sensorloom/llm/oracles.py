@@ -59,4 +59,68 @@ select doc_id, n_bytes, cast(coalesce(removed, 0) as bigint) as n_removed,
   sha256(unhex(list_aggregate(list_transform(range(1, len(starts) + 1), lambda i:
     substr(h, 2 * starts[i] + 1, 2 * (stops[i] - starts[i]))), 'string_agg', ''))) as kept_sha256
 from edges""",
+    "op12_linededup": r"""
+with lines as (
+  select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
+    generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as spot
+  from documents),
+keyed as (
+  select doc_id, spot, line, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12)
+    || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as k
+  from lines),
+common as (
+  select k from keyed where length(k) >= 1 group by k having count(distinct doc_id) >= 10),
+marked as (
+  select doc_id, spot, line, k in (select k from common) as gone from keyed)
+select doc_id, count(*) as n_lines, cast(count(*) filter (gone) as bigint) as n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by spot) filter (not gone), '')) as kept_sha256
+from marked group by doc_id""",
+    "op13_periodic": r"""
+with crc_table as (
+  select list(c order by i) as t from (
+    select i, list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]), lambda c, b:
+      case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) as c
+    from range(256) r(i))),
+hashed as (
+  select doc_id, xor(4294967295, list_reduce(list_prepend(4294967295,
+      list_transform(string_split(cast(doc_id as varchar), ''), lambda s: cast(ascii(s) as bigint))),
+      lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1]))) as h,
+    list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w
+  from documents, crc_table),
+sized as (
+  select doc_id, h, h // 10 as g, w, len(w) as n,
+    case when len(w) > 0 then (h // 10) % len(w) end as a from hashed),
+periods as (select *, 1 + (n - a) // (3 + g % 8) as p from sized),
+texts as (
+  select doc_id, n, case when h % 10 = 0 and n > 0 then list_transform(range(n), lambda i:
+    case when i < a then w[i + 1] else w[a + (i - a) % p + 1] end) else w end as w
+  from periods),
+words as (
+  select doc_id, n, unnest(w) as word, generate_subscripts(w, 1) - 1 as i from texts),
+pairs as (
+  select x.doc_id, y.i - x.i as d, x.i from words x join words y
+  on x.doc_id = y.doc_id and x.word = y.word and y.i > x.i and 4 * (y.i - x.i) <= x.n),
+marked as (
+  select doc_id, d, i, i - row_number() over (partition by doc_id, d order by i) as stretch
+  from pairs),
+stretches as (
+  select doc_id, d, min(i) as start, count(*) + d as length from marked
+  group by doc_id, d, stretch having count(*) + d >= greatest(6, 4 * d)),
+runs as (
+  select doc_id, start, length, min(d) as period from stretches group by doc_id, start, length),
+listed as (
+  select doc_id, count(*) as n_runs, string_agg(start || ',' || length || ',' || period || chr(10),
+      '' order by start, period) as lines,
+    first(struct_pack(s := start, l := length, p := period)
+      order by length desc, start, period) as longest
+  from runs group by doc_id),
+gone as (
+  select distinct doc_id, unnest(range(start + period, start + length)) as i from runs),
+collapsed as (
+  select w.doc_id, string_agg(word, ' ' order by w.i) filter (g.i is null) as text
+  from words w left join gone g on g.doc_id = w.doc_id and g.i = w.i group by w.doc_id)
+select d.doc_id, coalesce(n_runs, 0) as n_runs, longest.s as start, longest.l as length,
+  longest.p as period, 1000 * longest.l // longest.p as exponent_milli,
+  sha256(coalesce(lines, '')) as runs_sha256, sha256(coalesce(c.text, '')) as collapsed_sha256
+from documents d left join listed using (doc_id) left join collapsed c using (doc_id)""",
 }
