@@ -66,9 +66,12 @@ def spans(running: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarr
     return (running[ends] - running[starts]) * powers(len(running))[1][starts]
 
 
-def word_spans(data: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of each word, and for each row the index of its first word (and the total)."""
-    space = IS_SPACE[data]
+def word_spans(
+    data: np.ndarray, borders: np.ndarray, blank: np.ndarray = IS_SPACE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of each word, and for each row the index of its first word (and the total).
+    ``blank`` says which bytes part words."""
+    space = blank[data]
     before = np.ones(len(data), dtype=bool)
     before[1:] = space[:-1]
     after = np.ones(len(data), dtype=bool)
@@ -87,9 +90,9 @@ def _lower_values() -> np.ndarray:
 
 
 def word_hashes(
-    data: np.ndarray, borders: np.ndarray
+    data: np.ndarray, borders: np.ndarray, blank: np.ndarray = IS_SPACE
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hash of each word with A-Z lower-cased, then what ``word_spans`` returns."""
-    starts, ends, first = word_spans(data, borders)
+    starts, ends, first = word_spans(data, borders, blank)
     hashes = mix64(spans(prefix(data, _lower_values()), starts, ends))
     return hashes, starts, ends, first

@@ -59,6 +59,29 @@ select doc_id, n_bytes, cast(coalesce(removed, 0) as bigint) as n_removed,
   sha256(unhex(list_aggregate(list_transform(range(1, len(starts) + 1), lambda i:
     substr(h, 2 * starts[i] + 1, 2 * (stops[i] - starts[i]))), 'string_agg', ''))) as kept_sha256
 from edges""",
+    "op11_lexical": r"""
+with words as (
+  select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from documents),
+postings as (select doc_id, term, count(*) as tf from words group by all),
+lengths as (select doc_id, sum(tf)::bigint as n from postings group by doc_id),
+totals as (select count(*) as docs, sum(n)::bigint as terms from lengths),
+normalised as (select doc_id, 100 - 50 + (50 * n * docs) // terms as m from lengths, totals),
+weights as (
+  select term, cast(floor(1000 * ln((2 * docs + 2)::double / (2 * df + 1)::double)) as bigint) as w
+  from (select term, count(*) as df from postings group by term), totals),
+queries as (
+  select distinct item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from benchmark),
+scored as (
+  select item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::bigint as score
+  from queries join weights using (term) join postings using (term) join normalised using (doc_id)
+  group by item_id, doc_id having score > 0)
+select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id) as integer)
+  as rank, doc_id, score
+from scored qualify rank <= 50""",
     "op12_linededup": r"""
 with lines as (
   select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,

@@ -11,6 +11,7 @@ from . import brown, langid, toxicity
 from .common import fold, stored, table
 from .decontaminate import contaminated
 from .hnsw import nearest
+from .lexical import build_index, search
 from .linededup import without_common_lines
 from .minhash import near_duplicates
 from .oracles import ORACLES as ORACLES
@@ -93,6 +94,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(rows, model, keep=("held_out",))
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(build_index(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
+
+
 def op12_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_common_lines(table(spark, sf_dir, "documents")).select(
         "doc_id",
@@ -155,6 +160,7 @@ QUERIES = {
     "op8_hnsw": op8_hnsw,
     "op9_suffix": op9_suffix,
     "op10_toxicity": op10_toxicity,
+    "op11_lexical": op11_lexical,
     "op12_linededup": op12_linededup,
     "op13_periodic": op13_periodic,
 }
