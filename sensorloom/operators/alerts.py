@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.parse import iso_text
 from ..schemas import ALERTS_TABLE
+from .routing import KEEP_NULLS
 from .rules import Profile, describe_alerts
 from .validate import ALERT_CONTRACT, check_contract, violation
 
@@ -26,7 +28,7 @@ def alert_id(profile: str) -> Column:
 def alert_rows(kept: DataFrame, profile: Profile, *keep: str) -> DataFrame:
     """Kept alerts as rows of the alerts table, not sent yet.
 
-    ``retry_count`` and ``raw_json`` are taken from the input where it has them;
+    ``retry_count`` and ``raw_json`` are taken from the input where it has them (``carried_json``);
     ``created_at`` is left to the writer.
     """
     described = describe_alerts(kept, profile)
@@ -89,19 +91,28 @@ def find_alerts(
     return found
 
 
-def with_raw_json(kept: DataFrame, readings: DataFrame, tie: str, raw_json: Column) -> DataFrame:
-    """Put the reading of each kept alert back beside it, as JSON.
+def carried_json(alerts: DataFrame, carried: str = "reading") -> DataFrame:
+    """Turn the reading that each alert carries into its ``raw_json``.
 
-    The cooldown's shuffles stay narrow; the kept alerts, which are few, are joined to the readings
-    by the column that tells readings apart.
+    Candidates carry their reading as one column (``routing.reading_fields``, or the text of a
+    message), so the aggregation that finds the first alert of an instant takes the reading along:
+    nothing is joined back, and a reading that was delivered twice is one alert.
     """
-    raw = readings.select(tie, raw_json.alias("raw_json"))
-    return kept.join(raw, tie, "left")
+    is_text = alerts.schema[carried].dataType == T.StringType()
+    raw = F.col(carried) if is_text else F.to_json(carried, KEEP_NULLS)
+    return alerts.withColumn("raw_json", raw).drop(carried)
 
 
-def checked_alerts(alerts: DataFrame, created_at: Column | None = None) -> tuple[DataFrame, DataFrame]:
-    """Alerts in the columns of their table, and those that break its contract (with why)."""
+def checked_alerts(
+    alerts: DataFrame, created_at: Column | None = None, strict: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """Alerts in the columns of their table, and those that break its contract (with why); with
+    ``strict`` one that breaks it is an error."""
     made = F.current_timestamp() if created_at is None else created_at
+    if strict:
+        reason = F.concat(F.lit("an alert breaks its table's contract: "), violation(ALERT_CONTRACT))
+        broken = violation(ALERT_CONTRACT).isNotNull()
+        alerts = alerts.where(F.when(broken, F.raise_error(reason)).otherwise(True))
     fits, broken = check_contract(alerts.withColumn("created_at", made), ALERT_CONTRACT)
     return fits.select(*[c for c in ALERTS_TABLE.fieldNames()]), broken
 
@@ -113,17 +124,30 @@ def write_alerts(
 
     Rows that break the table's contract go to ``quarantine``; without one they are an error.
     """
-    fits, broken = checked_alerts(alerts)
+    fits, broken = checked_alerts(alerts, strict=quarantine is None)
     if quarantine is not None:
         broken.write.mode(mode).parquet(quarantine)
-    else:
-        reason = F.concat(F.lit("an alert breaks its table's contract: "), violation(ALERT_CONTRACT))
-        fine = F.when(violation(ALERT_CONTRACT).isNotNull(), F.raise_error(reason)).otherwise(True)
-        fits = checked_alerts(alerts.where(fine))[0]
-    (
+    store_alerts(fits, path, mode)
+
+
+def store_alerts(
+    fits: DataFrame, path: str, mode: str = "append", row_group_bytes: int | None = None
+) -> None:
+    """Write rows of the alerts table for lookups by time, location and type.
+
+    A date is a folder. Within it rows lie by location, type and time, so the statistics of a
+    row group span few locations and a lookup skips the others; what statistics cannot tell (ids,
+    and types within one location) is left to bloom filters.
+    """
+    writer = (
         fits.withColumn("date", F.to_date("event_time"))
         .hint("rebalance", "date")
+        .sortWithinPartitions("date", "location", "alert_type", "event_time")
         .write.mode(mode)
         .partitionBy("date")
-        .parquet(path)
     )
+    for column in ("alert_id", "location", "alert_type"):
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+    if row_group_bytes is not None:
+        writer = writer.option("parquet.block.size", row_group_bytes)
+    writer.parquet(path)

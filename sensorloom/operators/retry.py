@@ -117,9 +117,11 @@ def retry_alerts(
     minutes: float = COOLDOWN_MINUTES,
     seed: DataFrame | None = None,
     profile: Profile = RETRY_PROFILE,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Candidates after the retry path's own cooldown."""
-    return cooldown(retry_candidates(judged, tie, profile=profile), tie=tie, minutes=minutes, seed=seed)
+    """Candidates after the retry path's own cooldown; ``keep`` names columns they carry."""
+    found = retry_candidates(judged, tie, *keep, profile=profile)
+    return cooldown(found, tie=tie, minutes=minutes, seed=seed)
 
 
 def retry_dead_letters(judged: DataFrame, *keep: str) -> DataFrame:

@@ -84,10 +84,15 @@ def is_diverted(*identity: str, rate: float) -> Column:
 
 
 # --- messages ---------------------------------------------------------------------------------
+def reading_fields(*extra: Column) -> Column:
+    """A reading under its wire names."""
+    fields = [F.col(column).alias(name) for name, column in REQUIRED_FIELDS.items()]
+    return F.struct(*fields, F.col("retry").alias("retry"), *extra)
+
+
 def reading_json(*extra: Column) -> Column:
     """A reading as a JSON message under its wire names; null fields are kept."""
-    fields = [F.col(column).alias(name) for name, column in REQUIRED_FIELDS.items()]
-    return F.to_json(F.struct(*fields, F.col("retry").alias("retry"), *extra), KEEP_NULLS)
+    return F.to_json(reading_fields(*extra), KEEP_NULLS)
 
 
 def error_json(

@@ -23,9 +23,9 @@ from ..functions.once import once
 from ..operators.alerts import (
     alert_counts,
     alert_rows,
+    carried_json,
     distinct_alerts,
     find_alerts,
-    with_raw_json,
     write_alerts,
 )
 from ..operators.archive import (
@@ -52,6 +52,7 @@ from ..operators.routing import (
     assign_partition,
     decode_readings,
     is_diverted,
+    reading_fields,
     reading_json,
     region_map,
     to_error_records,
@@ -83,7 +84,7 @@ from ..constants import (
     TOPIC_READINGS,
 )
 from ..session import prepare, work_dir
-from ..sources.drops import new_files, read_drops, write_drops
+from ..sources.drops import new_files, read_drops, stream_drops, write_drops
 from ..sources.events import raw_readings, retry_messages, table, timed_readings
 from ..sources.topics import StoredTopics, position_of
 from ..streaming.consumers import (
@@ -96,6 +97,8 @@ from ..streaming.consumers import (
     window_counts_stream,
 )
 from ..streaming.cooldown import start_cooldown, stream_cooldown
+from ..streaming.ingest import RegionTable, start_ingest
+from ..streaming.observed import MetricLog, ProgressLog, counted_offsets
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -470,15 +473,14 @@ def _cooldown_seeded(spark, sf_dir):
     return cooldown(alerts.where(F.col("event_time") >= border), minutes=90, seed=seed)
 
 
-def _raw_json():
-    return reading_json(iso_text("event_time").alias("event_time"))
-
-
 def _alert_rows(spark, sf_dir):
     """Rows of the alerts table, with the reading behind each."""
-    readings = timed_readings(spark, sf_dir)
-    kept = with_raw_json(_kept(spark, sf_dir), readings, "event_id", _raw_json())
-    return alert_rows(kept, ALERT_PROFILE)
+    reading = reading_fields(iso_text("event_time").alias("event_time"))
+    readings = timed_readings(spark, sf_dir).withColumn("reading", reading)
+    found = detect_candidates(
+        readings, ALERT_PROFILE, "event_id", "location", "event_time", "reading"
+    )
+    return alert_rows(carried_json(cooldown(found)), ALERT_PROFILE)
 
 
 @query("alerts_table")
@@ -620,9 +622,9 @@ def _judged(spark, sf_dir):
 
 @query("retry_alerts")
 def _retry_alerts(spark, sf_dir):
-    judged = _judged(spark, sf_dir)
-    kept = with_raw_json(retry_alerts(judged, "event_id"), judged, "event_id", F.col("value"))
-    return alert_rows(kept, RETRY_PROFILE, "event_id").drop("slack_sent_at")
+    judged = _judged(spark, sf_dir).withColumnRenamed("value", "reading")
+    kept = retry_alerts(judged, "event_id", keep=("reading",))
+    return alert_rows(carried_json(kept), RETRY_PROFILE, "event_id").drop("slack_sent_at")
 
 
 @query("render_retry")
@@ -832,21 +834,35 @@ def _restart_exactly_once(spark, sf_dir):
     return spark.read.parquet(out).drop("batch")
 
 
+def _alerts_now(spark, topics, state, root) -> None:
+    start_alerts(
+        topics.stream(spark, TOPIC_READINGS), f"{root}/alerts", state, f"{root}/cp_alerts",
+        rate=0.0, trigger={"availableNow": True},
+    ).awaitTermination()
+
+
 @query("replay_exactly_once")
 def _replay_exactly_once(spark, sf_dir):
-    """A producer writes its batch twice; archive and alerts hold every reading once."""
+    """A producer is lost twice before its batch is whole, then writes it twice, with consumers
+    running in between; archive and alerts hold every reading once."""
     root = work_dir(spark, "replay")
     topics, state = StoredTopics(f"{root}/topics"), AlertState(f"{root}/state")
     records = _reading_records(spark, sf_dir)
-    now = {"availableNow": True}
-    for _ in range(2):
-        topics.write(records, TOPIC_READINGS, 0, "ingest")
+    topics.write(records.limit(0), TOPIC_READINGS, 0, "ingest")
+
+    def lost(part: DataFrame) -> None:
+        topics.stage(part, TOPIC_READINGS, 1, "ingest")
+
+    def whole(part: DataFrame) -> None:
+        topics.write(part, TOPIC_READINGS, 1, "ingest")
+
+    for attempt in (lost, lost, whole, whole):
+        attempt(records)
         readings = decode_readings(topics.stream(spark, TOPIC_READINGS))
-        start_archive(readings, f"{root}/archive", f"{root}/cp_archive", trigger=now).awaitTermination()
-        start_alerts(
-            topics.stream(spark, TOPIC_READINGS), f"{root}/alerts", state, f"{root}/cp_alerts",
-            rate=0.0, trigger=now,
-        ).awaitTermination()
+        start_archive(
+            readings, f"{root}/archive", f"{root}/cp_archive", trigger={"availableNow": True}
+        ).awaitTermination()
+        _alerts_now(spark, topics, state, root)
     archived = read_archive(spark, f"{root}/archive").groupBy("location").agg(
         F.count("*").alias("n_archived")
     )
@@ -857,6 +873,81 @@ def _replay_exactly_once(spark, sf_dir):
     return archived.join(alerts, "location", "left")
 
 
+@query("alerts_repeated_delivery")
+def _alerts_repeated_delivery(spark, sf_dir):
+    """Every reading comes twice in one micro-batch and again in the next."""
+    root = work_dir(spark, "repeated")
+    topics, state = StoredTopics(f"{root}/topics"), AlertState(f"{root}/state")
+    records = _reading_records(spark, sf_dir)
+    for n, part in enumerate((records.unionByName(records), records)):
+        topics.write(part, TOPIC_READINGS, n, "ingest")
+        _alerts_now(spark, topics, state, root)
+    alerts = spark.read.parquet(f"{root}/alerts")
+    return alerts.groupBy("alert_id", "location", "alert_type", "event_time", "threshold").agg(
+        F.count("*").alias("n_rows"),
+        F.min(F.get_json_object("raw_json", "$.Location")).alias("raw_location"),
+        F.min(F.get_json_object("raw_json", "$.event_time")).alias("raw_time"),
+    )
+
+
+@query("stream_observed")
+def _stream_observed(spark, sf_dir):
+    """What ingest and alert streams observe in three micro-batches; the last brings one location's
+    first days, all too late."""
+    root = work_dir(spark, "observed")
+    topics, state = StoredTopics(f"{root}/topics"), AlertState(f"{root}/state")
+    regions, ingested = RegionTable(f"{root}/regions"), MetricLog(f"{root}/ingested")
+    regions.start_with(region_map(spark))
+    raw = raw_readings(spark, sf_dir)
+    held_back, n = F.col("location") == "Busan", F.col("event_id")
+    day = F.dayofmonth(event_time_lenient("date_time"))
+    first = F.coalesce(day <= 10, n % 2 == 0)  # rows without a readable time go to either batch
+    parts = (first & ~held_back, ~first, first & held_back)
+    for part in parts:
+        write_drops(raw.where(part), f"{root}/drops")
+        start_ingest(
+            stream_drops(spark, f"{root}/drops"), topics, regions, f"{root}/cp_ingest",
+            metrics=ingested, trigger={"availableNow": True},
+        ).awaitTermination()
+        _alerts_now(spark, topics, state, root)
+    counted = ingested.read(spark).groupBy("batch").pivot("metric", ["n_valid", "n_invalid"])
+    untimed = spark.read.parquet(f"{root}/state/untimed").groupBy("batch").agg(
+        F.count("*").alias("n_put_aside")
+    )
+    observed = state.progress(spark).drop("n_quarantined")
+    both = counted.agg(F.first("value")).join(observed, "batch").join(untimed, "batch", "left")
+    return both.fillna(0, ["n_put_aside"])
+
+
+@query("consumer_lag_live")
+def _consumer_lag_live(spark, sf_dir):
+    """The backlog of a running stream after each of its micro-batches, from its own reports."""
+    root = work_dir(spark, "lag")
+    topics = StoredTopics(f"{root}/topics")
+    valid = valid_readings(raw_readings(spark, sf_dir)).withColumn(
+        "event_time", event_time_lenient("date_time")
+    )
+    day = F.dayofmonth(F.col("ts"))
+    dated = valid.join(table(spark, sf_dir, "events").select("event_id", "ts"), "event_id")
+    for n in range(6):  # five days each, one file each, so that a file limit is a batch limit
+        part = dated.where(F.least(F.floor((day - 1) / 5), F.lit(5)) == n)
+        records = to_reading_records(part, region_map(spark)).coalesce(1)
+        topics.write(records, TOPIC_READINGS, n, "ingest")
+    log = ProgressLog(spark, f"{root}/progress", names=("lagging",))
+    try:
+        records = topics.stream(spark, TOPIC_READINGS, max_files=1)
+        taken = records.observe("taken", F.count(F.lit(1)).alias("records"))
+        start_table(
+            taken, f"{root}/copy", f"{root}/checkpoint", name="lagging", trigger={"availableNow": True}
+        ).awaitTermination()
+    finally:
+        log.close()
+    total = topics.read(spark, TOPIC_READINGS).count()
+    offsets = counted_offsets(log.read(), TOPIC_READINGS, total, "taken.records")
+    lag = consumer_lag(offsets.withColumn("ts", F.col("batch")))
+    return lag.select(F.col("ts").alias("batch"), "group", "lag")
+
+
 @query("late_alerts")
 def _late_alerts(spark, sf_dir):
     """Alerts of two runs; the second brings one location's first days, all too late."""

@@ -679,6 +679,39 @@ from (select location, count(*) as n_archived from timed group by location)
 left join (select location, count(*) as n_alerts from kept group by location) using (location)""",
         _KEPT,
     ),
+    "alerts_repeated_delivery": _with(
+        ["timed"],
+        """select md5('alert|' || location || '|' || alert_type || '|'
+    || strftime(event_time, '%Y-%m-%dT%H:%M:%S')) as alert_id, location, alert_type, event_time,
+  threshold, cast(1 as bigint) as n_rows, location as raw_location,
+  strftime(event_time, '%Y-%m-%dT%H:%M:%S') as raw_time
+from kept""",
+        _KEPT,
+    ),
+    "stream_observed": _with(
+        ["timed"],
+        """select batch, n_valid, n_invalid, n_valid as n_rows, n_without_time,
+  case when batch = 2 then n_timed else 0 end as n_late,
+  (select count(*) from kept where case when day(event_time) <= 10 then 0 else 1 end = batch) as n_alerts,
+  n_without_time as n_put_aside
+from (select cast(case when early and location <> 'Busan' then 0 when not early then 1 else 2 end as bigint) as batch,
+        count(*) filter (fine) as n_valid, count(*) filter (not fine) as n_invalid,
+        count(*) filter (fine and event_time is null) as n_without_time,
+        count(*) filter (fine and event_time is not null) as n_timed
+      from (select *, missing_field is null and type_error is null as fine,
+              try_cast(date_time as timestamp) as event_time,
+              coalesce(day(try_cast(date_time as timestamp)) <= 10, event_id % 2 = 0) as early
+            from verdicts)
+      group by 1)""",
+        [("fired", _alert_fired(where="(day(event_time) > 10 or location <> 'Busan')"))]
+        + _chain("fired", 30),
+    ),
+    "consumer_lag_live": _with(
+        ["valid"],
+        """select batch, 'lagging' as "group",
+  cast(sum(n) over () - sum(n) over (order by batch) as bigint) as lag
+from (select cast(least((day(ts) - 1) // 5, 5) as bigint) as batch, count(*) as n from valid group by 1)""",
+    ),
     "late_alerts": _with(
         ["timed"],
         """select md5('alert|' || location || '|' || alert_type || '|'

@@ -1,9 +1,9 @@
 """Topics: Kafka where a broker is there, else a folder of Parquet files with the same columns.
 
-A stored topic lies under ``<root>/<topic>/producer=<name>/batch=<n>/``. A batch is marked when
-all of its files are there, and a marked batch is not written again: consumers that have read its
-files see no new ones when the producer replays the batch. Producers of one topic do not touch
-each other's batches.
+A stored topic lies under ``<root>/<topic>/producer=<name>/batch=<n>/``. A batch is staged apart and
+takes that place in one step, and a batch that has its place is not written again: consumers see
+nothing of a batch whose producer was lost before that step, and nothing new when the producer
+replays it. Producers of one topic do not touch each other's batches.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import TOPIC_RECORD
-from ..session import read_or_empty
+from .publish import exists, publish
 
 EARLIEST = "earliest"
 LATEST = "latest"
@@ -70,9 +70,10 @@ class KafkaTopics:
         options = self.source_options(topic, EARLIEST, None)
         return _as_text(spark.read.format("kafka").options(**options).load())
 
-    def write(self, records: DataFrame, topic: str, batch_id: int, producer: str) -> None:
+    def write(self, records: DataFrame, topic: str, batch_id: int, producer: str) -> bool:
         rows = records.select("key", "value", F.lit(topic).alias("topic"), "partition")
         rows.write.format("kafka").options(**self.sink_options()).save()
+        return True
 
 
 def _as_text(records: DataFrame) -> DataFrame:
@@ -91,17 +92,24 @@ class StoredTopics:
     def path(self, topic: str) -> str:
         return f"{self.root}/{topic}"
 
-    def write(self, records: DataFrame, topic: str, batch_id: int, producer: str) -> None:
-        """Write the records of one topic as one batch, unless that batch is there already.
+    def write(self, records: DataFrame, topic: str, batch_id: int, producer: str) -> bool:
+        """Write the records of one topic as one batch; False if that batch is there already.
 
-        Records without a partition get one from their key. Offsets grow within a batch, so
-        (producer, batch, offset) is the position of a record. A producer that is lost after it
-        wrote a batch and before it marked it writes the batch again, which replaces its files.
+        A producer that is lost on the way writes the batch again; whatever it staged before is
+        replaced, and no consumer has seen it.
+        """
+        if exists(records.sparkSession, self._place(topic, batch_id, producer)):
+            return False
+        self.stage(records, topic, batch_id, producer)
+        return self.publish(records.sparkSession, topic, batch_id, producer)
+
+    def stage(self, records: DataFrame, topic: str, batch_id: int, producer: str) -> None:
+        """Write a batch where no reader looks.
+
+        Records without a partition get one from their key. Offsets grow within a batch, and only
+        one attempt at a batch is published, so (producer, batch, offset) is the position of a
+        record for good.
         """
-        spark = records.sparkSession
-        mark = f"{self.root}/_marks/{topic}/producer={producer}/batch={batch_id}"
-        if not read_or_empty(spark, mark, "marked_at timestamp").isEmpty():
-            return
         by_key = F.pmod(F.xxhash64("key"), F.lit(self.partitions)).cast("int")
         placed = records.select(
             "key",
@@ -111,10 +119,19 @@ class StoredTopics:
             F.monotonically_increasing_id().alias("offset"),
             F.current_timestamp().alias("timestamp"),
         )
-        folder = f"{self.path(topic)}/producer={producer}/batch={batch_id}"
-        placed.write.mode("overwrite").parquet(folder)
-        now = spark.range(1).select(F.current_timestamp().alias("marked_at"))
-        now.write.mode("overwrite").parquet(mark)
+        placed.write.mode("overwrite").parquet(self._staged(topic, batch_id, producer))
+
+    def publish(self, spark: SparkSession, topic: str, batch_id: int, producer: str) -> bool:
+        """Show a staged batch to the readers; False if an earlier attempt did."""
+        return publish(
+            spark, self._staged(topic, batch_id, producer), self._place(topic, batch_id, producer)
+        )
+
+    def _place(self, topic: str, batch_id: int, producer: str) -> str:
+        return f"{self.path(topic)}/producer={producer}/batch={batch_id}"
+
+    def _staged(self, topic: str, batch_id: int, producer: str) -> str:
+        return f"{self.root}/_staged/{topic}/producer={producer}/batch={batch_id}"
 
     def read(self, spark: SparkSession, topic: str, from_batch: int = 0) -> DataFrame:
         """The records of a topic from a start position on; folders before it are not read."""

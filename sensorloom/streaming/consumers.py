@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -20,27 +20,30 @@ from ..constants import (
 )
 from ..functions.once import once
 from ..functions.parse import event_time_lenient, iso_text
-from ..operators.alerts import alert_rows, with_raw_json, write_alerts
+from ..operators.alerts import alert_rows, carried_json, checked_alerts, store_alerts
 from ..operators.archive import ARCHIVE_KEYS, archive_rows
 from ..operators.cooldown import cooldown
 from ..operators.deadletter import error_rows, record_id
 from ..operators.retry import decode_message, retry_candidates, retry_dead_letters, with_failure
-from ..operators.routing import decode_readings, is_diverted, reading_json, to_retry_records
+from ..operators.routing import decode_readings, is_diverted, reading_fields, to_retry_records
 from ..operators.rules import ALERT_PROFILE, RETRY_PROFILE, Profile, detect_candidates
 from ..operators.validate import ERROR_CONTRACT, check_contract
+from ..operators.windows import without_time
 from ..schemas import ALERTS_TABLE, ERRORS_TABLE
 from ..session import read_or_empty
 from ..sources.topics import position_of
+from .observed import MetricLog
 
 IDENTITY = tuple(REQUIRED_FIELDS.values())
+# How far ahead of the clock a reading may be dated and still move event time on.
+CLOCK_SKEW = "1 hour"
 
 
-def timed_readings(records: DataFrame) -> DataFrame:
-    """Reading records with a readable event time, and a number that tells readings apart."""
+def decoded_readings(records: DataFrame) -> DataFrame:
+    """Readings of records with their event time, null where it is unreadable, and a number that
+    tells readings apart; a reading that is delivered twice has it twice."""
     decoded = once(decode_readings(records), event_time=event_time_lenient("date_time"))
-    return decoded.where(F.col("event_time").isNotNull()).withColumn(
-        "reading_id", F.xxhash64(*IDENTITY)
-    )
+    return decoded.withColumn("reading_id", F.xxhash64(*IDENTITY))
 
 
 def window_counts_stream(
@@ -90,36 +93,41 @@ def read_window_counts(spark: SparkSession, path: str) -> DataFrame:
 
 # --- alerts -----------------------------------------------------------------------------------
 class AlertState:
-    """What one alert job knows after each micro-batch, in a folder of its own for each: the last
-    kept alert of every key, and how far event time has come."""
+    """What one alert job knows after each micro-batch, in folders addressed by its number: the last
+    kept alert of every key, how far event time has come, and what was observed. Rows without an
+    event time, which raise no alert, are kept there too."""
 
     last_schema = "location string, alert_type string, event_time timestamp"
-    progress_schema = "seen timestamp, n_rows long, n_late long"
 
     def __init__(self, path: str):
         self.path = path
+        self.metrics = MetricLog(f"{path}/metrics")
 
     def last(self, spark: SparkSession, batch_id: int) -> DataFrame:
         return read_or_empty(spark, f"{self.path}/last/batch={batch_id}", self.last_schema)
 
-    def seen(self, spark: SparkSession, batch_id: int):
-        """The latest event time up to a micro-batch, None before the first."""
-        rows = read_or_empty(spark, f"{self.path}/progress/batch={batch_id}", self.progress_schema)
-        return rows.select(F.max("seen")).first()[0]
+    def seen(self, spark: SparkSession, batch_id: int) -> int | None:
+        """The latest event time up to a micro-batch in microseconds, None before the first."""
+        rows = read_or_empty(spark, f"{self.metrics.path}/batch={batch_id}", MetricLog.schema)
+        found = rows.where("metric = 'seen'").first()
+        return found.value if found else None
 
     def progress(self, spark: SparkSession) -> DataFrame:
-        """Rows and late rows of every micro-batch."""
-        return read_or_empty(
-            spark, f"{self.path}/progress", self.progress_schema + ", batch long"
-        )
+        """batch, n_rows, n_late, n_without_time, n_alerts and n_quarantined of every micro-batch."""
+        names = ("n_rows", "n_late", "n_without_time", "n_alerts", "n_quarantined")
+        found = self.metrics.read(spark).groupBy("batch").pivot("metric", list(names))
+        return found.agg(F.first("value"))
 
-    def save(self, spark: SparkSession, batch_id: int, written: DataFrame, progress: Row) -> None:
+    def untimed(self, batch_id: int) -> str:
+        """Where the rows without an event time of a micro-batch are."""
+        return f"{self.path}/untimed/batch={batch_id}"
+
+    def save(self, spark: SparkSession, batch_id: int, written: DataFrame, **metrics: int) -> None:
         keys = ["location", "alert_type"]
         both = self.last(spark, batch_id - 1).unionByName(written.select(*keys, "event_time"))
         latest = both.groupBy(*keys).agg(F.max("event_time").alias("event_time"))
         latest.write.mode("overwrite").parquet(f"{self.path}/last/batch={batch_id}")
-        row = spark.createDataFrame([progress], self.progress_schema)
-        row.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/progress/batch={batch_id}")
+        self.metrics.save(spark, batch_id, **metrics)
 
 
 def _keep_alerts(
@@ -130,37 +138,64 @@ def _keep_alerts(
     path: str,
     state: AlertState,
     tie: str,
-    raw_json: Column,
     minutes: float,
     profile: Profile,
     watermark: str,
+    skew: str,
     quarantine: str | None,
 ) -> DataFrame:
-    """Write the alerts of a micro-batch; returns its rows that are not late.
+    """Write the alerts of a micro-batch; returns its rows that are not late and have a time.
 
     A row is late if it lies further than ``watermark`` behind what was seen before this
-    micro-batch; it raises nothing, and is counted.
+    micro-batch; it raises nothing, and is counted. A time more than ``skew`` ahead of the clock
+    does not count as seen, so one wrong reading does not make all later ones late. The counts are
+    observed while the rows without a time are put aside, which reads every row once.
     """
     spark = judged.sparkSession
     seen = state.seen(spark, batch_id - 1)
-    if seen is None:
-        on_time = judged
-    else:
-        limit = F.lit(seen) - F.expr(f"interval {watermark}")
-        on_time = judged.where(F.col("event_time").isNull() | (F.col("event_time") >= limit))
+    time = F.col("event_time")
+    late = F.lit(False)
+    if seen is not None:
+        limit = F.timestamp_micros(F.lit(seen)) - F.expr(f"interval {watermark}")
+        late = time < limit
+    believable = time <= F.current_timestamp() + F.expr(f"interval {skew}")
+    read = Observation(f"read-{batch_id}")
+    observed = judged.observe(
+        read,
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(time.isNull()).alias("n_without_time"),
+        F.count_if(F.coalesce(late, F.lit(False))).alias("n_late"),
+        F.max(F.when(believable, F.unix_micros(time))).alias("seen"),
+    )
+    without_time(observed).write.mode("overwrite").parquet(state.untimed(batch_id))
+    on_time = judged.where(time.isNotNull() & ~late)
+
     kept = cooldown(
         candidates(on_time), tie=tie, minutes=minutes, seed=state.last(spark, batch_id - 1)
     )
-    rows = alert_rows(with_raw_json(kept, on_time, tie, raw_json), profile)
+    rows = alert_rows(carried_json(kept), profile).persist(StorageLevel.MEMORY_AND_DISK)
+    stored = Observation(f"stored-{batch_id}")
     folder = f"{path}/batch={batch_id}"
-    write_alerts(
-        rows, folder, f"{quarantine}/batch={batch_id}" if quarantine else None, mode="overwrite"
-    )
-    totals = judged.agg(F.max("event_time"), F.count("*")).first()
-    late = totals[1] - on_time.count()
-    latest = max((t for t in (seen, totals[0]) if t is not None), default=None)
+    try:
+        fits, broken = checked_alerts(rows, strict=quarantine is None)
+        fits = fits.observe(stored, F.count(F.lit(1)).alias("n"))
+        store_alerts(fits, folder, mode="overwrite")
+        n_broken = 0
+        if quarantine is not None:
+            aside = Observation(f"aside-{batch_id}")
+            broken = broken.observe(aside, F.count(F.lit(1)).alias("n"))
+            broken.write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
+            n_broken = aside.get["n"]
+    finally:
+        rows.unpersist()
+    found = read.get
+    latest = max((t for t in (seen, found["seen"]) if t is not None), default=None)
+    counts = {name: found[name] for name in ("n_rows", "n_late", "n_without_time")}
     written = read_or_empty(spark, folder, ALERTS_TABLE)
-    state.save(spark, batch_id, written, Row(seen=latest, n_rows=totals[1], n_late=late))
+    state.save(
+        spark, batch_id, written, seen=latest, n_alerts=stored.get["n"], n_quarantined=n_broken,
+        **counts,
+    )
     return on_time
 
 
@@ -175,6 +210,7 @@ def start_alerts(
     minutes: float = COOLDOWN_MINUTES,
     profile: Profile = ALERT_PROFILE,
     watermark: str = WATERMARK,
+    skew: str = CLOCK_SKEW,
     quarantine: str | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
@@ -182,23 +218,26 @@ def start_alerts(
 
     A ``rate`` share of the readings goes to the retry topic of ``topics`` instead. A micro-batch
     is decoded once; the cooldown is the batch operator, which spreads a hot key over all tasks.
-    All outputs are addressed by the batch number: one that runs again replaces what it wrote.
+    A reading that is delivered more than once, in one micro-batch or in several, raises its alerts
+    once. All outputs are addressed by the batch number: one that runs again replaces what it wrote.
     """
 
     def work(batch: DataFrame, batch_id: int) -> None:
-        readings = timed_readings(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        readings = decoded_readings(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             diverted = is_diverted(*IDENTITY, rate=rate)
+            reading = reading_fields(iso_text("event_time").alias("event_time"))
 
             def candidates(on_time: DataFrame) -> DataFrame:
+                checked = on_time.where(~diverted).withColumn("reading", reading)
                 return detect_candidates(
-                    on_time.where(~diverted), profile, "reading_id", "location", "event_time"
+                    checked, profile, "reading_id", "location", "event_time", "reading"
                 )
 
             on_time = _keep_alerts(
                 readings, candidates, batch_id, path=path, state=state, tie="reading_id",
-                raw_json=reading_json(iso_text("event_time").alias("event_time")), minutes=minutes,
-                profile=profile, watermark=watermark, quarantine=quarantine,
+                minutes=minutes, profile=profile, watermark=watermark, skew=skew,
+                quarantine=quarantine,
             )
             if topics is not None:
                 retries = to_retry_records(on_time.where(diverted))
@@ -225,20 +264,23 @@ def start_retries(
     minutes: float = COOLDOWN_MINUTES,
     profile: Profile = RETRY_PROFILE,
     watermark: str = WATERMARK,
+    skew: str = CLOCK_SKEW,
     quarantine: str | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Late alerts of retry records; messages that fail go to the error topic of ``topics``."""
 
+    def candidates(on_time: DataFrame) -> DataFrame:
+        message = on_time.withColumn("reading", F.col("value").cast("string"))
+        return retry_candidates(message, "message_id", "reading", profile=profile)
+
     def work(batch: DataFrame, batch_id: int) -> None:
         judged = judged_retries(batch, fail_rate).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             _keep_alerts(
-                judged.where("failure is null"),
-                lambda on_time: retry_candidates(on_time, "message_id", profile=profile),
-                batch_id, path=path, state=state, tie="message_id",
-                raw_json=F.col("value").cast("string"), minutes=minutes, profile=profile,
-                watermark=watermark, quarantine=quarantine,
+                judged.where("failure is null"), candidates, batch_id, path=path, state=state,
+                tie="message_id", minutes=minutes, profile=profile, watermark=watermark, skew=skew,
+                quarantine=quarantine,
             )
             if topics is not None:
                 topics.write(retry_dead_letters(judged), TOPIC_ERRORS, batch_id, "retry")
@@ -294,6 +336,7 @@ def start_table(
     checkpoint: str,
     *,
     date_of: str | None = None,
+    name: str | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Append a stream to a Parquet table; the sink's own log makes that exactly once."""
@@ -301,6 +344,8 @@ def start_table(
     stream = writer.writeStream.format("parquet").option("checkpointLocation", checkpoint)
     if date_of is not None:
         stream = stream.partitionBy("date")
+    if name is not None:
+        stream = stream.queryName(name)
     return stream.trigger(**(trigger or {"processingTime": "1 second"})).start(path)
 
 

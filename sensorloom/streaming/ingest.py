@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..constants import TOPIC_ERRORS, TOPIC_PARTITIONS, TOPIC_READINGS
@@ -12,11 +13,17 @@ from ..operators.routing import allocate_new, to_error_records, to_reading_recor
 from ..operators.validate import counts_of, judged_readings, rejected_of, valid_of
 from ..session import read_or_empty
 from ..sources.drops import headers, read_files
+from .observed import MetricLog
 
 
 PRODUCER = "ingest"
 
 
+def _counts() -> list[Column]:
+    valid = F.col("error_type").isNull()
+    return [F.count_if(valid).alias("n_valid"), F.count_if(~valid).alias("n_invalid")]
+
+
 class RegionTable:
     """The location dimension, whole after each batch, so that one folder is read and not all."""
 
@@ -50,6 +57,7 @@ def start_ingest(
     checkpoint: str,
     counts_path: str | None = None,
     partitions: int = TOPIC_PARTITIONS,
+    metrics: MetricLog | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Start the stream that routes drop files.
@@ -57,7 +65,8 @@ def start_ingest(
     ``drops`` comes from ``stream_drops``. The files of a micro-batch are read by their headers and
     judged once; the judged rows are kept while the outputs are written, on executor disks where
     memory is short, so ``files_per_trigger`` bounds them. Every output is addressed by the batch
-    number, so a batch that is run again does not write twice.
+    number, so a batch that is run again does not write twice. ``metrics`` takes the numbers of
+    valid and invalid rows, observed while the rejected ones are written.
     """
 
     def route(lines: DataFrame, batch_id: int) -> None:
@@ -67,7 +76,14 @@ def start_ingest(
             timed = valid_of(judged).withColumn("event_time", event_time_lenient("date_time"))
             known = regions.extend(timed, batch_id, partitions)
             topics.write(to_reading_records(timed, known), TOPIC_READINGS, batch_id, PRODUCER)
-            topics.write(to_error_records(rejected_of(judged)), TOPIC_ERRORS, batch_id, PRODUCER)
+            found = Observation(f"ingest-{batch_id}")
+            observed = judged.observe(found, *_counts())
+            rejected = to_error_records(rejected_of(observed))
+            written = topics.write(rejected, TOPIC_ERRORS, batch_id, PRODUCER)
+            if metrics is not None:
+                # A batch that was published by a run before this one is not read for its errors.
+                counts = found.get if written else judged.agg(*_counts()).first().asDict()
+                metrics.save(lines.sparkSession, batch_id, **counts)
             if counts_path is not None:
                 counts_of(judged).write.mode("overwrite").parquet(f"{counts_path}/batch={batch_id}")
         finally:

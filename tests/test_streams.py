@@ -19,9 +19,11 @@ from sensorloom.operators.validate import rejected_readings, valid_readings
 from sensorloom.schemas import ERRORS_TABLE, RAW_COLUMNS
 from sensorloom.sources.drops import stream_drops
 from sensorloom.sources.events import raw_readings
+from sensorloom.sources.publish import publish
 from sensorloom.sources.topics import StoredTopics
 from sensorloom.streaming import consumers as c
 from sensorloom.streaming.ingest import RegionTable, start_ingest
+from sensorloom.streaming.observed import MetricLog, ProgressLog, kafka_offsets
 
 NOW = {"availableNow": True}
 RATE = 0.2
@@ -193,3 +195,119 @@ def test_dead_letters_of_a_kafka_topic(spark, parts):
     rows = c.error_table_stream(received).collect()
     assert len({r.id for r in rows}) == len(rows) == errors.count() > 0
     assert {"error_type", "raw_row", "created_at", "slack_sent"} <= set(rows[0].asDict())
+
+
+# --- publishing -------------------------------------------------------------------------------
+def messages(spark, *rows):
+    """Topic records of (location, date_time, temperature) rows."""
+    made = [
+        (loc, json.dumps({"Location": loc, "Date_Time": at, "Temperature_C": t, "Humidity_pct": 1.0,
+                          "Precipitation_mm": 0.0, "Wind_Speed_kmh": 0.0, "retry": 0}), None)
+        for loc, at, t in rows
+    ]
+    return spark.createDataFrame(made, "key string, value string, partition int")
+
+
+def test_published_once(spark, tmp_path):
+    """A place that is taken keeps what it has, and the staged folder stays where it is."""
+    root = str(tmp_path)
+    for n in (1, 2):
+        spark.range(n).write.parquet(f"{root}/staged{n}")
+    assert publish(spark, f"{root}/staged1", f"{root}/deep/place")
+    assert not publish(spark, f"{root}/staged2", f"{root}/deep/place")
+    assert spark.read.parquet(f"{root}/deep/place").count() == 1
+    assert sorted(os.listdir(f"{root}/deep")) == ["place"]
+
+
+def test_lost_producers_are_not_seen(spark, tmp_path):
+    """Staged batches reach no reader; a second attempt replaces what the first one staged."""
+    topics = StoredTopics(str(tmp_path))
+    row = ("Dallas", "2024-01-01 00:00:00", 40.0)
+    assert topics.write(messages(spark, row), "t", 0, "p")
+    topics.stage(messages(spark, row, row, row), "t", 1, "p")
+    assert topics.read(spark, "t").count() == 1
+    assert topics.write(messages(spark, row, row), "t", 1, "p")
+    assert not topics.write(messages(spark, row), "t", 1, "p")
+    assert topics.read(spark, "t").count() == 3
+
+
+# --- observed metrics -------------------------------------------------------------------------
+def run_alerts(spark, topics, root, **kwargs):
+    state = c.AlertState(f"{root}/state")
+    finish(c.start_alerts(topics.stream(spark, TOPIC_READINGS), f"{root}/alerts", state,
+                          f"{root}/cp", rate=0.0, trigger=NOW, **kwargs))
+    return {r.batch: r.asDict() for r in state.progress(spark).collect()}
+
+
+def test_batches_without_alerts_and_without_times(spark, tmp_path):
+    root = str(tmp_path)
+    topics = StoredTopics(f"{root}/topics")
+    topics.write(messages(spark, ("A", "no time", 40.0), ("A", None, 1.0)), TOPIC_READINGS, 0, "p")
+    run_alerts(spark, topics, root)
+    topics.write(messages(spark, ("A", "2024-01-01 00:00:00", 10.0)), TOPIC_READINGS, 1, "p")
+    found = run_alerts(spark, topics, root, quarantine=f"{root}/bad")
+    counts = [(b["n_rows"], b["n_without_time"], b["n_late"], b["n_alerts"]) for _, b in sorted(found.items())]
+    assert counts == [(2, 2, 0, 0), (1, 0, 0, 0)]
+    aside = spark.read.parquet(f"{root}/state/untimed")
+    assert sorted((r.date_time or "", r.batch) for r in aside.collect()) == [("", 0), ("no time", 0)]
+
+
+def test_a_reading_from_the_future_makes_no_other_late(spark, tmp_path):
+    root = str(tmp_path)
+    topics = StoredTopics(f"{root}/topics")
+    rows = [("A", "2999-01-01 00:00:00", 40.0), ("A", "2024-01-01 00:00:00", 10.0)]
+    topics.write(messages(spark, *rows), TOPIC_READINGS, 0, "p")
+    run_alerts(spark, topics, root)
+    topics.write(messages(spark, ("B", "2024-01-01 00:00:01", 40.0), ("B", "2023-01-01 00:00:00", 40.0)),
+                 TOPIC_READINGS, 1, "p")
+    found = run_alerts(spark, topics, root)
+    assert [(b["n_late"], b["n_alerts"]) for _, b in sorted(found.items())] == [(0, 1), (1, 1)]
+
+
+def test_delivered_again_while_suppressed(spark, tmp_path):
+    """A reading that the cooldown suppressed raises nothing when it comes again later."""
+    root = str(tmp_path)
+    topics = StoredTopics(f"{root}/topics")
+    rows = [("A", "2024-01-01 00:00:00", 40.0), ("A", "2024-01-01 00:29:00", 41.0)]
+    for n in range(2):
+        topics.write(messages(spark, *rows, *rows), TOPIC_READINGS, n, "p")
+        run_alerts(spark, topics, root, watermark="2 hours")
+    alerts = spark.read.parquet(f"{root}/alerts").collect()
+    assert [(a.value, json.loads(a.raw_json)["Temperature_C"]) for a in alerts] == [(40.0, 40.0)]
+
+
+def test_progress_log(spark, tmp_path):
+    """Each micro-batch is one row with what was observed on it; other queries are not logged."""
+    root = str(tmp_path)
+    for n in range(3):
+        spark.range(n + 1).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    log = ProgressLog(spark, f"{root}/progress", names=("logged",))
+    for name in ("logged", "other"):
+        stream = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+        observed = stream.observe("seen", F.count(F.lit(1)).alias("n"), F.max("id").alias("most"))
+        finish(c.start_table(observed, f"{root}/{name}", f"{root}/cp_{name}", name=name, trigger=NOW))
+    log.close()
+    rows = sorted(log.read().collect(), key=lambda r: r.batch)
+    assert [(r.query, r.batch, r.input_rows, r.metrics) for r in rows] == [
+        ("logged", n, n + 1, {"seen.n": n + 1, "seen.most": n}) for n in range(3)
+    ]
+
+
+def test_kafka_offsets(spark):
+    """Offsets as Spark's Kafka source reports them."""
+    rows = [
+        (datetime(2024, 1, 1), "q", '{"t":{"0":5,"1":7},"u":{"0":1}}', '{"t":{"0":9,"1":7},"u":{"0":4}}'),
+        (datetime(2024, 1, 2), "q", '{"t":{"0":9}}', None),
+    ]
+    progress = spark.createDataFrame(rows, "ts timestamp, query string, end_offset string, latest_offset string")
+    got = {(r.ts.day, r.group, r.topic, r.partition, r.end_offset, r.committed) for r in kafka_offsets(progress).collect()}
+    assert got == {
+        (1, "q", "t", 0, 9, 5), (1, "q", "t", 1, 7, 7), (1, "q", "u", 0, 4, 1), (2, "q", "t", 0, 9, 9),
+    }
+
+
+def test_metric_log_replaces_a_batch(spark, tmp_path):
+    log = MetricLog(str(tmp_path / "m"))
+    log.save(spark, 0, a=1)
+    log.save(spark, 0, a=2, b=3)
+    assert {(r.batch, r.metric, r.value) for r in log.read(spark).collect()} == {(0, "a", 2), (0, "b", 3)}
