@@ -35,6 +35,7 @@ from ..operators.archive import (
     read_archive,
     write_archive,
 )
+from ..operators.compaction import CompactedArchive
 from ..operators.cooldown import cooldown, latest_alerts
 from ..operators.deadletter import error_rows, record_id
 from ..operators.metrics import consumer_lag, latest_offsets, topic_list, topic_rates, topic_throughput
@@ -590,6 +591,25 @@ def _archive_roundtrip(spark, sf_dir):
     return archive_layout(read_archive(spark, path), ARCHIVE_ROWS_PER_FILE)
 
 
+@query("archive_compacted")
+def _archive_compacted(spark, sf_dir):
+    """Rows and files per folder after a pass, a late delivery and another pass."""
+    archive = CompactedArchive(work_dir(spark, "compacted"))
+    rows = archive_rows(valid_readings(raw_readings(spark, sf_dir)))
+    third = F.col("event_id") % 3
+    for n in range(2):
+        write_archive(rows.where(third == n), archive.fresh)
+    archive.compact(spark)
+    write_archive(rows.where((third == 2) & (F.col("location") != "Dallas")), archive.fresh)
+    archive.compact(spark)
+    held = archive.read(spark).groupBy("location", "date")
+    return held.agg(
+        F.count("*").alias("n_rows"),
+        F.countDistinct("_metadata.file_path").alias("n_files"),
+        F.sum("event_id").alias("sum_ids"),
+    )
+
+
 @query("daily_summary")
 def _daily_summary(spark, sf_dir):
     return daily_summary(archive_rows(valid_readings(raw_readings(spark, sf_dir))))

@@ -679,6 +679,12 @@ from (select location, count(*) as n_archived from timed group by location)
 left join (select location, count(*) as n_alerts from kept group by location) using (location)""",
         _KEPT,
     ),
+    "archive_compacted": _with(
+        ["timed"],
+        """select location, cast(event_time as date) as date, count(*) as n_rows,
+  cast(1 as bigint) as n_files, cast(sum(event_id) as bigint) as sum_ids
+from timed where not (location = 'Dallas' and event_id % 3 = 2) group by 1, 2""",
+    ),
     "alerts_repeated_delivery": _with(
         ["timed"],
         """select md5('alert|' || location || '|' || alert_type || '|'

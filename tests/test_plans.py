@@ -12,7 +12,7 @@ EAGER = {  # these run jobs while they are built
     "csv_scan", "csv_scan_headers", "archive_roundtrip", "alerts_by_filter", "outbox_cycle", "topic_read_from", "table_contract",
     "alert_outbox_cycle", "stream_cooldown_alerts", "restart_exactly_once", "late_drop",
     "stream_cooldown_batches", "replay_exactly_once", "late_alerts", "alerts_repeated_delivery",
-    "stream_observed", "consumer_lag_live",
+    "stream_observed", "consumer_lag_live", "archive_compacted",
 }
 
 
