@@ -6,7 +6,9 @@ the table joined with its acknowledgements, so no row is rewritten while sending
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..constants import OUTBOX_BATCH
 from ..session import read_or_empty
+from ..sources.publish import publish
 
 Sender = Callable[[str], bool]
 
@@ -74,19 +77,45 @@ def send_all(
     return narrow.mapInPandas(run, f"{id_column} {kinds[id_column]}, success boolean{kept}")
 
 
+@dataclass(frozen=True)
+class Schedule:
+    """When a row whose sending failed is due again: after ``base`` seconds, and after twice as long
+    with every further failure, up to ``longest``. By default it is due in the next cycle."""
+
+    base: float = 0.0
+    longest: float = 6 * 3600.0
+
+    def due_at(self, failures: Column, last: Column) -> Column:
+        doubled = F.least(F.pow(F.lit(2.0), failures - 1) * self.base, F.lit(self.longest))
+        return last + F.make_dt_interval(secs=doubled)
+
+
 class Outbox:
     """A stored table of rows to send, and what became of them.
 
-    Rows lie under ``rows/date=``, foldered by the day of ``order``; acknowledgements under
-    ``acks/date=`` by the day of their row. The low-water mark is the oldest day with a row that
-    is not sent: a cycle reads no folder before it, so its cost follows the backlog and not the
-    age of the table.
+    Rows lie under ``rows/date=``, foldered by the day of ``order``; outcomes under ``acks/date=`` by
+    the day of their row. The low-water mark is the oldest day with a row that is not sent: a
+    cycle reads no folder before it, so its cost follows the backlog and not the age of the table.
+
+    A row that fails steps back by its ``schedule``, so rows that always fail do not keep later
+    ones from being sent. Several drainers may work on one outbox: a cycle's pick is published as
+    one numbered turn, which only one drainer gets, and its rows are its own until their lease
+    ends or their outcome is there.
     """
 
-    def __init__(self, path: str, id_column: str = "id", order: str = "created_at"):
+    def __init__(
+        self,
+        path: str,
+        id_column: str = "id",
+        order: str = "created_at",
+        schedule: Schedule = Schedule(),
+        lease_seconds: float = 600.0,
+    ):
         self.path = path
         self.id_column = id_column
         self.order = order
+        self.schedule = schedule
+        self.lease_seconds = lease_seconds
 
     def add(self, rows: DataFrame, mode: str = "append") -> None:
         """Rows of days before the low-water mark move the mark back."""
@@ -102,30 +131,94 @@ class Outbox:
     def _stored_rows(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(f"{self.path}/rows")
 
-    def _acks(self, spark: SparkSession, id_type: str) -> DataFrame:
-        schema = f"{self.id_column} {id_type}, success boolean, sent_at timestamp, date date"
+    def _id_type(self, spark: SparkSession) -> str:
+        return self._stored_rows(spark).schema[self.id_column].dataType.simpleString()
+
+    def _acks(self, spark: SparkSession) -> DataFrame:
+        """Outcomes; a compacted one stands for ``attempts`` of them, the last at ``sent_at``."""
+        schema = (
+            f"{self.id_column} {self._id_type(spark)}, success boolean, sent_at timestamp, "
+            "attempts long, turn long, date date"
+        )
         return read_or_empty(spark, f"{self.path}/acks", schema)
 
     def low_water(self, spark: SparkSession):
-        schema = "mark date, cycle long"
-        marks = read_or_empty(spark, f"{self.path}/low_water", schema)
-        return marks.agg(F.max_by("mark", "cycle")).first()[0]
+        return self._mark(spark)[0]
+
+    def _mark(self, spark: SparkSession) -> tuple:
+        """The low-water mark, and its number."""
+        marks = read_or_empty(spark, f"{self.path}/low_water", "mark date, cycle long")
+        found = marks.orderBy(F.desc("cycle")).first()
+        return (found.mark, found.cycle) if found else (None, -1)
 
     def _set_mark(self, spark: SparkSession, mark) -> None:
-        path = f"{self.path}/low_water"
-        cycle = read_or_empty(spark, path, "mark date, cycle long").agg(F.max("cycle")).first()[0]
-        row = spark.createDataFrame([(mark, (cycle or 0) + 1)], "mark date, cycle long")
-        row.coalesce(1).write.mode("append").parquet(path)
+        """One small table, replaced whole: a new one is published, and reading takes the last."""
+        cycle = self._mark(spark)[1] + 1
+        staged = f"{self.path}/_staged/low_water-{uuid.uuid4().hex}"
+        spark.createDataFrame([(mark,)], "mark date").coalesce(1).write.parquet(staged)
+        publish(spark, staged, f"{self.path}/low_water/cycle={cycle}")
 
     def state(self, spark: SparkSession, since=None) -> DataFrame:
         """All rows, or those from a day on, with their send state."""
-        rows = self._stored_rows(spark)
-        acks = self._acks(spark, rows.schema[self.id_column].dataType.simpleString())
+        rows, acks = self._stored_rows(spark), self._acks(spark)
         if since is not None:
             rows, acks = (f.where(F.col("date") >= F.lit(since)) for f in (rows, acks))
         done = acks.where("success").select(self.id_column, "sent_at")
         return apply_acks(rows, done, self.id_column)
 
+    def outcomes(self, spark: SparkSession) -> DataFrame:
+        """How often each row was sent and how often sending it failed."""
+        sums = {
+            name: F.coalesce(F.sum(F.when(test, F.col("attempts"))), F.lit(0))
+            for name, test in (("n_sent", F.col("success")), ("n_failed", ~F.col("success")))
+        }
+        return self._acks(spark).groupBy(self.id_column).agg(
+            *[total.alias(name) for name, total in sums.items()]
+        )
+
+    def _waiting(self, spark: SparkSession, since, now: Column) -> DataFrame:
+        """Rows that failed and are not due yet, and rows that another turn has claimed."""
+        acks = self._acks(spark)
+        if since is not None:
+            acks = acks.where(F.col("date") >= F.lit(since))
+        failed = acks.where("not success").groupBy(self.id_column).agg(
+            F.sum("attempts").alias("_n"), F.max("sent_at").alias("_last")
+        )
+        failed = failed.where(self.schedule.due_at(F.col("_n"), F.col("_last")) > now)
+        claims = self._claims(spark).where(F.col("lease_until") > now)
+        # An outcome ends the claim of its turn, and of any turn before.
+        done = acks.groupBy(self.id_column).agg(F.max("turn").alias("_done"))
+        claimed = claims.join(done, self.id_column, "left").where(
+            F.col("_done").isNull() | (F.col("turn") > F.col("_done"))
+        )
+        return failed.select(self.id_column).unionByName(claimed.select(self.id_column))
+
+    def _claims(self, spark: SparkSession) -> DataFrame:
+        schema = f"{self.id_column} {self._id_type(spark)}, date date, lease_until timestamp, turn long"
+        return read_or_empty(spark, f"{self.path}/turns", schema)
+
+    def _claim(
+        self, spark: SparkSession, since, render: Column, limit: int, now: Column
+    ) -> tuple[int, DataFrame]:
+        """The number of a turn of this drainer's own, and its rows."""
+        while True:
+            turn = (self._claims(spark).agg(F.max("turn")).first()[0] or 0) + 1
+            waiting = self._waiting(spark, since, now)
+            ready = self.state(spark, since).join(waiting, self.id_column, "left_anti")
+            batch = unsent_batch(ready, self.id_column, limit, self.order)
+            staged = f"{self.path}/_staged/turn-{uuid.uuid4().hex}"
+            lease = now + F.make_dt_interval(secs=F.lit(self.lease_seconds))
+            picked = batch.select(
+                self.id_column, "date", render.alias("text"), lease.alias("lease_until")
+            )
+            picked.write.parquet(staged)
+            own = spark.read.parquet(staged)
+            if own.isEmpty():
+                return turn, own
+            # The rows were picked without what this turn holds, so the turn has to be free.
+            if publish(spark, staged, f"{self.path}/turns/turn={turn}"):
+                return turn, spark.read.schema(own.schema).parquet(f"{self.path}/turns/turn={turn}")
+
     def drain_once(
         self,
         spark: SparkSession,
@@ -134,48 +227,51 @@ class Outbox:
         limit: int = OUTBOX_BATCH,
         sent_at: Column | None = None,
     ) -> int:
-        """One cycle: pick the oldest unsent rows, render, send, and append the outcomes.
+        """One cycle: claim the oldest unsent rows that are due, send them, append the outcomes.
 
         Returns how many rows were picked. The pick is stored before anything is sent, and the
         outcomes are written in the job that sends, so no plan is computed twice with the sender in
-        it. A task that is run again after a loss sends its rows again: sending is at least once.
+        it. A task that is run again after a loss sends its rows again, and rows of a drainer that
+        is lost are sent again when their lease ends: sending is at least once.
         """
+        moment = F.current_timestamp() if sent_at is None else sent_at
         since = self.low_water(spark)
-        batch = unsent_batch(self.state(spark, since), self.id_column, limit, self.order)
-        path = f"{self.path}/picked"
-        texts = batch.select(self.id_column, "date", render.alias("text"))
-        texts.write.mode("overwrite").parquet(path)
-        picked = spark.read.parquet(path)
-        count, oldest = picked.agg(F.count("*"), F.min("date")).first()
+        # Also of rows that wait: the mark must not pass them.
+        oldest = self.state(spark, since).where(~F.col("slack_sent")).agg(F.min("date")).first()[0]
+        turn, picked = self._claim(spark, since, render, limit, moment)
+        count = picked.count()
         if not count:
             return 0
-        moment = F.current_timestamp() if sent_at is None else sent_at
         outcomes = send_all(picked, sender, self.id_column, keep=("date",))
         (
-            outcomes.withColumn("sent_at", moment)
+            outcomes.withColumns(
+                {"sent_at": moment, "attempts": F.lit(1).cast("long"), "turn": F.lit(turn).cast("long")}
+            )
             .write.mode("append")
             .partitionBy("date")
             .parquet(f"{self.path}/acks")
         )
-        if since is None or oldest > since:
+        if oldest is not None and (since is None or oldest > since):
             self._set_mark(spark, oldest)
         return count
 
     def compact(self, spark: SparkSession) -> None:
-        """Rewrite the acknowledgements from the low-water mark on as few files: one row for each
-        sent row. Run it between cycles."""
-        id_type = self._stored_rows(spark).schema[self.id_column].dataType.simpleString()
+        """Rewrite the outcomes from the low-water mark on as few files: one row for each sent row,
+        and one for the failures of each. Run it while no drainer works."""
         since = self.low_water(spark)
-        acks = self._acks(spark, id_type).where("success")
+        acks = self._acks(spark)
         if since is not None:
             acks = acks.where(F.col("date") >= F.lit(since))
         path = f"{self.path}/compacted"
-        first = acks.groupBy(self.id_column, "date").agg(F.min("sent_at").alias("sent_at"))
-        first = first.withColumn("success", F.lit(True)).hint("rebalance", "date")
-        first.write.mode("overwrite").parquet(path)
+        # A sent row counts from its first success, a failed one from its last failure.
+        at = F.when(F.col("success"), F.min("sent_at")).otherwise(F.max("sent_at"))
+        merged = acks.groupBy(self.id_column, "date", "success").agg(
+            at.alias("sent_at"), F.sum("attempts").alias("attempts"), F.max("turn").alias("turn")
+        )
+        merged.hint("rebalance", "date").write.mode("overwrite").parquet(path)
         (
             spark.read.parquet(path)
-            .select(self.id_column, "success", "sent_at", "date")
+            .select(self.id_column, "success", "sent_at", "attempts", "turn", "date")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("date")

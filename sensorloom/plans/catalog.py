@@ -29,6 +29,7 @@ from ..operators.alerts import (
     write_alerts,
 )
 from ..operators.archive import (
+    DailySummaries,
     archive_layout,
     archive_rows,
     daily_summary,
@@ -38,8 +39,15 @@ from ..operators.archive import (
 from ..operators.compaction import CompactedArchive
 from ..operators.cooldown import cooldown, latest_alerts
 from ..operators.deadletter import error_rows, record_id
-from ..operators.metrics import consumer_lag, latest_offsets, topic_list, topic_rates, topic_throughput
-from ..operators.outbox import Outbox, apply_acks, unsent_batch
+from ..operators.metrics import (
+    consumer_lag,
+    latest_offsets,
+    rate_steps,
+    topic_list,
+    topic_rates,
+    topic_throughput,
+)
+from ..operators.outbox import Outbox, Schedule, apply_acks, unsent_batch
 from ..operators.retry import (
     FAIL_SALT,
     decode_message,
@@ -615,6 +623,19 @@ def _daily_summary(spark, sf_dir):
     return daily_summary(archive_rows(valid_readings(raw_readings(spark, sf_dir))))
 
 
+@query("daily_summary_incremental")
+def _daily_summary_incremental(spark, sf_dir):
+    """Five batches, one of them twice, and a roll-up after the third."""
+    rows = archive_rows(valid_readings(raw_readings(spark, sf_dir)))
+    days = DailySummaries(work_dir(spark, "summaries"))
+    for n in (0, 1, 1, 2, 3, 4):
+        days.add(rows.where(F.col("event_id") % 5 == n), n)
+        if n == 2:
+            days.roll_up(spark, 2)
+            days.add(rows.where(F.col("event_id") % 5 == 1), 1)  # late again, and in already
+    return days.read(spark)
+
+
 @query("daily_summary_wide")
 def _daily_summary_wide(spark, sf_dir):
     """The same over numbers far apart: up to 1e15, and with six decimals."""
@@ -756,6 +777,28 @@ def _alert_outbox_cycle(spark, sf_dir):
     return _drained(spark, alerts, alert_text(), _accepts_heat, "alert_id", "event_time")
 
 
+def _never_sent(text: str) -> bool:
+    return int(text.split("|")[0]) not in range(0, 211 * 15, 211)
+
+
+@query("outbox_poison")
+def _outbox_poison(spark, sf_dir):
+    """Two drainers in turn; the rows of ten ids always fail, and keep none of the others waiting."""
+    path = work_dir(spark, "outbox_poison")
+    boxes = [Outbox(path, schedule=Schedule(base=3600.0)) for _ in range(2)]
+    boxes[0].add(_errors(spark, sf_dir))
+    moment = F.lit("2024-02-01").cast("timestamp")
+    render = F.concat_ws("|", "id", error_text())
+    n = 0
+    while boxes[n % 2].drain_once(spark, render, _never_sent, limit=250, sent_at=moment):
+        n += 1
+    later = moment + F.expr("interval 61 minutes")
+    again = boxes[0].drain_once(spark, render, _never_sent, limit=250, sent_at=later)
+    outcomes = boxes[0].outcomes(spark)
+    state = boxes[0].state(spark).select("id", "slack_sent").join(outcomes, "id", "left")
+    return state.fillna(0).withColumn("n_due_again", F.lit(again).cast("long"))
+
+
 # --- metrics ----------------------------------------------------------------------------------
 def _topic_name():
     n = F.col("event_id") % 10
@@ -778,6 +821,13 @@ def _topic_tps(spark, sf_dir):
     return rates.withColumn("rate", F.round("rate", 6))
 
 
+@query("topic_rate_steps")
+def _topic_rate_steps(spark, sf_dir):
+    """The dashboard's rate each hour over the last six."""
+    rates = rate_steps(_samples(spark, sf_dir), 3600, 6)
+    return rates.withColumn("rate", F.round("rate", 9))
+
+
 @query("topic_tps_counted")
 def _topic_tps_counted(spark, sf_dir):
     records = table(spark, sf_dir, "events").select(

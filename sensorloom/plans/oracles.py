@@ -647,6 +647,43 @@ from (select window_start, instance, topic, sum(grown) as increase,
       group by window_start, instance, topic)
 where seconds > 0 group by window_start, topic""",
     ),
+    "outbox_poison": _with(
+        ["errors"],
+        """select id, slack_sent or not fails as slack_sent,
+  cast(case when slack_sent or fails then 0 else 1 end as bigint) as n_sent,
+  cast(case when not slack_sent and fails then 2 else 0 end as bigint) as n_failed,
+  count(*) filter (not slack_sent and fails) over () as n_due_again
+from (select *, id % 211 = 0 and id < 211 * 15 as fails from errors)""",
+    ),
+    "topic_rate_steps": _with(
+        ["samples"],
+        """select step_time, topic, round(sum(grown * (span + head + tail) / span / 21600), 9) as rate
+from (select *,
+        least(case when to_first >= mean * 1.1 then mean / 2 else to_first end,
+              case when grown > 0 and first >= 0 then span * (first / grown) end) as head,
+        case when to_last >= mean * 1.1 then mean / 2 else to_last end as tail
+      from (select step_time, instance, topic, count(*) as n, cast(sum(up) as double) as grown,
+              cast(arg_min(count, (ts, count)) as double) as first,
+              (epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6 as span,
+              (epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6 / (count(*) - 1) as mean,
+              (epoch_us(min(ts)) - epoch_us(step_time) + 21600000000) / 1e6 as to_first,
+              (epoch_us(step_time) - epoch_us(max(ts))) / 1e6 as to_last
+            from (select *, case when before is null then 0 when count < before then count
+                    else count - before end as up
+                  from (select step_time, instance, topic, ts, count, lag(count) over (
+                          partition by step_time, instance, topic order by ts, count) as before
+                        from steps join samples on ts <= step_time and ts > step_time - interval 6 hour
+                        where topic <> ''))
+            group by step_time, instance, topic having count(*) > 1 and max(ts) > min(ts)))
+group by step_time, topic""",
+        [
+            (
+                "steps",
+                """select unnest(generate_series(date_trunc('hour', min(ts)),
+  date_trunc('hour', max(ts)) + interval 7 hour, interval 1 hour)) as step_time from events""",
+            )
+        ],
+    ),
     "topic_tps_counted": _with(
         ["topics"],
         """select date_trunc('hour', ts) as window_start, topic, count(*) as n_messages,
@@ -728,3 +765,4 @@ from kept""",
         + _chain("fired", 30),
     ),
 }
+ORACLES["daily_summary_incremental"] = ORACLES["daily_summary"]

@@ -7,31 +7,40 @@ folder, which HDFS, local disks and object stores with real folders do as one op
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
-def _files(spark: SparkSession, path: str):
+def _context(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    return where, where.getFileSystem(conf)
+    files = where.getFileSystem(conf)
+    return files.makeQualified(where), files
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    where, files = _files(spark, path)
+    where, files = _context(spark, path)
     return files.exists(where)
 
 
 def publish(spark: SparkSession, staged: str, place: str) -> bool:
     """Move a staged folder to its place; False, and nothing moves, if the place is taken.
 
-    One writer at a time owns a place; a writer that starts again finds it taken and goes on.
+    Of several writers that publish to one place, one gets it: the rename does not replace.
     """
-    source, files = _files(spark, staged)
-    target, _ = _files(spark, place)
+    source, _ = _context(spark, staged)
+    target, files = _context(spark, place)
     if files.exists(target):
         return False
     files.mkdirs(target.getParent())
-    if not files.rename(source, target):
-        raise OSError(f"could not move {staged} to {place}")
+    fs = spark.sparkContext._jvm.org.apache.hadoop.fs
+    no_options = spark.sparkContext._gateway.new_array(getattr(fs, "Options$Rename"), 0)
+    context = fs.FileContext.getFileContext(target.toUri(), files.getConf())
+    try:
+        context.rename(source, target, no_options)
+    except Py4JJavaError as error:
+        if "FileAlreadyExistsException" not in error.java_exception.getClass().getName():
+            raise
+        return False
     return True

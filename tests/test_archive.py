@@ -6,8 +6,9 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from sensorloom.operators.alerts import find_alerts, write_alerts
+from sensorloom.operators.alerts import find_alerts, store_alerts, write_alerts
 from sensorloom.operators.archive import (
+    DailySummaries,
     archive_rows,
     daily_summary,
     read_archive,
@@ -171,3 +172,78 @@ def test_collected_windows_keep_every_row(spark, sf):
     }
     expected = {(r.window_start, r.location): r.n_rows for r in window_counts(timed, "1 day", "location").collect()}
     assert counts == expected
+
+
+READINGS = "location string, date date, temperature_c double, precipitation_mm double, wind_speed_kmh double"
+
+
+def test_parts_of_days_are_merged(spark, tmp_path):
+    """Any split into batches gives what all rows at once give, exact or not, rolled up or not."""
+    numbers = [0.1, 0.2, 1e15, -1e15, 0.3, float("nan"), None, 20.000125, 1e300, float("inf"), -5.5]
+    cells = [(loc, date(2024, 1, 1 + n % 2), t) for loc in "AB" for n, t in enumerate(numbers)]
+    cells = [c for c in cells if c[0] == "B" or c[2] is None or abs(c[2]) < 1e20]
+    rows = spark.createDataFrame([(*c, c[2], c[2]) for c in cells], READINGS).withColumn(
+        "n", F.monotonically_increasing_id()
+    )
+    days = DailySummaries(str(tmp_path))
+    for n in range(4):
+        days.add(rows.where(F.pmod(F.xxhash64("n"), F.lit(4)) == n), n)
+    days.add(rows.where(F.pmod(F.xxhash64("n"), F.lit(4)) == 3), 3)
+
+    def cells_of(frame):
+        return sorted(str(tuple(r[c] for c in sorted(r.asDict()))) for r in frame.collect())
+
+    want = cells_of(daily_summary(rows))
+    assert cells_of(days.read(spark)) == want
+    days.roll_up(spark, 1)
+    assert cells_of(days.read(spark)) == want and days.rolled(spark) == 1
+    days.roll_up(spark, 3)
+    days.roll_up(spark, 2)
+    days.add(rows, 2)  # a batch that is in already
+    assert cells_of(days.read(spark)) == want and days.rolled(spark) == 3
+
+
+def test_reading_summaries_does_not_read_the_archive(spark, tmp_path):
+    days = DailySummaries(str(tmp_path / "days"))
+    rows = spark.createDataFrame([("A", date(2024, 1, 1), 1.0, 2.0, 3.0)], READINGS)
+    rows.write.parquet(str(tmp_path / "archive"))
+    days.add(spark.read.parquet(str(tmp_path / "archive")), 0)
+    assert days.read(spark).inputFiles() and not any("/archive/" in f for f in days.read(spark).inputFiles())
+
+
+def test_lookups_skip_row_groups(spark, tmp_path):
+    """Rows of a date lie by location and type: a lookup opens few of its row groups."""
+    path = str(tmp_path / "alerts")
+    n = F.col("id")
+    alerts = spark.range(40_000).select(
+        F.sha2(n.cast("string"), 256).alias("alert_id"),
+        F.concat(F.lit("L"), F.lpad((n * 7 % 40).cast("string"), 2, "0")).alias("location"),
+        F.concat(F.lit("T"), F.floor(n / 40) % 4).alias("alert_type"),
+        F.timestamp_seconds(F.lit(1704067200) + n % 86400).alias("event_time"),
+        F.lit(False).alias("slack_sent"),
+    )
+    rest = {"alert_reason": "string", "value": "double", "threshold": "double", "raw_json": "string",
+            "slack_sent_at": "timestamp", "retry_count": "int", "created_at": "timestamp"}
+    alerts = alerts.withColumns({c: F.lit(None).cast(kind) for c, kind in rest.items()})
+    store_alerts(alerts.select(*ALERTS_TABLE.fieldNames()), path, row_group_bytes=64 << 10)
+    groups = []
+    for name in glob.glob(f"{path}/date=*/*.parquet"):
+        meta = pq.read_metadata(name)
+        column = meta.schema.names.index("location")
+        groups += [meta.row_group(g).column(column).statistics for g in range(meta.num_row_groups)]
+    hit = [g for g in groups if g.min <= "L07" <= g.max]
+    assert len(groups) >= 10 and len(hit) <= len(groups) / 4
+
+    def rows_read(frame):
+        frame._jdf.collectToPython()
+        leaf = frame._jdf.queryExecution().executedPlan().collectLeaves().head()
+        return leaf.metrics().apply("numOutputRows").value()
+
+    stored = spark.read.parquet(path)
+    by_location = find_alerts(stored, locations=["L07"])
+    both = find_alerts(stored, locations=["L07"], alert_types=["T2"])
+    assert by_location.count() == 1000 and both.count() == 250
+    assert rows_read(by_location) < 10_000
+    assert rows_read(both) <= rows_read(by_location)
+    # An id that is not there: every row group's bloom filter says so.
+    assert rows_read(stored.where(F.col("alert_id") == F.sha2(F.lit("no such"), 256))) < 20_000

@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from sensorloom.functions.text import alert_text, error_text, pretty_json, retry_text
-from sensorloom.operators.outbox import Outbox, apply_acks
+from sensorloom.operators.outbox import Outbox, Schedule, apply_acks
 
 T0 = datetime(2024, 1, 1)
 
@@ -118,3 +118,57 @@ def test_pretty_json_like_python(spark):
     assert shown == [json.dumps(json.loads(t), indent=2, ensure_ascii=False) for t in texts]
     other = spark.createDataFrame([("no json",), ("{broken",), (None,)], "raw string")
     assert [r[0] for r in other.select(pretty_json("raw")).collect()] == ["no json", "{broken", None]
+
+
+def test_failed_rows_step_back(spark, tmp_path):
+    """Rows that fail are due again after a time that doubles; others are sent in between."""
+    box = Outbox(str(tmp_path / "box"), schedule=Schedule(base=60.0, longest=150.0))
+    box.add(errors(spark, 4))
+
+    def drain(seconds, limit=2):
+        moment = F.lit(T0 + timedelta(seconds=seconds)).cast("timestamp")
+        return box.drain_once(spark, F.col("error_message"), lambda t: t not in ("m1", "m2"), limit, moment)
+
+    assert [drain(0), drain(1), drain(2), drain(59)] == [2, 2, 0, 0]
+    assert [drain(61), drain(100), drain(182)] == [2, 0, 2]
+    assert [drain(330), drain(333), drain(400), drain(484)] == [0, 2, 0, 2]  # no longer than 150
+    box.compact(spark)
+    assert [drain(500), drain(635)] == [0, 2]
+    found = {r.id: (r.n_sent, r.n_failed) for r in box.outcomes(spark).collect()}
+    assert found == {1: (0, 6), 2: (0, 6), 3: (1, 0), 4: (1, 0)}
+
+
+def test_a_claim_holds_until_its_lease_ends(spark, tmp_path):
+    """Rows of a drainer that was lost after its pick are another's when the lease is over."""
+    box = Outbox(str(tmp_path / "box"), lease_seconds=100.0)
+    box.add(errors(spark, 3))
+    lost = Outbox(str(tmp_path / "box"), lease_seconds=100.0)
+    start = F.lit(T0).cast("timestamp")
+    turn, rows = lost._claim(spark, None, F.col("error_message"), 2, start)
+    assert (turn, rows.count()) == (1, 2)
+
+    def drain(seconds):
+        moment = F.lit(T0 + timedelta(seconds=seconds)).cast("timestamp")
+        return box.drain_once(spark, F.col("error_message"), lambda t: True, 10, moment)
+
+    assert [drain(1), drain(2), drain(99), drain(101)] == [1, 0, 0, 2]
+    assert {r.n_sent for r in box.outcomes(spark).collect()} == {1}
+
+
+def test_one_drainer_gets_a_turn(spark, tmp_path):
+    """Two drainers that picked at the same time: the second finds the turn taken, and picks again."""
+    path = str(tmp_path / "box")
+    box, other = Outbox(path), Outbox(path)
+    box.add(errors(spark, 3))
+    now = F.lit(T0).cast("timestamp")
+    waiting = other._waiting
+
+    def late(*args):
+        other._waiting = waiting  # the other drainer's pick comes in between, once
+        found = waiting(*args)
+        assert box._claim(spark, None, F.col("error_message"), 2, now)[0] == 1
+        return found
+
+    other._waiting = late
+    turn, rows = other._claim(spark, None, F.col("error_message"), 2, now)
+    assert turn == 2 and [r.id for r in rows.collect()] == [3]

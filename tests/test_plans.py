@@ -13,6 +13,7 @@ EAGER = {  # these run jobs while they are built
     "alert_outbox_cycle", "stream_cooldown_alerts", "restart_exactly_once", "late_drop",
     "stream_cooldown_batches", "replay_exactly_once", "late_alerts", "alerts_repeated_delivery",
     "stream_observed", "consumer_lag_live", "archive_compacted",
+    "daily_summary_incremental", "outbox_poison",
 }
 
 
