@@ -3,11 +3,16 @@
 Texts are sequences of words. A CGK random walk reads a window of words and repeats or advances at
 each step as a random bit of the word under it says; two windows at a small edit distance then
 agree in most steps. Sampled steps are the keys of a locality-sensitive hash: windows as long as a
-benchmark item that share a key with it in one of many repetitions are candidates, and a candidate
-counts only if its exact edit distance is small enough.
+benchmark item that share a key with it in one of many repetitions are candidates.
+
+What is looked for is a span of any length within the edit distance of an item. The window that
+starts where such a span does may end with words behind it, where the span has lost words, or
+beyond the end of the text. So steps are sampled only as far as the walk is expected to stay within
+the shortest span, and a candidate is verified over all spans around its window.
 
 Before the walk, windows that hold too few word pairs of the items of their length are left out:
-an edit of one word changes at most two pairs, so no window within the distance is lost.
+an edit of one word changes at most two pairs, or one and the last word of the window, so no window
+that starts with a span within the distance is lost.
 """
 
 from __future__ import annotations
@@ -29,9 +34,13 @@ from .hashing import prefix, spans, text_bytes
 
 EDIT_RATE = 0.2  # edits allowed for each word of an item
 MIN_WORDS = 5
-SAMPLED_STEPS = 3
+SAMPLED_STEPS = 2
 TARGET_RECALL = 0.99
 MAX_REPETITIONS = 256
+# Repetitions are set from so many edited copies of items, windows of each, and tried keys.
+COPIES = 24
+WINDOWS = 8
+TRIES = 48
 # Items are used in blocks of about so many characters; each block is one pass over the documents.
 BLOCK_CHARS = 8_000_000
 # Text that a task searches at a time.
@@ -42,7 +51,8 @@ _WORD_BYTE = np.zeros(256, dtype=bool)
 _WORD_BYTE[48:58] = _WORD_BYTE[97:123] = True
 _WORD_BYTE[128:] = True
 _PAIR = np.uint64(0x9FB21C651E98DF25)
-_PAD = np.uint64(0)
+_PAD = np.uint64(0)  # stands behind the last word, of items and texts
+_OUTSIDE = np.uint64(1)  # stands for no word at all
 
 MATCHES_DDL = "doc_id long, item_id long, word_start long, n_words long, distance long"
 
@@ -69,64 +79,91 @@ def word_pairs(words: np.ndarray) -> np.ndarray:
     return mix64(words[:-1] * _PAIR + words[1:])
 
 
-def edit_distance(one: list[int], two: list[int]) -> int:
-    """Levenshtein distance of two word sequences by Myers' bit vectors."""
-    if not one:
-        return len(two)
+def best_span(item: list[int], text: list[int]) -> tuple[int, int, int]:
+    """Least edit distance of ``item`` to any span of ``text``, and the span: start and end.
+
+    Of spans at that distance the first to end counts, and of those the shortest.
+    """
+    scores = _ending_scores(item, text)
+    distance = min(scores)
+    end = scores.index(distance)
+    back = _ending_scores(item[::-1], text[:end][::-1], free=False)
+    return distance, end - back.index(distance), end
+
+
+def _ending_scores(item: list[int], text: list[int], free: bool = True) -> list[int]:
+    """For each end in ``text`` the least distance of ``item`` to a span that ends there, and with
+    ``free`` starts anywhere, else at the beginning. By Myers' bit vectors."""
     at: dict[int, int] = defaultdict(int)
-    for n, word in enumerate(one):
+    for n, word in enumerate(item):
         at[word] |= 1 << n
-    full, last = (1 << len(one)) - 1, 1 << (len(one) - 1)
-    up, down, score = full, 0, len(one)
-    for word in two:
+    full, last = (1 << len(item)) - 1, 1 << (len(item) - 1)
+    up, down, score = full, 0, len(item)
+    scores = [score]
+    for word in text:
         match = at.get(word, 0)
         diagonal = ((((match & up) + up) ^ up) | match | down) & full
         more = (down | ~(diagonal | up)) & full
         less = up & diagonal
         score += bool(more & last) - bool(less & last)
-        more = (more << 1 | 1) & full
+        scores.append(score)
+        more = (more << 1 | (not free)) & full
         less = (less << 1) & full
         up = (less | ~(diagonal | more)) & full
         down = more & diagonal
-    return score
-
-
-def edit_distances(ones: np.ndarray, twos: np.ndarray) -> np.ndarray:
-    """``edit_distance`` of each row of ``ones`` and ``twos``, all rows at once up to 64 words."""
-    count, length = ones.shape
-    if length > 64:
-        rows = zip(ones.tolist(), twos.tolist())
-        return np.array([edit_distance(a, b) for a, b in rows], dtype=np.int64)
+    return scores
+
+
+def best_spans(items: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``best_span`` of each row of ``items`` in the same row of ``texts``, all rows at once for
+    items of up to 64 words."""
+    if items.shape[1] > 64:
+        found = [best_span(a, b) for a, b in zip(items.tolist(), texts.tolist())]
+        return tuple(np.array(found, dtype=np.int64).reshape(-1, 3).T)
+    scores = _all_ending_scores(items, texts, True)
+    end = scores.argmin(axis=1)
+    rows = np.arange(len(items))
+    distance = scores[rows, end]
+    width = texts.shape[1]
+    turned = end[:, None] - 1 - np.arange(width)
+    before = np.where(turned >= 0, texts[rows[:, None], np.maximum(turned, 0)], _OUTSIDE)
+    back = _all_ending_scores(items[:, ::-1], before, False)
+    return distance, end - (back == distance[:, None]).argmax(axis=1), end
+
+
+def _all_ending_scores(items: np.ndarray, texts: np.ndarray, free: bool) -> np.ndarray:
+    """``_ending_scores`` of all rows at once."""
+    count, length = items.shape
     bits = np.uint64(1) << np.arange(length, dtype=np.uint64)
     full = np.bitwise_or.reduce(bits)
-    last = np.uint64(length - 1)
-    one = np.uint64(1)
-    up = np.full(count, full)
-    down = np.zeros(count, dtype=np.uint64)
-    score = np.full(count, length, dtype=np.int64)
-    for step in range(twos.shape[1]):
-        match = np.where(ones == twos[:, step, None], bits, np.uint64(0)).sum(axis=1, dtype=np.uint64)
+    last, one = np.uint64(length - 1), np.uint64(1)
+    up, down = np.full(count, full), np.zeros(count, dtype=np.uint64)
+    scores = np.full((count, texts.shape[1] + 1), length, dtype=np.int64)
+    for step in range(texts.shape[1]):
+        match = np.where(items == texts[:, step, None], bits, np.uint64(0)).sum(axis=1, dtype=np.uint64)
         diagonal = ((((match & up) + up) ^ up) | match | down) & full
         more = (down | ~(diagonal | up)) & full
         less = up & diagonal
-        score += ((more >> last) & one).view(np.int64) - ((less >> last) & one).view(np.int64)
-        more = (more << one | one) & full
+        change = ((more >> last) & one).view(np.int64) - ((less >> last) & one).view(np.int64)
+        scores[:, step + 1] = scores[:, step] + change
+        more = (more << one | np.uint64(not free)) & full
         less = (less << one) & full
         up = (less | ~(diagonal | more)) & full
         down = more & diagonal
-    return score
+    return scores
 
 
 @dataclass
 class Index:
     """Everything a task needs to search one block of items."""
 
-    repetitions: int = 0
+    repetitions: dict[int, int] = field(default_factory=dict)  # for each length; 0: no walk
     lengths: list[int] = field(default_factory=list)
     pair_classes: np.ndarray | None = None  # for each pair hash the lengths that hold it, as bits
     keys: np.ndarray | None = None
     key_items: list[list[int]] = field(default_factory=list)
     items: list[tuple[int, list[int]]] = field(default_factory=list)
+    of_length: dict[int, list[int]] = field(default_factory=dict)
 
 
 def _salts(length: int, repetitions: int) -> np.ndarray:
@@ -135,9 +172,11 @@ def _salts(length: int, repetitions: int) -> np.ndarray:
 
 
 def _steps(length: int, repetition: int) -> np.ndarray:
-    """The sampled steps of a repetition, ascending."""
+    """The sampled steps of a repetition, ascending. A walk advances by a word in two steps, so
+    these are steps on the words that even the shortest span within the distance has."""
     random = np.random.default_rng((length, repetition))
-    return np.sort(random.choice(3 * length, SAMPLED_STEPS, replace=False))
+    reach = 2 * (length - allowed(length))
+    return np.sort(random.choice(reach, SAMPLED_STEPS, replace=False))
 
 
 def walk_keys(windows: np.ndarray, repetitions: int) -> np.ndarray:
@@ -146,6 +185,8 @@ def walk_keys(windows: np.ndarray, repetitions: int) -> np.ndarray:
     All windows walk in all repetitions at once, a step at a time.
     """
     count, length = windows.shape
+    if not repetitions:
+        return np.zeros((count, 0), dtype=np.uint64)
     padded = np.concatenate([windows, np.full((count, 1), _PAD)], axis=1).ravel()
     base = np.arange(count, dtype=np.int64)[None, :] * (length + 1)
     salts = _salts(length, repetitions)
@@ -163,31 +204,72 @@ def walk_keys(windows: np.ndarray, repetitions: int) -> np.ndarray:
     return keys.T
 
 
+def edited_copy(words: list, edits: int, kind: str, random: np.random.Generator, new) -> list:
+    """``words`` with a number of random edits: changed, inserted, deleted or mixed ones."""
+    out = list(words)
+    for _ in range(edits):
+        own = kind if kind != "mixed" else ("changed", "inserted", "deleted")[random.integers(3)]
+        n = int(random.integers(len(out)))
+        if own == "changed":
+            out[n] = new(random)
+        elif own == "inserted":
+            out.insert(n, new(random))
+        elif len(out) > 1:
+            del out[n]
+    return out
+
+
+KINDS = ("changed", "inserted", "deleted", "mixed")
+
+
 def repetitions_for(items: list[np.ndarray]) -> int:
-    """Repetitions that find a window at the largest allowed distance with the target recall,
-    from the rate at which edited copies of the items share a key in one repetition."""
-    random = np.random.default_rng(0)
-    shared = tried = 0
-    for words in items[:: max(1, len(items) // 256)]:
-        edited = list(words)
-        for _ in range(allowed(len(words))):
-            n = int(random.integers(len(edited)))
-            new = np.uint64(random.integers(1, 1 << 62))
-            kind = random.integers(3)
-            if kind == 0:
-                edited[n] = new
-            elif kind == 1:
-                edited.insert(n, new)
-            elif len(edited) > 1:
-                del edited[n]
-        edited = (edited + [_PAD] * len(words))[: len(words)]
-        pair = walk_keys(np.array([words, edited], dtype=np.uint64), 32)
-        shared += int(np.count_nonzero(pair[0] == pair[1]))
-        tried += 32
-    rate = max(shared / max(tried, 1), 1e-3)
-    if rate >= 1:
-        return 1
-    return min(MAX_REPETITIONS, math.ceil(math.log(1 - TARGET_RECALL) / math.log(1 - rate)))
+    """Repetitions that find a span at the largest allowed distance of an item with the target
+    recall, for items of one length; 0 if that takes more than ``MAX_REPETITIONS``.
+
+    They follow from the rate at which edited copies of the items, set in foreign words, are found
+    in one repetition, by any of the windows around the copy that hold enough of the item's pairs;
+    the kind of edit that is found least decides.
+    """
+    length, most = len(items[0]), allowed(len(items[0]))
+    if not most:
+        return 1  # equal windows share every key
+    random = np.random.default_rng(length)
+
+    def new(r: np.random.Generator) -> np.uint64:
+        return np.uint64(r.integers(2, 1 << 62))
+
+    chosen = items[:: -(-len(items) // COPIES)]
+    keys = walk_keys(np.array(chosen, dtype=np.uint64), TRIES)
+    pairs = [np.unique(word_pairs(words)) for words in chosen]
+    missed = []
+    for kind in KINDS:
+        windows, copy_of = [], []
+        for copy in range(COPIES):
+            words = chosen[copy % len(chosen)]
+            span = edited_copy(words.tolist(), most, kind, random, new)
+            foreign = [new(random) for _ in range(most + length + most)]
+            text = np.array([*foreign[:most], *span, *foreign[most:]], dtype=np.uint64)
+            held = np.isin(word_pairs(text), pairs[copy % len(chosen)])
+            held = np.convolve(held, np.ones(length - 1, dtype=np.int64), "valid")
+            near = np.flatnonzero(held[: 2 * most + 1] >= needed_pairs(length))
+            near = near[:: -(-len(near) // WINDOWS)]
+            windows += [text[n : n + length] for n in near.tolist()]
+            copy_of += [copy] * len(near)
+        copy_of = np.array(copy_of)
+        own = keys[copy_of % len(chosen)] == walk_keys(np.array(windows), TRIES)
+        found = np.zeros((COPIES, TRIES), dtype=bool)
+        np.logical_or.at(found, copy_of, own)
+        # Copies differ in how easily they are found: what counts is how many are missed in all.
+        missed.append(1 - np.clip(found.mean(axis=1), 1 / (2 * TRIES), 1 - 1 / (2 * TRIES)))
+    for repetitions in range(1, MAX_REPETITIONS + 1):
+        if all((m**repetitions).mean() <= 1 - TARGET_RECALL for m in missed):
+            return repetitions
+    return 0
+
+
+def needed_pairs(length: int) -> int:
+    """Pairs of an item that a window at the start of a span within the distance has at least."""
+    return max(1, length - 1 - 2 * allowed(length))
 
 
 def build_index(rows: list[tuple[int, str]]) -> Index:
@@ -202,7 +284,6 @@ def build_index(rows: list[tuple[int, str]]) -> Index:
         return index
     index.items = [(item, own.tolist()) for item, own in found]
     index.lengths = sorted({len(own) for _, own in found})
-    index.repetitions = repetitions_for([own for _, own in found])
     index.pair_classes = np.zeros(
         (1 << _TABLE_BITS, -(-len(index.lengths) // 64)), dtype=np.uint64
     )
@@ -213,7 +294,9 @@ def build_index(rows: list[tuple[int, str]]) -> Index:
         index.pair_classes[slots, group] |= np.uint64(1 << bit)
     for length in index.lengths:
         numbers = [n for n, (_, own) in enumerate(found) if len(own) == length]
-        keys = walk_keys(np.array([found[n][1] for n in numbers]), index.repetitions)
+        index.of_length[length] = numbers
+        index.repetitions[length] = repetitions_for([found[n][1] for n in numbers])
+        keys = walk_keys(np.array([found[n][1] for n in numbers]), index.repetitions[length])
         for number, own_keys in zip(numbers, keys.tolist()):
             for key in own_keys:
                 buckets[key].add(number)
@@ -225,7 +308,8 @@ def build_index(rows: list[tuple[int, str]]) -> Index:
 def _likely_windows(
     words: np.ndarray, borders: np.ndarray, index: Index
 ) -> Iterator[tuple[int, np.ndarray]]:
-    """For each item length the starts of windows that hold enough pairs of items of that length."""
+    """For each item length the starts of windows that hold enough pairs of items of that length.
+    Windows may reach beyond the end of their text by the allowed edits."""
     classes = index.pair_classes[word_pairs(words) >> np.uint64(64 - _TABLE_BITS)]
     inner = borders[(borders > 0) & (borders < len(words))]
     classes[inner - 1] = 0  # pairs across two texts
@@ -235,7 +319,7 @@ def _likely_windows(
             present = np.flatnonzero(classes[:, group])
             held = classes[present, group]
         hits = present[(held & np.uint64(1 << bit)) != 0]
-        need = max(1, length - 1 - 2 * allowed(length))
+        need = needed_pairs(length)
         if len(hits) < need:
             continue
         first, last = hits[: len(hits) - need + 1], hits[need - 1 :]
@@ -246,7 +330,8 @@ def _likely_windows(
         np.add.at(change, first[near] + 1, -1)
         starts = np.flatnonzero(np.cumsum(change[: len(words)]) > 0)
         text = np.searchsorted(borders, starts, side="right")
-        starts = starts[starts + length <= borders[np.minimum(text, len(borders) - 1)]]
+        end = borders[np.minimum(text, len(borders) - 1)]
+        starts = starts[starts + length - allowed(length) <= end]
         if len(starts):
             yield length, starts
 
@@ -264,63 +349,81 @@ class Search:
         self.index = index
         self.texts = 0
         self.held: dict[int, list[tuple[np.ndarray, ...]]] = defaultdict(list)
-        self.found: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
+        self.found: dict[tuple[int, int], set[tuple[int, int, int]]] = defaultdict(set)
 
     def add(self, words: np.ndarray, borders: np.ndarray) -> None:
         """The next texts, as ``word_ids`` gives them."""
-        if self.index.items and len(words) >= MIN_WORDS:
+        if self.index.items and len(words) > 1:
             for length, starts in _likely_windows(words, borders, self.index):
                 text = np.searchsorted(borders, starts, side="right") - 1
                 for begin in range(0, len(starts), self.HELD):
                     own = slice(begin, begin + self.HELD)
-                    windows = words[starts[own, None] + np.arange(length)]
+                    around = _around(words, borders, starts[own], text[own], length)
                     place = starts[own] - borders[text[own]]
-                    self.held[length].append((text[own] + self.texts, place, windows))
+                    self.held[length].append((text[own] + self.texts, place, around))
                     if sum(len(h[0]) for h in self.held[length]) >= self.HELD:
                         self._walk(length)
         self.texts += len(borders) - 1
 
     def _walk(self, length: int) -> None:
-        texts, places, windows = map(np.concatenate, zip(*self.held.pop(length)))
-        index = self.index
-        keys = walk_keys(windows, index.repetitions)
-        at = np.minimum(np.searchsorted(index.keys, keys), len(index.keys) - 1)
-        row, repetition = np.nonzero(index.keys[at] == keys)
-        pairs = {
-            (r, number)
-            for r, k in zip(row.tolist(), at[row, repetition].tolist())
-            for number in index.key_items[k]
-        }
-        if not pairs:
-            return
-        rows, numbers = map(list, zip(*sorted(pairs)))
-        items = np.array([index.items[n][1] for n in numbers], dtype=np.uint64)
-        distances = edit_distances(items, windows[rows])
-        for n in np.flatnonzero(distances <= allowed(length)).tolist():
-            text, place = int(texts[rows[n]]), int(places[rows[n]])
-            self.found[text, numbers[n]].append((int(distances[n]), place))
+        texts, places, around = map(np.concatenate, zip(*self.held.pop(length)))
+        index, most = self.index, allowed(length)
+        windows = np.where(around == _OUTSIDE, _PAD, around)[:, most : most + length]
+        if index.repetitions[length]:
+            keys = walk_keys(windows, index.repetitions[length])
+            at = np.minimum(np.searchsorted(index.keys, keys), len(index.keys) - 1)
+            row, repetition = np.nonzero(index.keys[at] == keys)
+            pairs = {
+                (r, number)
+                for r, k in zip(row.tolist(), at[row, repetition].tolist())
+                for number in index.key_items[k]
+                if len(index.items[number][1]) == length
+            }
+        else:  # keys would miss too much: every likely window is verified
+            pairs = {(r, n) for r in range(len(windows)) for n in index.of_length[length]}
+        pairs = sorted(pairs)
+        for begin in range(0, len(pairs), self.HELD):
+            rows, numbers = map(list, zip(*pairs[begin : begin + self.HELD]))
+            items = np.array([index.items[n][1] for n in numbers], dtype=np.uint64)
+            distance, start, end = best_spans(items, around[rows])
+            for n in np.flatnonzero(distance <= most).tolist():
+                place = int(places[rows[n]]) - most + int(start[n])
+                span = (int(distance[n]), place, int(end[n] - start[n]))
+                self.found[int(texts[rows[n]]), numbers[n]].add(span)
 
     def matches(self) -> list[tuple]:
         """(text number, item, start word in the text, words, distance) of every match so far.
 
-        Of overlapping windows of one text that match one item, the nearest counts, then the first.
+        Of spans of one text that match one item and start less than its length apart, the nearest
+        counts, then the first.
         """
         for length in list(self.held):
             self._walk(length)
         matches = []
-        for (text, number), windows in self.found.items():
+        for (text, number), spans_found in self.found.items():
             item, own = self.index.items[number]
             length = len(own)
             taken: dict[int, int] = {}  # by start // length, of which each holds one at most
-            for distance, start in sorted(windows):
+            for distance, start, width in sorted(spans_found):
                 block = start // length
                 near = (taken.get(b) for b in (block - 1, block, block + 1))
                 if all(t is None or abs(start - t) >= length for t in near):
                     taken[block] = start
-                    matches.append((text, item, start, length, distance))
+                    matches.append((text, item, start, width, distance))
         return sorted(matches, key=lambda m: (m[0], m[1] is None, m[1] or 0, *m[2:]))
 
 
+def _around(
+    words: np.ndarray, borders: np.ndarray, starts: np.ndarray, text: np.ndarray, length: int
+) -> np.ndarray:
+    """The words of windows, with the allowed number of words before and behind; ``_OUTSIDE`` where
+    the text has none."""
+    most = allowed(length)
+    at = starts[:, None] + np.arange(-most, length + most)
+    inside = (at >= borders[text][:, None]) & (at < borders[text + 1][:, None])
+    return np.where(inside, words[np.clip(at, 0, len(words) - 1)], _OUTSIDE)
+
+
 def search(texts: pa.RecordBatch, column: int, index: Index) -> list[tuple]:
     """The matches of a batch; the text number is that of its row."""
     found = Search(index)
@@ -340,10 +443,10 @@ def contaminated(
     """One row per place where a document holds a benchmark item: doc_id, item_id, word_start,
     n_words, distance.
 
-    A place is a window of as many words as the item with a word edit distance of at most
-    ``EDIT_RATE`` of them; case, punctuation and spacing do not count. A window at exactly the
-    largest distance is a candidate with probability ``TARGET_RECALL`` or more, nearer ones with
-    more; what is returned is verified exactly.
+    A place is a span of words, of any length, with a word edit distance of at most ``EDIT_RATE`` of
+    the item's words; case, punctuation and spacing do not count. A span at exactly the largest
+    distance is found with probability ``TARGET_RECALL`` or more, nearer ones with more; what is
+    returned is verified exactly.
 
     The items are used in blocks of bounded size that go to every task; the documents are read
     once per block and never shuffled. Null and empty texts hold nothing; items that are null or
