@@ -53,14 +53,15 @@ def _byte_alphabet() -> dict[str, int]:
 
 @cache
 def encoder(path: str) -> tiktoken.Encoding:
-    """A byte-level BPE vocabulary file as an encoder; special strings are ordinary text.
+    """A byte-level BPE vocabulary file as an encoder. The strings of its added tokens are these
+    tokens, wherever they stand in a text.
 
-    Ids equal those of the ``tokenizers`` library for the same file (tested); this form of it
-    encodes four times as fast.
+    Ids equal those of the ``tokenizers`` library with its defaults for the same file (tested); this
+    form of it encodes four times as fast.
     """
     with open(path, encoding="utf-8") as source:
         spec = json.load(source)
-    special = {t["content"] for t in spec["added_tokens"]}
+    special = {t["content"]: t["id"] for t in spec["added_tokens"]}
     alphabet = _byte_alphabet()
     ranks = {
         bytes(alphabet[c] for c in token): rank
@@ -68,7 +69,7 @@ def encoder(path: str) -> tiktoken.Encoding:
         if token not in special
     }
     return tiktoken.Encoding(
-        path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+        path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special
     )
 
 
@@ -223,7 +224,7 @@ def pack(
 
         for batch in batches:
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = encode(text.as_py() or "", disallowed_special=()).astype("<u4", copy=False)
+                ids = encode(text.as_py() or "", allowed_special="all").astype("<u4", copy=False)
                 packer.add(doc, np.append(ids, np.uint32(end_id)))
                 yield from rows(ROWS_PER_BATCH)
         packer.merge(last=True)

@@ -360,8 +360,11 @@ def _window_repeats(
 
 
 def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id (unique, ascending with the document's id), doc_id and text. Equal rows become one; rows
-    that share an id follow each other by a hash of the text; null ids come last."""
+    """id (unique), doc_id and text: the smaller id is the earlier document. Equal rows become one;
+    rows that share an id follow each other by a hash of the text; null ids come last.
+
+    Unless ids repeat or are missing, a document's id is its own; else all documents are ranked.
+    """
     docs = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
@@ -370,11 +373,7 @@ def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     if odd.isEmpty():
         return docs.withColumn("id", F.col("doc_id"))
     keyed = docs.withColumn("hash", F.xxhash64("text"))
-    order = Window.partitionBy("doc_id").orderBy("hash")
-    places = keyed.select("doc_id", "hash").distinct().withColumn("place", F.row_number().over(order))
-    span = places.agg(F.max("place"), F.coalesce(F.max("doc_id"), F.lit(0))).first()
-    base = F.coalesce("places.doc_id", F.lit(span[1] + 1)) * span[0] + F.col("place")
-    places = places.alias("places").select("doc_id", "hash", base.alias("id"))
+    places = stored(_ranked(keyed.select("doc_id", "hash").distinct()), "places")
     both = keyed.alias("a").join(
         places.alias("b"),
         F.expr("a.doc_id <=> b.doc_id and a.hash = b.hash"),
@@ -382,6 +381,22 @@ def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return stored(both.select("a.doc_id", "a.text", "b.id").distinct(), "numbered")
 
 
+def _ranked(rows: DataFrame) -> DataFrame:
+    """doc_id, hash and id: the rank by doc_id (nulls last) and hash. Rows are sorted in parts of
+    the range, each ranked on its own; the sizes of the parts before are added."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = (F.col("doc_id").isNull(), F.col("doc_id"), F.col("hash"))
+    split = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    # Part number in the high bits, place in the part in the low ones.
+    marked = stored(split.withColumn("mark", F.monotonically_increasing_id()), "marks")
+    part, low = F.shiftright("mark", 33), F.col("mark").bitwiseAND((1 << 33) - 1)
+    sizes = marked.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    placed = marked.withColumn("part", part).join(F.broadcast(starts), "part")
+    return placed.select("doc_id", "hash", (F.col("start") + low).alias("id"))
+
+
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, spans (array of start and end) and kept (binary) of each document.
 

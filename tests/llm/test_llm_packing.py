@@ -14,9 +14,7 @@ from sensorloom.llm.queries import QUERIES
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    made = Tokenizer.from_file(public_tokenizers.path(VOCABULARY))
-    made.encode_special_tokens = True
-    return made
+    return Tokenizer.from_file(public_tokenizers.path(VOCABULARY))
 
 
 def check_pieces(rows, documents, capacity=1024):
@@ -81,10 +79,21 @@ def test_placement_minimises_the_sum_of_squares():
 @given(st.text(max_size=80))
 def test_ids_equal_the_tokenizers_library(tokenizer, text):
     text = text.encode("utf-8", "ignore").decode()
-    ours = encoder(public_tokenizers.path(VOCABULARY)).encode_ordinary(text)
+    ours = encoder(public_tokenizers.path(VOCABULARY)).encode(text, allowed_special="all")
     assert ours == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize(
+    "text", ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>y", "<|endoftext", "<| endoftext|>"]
+)
+def test_special_strings_are_their_tokens(documents, tokenizer, text):
+    want = tokenizer.encode(text, add_special_tokens=False).ids
+    assert encoder(public_tokenizers.path(VOCABULARY)).encode(text, allowed_special="all") == want
+    assert (50256 in want) == ("<|endoftext|>" in text)
+    pieces = sorted(pack(documents([(1, text)])).collect(), key=lambda p: p.start)
+    assert np.frombuffer(b"".join(p.ids for p in pieces), dtype="<u4").tolist() == [*want, 0]
+
+
 def test_query(spark, sf, tokenizer):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     rows = QUERIES["op1_pack"](spark, sf).collect()

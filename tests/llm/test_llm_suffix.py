@@ -121,3 +121,13 @@ def test_odd_rows(odd, empty):
     first = next(r for r in by_id[1] if r.n_bytes == len(plain))
     assert bytes(first.kept) == brute_force([(1, plain)])[1][2]
     assert S.without_repeats(empty).count() == 0
+
+
+def test_large_ids_that_repeat(documents):
+    """Ids at both ends of their range, one of them twice, and one missing."""
+    text = "some passage of text that several of the documents hold, and that is long enough " * 2
+    ids = [2**63 - 1, -(2**63), 2**63 - 1, None, 7]
+    rows = [(i, f"{n} {text}") for n, i in enumerate(ids)]
+    found = S.without_repeats(documents(rows)).collect()
+    whole = {r.doc_id for r in found if not r.spans}
+    assert len(found) == 5 and whole == {-(2**63)}  # the least id has it first
