@@ -1,8 +1,10 @@
 """Class-based bigram language model with classes from exchange clustering.
 
-The most frequent words are clustered so that class bigrams tell most about each other; a text's
-probability is the product of class transitions and of word emissions. All other words, seen or
-not, are in classes by their shape, whose emissions are smoothed so that a new word has a share.
+The most frequent words are clustered by exchange so that class bigrams tell most about each other.
+Every further known word goes to the class that its neighbours in all of the corpus make likeliest:
+their classes are counted by a shuffle, and words are assigned in Spark tasks. A text's probability
+is the product of class transitions and of word emissions. New words, and words beyond the known
+ones, are in classes by their shape; words that were seen once tell where new words stand.
 
 Words are known by 64-bit hashes of their lower-cased bytes.
 """
@@ -18,11 +20,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, stored
+from .common import slices, stored, whole_groups
 from .hashing import text_bytes, word_hashes
 
-# Bounds on the model that goes to every task: words that are clustered, words whose counts are
-# sent along (rarer words are looked up by a join), and classes.
+# Bounds on the model that goes to every task: words that start the clustering, words whose classes
+# and counts are sent along (counts of rarer words are looked up by a join), and classes.
 CLUSTERED = 1024
 KNOWN = 1 << 18
 CLASSES = 64
@@ -54,7 +56,7 @@ class Model:
     vocabulary: int
     known: np.ndarray  # hashes, ascending
     known_counts: np.ndarray
-    known_classes: np.ndarray  # class of each known word; a shape class for words not clustered
+    known_classes: np.ndarray  # class of each known word
     emission: np.ndarray  # log10 probability in its class of each known word
     transition: np.ndarray  # log10, over the classes, the shapes and the border of texts
     new_word: np.ndarray  # log10 probability of each word never seen, by shape
@@ -219,13 +221,83 @@ def exchange(bigrams: np.ndarray, size: int, classes: int = CLASSES) -> np.ndarr
     return owner[:size]
 
 
+def transitions(table: np.ndarray) -> np.ndarray:
+    """Probabilities of the next class. Witten-Bell: as much goes to the unigram of classes as a
+    class had different followers."""
+    totals = table.sum(axis=0)
+    overall = (totals + 1) / (totals.sum() + len(totals))
+    seen, kinds = table.sum(axis=1, keepdims=True), (table > 0).sum(axis=1, keepdims=True)
+    return np.where(
+        seen + kinds > 0, (table + kinds * overall) / np.maximum(seen + kinds, 1), overall
+    )
+
+
+def class_gains(table: np.ndarray, classes: int) -> np.ndarray:
+    """What each occurrence adds to the log likelihood of a word's being in each of the classes:
+    rows are the symbols that follow the word, then those before it."""
+    next_class = np.log(transitions(table))
+    totals = np.maximum(table.sum(axis=0)[:classes], 1)
+    return np.concatenate([next_class[:classes].T, next_class[:, :classes] - np.log(totals)])
+
+
+def assign_classes(
+    docs: DataFrame, known: np.ndarray, number: np.ndarray, free: np.ndarray, gains: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Places in ``known`` of the ``free`` words, and the likeliest class of each, from the symbols
+    on both sides of all its occurrences in ``docs``; ``number`` is the symbol of each known word.
+    Ties go to the first class."""
+    width, classes = gains.shape[0] // 2, gains.shape[1]
+    border, shaped = width - 1, width - 1 - SHAPES
+    shared = docs.sparkSession.sparkContext.broadcast((known, number, free))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells, counts = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        words, numbers, wanted = shared.value
+        for batch in batches:
+            for part in slices(batch, limit=SLICE_BYTES):
+                hashes, shapes, first = read_words(part.column(1))
+                own, place = _lookup(hashes, words, numbers, shaped + shapes)
+                symbols = _with_borders(own, first, border)
+                places = _with_borders(place, first, -1)
+                at = np.flatnonzero(places >= 0)
+                at = at[wanted[places[at]]]
+                after = symbols[np.minimum(at + 1, len(symbols) - 1)]
+                before = np.where(at > 0, symbols[at - 1], border)
+                base = places[at] * (2 * width)
+                cells = np.concatenate([cells, base + after, base + width + before])
+                counts = np.concatenate([counts, np.ones(2 * len(at), dtype=np.int64)])
+                cells, back = np.unique(cells, return_inverse=True)
+                counts = np.bincount(back, counts, len(cells)).astype(np.int64)
+                if len(cells) > HELD_WORDS:
+                    yield _batch(place=cells // (2 * width), cell=cells % (2 * width), n=counts)
+                    cells, counts = cells[:0], counts[:0]
+        yield _batch(place=cells // (2 * width), cell=cells % (2 * width), n=counts)
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in whole_groups(batches):
+            place, cell, n = (batch.column(c).to_numpy() for c in range(3))
+            starts = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+            sums = [
+                np.add.reduceat(gains[cell, k] * n, starts) for k in range(classes)
+            ]
+            best = np.argmax(np.array(sums), axis=0)
+            yield _batch(place=place[starts], owner=best.astype(np.int64))
+
+    # A word's rows meet in one task: two symbols for each class and read slice at most.
+    rows = docs.mapInArrow(read, "place long, cell long, n long").repartition("place")
+    rows = rows.groupBy("place", "cell").agg(F.sum("n").alias("n"))
+    chosen = rows.sortWithinPartitions("place", "cell").mapInArrow(choose, "place long, owner long")
+    found = chosen.toArrow()  # at most one row for each known word
+    return found["place"].to_numpy(), found["owner"].to_numpy()
+
+
 def fit(docs: DataFrame, counts: DataFrame | None = None) -> Model:
     """Learns from all texts (column 1) of ``docs``. Counts cover every word; the model itself is
-    bounded by ``KNOWN``, ``CLUSTERED`` and ``CLASSES``."""
+    bounded by ``KNOWN`` and ``CLASSES``, and the exchange in the driver by ``CLUSTERED``."""
     counts = stored(count_words(docs), "word_counts") if counts is None else counts
     texts = docs.count()
     by_shape = {r["shape"]: r for r in counts.groupBy("shape").agg(
-        F.sum("n").alias("n"), F.count("*").alias("words")
+        F.sum("n").alias("n"), F.count("*").alias("words"), F.count_if(F.col("n") == 1).alias("once")
     ).collect()}
     tokens = sum(r.n for r in by_shape.values()) + texts
     vocabulary = sum(r.words for r in by_shape.values()) + (texts > 0)
@@ -241,26 +313,36 @@ def fit(docs: DataFrame, counts: DataFrame | None = None) -> Model:
     member = np.eye(classes + SHAPES + 1)[
         np.concatenate([owner, np.arange(classes, classes + SHAPES + 1)]).astype(int)
     ]
-    table = member.T @ bigrams @ member
+    seeds = member.T @ bigrams @ member
+    known_classes = np.concatenate([owner, classes + shapes[size:]]).astype(np.int64)[order]
+    table = seeds
+    if len(known) > size:
+        free = (np.arange(len(known)) >= size)[order]
+        place, chosen = assign_classes(
+            docs, known[order], known_classes, free, class_gains(seeds, classes)
+        )
+        known_classes[place] = chosen
+        table = class_bigrams(docs, known[order], known_classes, classes).astype(float)
+    # Where words of a shape that are no seeds stand, new ones are expected: as often as words of
+    # that shape were seen once.
+    ones = np.array([by_shape[s].once if s in by_shape else 0 for s in range(SHAPES)])
+    shaped = slice(classes, classes + SHAPES)
+    share = ones / np.maximum(seeds[shaped].sum(axis=1), 1)
+    new = np.zeros_like(seeds, dtype=float)
+    new[shaped] = seeds[shaped] * share[:, None]
+    new[:classes, shaped] = seeds[:classes, shaped] * share
+    new[-1, shaped] = seeds[-1, shaped] * share
+    seen = table.sum(axis=0)
+    table = table + (new if len(known) > size else 0)
     totals = table.sum(axis=0)
-    # A shape class holds its words that are not clustered, each once more than seen, and a new one.
-    clustered_shapes = np.bincount(shapes[:size], minlength=SHAPES)
+    # A shape class holds its words that are not known, each once more than seen, and a new one.
+    known_shapes = np.bincount(shapes, minlength=SHAPES)
     shape_words = np.array([by_shape[s].words if s in by_shape else 0 for s in range(SHAPES)])
-    new_word = -np.log10(totals[classes:-1] + shape_words - clustered_shapes + 1)
-    known_classes = np.concatenate([owner, classes + shapes[size:]]).astype(np.int64)
-    emission = np.concatenate([
-        np.log10(known_counts[:size] / totals[owner]),
-        np.log10(known_counts[size:] + 1) + new_word[shapes[size:]],
-    ])
-    # Witten-Bell: as much goes to the unigram of classes as a class had different followers.
-    overall = (totals + 1) / (totals.sum() + len(totals))
-    seen, kinds = table.sum(axis=1, keepdims=True), (table > 0).sum(axis=1, keepdims=True)
-    transition = np.where(
-        seen + kinds > 0, (table + kinds * overall) / np.maximum(seen + kinds, 1), overall
-    )
+    new_word = -np.log10(totals[classes:-1] + shape_words - known_shapes + 1)
+    emission = np.log10(known_counts[order] / np.maximum(seen[known_classes], 1))
     return Model(
-        tokens, texts, vocabulary, known[order], known_counts[order], known_classes[order],
-        emission[order], np.log10(transition), new_word,
+        tokens, texts, vocabulary, known[order], known_counts[order], known_classes, emission,
+        np.log10(transitions(table)), new_word,
     )
 
 

@@ -54,6 +54,25 @@ def slices(batch: pa.RecordBatch, column: int = 1, limit: int = 1 << 20) -> Iter
         yield batch.slice(start)
 
 
+def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by the first column, cut so that no group of equal values is divided."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = batch.column(0).to_numpy()
+        if held and held[-1].column(0)[0].as_py() == int(keys[-1]):
+            held.append(batch)  # still the group that is held
+            continue
+        cut = int(np.searchsorted(keys, keys[-1]))
+        if held or cut:
+            parts = [*held, batch.slice(0, cut)] if cut else held
+            yield pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+        held = [batch.slice(cut)]
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def words(text: str) -> list[str]:
     """Words ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased."""
     return [w for w in _split(text.translate(ASCII_LOWER)) if w]

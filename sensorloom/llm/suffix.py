@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import mix64, slices, stored
+from .common import mix64, slices, stored, whole_groups
 from .hashing import prefix, rolling, spans, text_bytes
 
 LENGTH = 100
@@ -212,29 +212,10 @@ def _batch(ddl: str, *columns: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
 
-def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by the first column, cut so that no group of equal values is divided."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        keys = batch.column(0).to_numpy()
-        if held and held[-1].column(0)[0].as_py() == int(keys[-1]):
-            held.append(batch)  # still the group that is held
-            continue
-        cut = int(np.searchsorted(keys, keys[-1]))
-        if held or cut:
-            parts = [*held, batch.slice(0, cut)] if cut else held
-            yield pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
-        held = [batch.slice(cut)]
-    if held:
-        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-
-
 def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by anchor, stretch, id and place: spans that repeat, with -1 for the anchor
     position; and the earliest of each stretch whose anchor other stretches have."""
-    for batch in _whole_groups(batches):
+    for batch in whole_groups(batches):
         anchor, stretch, ids, place = (batch.column(n).to_numpy() for n in range(4))
         ready = place < 0
         span_ids, span_starts, span_ends = ids[ready], -place[ready] - 1, stretch[ready]
@@ -304,7 +285,7 @@ def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sort_suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Spans that repeat, of rows (key, id, start, end, bytes) sorted by key."""
-    for batch in _whole_groups(batches):
+    for batch in whole_groups(batches):
         known = batch.filter(batch.column(4).is_null())
         if known.num_rows:
             yield _batch(_SPANS_DDL, *merged(*(known.column(n).to_numpy() for n in (1, 2, 3))))

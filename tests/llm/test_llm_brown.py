@@ -82,9 +82,82 @@ def test_probabilities_sum_to_one(spark, sf):
     sums = np.bincount(model.known_classes, emitted, len(model.transition))
     clustered = sums[: model.rest]
     assert np.allclose(clustered[clustered > 0], 1)
-    # All words are known here, so a shape class lacks only its share for a new word.
-    for shape in range(B.SHAPES):
-        assert math.isclose(sums[model.rest + shape] + 10 ** model.new_word[shape], 1, rel_tol=1e-9)
+    # Every word that was counted has a class from the clustering; shapes are for new words.
+    assert len(model.known) == counts.count() and (model.known_classes < model.rest).all()
+    assert (sums[model.rest :] == 0).all() and (10**model.new_word <= 1).all()
+
+
+def sentences(spark, sf):
+    rows = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
+    return {r.doc_id: words(r.text or "") for r in rows}
+
+
+def test_words_go_where_their_neighbours_make_them_likeliest(spark, sf):
+    """The assignment against its definition, summed over all occurrences one by one."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    texts = list(sentences(spark, sf).values())
+    counted = Counter(w for own in texts for w in own)
+    known = sorted(counted, key=lambda w: (-counted[w], w))
+    hashes = {w: int(B.read_words(pa.array([w]))[0][0]) for w in known}
+    shapes = {w: int(B.read_words(pa.array([w]))[1][0]) for w in known}
+    seeds = {w: n % 4 for n, w in enumerate(known[:40])}
+    symbol = {w: seeds.get(w, 4 + shapes[w]) for w in known}
+    border, width = 4 + B.SHAPES, 5 + B.SHAPES
+    random = np.random.default_rng(0)
+    gains = random.normal(size=(2 * width, 4))
+    sums = {w: np.zeros(4) for w in known[40:]}
+    for own in texts:
+        around = [border, *(symbol[w] for w in own), border]
+        for n, w in enumerate(own):
+            if w in sums:
+                sums[w] += gains[around[n + 2]] + gains[width + around[n]]
+    order = sorted(known, key=hashes.get)
+    place, owner = B.assign_classes(
+        docs,
+        np.array([hashes[w] for w in order], dtype=np.uint64),
+        np.array([symbol[w] for w in order]),
+        np.array([w not in seeds for w in order]),
+        gains,
+    )
+    got = {order[p]: k for p, k in zip(place.tolist(), owner.tolist())}
+    assert set(got) == set(sums)
+    assert all(sums[w][k] >= sums[w].max() - 1e-6 for w, k in got.items())
+
+
+def test_scores_from_texts_and_classes_alone(spark, sf):
+    """Transitions, emissions and all scores counted again in plain Python."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    counts = B.count_words(docs)
+    model = B.fit(docs, counts)
+    texts = sentences(spark, sf)
+    counted = Counter(w for own in texts.values() for w in own)
+    place = {int(h): n for n, h in enumerate(model.known.tolist())}
+    class_of = {
+        w: int(model.known_classes[place[int(B.read_words(pa.array([w]))[0][0])]]) for w in counted
+    }
+    follows = Counter()
+    for own in texts.values():
+        states = [model.border, *(class_of[w] for w in own), model.border]
+        follows.update(zip(states, states[1:]))
+    members = Counter()
+    for w, n in counted.items():
+        members[class_of[w]] += n
+    # Without the share of new words, which every row gives away in the same way.
+    table = np.zeros((model.border + 1,) * 2)
+    for (a, b), n in follows.items():
+        table[a, b] = n
+    rows = B.score(docs.selectExpr("*", "false as held_out"), model, counts).collect()
+    for r in rows:
+        states = [model.border, *(class_of[w] for w in texts[r.doc_id]), model.border]
+        value = sum(model.transition[a, b] for a, b in zip(states, states[1:]))
+        value += sum(math.log10(counted[w] / members[class_of[w]]) for w in texts[r.doc_id])
+        assert math.isclose(r.score, value, rel_tol=1e-9)
+    # Transitions keep to what was counted: of frequent pairs, the more frequent is likelier.
+    for a in range(model.rest):
+        kept = [b for b in range(model.rest) if table[a, b] >= 50]
+        by_count = sorted(kept, key=lambda b: table[a, b])
+        values = [model.transition[a, b] for b in by_count]
+        assert all(x <= y + 0.05 for x, y in zip(values, values[1:]))
 
 
 def test_score_of_a_text_by_hand(documents):
