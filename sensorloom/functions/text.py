@@ -1,4 +1,4 @@
-"""Notification texts."""
+"""Notification texts. The literal texts of this module are fixed values: messages carry them exactly."""
 
 from __future__ import annotations
 
