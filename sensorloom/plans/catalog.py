@@ -871,6 +871,30 @@ def _stream_cooldown_alerts(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+@query("stream_cooldown_seeded")
+def _stream_cooldown_seeded(spark, sf_dir):
+    """As ``cooldown_seeded``, the rest as a stream that starts from the stored alerts.
+
+    The stream comes in four parts of some days, and keys give up their state between alerts.
+    """
+    source, stored = work_dir(spark, "candidates"), work_dir(spark, "alerts")
+    candidates = _candidates(spark, sf_dir)
+    borders = [F.lit(f"2024-01-{day}").cast("timestamp") for day in (11, 16, 21, 26)]
+    time = F.col("event_time")
+    cooldown(candidates.where(time < borders[0]), minutes=90).write.parquet(stored)
+    for start, end in zip(borders, [*borders[1:], None]):
+        part = (time >= start) if end is None else (time >= start) & (time < end)
+        candidates.where(part).coalesce(1).write.mode("append").parquet(source)
+    stream = (
+        spark.readStream.schema(candidates.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    )
+    seed = latest_alerts(spark.read.schema(candidates.schema).parquet(stored))
+    out = work_dir(spark, "kept")
+    kept = stream_cooldown(stream, minutes=90, seed=seed, delay="1 hour")
+    _run_once(kept, out, work_dir(spark, "checkpoint"))
+    return spark.read.parquet(out)
+
+
 @query("stream_cooldown_batches")
 def _stream_cooldown_batches(spark, sf_dir):
     """Two micro-batches through the batch operator, the second seeded by the first."""

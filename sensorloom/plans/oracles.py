@@ -766,3 +766,5 @@ from kept""",
     ),
 }
 ORACLES["daily_summary_incremental"] = ORACLES["daily_summary"]
+# The same alerts, in one piece or as a stream that the early ones seed.
+ORACLES["stream_cooldown_seeded"] = ORACLES["cooldown_seeded"]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sensorloom.operators import cooldown as cd
 from sensorloom.operators.cooldown import NEVER, block_steps, cooldown, join_steps, keep_from
+from sensorloom.streaming.cooldown import stream_cooldown
 
 SCHEMA = "event_id bigint, location string, alert_type string, event_time timestamp, value double"
 
@@ -176,3 +177,35 @@ def test_step_tables_travel_in_bounded_rows(monkeypatch):
     assert rows.num_rows == 5 and max(len(r) for r in rows.column("_upto").to_pylist()) == 7
     [(id_, one, two)] = list(cd._step_tables(rows))
     assert id_ == 5 and np.array_equal(one, upto) and np.array_equal(two, last)
+
+
+def test_stream_state_is_seeded_and_given_up(spark, tmp_path):
+    schema = "location string, alert_type string, event_id bigint, event_time timestamp"
+
+    def rows(*times):
+        found = [(place, "HEAT", n, f"2024-01-01 {t}") for n, (place, t) in enumerate(times)]
+        texts = schema.replace("timestamp", "string")
+        return spark.createDataFrame(found, texts).withColumn("event_time", F.to_timestamp("event_time"))
+
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    seed = rows(("a", "00:00:00"), ("a", "00:10:00"), ("b", "00:00:00"))
+    parts = [
+        rows(("a", "00:35:00"), ("a", "00:40:00"), ("b", "00:29:59"), ("c", "00:30:00")),
+        rows(("d", "03:00:00")),
+        rows(("a", "03:00:01"), ("d", "03:10:00"), ("c", "00:31:00")),  # the last one is late
+    ]
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+    query = (
+        stream_cooldown(stream, seed=seed, delay="5 minutes")
+        .writeStream.option("checkpointLocation", str(tmp_path / "cp"))
+        .trigger(availableNow=True)
+        .start(out, format="parquet")
+    )
+    query.awaitTermination()
+    kept = {(r.location, str(r.event_time)[11:]) for r in spark.read.parquet(out).collect()}
+    assert kept == {("a", "00:40:00"), ("c", "00:30:00"), ("d", "03:00:00"), ("a", "03:00:01")}
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress]
+    # a, b and c are given up when the watermark reaches 02:55
+    assert max(held) > held[-1] > 0
