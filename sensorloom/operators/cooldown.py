@@ -8,65 +8,47 @@ key cannot be worked off in one task either. The chain is therefore cut into tim
 1. Of the alerts of one key at one instant only the first can be kept. An aggregation over
    (key, instant), combined before its shuffle, spreads a hot key over all tasks and leaves at
    most one row per instant.
-2. Each (key, block of some spans) is summed up on its own as a step table: for every instant at
-   which the key may become ready inside the block, the last alert kept in the block. Equal
-   neighbours are merged.
-3. The step tables of neighbouring blocks are joined to one table per unit, by feeding the outcome
-   of one block into the next; units are joined to larger units until few are left per key.
-4. The largest units are replayed per key, then each unit's parts, down to the blocks, which gives
-   the state at the start of every block; only step tables are involved.
-5. Each (key, block) then keeps its alerts on its own, from its known start.
-
-How many spans make a block and how many parts a unit follows from the resolution of the times, so
-that no task holds more than a fixed number of instants or steps, whatever the key's share of the
-rows. Step tables travel in rows of bounded size.
+2. The instants are counted per key and stretch of about six days. A stretch is a block and sixteen
+   of them are a unit, unless one of the sixteen has more instants than a block may hold. Then the
+   instants of all sixteen are counted in cells of about half a second, which hold a bounded number
+   of them at any density, and are cut between cells into blocks and units of about equal counts. A
+   key may be sparse for days and dense for a minute.
+3. Each (key, block) is summed up on its own as a step table: for every instant at which the key
+   may become ready inside the block, the last alert kept in the block. Equal neighbours are merged.
+4. The step tables of the blocks of a unit are joined to one, by feeding the outcome of one block
+   into the next.
+5. The units of a key are replayed in order, one row of steps at a time, then each unit's blocks,
+   which gives the state at the start of every block; only step tables are involved.
+6. Each (key, block) then keeps its alerts on its own, from its known start.
+
+No task holds more than a fixed number of instants or steps, whatever the key's share of the rows and
+wherever they lie. Counts come from the rows themselves, so blocks are the same when a task runs again.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from collections.abc import Iterable, Iterator, Sequence
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SPANS_PER_BLOCK = 256
-PARTS_PER_UNIT = 128
-# Instants that a block may hold, and steps that a unit may, at the stated resolution.
+# Instants after which a block is closed; it holds at most one cell more.
 BLOCK_INSTANTS = 1 << 19
-UNIT_STEPS = 1 << 23
-STEPS_PER_ROW = 1 << 16
-# The time that units are laid out for: longer tables only make the last replay longer.
-HORIZON_MICROS = 20 * 366 * 86_400_000_000
+# Blocks of a unit.
+UNIT_BITS = 4
+# Microseconds as powers of two: a cell cannot hold more instants than a block.
+CELL_BITS = 19
+STRETCH_BITS = 39
+STEPS_PER_ROW = 1 << 11
 NEVER = -(1 << 62)  # "no alert kept yet", far before any timestamp
 
 _STEP_FIELDS = "_id bigint, _row int, _upto array<bigint>, _last array<bigint>"
 
 
-@dataclass(frozen=True)
-class Layout:
-    """Microseconds of a block, parts of a unit, and how often units are joined to larger ones."""
-
-    width: int
-    arity: int
-    levels: int
-
-    @staticmethod
-    def of(gap: int, resolution: int) -> Layout:
-        """At seconds and 30 minutes: blocks of 256 spans, and one level of units of 128 blocks."""
-        instants = max(1, -(-gap // resolution))  # that a span may hold
-        spans = min(max(BLOCK_INSTANTS // instants, 1), SPANS_PER_BLOCK)
-        arity = min(max(UNIT_STEPS // instants, 2), PARTS_PER_UNIT)
-        blocks, levels = -(-HORIZON_MICROS // (gap * spans)), 1
-        while blocks > arity ** (levels + 1):
-            levels += 1
-        return Layout(gap * spans, arity, levels)
-
-
 # --- helpers on sorted instants (microseconds) ------------------------------------------------
 def keep_from(times: np.ndarray, last: int, gap: int) -> list[int]:
     """Positions of the kept alerts, given the last alert kept before."""
@@ -104,14 +86,20 @@ def block_steps(times: np.ndarray, start: int, gap: int) -> tuple[np.ndarray, np
 def join_steps(
     tables: Sequence[tuple[np.ndarray, np.ndarray]], start: int, gap: int
 ) -> tuple[np.ndarray, np.ndarray]:
-    """One step table for consecutive blocks, the first of which begins at ``start``."""
+    """One step table for consecutive blocks, the first of which begins at ``start``.
+
+    A key is ready one span after ``start`` at the latest, so where the blocks so far end before
+    that, the next one opens the chain for what is ready after them.
+    """
     upto, last = tables[0]
     for next_upto, next_last in tables[1:]:
         step = np.searchsorted(next_upto, last + gap)
         inside = step < len(next_upto)
         last = np.where(inside, next_last[np.minimum(step, len(next_upto) - 1)], last)
-        if upto[-1] < start + gap:  # ready only after all alerts so far: the next block opens
-            upto, last = np.append(upto, next_upto[0]), np.append(last, next_last[0])
+        if upto[-1] < start + gap:
+            openers = int(np.searchsorted(next_upto, start + gap)) + 1
+            upto = np.append(upto, next_upto[:openers])
+            last = np.append(last, next_last[:openers])
         upto, last = _merge_equal(upto, last)
     return upto, last
 
@@ -151,23 +139,21 @@ def _arrow_schema(fields: list[T.StructField]) -> pa.Schema:
     return plain
 
 
-def _steps_of_block(schema: pa.Schema, width: int, gap: int):
+def _steps_of_block(schema: pa.Schema, gap: int):
     def run(key: tuple, group: pa.Table) -> pa.Table:
         *own, block = (k.as_py() for k in key)
         times = np.sort(group.column("_t").to_numpy())
-        return _step_rows(own, schema, block, *block_steps(times, block * width, gap))
+        return _step_rows(own, schema, block, *block_steps(times, block, gap))
 
     return run
 
 
-def _steps_of_unit(schema: pa.Schema, width: int, gap: int):
-    """``width`` is that of the parts."""
-
+def _steps_of_unit(schema: pa.Schema, gap: int):
     def run(key: tuple, group: pa.Table) -> pa.Table:
         *own, unit = (k.as_py() for k in key)
         parts = list(_step_tables(group))
         tables = [steps for _, *steps in parts]
-        return _step_rows(own, schema, unit, *join_steps(tables, parts[0][0] * width, gap))
+        return _step_rows(own, schema, unit, *join_steps(tables, parts[0][0], gap))
 
     return run
 
@@ -191,9 +177,36 @@ def _state_rows(key: list, schema: pa.Schema, ids: list[int], states: list[int])
     return pa.Table.from_arrays(columns, names=names)
 
 
-def _first_states(schema: pa.Schema, gap: int):
-    def run(key: tuple, group: pa.Table) -> pa.Table:
-        return _state_rows([k.as_py() for k in key], schema, *_replay(group, NEVER, gap))
+def _first_states(n_keys: int, gap: int):
+    """The state before each unit, from the rows of step tables in the order of key, unit and row.
+
+    Of a unit one row at a time is looked at, so it does not matter how many steps a key has.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, id_, last, ready = None, None, NEVER, None
+        for batch in batches:
+            keys = list(zip(*[batch.column(n).to_pylist() for n in range(n_keys)]))
+            ids = batch.column("_id").to_pylist()
+            all_upto, all_last = batch.column("_upto"), batch.column("_last")
+            starts, states = [], []
+            for n in range(batch.num_rows):
+                if keys[n] != key:
+                    key, id_, last = keys[n], None, NEVER
+                if ids[n] != id_:
+                    id_, ready = ids[n], last + gap
+                    starts.append(n)
+                    states.append(last)
+                if ready is not None:
+                    upto = all_upto[n].values.to_numpy()
+                    step = int(np.searchsorted(upto, ready))
+                    if step < len(upto):
+                        last, ready = all_last[n].values[step].as_py(), None
+            named = [*range(n_keys), batch.schema.get_field_index("_id")]
+            own = batch.select(named).take(pa.array(starts, pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [*own.columns, pa.array(states, pa.int64())], names=[*own.schema.names, "_state"]
+            )
 
     return run
 
@@ -216,10 +229,55 @@ def _keep_in_block(gap: int, columns: list[str]):
     return run
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+def _null_safe_join(
+    left: DataFrame, right: DataFrame, on: list[str], how: str = "left"
+) -> DataFrame:
     other = right.withColumnsRenamed({c: f"_right_{c}" for c in on})
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_right_{c}")) for c in on])
-    return left.join(other, same, "left").drop(*[f"_right_{c}" for c in on])
+    return left.join(other, same, how).drop(*[f"_right_{c}" for c in on])
+
+
+def _with_blocks(events: DataFrame, keys: list[str]) -> DataFrame:
+    """The events with the start of their block and of their unit.
+
+    ``events`` has one row per key and instant ``_t``.
+    """
+    whole, unit_bits = [*keys, "_unit"], STRETCH_BITS + UNIT_BITS
+    # The sum reads all columns, as the alerts' own shuffle does, so that one shuffle serves both
+    # and the source is not read again for fewer columns.
+    rows = F.sum((F.xxhash64(*events.columns).bitwiseAND(F.lit(0))) + 1).alias("_rows")
+
+    def start(name: str, bits: int):
+        return F.shiftleft(F.shiftright(name, bits), bits)
+
+    placed = events.withColumns(
+        {"_unit": start("_t", unit_bits), "_block": start("_t", STRETCH_BITS), "_cell": start("_t", CELL_BITS)}
+    )
+    crowded = (
+        placed.groupBy(*whole, "_block").agg(rows)
+        .groupBy(*whole).agg(F.max("_rows").alias("_most"))
+        .where(F.col("_most") > BLOCK_INSTANTS)
+        .drop("_most")
+    )
+    cells = _null_safe_join(placed, crowded, whole, "inner").groupBy(*whole, "_cell").agg(rows)
+    before = Window.partitionBy(*whole).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    total = F.coalesce(F.sum("_rows").over(before), F.lit(0))
+    cells = cells.withColumn("_part", F.floor(total / F.lit(BLOCK_INSTANTS)).cast("bigint"))
+    cells = cells.withColumn("_parts", F.shiftright("_part", UNIT_BITS))
+    of_block = Window.partitionBy(*whole, "_parts", "_part")
+    of_unit = Window.partitionBy(*whole, "_parts")
+    cut = cells.select(
+        *keys,
+        "_cell",
+        F.min("_cell").over(of_block).alias("_own_block"),
+        F.min("_cell").over(of_unit).alias("_own_unit"),
+    )
+    return (
+        _null_safe_join(placed, cut, [*keys, "_cell"])
+        .withColumn("_block", F.coalesce("_own_block", "_block"))
+        .withColumn("_unit", F.coalesce("_own_unit", "_unit"))
+        .drop("_cell", "_own_block", "_own_unit")
+    )
 
 
 def first_per_instant(
@@ -240,7 +298,6 @@ def cooldown(
     tie: str = "event_id",
     minutes: float = 30,
     seed: DataFrame | None = None,
-    resolution: float = 1.0,
 ) -> DataFrame:
     """The kept alerts, with all their columns.
 
@@ -248,21 +305,14 @@ def cooldown(
     at one instant. ``seed`` holds (keys, ``time``) of alerts kept earlier, of which the latest
     per key counts; an alert earlier than one span after it is suppressed, also when it is
     older (late). Keep the columns few and numeric: they go through the shuffle.
-
-    ``resolution`` is the usual distance of distinct times in seconds; tasks are laid out for it.
-    Times that are closer give the same alerts, with larger tasks.
     """
     keys = list(keys)
     gap = round(minutes * 60_000_000)
     if gap <= 0:
         raise ValueError("the cooldown must be longer than zero")
-    layout = Layout.of(gap, max(1, round(resolution * 1_000_000)))
     columns = candidates.columns
     micros = F.unix_micros(F.col(time))
 
-    def part_of(t: Column, size: int) -> Column:  # floor division, also before 1970
-        return F.call_function("div", t - F.pmod(t, F.lit(size)), F.lit(size))
-
     firsts = first_per_instant(candidates, keys, time, tie)
     if seed is not None:
         # what lies before the end of the seed's span is suppressed for sure, and the chain of
@@ -270,34 +320,23 @@ def cooldown(
         latest = seed.groupBy(*keys).agg(F.unix_micros(F.max(time)).alias("_seed"))
         ready = F.col("_seed").isNull() | (micros >= F.col("_seed") + gap)
         firsts = _null_safe_join(firsts, latest, keys).where(ready).drop("_seed")
-    events = firsts.withColumn("_t", micros).withColumn(
-        "_block", part_of(F.col("_t"), layout.width)
-    )
-
     key_fields = [candidates.schema[k] for k in keys]
     key_ddl = T.StructType(key_fields).simpleString()[len("struct<") : -1]
-    schema = _arrow_schema(key_fields)
+    of_block = [*key_fields, T.StructField("_unit", T.LongType())]
+    schema, block_schema = _arrow_schema(key_fields), _arrow_schema(of_block)
     step_ddl, state_ddl = f"{key_ddl},{_STEP_FIELDS}", f"{key_ddl},_id bigint,_state bigint"
 
-    width = layout.width
-    tables = [
-        events.groupBy(*keys, "_block").applyInArrow(_steps_of_block(schema, width, gap), step_ddl)
-    ]
-    unit = part_of(F.col("_id"), layout.arity)
-    for _ in range(layout.levels):
-        parts = tables[-1].withColumn("_unit", unit)
-        joined = parts.groupBy(*keys, "_unit").applyInArrow(
-            _steps_of_unit(schema, width, gap), step_ddl
-        )
-        tables.append(joined)
-        width *= layout.arity
-
-    states = tables.pop().groupBy(*keys).applyInArrow(_first_states(schema, gap), state_ddl)
-    while tables:
-        parts = tables.pop().withColumn("_unit", unit).groupBy(*keys, "_unit")
-        states = parts.cogroup(states.groupBy(*keys, "_id")).applyInArrow(
-            _part_states(schema, gap), state_ddl
-        )
+    events = _with_blocks(firsts.withColumn("_t", micros), keys)
+    parts = events.groupBy(*keys, "_unit", "_block").applyInArrow(
+        _steps_of_block(block_schema, gap), f"{key_ddl},_unit bigint,{_STEP_FIELDS}"
+    )
+    parts = parts.groupBy(*keys, "_unit")
+    joined = parts.applyInArrow(_steps_of_unit(schema, gap), step_ddl)
+    in_order = joined.repartition(*keys).sortWithinPartitions(*keys, "_id", "_row")
+    states = in_order.mapInArrow(_first_states(len(keys), gap), state_ddl)
+    states = parts.cogroup(states.groupBy(*keys, "_id")).applyInArrow(
+        _part_states(schema, gap), state_ddl
+    )
 
     kept_schema = T.StructType([candidates.schema[c] for c in columns])
     return (

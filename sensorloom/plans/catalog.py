@@ -470,7 +470,7 @@ def _cooldown_dense(spark, sf_dir):
         (F.col("event_id") * copies + F.col("n")).alias("event_id"),
         F.timestamp_millis(1704067200000 + F.col("event_id") * copies + F.col("n")).alias("event_time"),
     )
-    return cooldown(alerts, minutes=7 / 60_000, resolution=0.001)
+    return cooldown(alerts, minutes=7 / 60_000)
 
 
 @query("cooldown_seeded")

@@ -35,6 +35,14 @@ def kept_by(spark, rows, minutes, seed=None):
     return {(r.event_id, r.alert_type) for r in found}
 
 
+def small_blocks(monkeypatch, instants, cell_bits, stretch_bits):
+    monkeypatch.setattr(cd, "BLOCK_INSTANTS", instants)
+    monkeypatch.setattr(cd, "UNIT_BITS", 2)
+    monkeypatch.setattr(cd, "CELL_BITS", cell_bits)
+    monkeypatch.setattr(cd, "STRETCH_BITS", stretch_bits)
+    monkeypatch.setattr(cd, "STEPS_PER_ROW", 16)
+
+
 def at(minute):
     return datetime(2024, 1, 1) + timedelta(minutes=minute)
 
@@ -62,9 +70,7 @@ def test_ties_keep_the_first(spark):
 
 def test_hot_key_over_blocks_and_units(spark, monkeypatch):
     """A third of all alerts on one key, an alert every few seconds, many blocks and units."""
-    monkeypatch.setattr(cd, "SPANS_PER_BLOCK", 4)
-    monkeypatch.setattr(cd, "PARTS_PER_UNIT", 3)
-    monkeypatch.setattr(cd, "HORIZON_MICROS", 20 * 86_400_000_000)
+    small_blocks(monkeypatch, instants=40, cell_bits=24, stretch_bits=34)
     rng = np.random.default_rng(7)
     start = datetime(1969, 12, 30)  # crosses zero
     rows = []
@@ -77,9 +83,7 @@ def test_hot_key_over_blocks_and_units(spark, monkeypatch):
 
 
 def test_null_is_a_key_of_its_own(spark, monkeypatch):
-    monkeypatch.setattr(cd, "SPANS_PER_BLOCK", 3)
-    monkeypatch.setattr(cd, "PARTS_PER_UNIT", 4)
-    monkeypatch.setattr(cd, "HORIZON_MICROS", 20 * 86_400_000_000)
+    small_blocks(monkeypatch, instants=25, cell_bits=24, stretch_bits=34)
     rng = np.random.default_rng(11)
     start = datetime(1969, 12, 31, 12)
     rows = []
@@ -95,9 +99,7 @@ def test_null_is_a_key_of_its_own(spark, monkeypatch):
 
 
 def test_regular_spacing_never_merges_chains(spark, monkeypatch):
-    monkeypatch.setattr(cd, "SPANS_PER_BLOCK", 2)
-    monkeypatch.setattr(cd, "PARTS_PER_UNIT", 2)
-    monkeypatch.setattr(cd, "HORIZON_MICROS", 20 * 86_400_000_000)
+    small_blocks(monkeypatch, instants=30, cell_bits=22, stretch_bits=30)
     rows = [(i, "A", "T", at(0) + timedelta(seconds=i), 0.0) for i in range(3000)]
     assert kept_by(spark, rows, 1) == walk(rows, 1)
 
@@ -118,14 +120,13 @@ def test_kept_alerts_are_kept_again(spark, sf):
 @settings(max_examples=300, deadline=None)
 @given(
     times=st.lists(st.integers(0, 400), min_size=1, max_size=60, unique=True),
-    gap=st.integers(1, 30),
-    spans=st.integers(1, 4),
+    gap=st.integers(1, 90),
+    width=st.integers(1, 120),
     before=st.integers(1, 60) | st.none(),
 )
-def test_blocks_agree_with_walk(times, gap, spans, before):
+def test_blocks_agree_with_walk(times, gap, width, before):
     """Step tables, joined in any grouping, lead to the state that a walk leads to."""
     times = np.array(sorted(times))
-    width = gap * spans
     last = NEVER if before is None else -before
     tables, starts = [], []
     for block in np.unique(times // width):
@@ -157,16 +158,46 @@ def test_blocks_agree_with_walk(times, gap, spans, before):
         assert earlier and t - max(earlier) < gap
 
 
-def test_layout_bounds_what_a_task_holds():
-    for minutes, resolution in ((30, 1.0), (360, 1.0), (30, 0.001), (0.0001, 0.001), (30, 1e-6)):
-        gap, unit = round(minutes * 60_000_000), round(resolution * 1_000_000)
-        layout = cd.Layout.of(gap, unit)
-        per_span = -(-gap // unit)
-        assert layout.width % gap == 0
-        assert layout.width // unit <= max(cd.BLOCK_INSTANTS, per_span)
-        assert layout.arity * per_span <= max(cd.UNIT_STEPS, 2 * per_span)
-        assert layout.width * layout.arity ** (layout.levels + 1) >= cd.HORIZON_MICROS
-    assert cd.Layout.of(30 * 60_000_000, 1_000_000) == cd.Layout(256 * 30 * 60_000_000, 128, 1)
+def test_blocks_and_units_are_bounded_at_any_density(spark, monkeypatch):
+    """A key that is sparse for days and dense for a minute, one that is dense all along, a null."""
+    small_blocks(monkeypatch, instants=64, cell_bits=6, stretch_bits=39)
+    day, start = 86_400_000_000, 1_704_067_200_000_000
+    rng = np.random.default_rng(3)
+    minute = start + 5 * day + rng.choice(60_000_000, 3000, replace=False)
+    times = {
+        "mixed": np.concatenate([start + np.arange(0, 20 * day, day), minute]),
+        "dense": start + np.arange(4000),
+        None: start + np.arange(0, 30 * day, 2 * day),
+    }
+    rows = [(key, int(t)) for key, ts in times.items() for t in np.unique(ts)]
+    events = spark.createDataFrame(rows, "location string, _t bigint")
+    located = cd._with_blocks(events, ["location"]).collect()
+    assert sorted((r.location or "", r._t) for r in located) == sorted((k or "", t) for k, t in rows)
+    unit_of, held, in_unit = {}, {}, {}
+    for r in located:
+        assert unit_of.setdefault((r.location, r._block), r._unit) == r._unit
+        held.setdefault((r.location, r._block), []).append(r._t)
+        in_unit[r.location, r._unit] = in_unit.get((r.location, r._unit), 0) + 1
+    assert max(len(ts) for ts in held.values()) <= 64 + 2**6
+    assert max(in_unit.values()) <= 4 * 64 + 2**6
+    assert len({b for k, b in held if k == "dense"}) > 40
+    for key in times:  # blocks follow one another, and units are consecutive blocks
+        blocks = sorted(b for k, b in held if k == key)
+        for block, after in zip(blocks, [*blocks[1:], None]):
+            assert min(held[key, block]) >= block and (after is None or max(held[key, block]) < after)
+        assert [unit_of[key, b] for b in blocks] == sorted(unit_of[key, b] for b in blocks)
+
+
+def test_sparse_for_days_and_dense_for_a_minute(spark, monkeypatch):
+    small_blocks(monkeypatch, instants=50, cell_bits=18, stretch_bits=39)
+    rng = np.random.default_rng(5)
+    rows = [(n, "A", "T", at(60 * 7 * n), 0.0) for n in range(40)]
+    rows += [
+        (100 + n, "A", "T", at(4000) + timedelta(microseconds=int(t)), 0.0)
+        for n, t in enumerate(rng.integers(0, 60_000_000, 2500))
+    ]
+    for minutes in (0.001, 0.02, 0.7, 30, 20_000):
+        assert kept_by(spark, rows, minutes) == walk(rows, minutes)
 
 
 def test_step_tables_travel_in_bounded_rows(monkeypatch):
