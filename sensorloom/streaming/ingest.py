@@ -69,8 +69,9 @@ def start_ingest(
     valid and invalid rows, observed while the rejected ones are written.
     """
 
-    def route(lines: DataFrame, batch_id: int) -> None:
-        rows = read_files(lines.sparkSession, headers(lines))
+    def route(files: DataFrame, batch_id: int) -> None:
+        spark = files.sparkSession
+        rows = read_files(spark, headers(files))
         judged = judged_readings(rows).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             timed = valid_of(judged).withColumn("event_time", event_time_lenient("date_time"))
@@ -83,7 +84,7 @@ def start_ingest(
             if metrics is not None:
                 # A batch that was published by a run before this one is not read for its errors.
                 counts = found.get if written else judged.agg(*_counts()).first().asDict()
-                metrics.save(lines.sparkSession, batch_id, **counts)
+                metrics.save(spark, batch_id, **counts)
             if counts_path is not None:
                 counts_of(judged).write.mode("overwrite").parquet(f"{counts_path}/batch={batch_id}")
         finally:

@@ -12,6 +12,7 @@ from sensorloom.operators.routing import (
     json_string,
     region_map,
 )
+from sensorloom.sources import drops
 from sensorloom.sources.drops import new_files, read_drops
 from sensorloom.sources.topics import KafkaTopics, StoredTopics
 
@@ -116,6 +117,33 @@ def test_columns_are_found_by_the_header(spark, tmp_path):
     assert rows["order.csv"].location == 'Da "x" llas' and rows["none.csv"].location is None
 
 
+def test_headers_are_read_from_the_first_block_once(spark, tmp_path):
+    head = "Location,Date_Time,Temperature_C,Humidity_pct,Precipitation_mm,Wind_Speed_kmh"
+    folder, index = tmp_path / "drops", str(tmp_path / "index")
+    folder.mkdir()
+    wide = ",".join(f"note{n:05}" for n in range(9000))  # a header of more than one block
+    texts = {
+        "a b.csv": f"{head}\nDallas,t,1,2,3,4\n{head}\n",  # the header again, as data
+        "late.csv": f"x,y\n{head}\nDallas,t,1,2,3,4\n",  # not the first line
+        "bom.csv": f"\ufeff\r\n{head}\r\nHouston,t,1,2,3,4\r\n",
+        "wide.csv": f"{wide},{head}\n" + "," * 9000 + "Phoenix,t,1,2,3,4\n",
+    }
+    for name, text in texts.items():
+        (folder / name).write_bytes(text.encode())
+    rows = read_drops(spark, str(folder), index=index).collect()
+    places = sorted((r.file_name.replace("%20", " "), r.location or "") for r in rows)
+    assert places == [
+        ("a b.csv", "Dallas"), ("a b.csv", "Location"), ("bom.csv", "Houston"),
+        ("late.csv", ""), ("late.csv", ""), ("wide.csv", "Phoenix"),
+    ]
+    # Files of the index are not opened again: their headers stay what they were.
+    (folder / "late.csv").write_text(f"{head}\nDallas,t,1,2,3,4\n")
+    (folder / "new.csv").write_text(f"{head}\nMiami,t,1,2,3,4\n")
+    groups = {g.header: len(g.paths) for g in drops.headers(drops._files(spark.read, str(folder)), index)}
+    assert groups[head] == 3 and groups[None] == 1 and sum(groups.values()) == 5
+    assert spark.read.parquet(index).count() == 5
+
+
 def test_line_breaks_in_cells(spark, tmp_path):
     (tmp_path / "a.csv").write_text(
         "Location,Date_Time,Temperature_C,Humidity_pct,Precipitation_mm,Wind_Speed_kmh\n"
