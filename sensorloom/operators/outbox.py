@@ -6,12 +6,14 @@ the table joined with its acknowledgements, so no row is rewritten while sending
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..constants import OUTBOX_BATCH
@@ -100,7 +102,8 @@ class Outbox:
     A row that fails steps back by its ``schedule``, so rows that always fail do not keep later
     ones from being sent. Several drainers may work on one outbox: a cycle's pick is published as
     one numbered turn, which only one drainer gets, and its rows are its own until their lease
-    ends or their outcome is there.
+    ends or their outcome is there. A long backlog is drained by runs of turns, which are picked,
+    published and sent together.
     """
 
     def __init__(
@@ -124,8 +127,11 @@ class Outbox:
             f"{self.path}/rows"
         )
         spark = rows.sparkSession
-        mark, oldest = self.low_water(spark), placed.agg(F.min("date")).first()[0]
-        if mark is not None and oldest is not None and oldest < mark:
+        mark = self.low_water(spark)
+        if mark is None:
+            return
+        oldest = placed.agg(F.min("date")).first()[0]
+        if oldest is not None and oldest < mark:
             self._set_mark(spark, oldest)
 
     def _stored_rows(self, spark: SparkSession) -> DataFrame:
@@ -194,28 +200,77 @@ class Outbox:
         return failed.select(self.id_column).unionByName(claimed.select(self.id_column))
 
     def _claims(self, spark: SparkSession) -> DataFrame:
-        schema = f"{self.id_column} {self._id_type(spark)}, date date, lease_until timestamp, turn long"
-        return read_or_empty(spark, f"{self.path}/turns", schema)
+        """A run of turns lies in the folder of its first; ``nth`` counts its turns from there."""
+        schema = (
+            f"{self.id_column} {self._id_type(spark)}, date date, lease_until timestamp, nth long, turn long"
+        )
+        claims = read_or_empty(spark, f"{self.path}/turns", schema)
+        return claims.select(
+            self.id_column,
+            "date",
+            "lease_until",
+            (F.col("turn") + F.coalesce("nth", F.lit(0))).alias("turn"),
+        )
+
+    def _run_of_turns(self, ready: DataFrame, limit: int, share: float) -> DataFrame:
+        """The turns that follow each other over the oldest part of the ready rows, as ``nth``.
+
+        Rows are sorted by range and stored, and their places follow from the sizes of the ranges,
+        so no task sees them all. An id that is there several times is in one turn only, as a turn's
+        outcome counts for all its copies.
+        """
+        spark, path = ready.sparkSession, f"{self.path}/_staged/order-{uuid.uuid4().hex}"
+        (
+            ready.where(~F.col("slack_sent"))
+            .repartitionByRange(self.order, self.id_column)
+            .sortWithinPartitions(self.order, self.id_column)
+            .withColumns({"_range": F.spark_partition_id(), "_at": F.monotonically_increasing_id()})
+            .write.parquet(path)
+        )
+        stored = spark.read.parquet(path)
+        sizes = dict(stored.groupBy("_range").count().collect())
+        total = sum(sizes.values())
+        turns = max(1, math.ceil(total / limit * share))
+        before = list(accumulate((sizes.get(r, 0) for r in range(max(sizes, default=0) + 1)), initial=0))
+        place = F.get(F.array(*[F.lit(n).cast("long") for n in before]), F.col("_range"))
+        place = place + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))  # the low bits count a task's rows
+        nth = F.call_function("div", place, F.lit(limit))
+        placed = stored.withColumn("nth", nth).where(F.col("nth") < turns)
+        first = F.min("nth").over(Window.partitionBy(self.id_column))
+        tasks = min(turns, spark.sparkContext.defaultParallelism)
+        once = placed.withColumn("_first", first).where("nth = _first")
+        return once.repartition(tasks, "nth").drop("_first", "_range", "_at")
 
     def _claim(
-        self, spark: SparkSession, since, render: Column, limit: int, now: Column
+        self,
+        spark: SparkSession,
+        since,
+        render: Column,
+        limit: int,
+        now: Column,
+        share: float | None = None,
     ) -> tuple[int, DataFrame]:
-        """The number of a turn of this drainer's own, and its rows."""
+        """The number of a turn of this drainer's own, or of the first of a run, and its rows."""
         while True:
             turn = (self._claims(spark).agg(F.max("turn")).first()[0] or 0) + 1
             waiting = self._waiting(spark, since, now)
             ready = self.state(spark, since).join(waiting, self.id_column, "left_anti")
-            batch = unsent_batch(ready, self.id_column, limit, self.order)
+            if share is None:
+                batch = unsent_batch(ready, self.id_column, limit, self.order)
+                batch = batch.withColumn("nth", F.lit(0).cast("long"))
+            else:
+                batch = self._run_of_turns(ready, limit, share)
             staged = f"{self.path}/_staged/turn-{uuid.uuid4().hex}"
             lease = now + F.make_dt_interval(secs=F.lit(self.lease_seconds))
             picked = batch.select(
-                self.id_column, "date", render.alias("text"), lease.alias("lease_until")
+                self.id_column, "date", render.alias("text"), lease.alias("lease_until"), "nth"
             )
             picked.write.parquet(staged)
             own = spark.read.parquet(staged)
             if own.isEmpty():
                 return turn, own
-            # The rows were picked without what this turn holds, so the turn has to be free.
+            # The rows were picked without what this turn holds, so the turn has to be free. A run
+            # needs no more than that: whoever saw fewer turns than there are finds its first taken.
             if publish(spark, staged, f"{self.path}/turns/turn={turn}"):
                 return turn, spark.read.schema(own.schema).parquet(f"{self.path}/turns/turn={turn}")
 
@@ -226,9 +281,14 @@ class Outbox:
         sender: Sender,
         limit: int = OUTBOX_BATCH,
         sent_at: Column | None = None,
+        share: float | None = None,
     ) -> int:
         """One cycle: claim the oldest unsent rows that are due, send them, append the outcomes.
 
+        With a ``share`` one call makes as many turns of ``limit`` rows as hold that part of the rows
+        that are due (one at least), in the jobs of one: calls grow with the logarithm of the
+        backlog, and the rest is left to other drainers. The lease has to outlast the whole run.
+
         Returns how many rows were picked. The pick is stored before anything is sent, and the
         outcomes are written in the job that sends, so no plan is computed twice with the sender in
         it. A task that is run again after a loss sends its rows again, and rows of a drainer that
@@ -238,15 +298,14 @@ class Outbox:
         since = self.low_water(spark)
         # Also of rows that wait: the mark must not pass them.
         oldest = self.state(spark, since).where(~F.col("slack_sent")).agg(F.min("date")).first()[0]
-        turn, picked = self._claim(spark, since, render, limit, moment)
+        turn, picked = self._claim(spark, since, render, limit, moment, share)
         count = picked.count()
         if not count:
             return 0
-        outcomes = send_all(picked, sender, self.id_column, keep=("date",))
+        numbered = picked.withColumn("turn", F.col("nth") + turn)
+        outcomes = send_all(numbered, sender, self.id_column, keep=("date", "turn"))
         (
-            outcomes.withColumns(
-                {"sent_at": moment, "attempts": F.lit(1).cast("long"), "turn": F.lit(turn).cast("long")}
-            )
+            outcomes.withColumns({"sent_at": moment, "attempts": F.lit(1).cast("long")})
             .write.mode("append")
             .partitionBy("date")
             .parquet(f"{self.path}/acks")

@@ -783,14 +783,17 @@ def _never_sent(text: str) -> bool:
 
 @query("outbox_poison")
 def _outbox_poison(spark, sf_dir):
-    """Two drainers in turn; the rows of ten ids always fail, and keep none of the others waiting."""
+    """Two drainers in turn; the rows of ten ids always fail, and keep none of the others waiting.
+
+    A call sends half of what is due, in turns of 250 rows, and leaves the rest to the other drainer.
+    """
     path = work_dir(spark, "outbox_poison")
     boxes = [Outbox(path, schedule=Schedule(base=3600.0)) for _ in range(2)]
     boxes[0].add(_errors(spark, sf_dir))
     moment = F.lit("2024-02-01").cast("timestamp")
     render = F.concat_ws("|", "id", error_text())
     n = 0
-    while boxes[n % 2].drain_once(spark, render, _never_sent, limit=250, sent_at=moment):
+    while boxes[n % 2].drain_once(spark, render, _never_sent, limit=250, sent_at=moment, share=0.5):
         n += 1
     later = moment + F.expr("interval 61 minutes")
     again = boxes[0].drain_once(spark, render, _never_sent, limit=250, sent_at=later)

@@ -172,3 +172,41 @@ def test_one_drainer_gets_a_turn(spark, tmp_path):
     other._waiting = late
     turn, rows = other._claim(spark, None, F.col("error_message"), 2, now)
     assert turn == 2 and [r.id for r in rows.collect()] == [3]
+
+
+def test_a_backlog_is_drained_by_runs_of_turns(spark, tmp_path):
+    """Calls grow with the logarithm of the backlog; turns stay at their limit, in the order of time."""
+    path = str(tmp_path / "box")
+    boxes = [Outbox(path, schedule=Schedule(base=60.0)) for _ in range(2)]
+    many = spark.range(1, 201).join(errors(spark, 1).drop("id"))
+    rows = many.withColumn("created_at", F.col("created_at") + F.make_dt_interval(mins=(200 - F.col("id")).cast("int")))
+    boxes[0].add(rows)
+    now = F.lit(T0.replace(year=2025)).cast("timestamp")
+
+    def sender(text):
+        return int(text) % 100 != 0
+
+    picked = []
+    while n := boxes[len(picked) % 2].drain_once(spark, F.col("id").cast("string"), sender, 5, now, share=0.5):
+        picked.append(n)
+    assert picked == [100, 50, 25, 15, 5, 5]
+    turns = boxes[0]._acks(spark).groupBy("turn").agg(
+        F.count("*").alias("n"), F.min("id").alias("low"), F.max("id").alias("high")
+    )
+    found = [tuple(r) for r in turns.orderBy("turn").collect()]
+    assert found == [(t, 5, 201 - 5 * t, 205 - 5 * t) for t in range(1, 41)]
+    assert boxes[1].state(spark).where("not slack_sent").count() == 2
+    later = now + F.expr("interval 61 seconds")
+    assert boxes[0].drain_once(spark, F.col("id").cast("string"), sender, 5, later, share=1.0) == 2
+    assert boxes[0]._claims(spark).agg(F.max("turn")).first()[0] == 41
+    assert {(r.n_sent, r.n_failed) for r in boxes[0].outcomes(spark).collect()} == {(1, 0), (0, 2)}
+
+
+def test_a_run_sends_a_repeated_id_in_one_turn(spark, tmp_path):
+    box = Outbox(str(tmp_path / "box"))
+    rows = errors(spark, 4)
+    box.add(rows.unionByName(rows))
+    assert box.drain_once(spark, F.col("error_message"), lambda t: True, 3, share=1.0) == 7
+    found = {r.id: (r.n_sent, r.n_failed) for r in box.outcomes(spark).collect()}
+    assert found == {1: (2, 0), 2: (1, 0), 3: (2, 0), 4: (2, 0)}
+    assert box.drain_once(spark, F.col("error_message"), lambda t: True, 3, share=1.0) == 0
