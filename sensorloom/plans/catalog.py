@@ -132,6 +132,9 @@ def query(name: str) -> Callable[[Query], Query]:
     return register
 
 
+# Records that one task writes to one file of a topic where a stream takes file by file.
+RECORDS_PER_FILE = 500_000
+
 _READING = ("location", "date_time", "temperature_c", "humidity_pct", "precipitation_mm", "wind_speed_kmh")
 
 
@@ -1018,7 +1021,10 @@ def _stream_observed(spark, sf_dir):
 
 @query("consumer_lag_live")
 def _consumer_lag_live(spark, sf_dir):
-    """The backlog of a running stream after each of its micro-batches, from its own reports."""
+    """The backlog of a running stream after each batch of its topic, from its own reports.
+
+    A micro-batch takes one file; the last one of a topic's batch leaves the backlog after it.
+    """
     root = work_dir(spark, "lag")
     topics = StoredTopics(f"{root}/topics")
     valid = valid_readings(raw_readings(spark, sf_dir)).withColumn(
@@ -1026,14 +1032,16 @@ def _consumer_lag_live(spark, sf_dir):
     )
     day = F.dayofmonth(F.col("ts"))
     dated = valid.join(table(spark, sf_dir, "events").select("event_id", "ts"), "event_id")
-    for n in range(6):  # five days each, one file each, so that a file limit is a batch limit
-        part = dated.where(F.least(F.floor((day - 1) / 5), F.lit(5)) == n)
-        records = to_reading_records(part, region_map(spark)).coalesce(1)
-        topics.write(records, TOPIC_READINGS, n, "ingest")
+    days = F.least(F.floor((day - 1) / 5), F.lit(5))
+    sizes = dict(dated.groupBy(days).count().collect())
+    for n in range(6):  # five days each, in files of a bounded size: a file limit is a batch limit
+        files = -(-sizes.get(n, 1) // RECORDS_PER_FILE)
+        part = dated.where(days == n).repartition(files, "event_id")
+        topics.write(to_reading_records(part, region_map(spark)), TOPIC_READINGS, n, "ingest")
     log = ProgressLog(spark, f"{root}/progress", names=("lagging",))
     try:
         records = topics.stream(spark, TOPIC_READINGS, max_files=1)
-        taken = records.observe("taken", F.count(F.lit(1)).alias("records"))
+        taken = records.observe("taken", F.count(F.lit(1)).alias("records"), F.max("batch").alias("batch"))
         start_table(
             taken, f"{root}/copy", f"{root}/checkpoint", name="lagging", trigger={"availableNow": True}
         ).awaitTermination()
@@ -1041,8 +1049,10 @@ def _consumer_lag_live(spark, sf_dir):
         log.close()
     total = topics.read(spark, TOPIC_READINGS).count()
     offsets = counted_offsets(log.read(), TOPIC_READINGS, total, "taken.records")
-    lag = consumer_lag(offsets.withColumn("ts", F.col("batch")))
-    return lag.select(F.col("ts").alias("batch"), "group", "lag")
+    lag = consumer_lag(offsets.withColumn("ts", F.col("batch"))).withColumnRenamed("ts", "batch")
+    written = log.read().select("batch", F.col("metrics")["taken.batch"].alias("written"))
+    after = lag.join(written, "batch").groupBy("written", "group").agg(F.min("lag").alias("lag"))
+    return after.withColumnRenamed("written", "batch")
 
 
 @query("late_alerts")

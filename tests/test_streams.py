@@ -1,11 +1,13 @@
 """Streams: the whole path from drop files to tables, restarts, and late data."""
 
+import glob
 import json
 import os
 import time
 from datetime import datetime
 
 import pytest
+from compare import compare, connect
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -16,6 +18,8 @@ from sensorloom.operators.cooldown import cooldown
 from sensorloom.operators.routing import is_diverted, region_map, to_error_records
 from sensorloom.operators.rules import ALERT_PROFILE, detect_candidates
 from sensorloom.operators.validate import rejected_readings, valid_readings
+from sensorloom.plans import catalog
+from sensorloom.plans.oracles import ORACLES
 from sensorloom.schemas import ERRORS_TABLE, RAW_COLUMNS
 from sensorloom.sources.drops import stream_drops
 from sensorloom.sources.events import raw_readings
@@ -311,3 +315,19 @@ def test_metric_log_replaces_a_batch(spark, tmp_path):
     log.save(spark, 0, a=1)
     log.save(spark, 0, a=2, b=3)
     assert {(r.batch, r.metric, r.value) for r in log.read(spark).collect()} == {(0, "a", 2), (0, "b", 3)}
+
+
+def test_backlog_by_files_of_a_bounded_size(spark, sf, monkeypatch):
+    """More files make more micro-batches, and the backlog after a topic's batch stays what it is."""
+    written = []
+    publish = catalog.StoredTopics.publish
+
+    def counted(self, spark, topic, batch_id, producer):
+        written.append(len(glob.glob(self._staged(topic, batch_id, producer) + "/*.parquet")))
+        return publish(self, spark, topic, batch_id, producer)
+
+    monkeypatch.setattr(catalog, "RECORDS_PER_FILE", 90, raising=False)
+    monkeypatch.setattr(catalog.StoredTopics, "publish", counted)
+    frame = catalog.QUERIES["consumer_lag_live"](spark, sf)
+    assert len(written) == 6 and min(written) >= 1 and sum(written) > 6
+    assert not compare(frame, connect(sf), ORACLES["consumer_lag_live"])
