@@ -883,21 +883,22 @@ def _stream_cooldown_seeded(spark, sf_dir):
 
     The stream comes in four parts of some days, and keys give up their state between alerts.
     """
-    source, stored = work_dir(spark, "candidates"), work_dir(spark, "alerts")
-    candidates = _candidates(spark, sf_dir)
+    found, source = work_dir(spark, "found"), work_dir(spark, "candidates")
+    stored, out = work_dir(spark, "alerts"), work_dir(spark, "kept")
+    checkpoint = work_dir(spark, "checkpoint")
+    _candidates(spark, sf_dir).write.parquet(found)
+    candidates = spark.read.parquet(found)
     borders = [F.lit(f"2024-01-{day}").cast("timestamp") for day in (11, 16, 21, 26)]
     time = F.col("event_time")
     cooldown(candidates.where(time < borders[0]), minutes=90).write.parquet(stored)
+    seed = latest_alerts(spark.read.schema(candidates.schema).parquet(stored))
     for start, end in zip(borders, [*borders[1:], None]):
         part = (time >= start) if end is None else (time >= start) & (time < end)
-        candidates.where(part).coalesce(1).write.mode("append").parquet(source)
-    stream = (
-        spark.readStream.schema(candidates.schema).option("maxFilesPerTrigger", 1).parquet(source)
-    )
-    seed = latest_alerts(spark.read.schema(candidates.schema).parquet(stored))
-    out = work_dir(spark, "kept")
-    kept = stream_cooldown(stream, minutes=90, seed=seed, delay="1 hour")
-    _run_once(kept, out, work_dir(spark, "checkpoint"))
+        # As many files as there are tasks: all that is new when the stream goes on is a micro-batch.
+        candidates.where(part).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(candidates.schema).parquet(source)
+        kept = stream_cooldown(stream, minutes=90, seed=seed, delay="1 hour")
+        _run_once(kept, out, checkpoint)
     return spark.read.parquet(out)
 
 

@@ -331,3 +331,15 @@ def test_backlog_by_files_of_a_bounded_size(spark, sf, monkeypatch):
     frame = catalog.QUERIES["consumer_lag_live"](spark, sf)
     assert len(written) == 6 and min(written) >= 1 and sum(written) > 6
     assert not compare(frame, connect(sf), ORACLES["consumer_lag_live"])
+
+
+def test_seeded_stream_reads_files_of_many_tasks(spark, sf, tmp_path, monkeypatch):
+    """The parts of the stream are not written by one task each."""
+    spark.read.parquet(f"{sf}/events.parquet").repartition(4).write.parquet(f"{tmp_path}/events.parquet")
+    folders = {}
+    monkeypatch.setattr(
+        catalog, "work_dir", lambda spark, name: folders.setdefault(name, f"{tmp_path}/{name}")
+    )
+    frame = catalog.QUERIES["stream_cooldown_seeded"](spark, str(tmp_path))
+    assert not compare(frame, connect(sf), ORACLES["stream_cooldown_seeded"])
+    assert len(glob.glob(folders["candidates"] + "/*.parquet")) > 4
