@@ -7,7 +7,9 @@ key cannot be worked off in one task either. The chain is therefore cut into tim
 
 1. Of the alerts of one key at one instant only the first can be kept. An aggregation over
    (key, instant), combined before its shuffle, spreads a hot key over all tasks and leaves at
-   most one row per instant.
+   most one row per instant. Where blocks hold few instants, so that a key's many blocks spread it
+   already, rows go to their block at once and the first of an instant is found there by a sort:
+   one shuffle of the rows in place of two.
 2. Each (key, block of some spans) is summed up on its own as a step table: for every instant at
    which the key may become ready inside the block, the last alert kept in the block. Equal
    neighbours are merged.
@@ -30,16 +32,20 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.once import once
+
 SPANS_PER_BLOCK = 256
 PARTS_PER_UNIT = 128
 # Instants that a block may hold, and steps that a unit may, at the stated resolution.
 BLOCK_INSTANTS = 1 << 19
 UNIT_STEPS = 1 << 23
 STEPS_PER_ROW = 1 << 16
+# Blocks of at most so many instants get their rows by one shuffle.
+DIRECT_INSTANTS = 1 << 14
 # The time that units are laid out for: longer tables only make the last replay longer.
 HORIZON_MICROS = 20 * 366 * 86_400_000_000
 NEVER = -(1 << 62)  # "no alert kept yet", far before any timestamp
@@ -49,11 +55,13 @@ _STEP_FIELDS = "_id bigint, _row int, _upto array<bigint>, _last array<bigint>"
 
 @dataclass(frozen=True)
 class Layout:
-    """Microseconds of a block, parts of a unit, and how often units are joined to larger ones."""
+    """Microseconds of a block, parts of a unit, how often units are joined to larger ones, and whether
+    rows go to their block by one shuffle."""
 
     width: int
     arity: int
     levels: int
+    direct: bool = False
 
     @staticmethod
     def of(gap: int, resolution: int) -> Layout:
@@ -64,7 +72,7 @@ class Layout:
         blocks, levels = -(-HORIZON_MICROS // (gap * spans)), 1
         while blocks > arity ** (levels + 1):
             levels += 1
-        return Layout(gap * spans, arity, levels)
+        return Layout(gap * spans, arity, levels, spans * instants <= DIRECT_INSTANTS)
 
 
 # --- helpers on sorted instants (microseconds) ------------------------------------------------
@@ -232,6 +240,20 @@ def first_per_instant(
     )
 
 
+def first_in_block(candidates: DataFrame, keys: Sequence[str], time: str, tie: str) -> DataFrame:
+    """The same rows, dealt by (key, block): one sort serves this and what is grouped by block.
+
+    Keys go through ``once``: a constant key would be folded out of the plan, and rows that are dealt
+    by a constant count as dealt in another way than those grouped by its column.
+    """
+    columns = candidates.columns
+    plain = candidates.withColumnsRenamed({k: f"_own_{k}" for k in keys})
+    candidates = once(plain, **{k: F.col(f"_own_{k}") for k in keys}).select(columns)
+    instant = Window.partitionBy(*keys, "_block", time).orderBy(F.col(tie).asc_nulls_last())
+    dealt = candidates.repartition(*keys, "_block").withColumn("_n", F.row_number().over(instant))
+    return dealt.where("_n = 1").drop("_n")
+
+
 def cooldown(
     candidates: DataFrame,
     *,
@@ -263,16 +285,17 @@ def cooldown(
     def part_of(t: Column, size: int) -> Column:  # floor division, also before 1970
         return F.call_function("div", t - F.pmod(t, F.lit(size)), F.lit(size))
 
-    firsts = first_per_instant(candidates, keys, time, tie)
+    firsts = candidates if layout.direct else first_per_instant(candidates, keys, time, tie)
     if seed is not None:
         # what lies before the end of the seed's span is suppressed for sure, and the chain of
         # the rest starts without a state
         latest = seed.groupBy(*keys).agg(F.unix_micros(F.max(time)).alias("_seed"))
         ready = F.col("_seed").isNull() | (micros >= F.col("_seed") + gap)
         firsts = _null_safe_join(firsts, latest, keys).where(ready).drop("_seed")
-    events = firsts.withColumn("_t", micros).withColumn(
-        "_block", part_of(F.col("_t"), layout.width)
-    )
+    events = firsts.withColumn("_block", part_of(micros, layout.width))
+    if layout.direct:
+        events = first_in_block(events, keys, time, tie)
+    events = events.withColumn("_t", micros)
 
     key_fields = [candidates.schema[k] for k in keys]
     key_ddl = T.StructType(key_fields).simpleString()[len("struct<") : -1]

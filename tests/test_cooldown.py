@@ -1,5 +1,6 @@
 """The cooldown against a plain walk over sorted alerts."""
 
+import re
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -209,3 +210,27 @@ def test_stream_state_is_seeded_and_given_up(spark, tmp_path):
     held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress]
     # a, b and c are given up when the watermark reaches 02:55
     assert max(held) > held[-1] > 0
+
+
+def test_short_blocks_get_their_rows_by_one_shuffle(spark):
+    """Times of a key close together: the same alerts, ties and constant keys included."""
+    start = datetime(2024, 1, 1)
+    rows = [
+        (n, f"L{n % 2}", "T", start + timedelta(milliseconds=(n * 37) % 5000), float(n)) for n in range(9000)
+    ]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    for keyed, want in ((frame, rows), (frame.withColumn("location", F.lit("L")), [(r[0], "L", *r[2:]) for r in rows])):
+        kept = cooldown(keyed, minutes=7 / 60_000, resolution=0.001)
+        found = kept.collect()
+        assert {(r.event_id, r.alert_type) for r in found} == walk(want, 7 / 60_000)
+        assert all(r.value == r.event_id for r in found)
+        # the plan shows a shuffle twice where it is used twice, and runs it once
+        text = keyed_plan(kept)
+        assert "hashpartitioning(location, alert_type, event_time" not in text
+        dealt = {line.split("plan_id")[0] for line in text.splitlines() if "hashpartitioning" in line and "_block" in line}
+        assert len({line.split("Exchange")[1] for line in dealt}) == 1
+
+
+def keyed_plan(frame):
+    text = frame._jdf.queryExecution().executedPlan().toString()
+    return re.sub(r"#\d+L?", "", text)
