@@ -224,11 +224,10 @@ def test_short_blocks_get_their_rows_by_one_shuffle(spark):
         found = kept.collect()
         assert {(r.event_id, r.alert_type) for r in found} == walk(want, 7 / 60_000)
         assert all(r.value == r.event_id for r in found)
-        # the plan shows a shuffle twice where it is used twice, and runs it once
-        text = keyed_plan(kept)
-        assert "hashpartitioning(location, alert_type, event_time" not in text
-        dealt = {line.split("plan_id")[0] for line in text.splitlines() if "hashpartitioning" in line and "_block" in line}
-        assert len({line.split("Exchange")[1] for line in dealt}) == 1
+        # both uses of the rows have them by block from the one repartition
+        dealt = re.findall(r"hashpartitioning\((.*?), \d+\), (\w+)", keyed_plan(kept))
+        assert not [by for by, _ in dealt if "event_time" in by]
+        assert {why for by, why in dealt if by.endswith("_block")} == {"REPARTITION_BY_COL"}
 
 
 def keyed_plan(frame):
